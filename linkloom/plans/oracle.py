@@ -56,6 +56,8 @@ SELECT o_orderkey,
 FROM orders
 """
 
+WARC_NAMES_FETCHED = WARC_NAMES.replace("FROM orders", "FROM orders WHERE o_orderstatus = 'F'")
+
 
 def wat_url_sql(col: str) -> str:
     return (f"'{WAT_URL_PREFIX}' || regexp_replace(regexp_replace({col}, '/warc/', '/wat/', 'g'),"

@@ -120,7 +120,10 @@ def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warc_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, warc_filename`` from ``orders``."""
-    orders = read_driver_table(spark, sf_dir, "orders")
+    return warc_names_of(read_driver_table(spark, sf_dir, "orders"))
+
+
+def warc_names_of(orders: DataFrame) -> DataFrame:
     name = F.concat(F.lit("crawl-data/CC-MAIN-2023-14/segments/"),
                     (F.col("o_custkey") % 5).cast("string"),
                     F.lit("/warc/CC-MAIN-"), F.col("o_orderkey").cast("string"),
