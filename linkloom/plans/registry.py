@@ -5,14 +5,8 @@ from __future__ import annotations
 from . import queries as _batch  # noqa: F401  (registers batch queries)
 from .queries import REGISTRY, Query, QueryFn
 
-try:  # the file and streaming queries register on import
-    from . import file_queries as _files  # noqa: F401
-except ImportError:  # pragma: no cover - during early development
-    _files = None
-try:
-    from ..streaming import queries as _streams  # noqa: F401
-except ImportError:  # pragma: no cover
-    _streams = None
+from . import file_queries as _files  # noqa: F401,E402  (registers file queries)
+from ..streaming import queries as _streams  # noqa: F401,E402  (registers stream queries)
 
 
 def queries() -> dict[str, QueryFn]:
