@@ -51,16 +51,21 @@ def create_new_table(df: DataFrame, table: LinkTable | str) -> None:
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = EXPORT_SEPARATOR,
-                     max_files: int = EXPORT_MAX_FILES) -> None:
+                     max_files: int = EXPORT_MAX_FILES, null_value: str | None = None) -> None:
     """Delimited text without header, at most ``max_files`` part files,
     replacing what is at ``path``.
 
     ``coalesce`` merges partitions without a shuffle. Cells holding the
     separator or a quote are quoted; null is an empty cell, an empty string
-    is written as ``""``.
+    is written as ``""``. Spark's CSV writer skips a row whose cells are all
+    null (in a one-column export: every null); give ``null_value`` (for
+    example ``\\N``) to write such rows with that marker instead.
     """
-    (df.coalesce(max_files).write.mode("overwrite")
-     .option("sep", sep).option("header", False).csv(path))
+    writer = (df.coalesce(max_files).write.mode("overwrite")
+              .option("sep", sep).option("header", False))
+    if null_value is not None:
+        writer = writer.option("nullValue", null_value)
+    writer.csv(path)
 
 
 def create_database(spark: SparkSession, name: str) -> None:

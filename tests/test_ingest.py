@@ -1,0 +1,88 @@
+"""Ingest, each file once (ING1, JN1, SNK2-4, SNK7) and the table jobs."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import os
+
+from conftest import rows
+
+from linkloom.plans.extract import audit_path, deduplicate_table, extract_jp_jpg_jpeg, extract_jp_png
+from linkloom.plans.ingest import ingest_wat_files
+from linkloom.plans.warc_list import convert_warc_list, export_table, load_warc_list
+from linkloom.sources.files import read_lines, read_table
+from linkloom.tables import LinkTable
+
+
+def wat_file(path, urls):
+    rec = {"Envelope": {"Payload-Metadata": {"HTTP-Response-Metadata": {"HTML-Metadata": {
+        "Links": [{"path": "A@/href", "url": u} for u in urls]}}}}}
+    with gzip.open(path, "wt") as fh:
+        fh.write("WARC/1.0\nWARC-Type: metadata\n\n" + json.dumps(rec) + "\n")
+
+
+def test_ingest_each_file_once(spark, work):
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    for i in range(3):
+        wat_file(os.path.join(wat, f"f{i}.warc.wat.gz"), [f"http://a.jp/{i}-{j}.jpg" for j in range(6)])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    first = ingest_wat_files(spark, wat, ledger, raw)
+    assert first.count == 3 and read_table(spark, raw).count() == 18
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 0
+    assert read_table(spark, raw).count() == 18
+    wat_file(os.path.join(wat, "f9.warc.wat.gz"), ["http://b.kr/x", "http://b.kr/y"])
+    third = ingest_wat_files(spark, wat, ledger, raw)
+    assert third.files == ("f9.warc.wat.gz",)
+    assert read_table(spark, raw).count() == 20
+
+
+def test_ingest_identity_is_the_base_name(spark, work):
+    a, b = os.path.join(work, "a"), os.path.join(work, "b")
+    os.makedirs(a)
+    os.makedirs(b)
+    wat_file(os.path.join(a, "same.gz"), ["u1"])
+    wat_file(os.path.join(b, "same.gz"), ["u2"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    assert ingest_wat_files(spark, a, ledger, raw).count == 1
+    assert ingest_wat_files(spark, b, ledger, raw).count == 0
+    assert rows(read_table(spark, raw), "url") == [("u1",)]
+
+
+def test_extract_jobs_append_and_dedup_skips_existing(spark, work):
+    data = [(1, "http://a.jp/x.jpg"), (2, "http://a.jp/x.jpg"), (3, "http://b.jp/y.JPEG"),
+            (4, "http://c.jp/z.png"), (5, "http://d.kr/w.jpg")]
+    raw = LinkTable(os.path.join(work, "raw"))
+    spark.createDataFrame(data, "k int, url string").write.parquet(raw.path)
+    jpg, png = LinkTable(os.path.join(work, "jpg")), LinkTable(os.path.join(work, "png"))
+    extract_jp_jpg_jpeg(spark, raw, jpg)
+    extract_jp_jpg_jpeg(spark, raw, jpg)  # appends again: rows doubled
+    extract_jp_png(spark, raw, png)
+    assert read_table(spark, jpg).count() == 6
+    assert rows(read_table(spark, png), "k") == [(4,)]
+    distinct = LinkTable(os.path.join(work, "distinct"))
+    deduplicate_table(spark, jpg, distinct, order_by=["k"], skip_existing=True)
+    deduplicate_table(spark, jpg, distinct, order_by=["k"], skip_existing=True)
+    assert rows(read_table(spark, distinct)) == [(1, "http://a.jp/x.jpg"), (3, "http://b.jp/y.JPEG")]
+    plain = LinkTable(os.path.join(work, "plain"))
+    deduplicate_table(spark, jpg, plain)
+    deduplicate_table(spark, jpg, plain)  # no skip: the rerun repeats rows
+    assert read_table(spark, plain).count() == 4
+    assert audit_path(spark, distinct, "d").first().row_count == 2
+
+
+def test_warc_list_job_tables(spark, work):
+    csv = os.path.join(work, "warc.csv")
+    with open(csv, "w") as fh:
+        fh.write("warc_filename\ncrawl-data/S/segments/1/warc/CC-MAIN-1.warc.gz\n"
+                 "crawl-data/S/segments/2/warc/CC-MAIN-2.warc.gz\n")
+    warc, wat = LinkTable(os.path.join(work, "warc")), LinkTable(os.path.join(work, "wat"))
+    load_warc_list(spark, csv, warc)
+    out = convert_warc_list(spark, warc, wat)
+    assert out.columns == ["full_wat_path"]
+    export = os.path.join(work, "export")
+    export_table(spark, wat, export)
+    assert sorted(r.value for r in read_lines(spark, export).collect()) == [
+        "https://data.commoncrawl.org/crawl-data/S/segments/1/wat/CC-MAIN-1.warc.wat.gz",
+        "https://data.commoncrawl.org/crawl-data/S/segments/2/wat/CC-MAIN-2.warc.wat.gz"]
