@@ -9,6 +9,7 @@ the name. Nothing but the final, bounded plan ever reaches the driver.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +20,6 @@ from ..sources.files import empty_frame, is_path_not_found
 from ..tables import LinkTable, as_table
 from .joins import DEFAULT_BROADCAST_ROWS, anti_join
 
-from pyspark.errors import AnalysisException
-
 
 def read_ledger(spark: SparkSession, table: LinkTable | str) -> DataFrame:
     """Names already processed; a ledger that does not exist yet is empty."""
@@ -51,8 +50,12 @@ def with_path_name(files: DataFrame, path: str = "path", out: str = "file_name")
 
 def pending_files(files: DataFrame, ledger: DataFrame, name: str = "file_name",
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``files`` whose ``name`` is not in the ledger."""
-    done = ledger.select(F.col("file_name").alias(name)).distinct()
+    """Rows of ``files`` whose ``name`` is not in the ledger.
+
+    The ledger may hold a name twice; an anti join does not care, so it goes
+    to the join as it is (no extra shuffle to make it distinct).
+    """
+    done = ledger.select(F.col("file_name").alias(name))
     return anti_join(files, done, name, max_broadcast_rows)
 
 

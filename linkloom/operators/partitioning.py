@@ -1,0 +1,23 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in fewer partitions than there are task
+    slots (one big unsplittable file, a single row group) before expensive
+    per-row work.
+
+    Any input that already has enough partitions (every large table) is
+    returned untouched, so at scale this adds no shuffle. Below that it is a
+    hash exchange on all columns: deterministic when a task is retried (no
+    sort needed, unlike round-robin), and only identical rows share a
+    partition, so one hot key cannot pile up in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])

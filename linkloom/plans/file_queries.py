@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 
 from ..functions.names import file_name_of_url, warc_to_wat
 from ..operators.ledger import download_plan, pending_files
-from ..sinks.tables import append_table, export_delimited, overwrite_table
+from ..sinks.tables import append_table, export_delimited
 from ..session import join_path, new_work_dir
-from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, read_driver_table,
-                               synthetic_links, warc_names, warc_names_of,
+from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, raw_links_table,
+                               read_driver_table, stored_links, warc_names, warc_names_of,
                                write_wat_files)
 from ..sources.files import read_lines, read_table
 from ..sources.wat import read_wat_links
@@ -59,7 +59,7 @@ _URL_ROW = T.StructType([T.StructField(k, T.LongType() if k != "l_linenumber" el
 @register("csv_round_trip", f"SELECT {', '.join(SYNTHETIC_KEYS)}, url FROM ({O.SYNTHETIC_LINKS})")
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = join_path(new_work_dir(spark, "export"), "links")
-    export_delimited(synthetic_links(spark, sf_dir).select(*SYNTHETIC_KEYS, "url"), path)
+    export_delimited(stored_links(spark, sf_dir).select(*SYNTHETIC_KEYS, "url"), path)
     return spark.read.schema(_URL_ROW).option("sep", "|").csv(path)
 
 
@@ -133,8 +133,8 @@ def q_jpg_distinct_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw table -> jpg/jpeg extract (run twice: rows doubled) -> one row per
     url into the distinct table (run twice: the second adds nothing)."""
     work = new_work_dir(spark, "jpg")
-    raw, jpg, distinct = (LinkTable(join_path(work, n)) for n in ("raw", "jpg", "jpg_distinct"))
-    overwrite_table(synthetic_links(spark, sf_dir), raw)
+    raw = LinkTable(raw_links_table(spark, sf_dir))
+    jpg, distinct = (LinkTable(join_path(work, n)) for n in ("jpg", "jpg_distinct"))
     extract_jp_jpg_jpeg(spark, raw, jpg)
     extract_jp_jpg_jpeg(spark, raw, jpg)
     for _ in range(2):
@@ -148,8 +148,7 @@ def q_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count of a table registered in the session catalog."""
     work = new_work_dir(spark, "audit")
     table = LinkTable(join_path(work, "jpn_jpg_links"))
-    raw = LinkTable(join_path(work, "raw"))
-    overwrite_table(synthetic_links(spark, sf_dir), raw)
+    raw = LinkTable(raw_links_table(spark, sf_dir))
     extract_jp_jpg_jpeg(spark, raw, table)
     read_table(spark, table).createOrReplaceTempView("jpn_jpg_links")
     return audit_table(spark, "jpn_jpg_links")

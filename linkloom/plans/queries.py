@@ -18,7 +18,7 @@ from ..functions import rules as R
 from ..functions.names import file_name_of_path, file_name_of_url, warc_to_wat
 from ..operators.dedup import dedup_stable, distinct_urls
 from ..operators.filters import jp_jpg_jpeg, jp_png, select_links
-from ..sources.derived import SYNTHETIC_KEYS, page_links, synthetic_links, warc_names
+from ..sources.derived import SYNTHETIC_KEYS, page_links, stored_links, warc_names
 from . import oracle as O
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,7 @@ def _rule_query(rule: R.Rule) -> None:
     prefix = {"image": "img", "country": "tld", "site": "domain"}[rule.kind]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return select_links(synthetic_links(spark, sf_dir), rule)
+        return select_links(stored_links(spark, sf_dir), rule)
 
     register(f"{prefix}_{rule.name}", sql)(run)
 
@@ -76,14 +76,14 @@ for _rule in R.ALL_RULES:
 SELECT * FROM ({O.SYNTHETIC_LINKS})
 WHERE url IS NOT NULL AND ({O.rule_sql(R.JPG)} OR {O.rule_sql(R.JPEG)}) AND {O.rule_sql(R.JP)}""")
 def q_jp_jpg_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jp_jpg_jpeg(synthetic_links(spark, sf_dir))
+    return jp_jpg_jpeg(stored_links(spark, sf_dir))
 
 
 @register("jp_png", f"""
 SELECT * FROM ({O.SYNTHETIC_LINKS})
 WHERE url IS NOT NULL AND {O.rule_sql(R.PNG)} AND {O.rule_sql(R.JP)}""")
 def q_jp_png(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jp_png(synthetic_links(spark, sf_dir))
+    return jp_png(stored_links(spark, sf_dir))
 
 
 # --- one row per url ---------------------------------------------------------
@@ -97,7 +97,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM ({O.SYNTHETIC_LINKS}))
 WHERE rn = 1""")
 def q_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_stable(synthetic_links(spark, sf_dir), SYNTHETIC_KEYS)
+    return dedup_stable(stored_links(spark, sf_dir), SYNTHETIC_KEYS)
 
 
 # --- names ---------------------------------------------------------------------

@@ -23,6 +23,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A generated method above 8000 bytes of bytecode is never JIT-compiled
+    # and runs interpreted; above this limit Spark falls back to per-operator
+    # code instead, which is compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Gzip crawl files are not splittable: one file is one task, so the
     # scheduler should not wait for locality on a busy cluster.
     "spark.locality.wait": "0s",

@@ -20,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread_small_input
 from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINKS, PAYLOAD
-from ..session import join_path
+from ..session import join_path, new_work_dir
 
 # Anchor patterns, the link path tag and the url pieces.
 ANCHOR_PATTERN = r'<a href="[^"]*"[^>]*>[^<]*</a>'
@@ -31,6 +32,7 @@ LINK_PATH = "A@/href"
 SITE_SUFFIXES = (".co.jp/", ".co.kr/", ".kakao.com/", ".daum.net/", ".coupang.com/",
                  ".nate.com/", ".chosun.com/", ".joins.com/", ".musinsa.com/")
 FILE_SUFFIXES = (".JPG", ".jpeg", ".png", ".bmp", ".jpg?w=1", "")
+SCHEMES = ("//", "www.naver.com/", "https://", "https://", "https://")
 SYNTHETIC_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -62,7 +64,7 @@ def anchor_text(anchor: Column) -> Column:
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, url, text``: one row per anchor of every page."""
-    pages = read_driver_table(spark, sf_dir, "pages")
+    pages = spread_small_input(read_driver_table(spark, sf_dir, "pages").select("page_id", "html"))
     exploded = pages.select("page_id", F.explode(anchors("html")).alias("anchor"))
     return exploded.select("page_id", anchor_href(F.col("anchor")).alias("url"),
                            anchor_text(F.col("anchor")).alias("text"))
@@ -79,27 +81,21 @@ def page_link_structs(html: Column | str = "html") -> Column:
     ))
 
 
-def _case(expr: Column, values: tuple[str, ...]) -> Column:
-    out = None
-    for i, value in enumerate(values[:-1]):
-        out = (F.when(expr == i, F.lit(value)) if out is None
-               else out.when(expr == i, F.lit(value)))
-    return out.otherwise(F.lit(values[-1]))
+def _pick(values: tuple[str, ...], index: Column) -> Column:
+    """``values[index]`` from a literal array (0-based, short generated code)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
 def synthetic_url() -> Column:
     """The url expression on ``lineitem`` keys (null for every 97th part)."""
     lk, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    scheme = (F.when(ln % 5 == 0, F.lit("//"))
-              .when(ln % 5 == 1, F.lit("www.naver.com/"))
-              .otherwise(F.lit("https://")))
     url = F.concat(
-        scheme,
+        _pick(SCHEMES, ln % 5),
         F.lit("H"), (sk % 7).cast("string"),
-        _case(sk % 9, SITE_SUFFIXES),
+        _pick(SITE_SUFFIXES, sk % 9),
         F.when(pk % 11 == 0, F.lit("x.kr/")).otherwise(F.lit("")),
         pk.cast("string"),
-        _case(lk % 6, FILE_SUFFIXES),
+        _pick(FILE_SUFFIXES, lk % 6),
     )
     return F.when(pk % 97 == 0, _null_string()).otherwise(url)
 
@@ -107,7 +103,8 @@ def synthetic_url() -> Column:
 def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link rows with the four ``lineitem`` keys (unique together) and the
     five link columns."""
-    li = read_driver_table(spark, sf_dir, "lineitem")
+    li = spread_small_input(read_driver_table(spark, sf_dir, "lineitem")
+                            .select(*SYNTHETIC_KEYS, "l_returnflag"))
     return li.select(
         *SYNTHETIC_KEYS,
         F.lit(LINK_PATH).alias("path"),
@@ -118,6 +115,32 @@ def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def raw_links_table(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the synthetic links stored as a parquet table, written once per
+    session and input folder below the checkpoint root.
+
+    This is the raw link table the selection jobs and streams read, as they
+    read the ingested table in production: the url is a stored column, the
+    scan pushes ``IsNotNull(url)`` and prunes columns. Files follow the
+    scan's partitions (no shuffle for the write).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = join_path(new_work_dir(spark, "rawlinks"), "raw")
+        synthetic_links(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _MATERIALIZED[key] = path
+    return path
+
+
+def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored synthetic links (see ``raw_links_table``)."""
+    return spark.read.parquet(raw_links_table(spark, sf_dir))
+
+
 def warc_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, warc_filename`` from ``orders``."""
     return warc_names_of(read_driver_table(spark, sf_dir, "orders"))

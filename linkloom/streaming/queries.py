@@ -17,7 +17,7 @@ from ..plans import oracle as O
 from ..plans.queries import register
 from ..session import join_path, new_work_dir
 from ..sinks.tables import append_table
-from ..sources.derived import synthetic_links, write_wat_files
+from ..sources.derived import raw_links_table, stored_links, synthetic_links, write_wat_files
 from ..sources.files import read_table
 from .fanin import run_fan_in
 from .ingest import run_ingest_stream
@@ -33,9 +33,12 @@ def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int =
     append_table(links.repartition(n_files), path)
 
 
-def new_layout(spark: SparkSession, label: str) -> StreamLayout:
+def new_layout(spark: SparkSession, label: str, raw_path: str | None = None) -> StreamLayout:
+    """Fresh folders for sinks and checkpoints; the raw table is shared
+    (streams only read it) unless the query writes its own."""
     work = new_work_dir(spark, label)
-    return StreamLayout(base=join_path(work, "tables"), checkpoints=join_path(work, "checkpoints"))
+    return StreamLayout(base=join_path(work, "tables"), checkpoints=join_path(work, "checkpoints"),
+                        raw_path=raw_path)
 
 
 def spec_sql(spec: StreamSpec) -> str:
@@ -52,8 +55,7 @@ def spec_sql(spec: StreamSpec) -> str:
 
 def _stream_query(spec: StreamSpec) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        layout = new_layout(spark, f"stream-{spec.name}")
-        write_raw_links(spark, sf_dir, layout.raw())
+        layout = new_layout(spark, f"stream-{spec.name}", raw_links_table(spark, sf_dir))
         run_stream(spark, spec, layout)
         return spark.read.format(layout.fmt).load(layout.job_folder(spec)).select("url")
 
@@ -70,13 +72,12 @@ _FAN_IN_SQL = O.fan_in_sql(O.SYNTHETIC_LINKS, KR_FAN_IN)
 @register("fan_in", _FAN_IN_SQL)
 def q_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch: one scan, one row per (link, matching rule)."""
-    return tag_rules(synthetic_links(spark, sf_dir), KR_FAN_IN)
+    return tag_rules(stored_links(spark, sf_dir), KR_FAN_IN)
 
 
 @register("stream_fan_in", _FAN_IN_SQL)
 def q_stream_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = new_layout(spark, "fanin")
-    write_raw_links(spark, sf_dir, layout.raw())
+    layout = new_layout(spark, "fanin", raw_links_table(spark, sf_dir))
     sink = join_path(layout.base, "kr_http_links_by_rule")
     run_fan_in(spark, layout, sink, join_path(layout.checkpoints, "fan_in"))
     return spark.read.format(layout.fmt).load(sink).select("rule", "url")
@@ -86,8 +87,7 @@ def q_stream_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT url FROM ({' UNION ALL '.join(spec_sql(s) for s in STREAMS if s.sink == 'kr_http_links')})""")
 def q_stream_kr_chain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Korean link table as six jobs append it (duplicates kept)."""
-    layout = new_layout(spark, "krtable")
-    write_raw_links(spark, sf_dir, layout.raw())
+    layout = new_layout(spark, "krtable", raw_links_table(spark, sf_dir))
     run_stream(spark, SPECS["st7"], layout)
     return read_table_batch(spark, layout, "kr_http_links")
 
