@@ -39,8 +39,14 @@ def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
     return pending_files(files, read_ledger(spark, ledger))
 
 
+# A gzip file is one task however large it is; its links are split into
+# files of at most this many rows so that scans of the raw table stay parallel.
+RECORDS_PER_FILE = 5_000_000
+
+
 def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
-                     raw_table: LinkTable | str, glob: str | None = None) -> IngestResult:
+                     raw_table: LinkTable | str, glob: str | None = None,
+                     records_per_file: int = RECORDS_PER_FILE) -> IngestResult:
     """Append the links of every not yet processed file; returns the names taken."""
     ledger, raw_table = as_table(ledger), as_table(raw_table)
     pending = (plan_ingest(spark, wat_folder, ledger, glob)
@@ -49,7 +55,7 @@ def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | s
     if not chosen:
         return IngestResult(())
     paths = [row.path for row in chosen]
-    append_table(read_wat_links(spark, paths), raw_table)
+    append_table(read_wat_links(spark, paths), raw_table, max_records_per_file=records_per_file)
     names = spark.createDataFrame([(row.file_name,) for row in chosen], "file_name string")
     mark_processed(names, ledger)
     return IngestResult(tuple(row.file_name for row in chosen))

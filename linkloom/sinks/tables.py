@@ -27,10 +27,17 @@ def overwrite_table(df: DataFrame, table: LinkTable | str,
 
 
 def append_table(df: DataFrame, table: LinkTable | str,
-                 partition_by: list[str] | None = None) -> None:
-    """Append; creates the table when it does not exist yet."""
+                 partition_by: list[str] | None = None,
+                 max_records_per_file: int | None = None) -> None:
+    """Append; creates the table when it does not exist yet.
+
+    ``max_records_per_file`` splits the output of one big task into several
+    files (no shuffle), so a later scan of the table stays parallel.
+    """
     table = as_table(table)
     writer = df.write.mode("append").format(table.fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(table.path)
