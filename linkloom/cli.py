@@ -70,14 +70,15 @@ def cmd_mark_done(spark, a) -> None:
 def cmd_ingest(spark, a) -> None:
     from .plans.ingest import ingest_wat_files
     result = ingest_wat_files(spark, a.wat, _table(a.ledger, a.format), _table(a.raw, a.format),
-                              glob=a.glob)
+                              glob=a.glob, partition_by_suffix=a.partition_by_suffix)
     print(f"ingested {result.count} file(s)")
 
 
 def cmd_ingest_stream(spark, a) -> None:
     from .streaming.ingest import start_ingest_stream
     q = start_ingest_stream(spark, a.wat, a.raw, a.checkpoint, max_files=a.max_files,
-                            archive_dir=a.archive, fmt=a.format, available_now=a.once)
+                            archive_dir=a.archive, fmt=a.format, available_now=a.once,
+                            partition_by_suffix=a.partition_by_suffix)
     q.awaitTermination()
 
 
@@ -161,6 +162,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--ledger", required=True)
     s.add_argument("--raw", required=True)
     s.add_argument("--glob")
+    s.add_argument("--partition-by-suffix", action="store_true",
+                   help="partition the raw table by url image suffix (prunes image selections)")
     s.set_defaults(fn=cmd_ingest)
 
     s = sub.add_parser("ingest-stream")
@@ -170,6 +173,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--archive")
     s.add_argument("--max-files", type=int, default=1)
     s.add_argument("--once", action="store_true", help="take what is there and stop")
+    s.add_argument("--partition-by-suffix", action="store_true")
     s.set_defaults(fn=cmd_ingest_stream)
 
     s = sub.add_parser("extract")

@@ -20,6 +20,7 @@ class Rule:
     name: str
     pattern: str
     kind: str  # "image" | "country" | "site"
+    suffix: str | None = None  # image rules: the suffix class the url must have
 
     def column(self, url: str = "url") -> Column:
         return F.lower(F.col(url)).like(self.pattern)
@@ -30,10 +31,10 @@ class Rule:
 
 # The selection patterns, as the source jobs define them.
 # Image suffix rules (the url must end with the suffix; "http" is a text prefix).
-JPG = Rule("jpg", "http%.jpg", "image")
-JPEG = Rule("jpeg", "http%.jpeg", "image")
-PNG = Rule("png", "http%.png", "image")
-BMP = Rule("bmp", "http%.bmp", "image")
+JPG = Rule("jpg", "http%.jpg", "image", "jpg")
+JPEG = Rule("jpeg", "http%.jpeg", "image", "jpeg")
+PNG = Rule("png", "http%.png", "image", "png")
+BMP = Rule("bmp", "http%.bmp", "image", "bmp")
 # Country domain rules (".jp/" or ".kr/" anywhere in the url).
 JP = Rule("jp", "%.jp/%", "country")
 KR = Rule("kr", "%.kr/%", "country")
@@ -64,6 +65,38 @@ def rule(name: str) -> Rule:
         raise KeyError(f"unknown rule {name!r}; known: {sorted(RULES_BY_NAME)}") from None
 
 
+# Optional layout of the raw table: a partition column holding the image
+# suffix class of the url, so that image selections read one partition.
+SUFFIX_COLUMN = "url_suffix"
+OTHER_SUFFIX = "other"
+
+
+def url_suffix_class(url: str = "url") -> Column:
+    """``jpg`` / ``jpeg`` / ``png`` / ``bmp`` when the case-folded url ends with
+    that suffix, else ``other`` (null urls too). Every image rule implies its
+    class, so filtering on the class prunes partitions without changing rows."""
+    lowered = F.lower(F.col(url))
+    out = None
+    for r in IMAGE_RULES:
+        cond = lowered.endswith(f".{r.suffix}")
+        out = F.when(cond, F.lit(r.suffix)) if out is None else out.when(cond, F.lit(r.suffix))
+    return out.otherwise(F.lit(OTHER_SUFFIX))
+
+
+def suffix_pruning(columns: list[str], rules, any_of_rules: bool = False) -> Column | None:
+    """The suffix-class predicate implied by image rules, when the input has
+    the partition column; ``None`` when there is nothing to prune."""
+    if SUFFIX_COLUMN not in columns:
+        return None
+    suffixes = [r.suffix for r in rules if r.suffix]
+    if not suffixes or (any_of_rules and len(suffixes) != len(list(rules))):
+        return None
+    col = F.col(SUFFIX_COLUMN)
+    if any_of_rules:
+        return col.isin(*suffixes)
+    return reduce(lambda a, b: a & b, (col == s for s in suffixes))
+
+
 def url_present(url: str = "url") -> Column:
     return F.col(url).isNotNull()
 

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import SUFFIX_COLUMN
+from ..operators.filters import with_url_suffix
 from ..operators.ledger import mark_processed, pending_files, read_ledger, with_path_name
 from ..sinks.tables import append_table
 from ..sources.files import list_files
@@ -46,8 +48,13 @@ RECORDS_PER_FILE = 5_000_000
 
 def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
                      raw_table: LinkTable | str, glob: str | None = None,
-                     records_per_file: int = RECORDS_PER_FILE) -> IngestResult:
-    """Append the links of every not yet processed file; returns the names taken."""
+                     records_per_file: int = RECORDS_PER_FILE,
+                     partition_by_suffix: bool = False) -> IngestResult:
+    """Append the links of every not yet processed file; returns the names taken.
+
+    With ``partition_by_suffix`` the raw table is partitioned by the url's
+    image suffix class, so image selections read one partition.
+    """
     ledger, raw_table = as_table(ledger), as_table(raw_table)
     pending = (plan_ingest(spark, wat_folder, ledger, glob)
                .groupBy("file_name").agg(F.min("path").alias("path")))
@@ -55,7 +62,11 @@ def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | s
     if not chosen:
         return IngestResult(())
     paths = [row.path for row in chosen]
-    append_table(read_wat_links(spark, paths), raw_table, max_records_per_file=records_per_file)
+    links = read_wat_links(spark, paths)
+    parts = None
+    if partition_by_suffix:
+        links, parts = with_url_suffix(links), [SUFFIX_COLUMN]
+    append_table(links, raw_table, partition_by=parts, max_records_per_file=records_per_file)
     names = spark.createDataFrame([(row.file_name,) for row in chosen], "file_name string")
     mark_processed(names, ledger)
     return IngestResult(tuple(row.file_name for row in chosen))

@@ -18,7 +18,8 @@ from ..functions import rules as R
 from ..functions.names import file_name_of_path, file_name_of_url, warc_to_wat
 from ..operators.dedup import dedup_stable, distinct_urls
 from ..operators.filters import jp_jpg_jpeg, jp_png, select_links
-from ..sources.derived import SYNTHETIC_KEYS, page_links, stored_links, warc_names
+from ..sources.derived import (SYNTHETIC_KEYS, page_links, raw_links_table, stored_links,
+                               warc_names)
 from . import oracle as O
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,15 @@ for _rule in R.ALL_RULES:
     _rule_query(_rule)
 
 
+@register("img_jpg_pruned", f"""
+SELECT * FROM ({O.SYNTHETIC_LINKS}) WHERE url IS NOT NULL AND {O.rule_sql(R.JPG)}""")
+def q_img_jpg_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jpg selection on a raw table partitioned by url suffix class: the
+    scan reads the ``url_suffix=jpg`` partition only."""
+    raw = spark.read.parquet(raw_links_table(spark, sf_dir, by_suffix=True))
+    return select_links(raw, R.JPG).drop(R.SUFFIX_COLUMN)
+
+
 @register("jp_jpg_jpeg", f"""
 SELECT * FROM ({O.SYNTHETIC_LINKS})
 WHERE url IS NOT NULL AND ({O.rule_sql(R.JPG)} OR {O.rule_sql(R.JPEG)}) AND {O.rule_sql(R.JP)}""")

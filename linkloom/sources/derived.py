@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import SUFFIX_COLUMN, url_suffix_class
 from ..operators.partitioning import spread_small_input
 from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINKS, PAYLOAD
 from ..session import join_path, new_work_dir
@@ -118,7 +119,7 @@ def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 
-def raw_links_table(spark: SparkSession, sf_dir: str) -> str:
+def raw_links_table(spark: SparkSession, sf_dir: str, by_suffix: bool = False) -> str:
     """Path of the synthetic links stored as a parquet table, written once per
     session and input folder below the checkpoint root.
 
@@ -127,11 +128,16 @@ def raw_links_table(spark: SparkSession, sf_dir: str) -> str:
     scan pushes ``IsNotNull(url)`` and prunes columns. Files follow the
     scan's partitions (no shuffle for the write).
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), by_suffix)
     path = _MATERIALIZED.get(key)
     if path is None:
         path = join_path(new_work_dir(spark, "rawlinks"), "raw")
-        synthetic_links(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        links = synthetic_links(spark, sf_dir)
+        writer = links.write.mode("errorifexists")
+        if by_suffix:
+            writer = links.withColumn(SUFFIX_COLUMN, url_suffix_class("url")).write \
+                .mode("errorifexists").partitionBy(SUFFIX_COLUMN)
+        writer.parquet(path)
         _MATERIALIZED[key] = path
     return path
 
@@ -191,10 +197,12 @@ def write_wat_files(spark: SparkSession, sf_dir: str, folder: str,
                     pages_per_file: int = 50) -> str:
     """Write the pages as gzipped metadata files into ``folder`` and return it.
 
-    The file count grows with the pages (``pages_per_file`` each on average).
+    The file count grows with the pages: each task cuts its output into files
+    of at most ``pages_per_file`` records (no count job, no shuffle of the
+    html).
     """
-    pages = read_driver_table(spark, sf_dir, "pages")
-    n_files = max(1, -(-pages.count() // pages_per_file))
-    (wat_text(pages).repartition(n_files, "page_id").select("value")
-     .write.mode("errorifexists").option("compression", "gzip").text(folder))
+    pages = spread_small_input(read_driver_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    (wat_text(pages).select("value")
+     .write.mode("errorifexists").option("compression", "gzip")
+     .option("maxRecordsPerFile", pages_per_file).text(folder))
     return folder

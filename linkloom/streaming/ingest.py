@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.rules import SUFFIX_COLUMN
+from ..operators.filters import with_url_suffix
 from ..schema import WAT_SCHEMA
 from ..sources.wat import explode_links
 from ..tables import DEFAULT_FORMAT
@@ -19,15 +21,20 @@ from ..tables import DEFAULT_FORMAT
 
 def start_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, checkpoint: str,
                         max_files: int = 1, archive_dir: str | None = None,
-                        fmt: str = DEFAULT_FORMAT, available_now: bool = True) -> StreamingQuery:
+                        fmt: str = DEFAULT_FORMAT, available_now: bool = True,
+                        partition_by_suffix: bool = False) -> StreamingQuery:
     reader = (spark.readStream.schema(WAT_SCHEMA)
               .option("fileNameOnly", True)
               .option("maxFilesPerTrigger", max_files))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     links = explode_links(reader.json(wat_path))
+    if partition_by_suffix:
+        links = with_url_suffix(links)
     writer = (links.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint))
+    if partition_by_suffix:
+        writer = writer.partitionBy(SUFFIX_COLUMN)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start(raw_path)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import (BMP, CHOSUN, DAUM, JOINS, JP, JPEG, JPG, KR, MUSINSA, NATE, PNG,
-                               Rule, all_of, url_present)
+                               Rule, all_of, suffix_pruning, url_present)
 from ..schema import URL_SCHEMA
 from ..session import join_path
 from ..tables import DEFAULT_FORMAT
@@ -47,7 +47,8 @@ class StreamSpec:
         cond = all_of(*self.rules)
         if self.require_url:
             cond = url_present() & cond
-        out = df.where(cond)
+        pruning = suffix_pruning(df.columns, self.rules)
+        out = df.where(cond if pruning is None else pruning & cond)
         return out.select("url") if self.url_only else out
 
 

@@ -86,3 +86,18 @@ def test_warc_list_job_tables(spark, work):
     assert sorted(r.value for r in read_lines(spark, export).collect()) == [
         "https://data.commoncrawl.org/crawl-data/S/segments/1/wat/CC-MAIN-1.warc.wat.gz",
         "https://data.commoncrawl.org/crawl-data/S/segments/2/wat/CC-MAIN-2.warc.wat.gz"]
+
+
+def test_ingest_partitioned_by_suffix(spark, work):
+    from linkloom.functions import rules as R
+    from linkloom.operators.filters import select_links
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "p.gz"), ["http://a.jp/x.JPG", "http://a.jp/y.png", "http://b/z", None])
+    raw = LinkTable(os.path.join(work, "raw"))
+    ingest_wat_files(spark, wat, LinkTable(os.path.join(work, "ledger")), raw, partition_by_suffix=True)
+    assert sorted(d for d in os.listdir(raw.path) if d.startswith("url_suffix=")) == [
+        "url_suffix=jpg", "url_suffix=other", "url_suffix=png"]
+    table = read_table(spark, raw)
+    assert rows(select_links(table, R.JPG), "url") == [("http://a.jp/x.JPG",)]
+    assert table.count() == 4

@@ -123,3 +123,19 @@ def test_rule_lookup():
         R.rule("gif")
     assert len(R.ALL_RULES) == 14 and len({r.name for r in R.ALL_RULES}) == 14
     assert F is not None
+
+
+def test_suffix_partitioned_table_prunes_and_keeps_rows(spark, tmp_path):
+    from linkloom.operators.filters import with_url_suffix
+    path = str(tmp_path / "by_suffix")
+    with_url_suffix(frame(spark, EDGE_URLS)).write.partitionBy(R.SUFFIX_COLUMN).parquet(path)
+    part = spark.read.parquet(path)
+    flat = frame(spark, EDGE_URLS)
+    for rules in [(R.JPG,), (R.JPEG, R.JP), (R.PNG, R.JP), (R.BMP,), (R.KR,)]:
+        assert sorted(r.id for r in select_links(part, *rules).collect()) == \
+            sorted(r.id for r in select_links(flat, *rules).collect())
+    assert sorted(r.id for r in jp_jpg_jpeg(part).collect()) == sorted(r.id for r in jp_jpg_jpeg(flat).collect())
+    assert sorted(r.id for r in select_any(part, R.JPG, R.PNG).collect()) == \
+        sorted(r.id for r in select_any(flat, R.JPG, R.PNG).collect())
+    plan = select_links(part, R.JPG)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(url_suffix" in plan and "(url_suffix" in plan and "= jpg)" in plan
