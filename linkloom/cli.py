@@ -102,15 +102,17 @@ def cmd_export(spark, a) -> None:
 
 def cmd_stream(spark, a) -> None:
     from .streaming.fanin import start_fan_in
-    from .streaming.jobs import SPECS, StreamLayout, start_stream
+    from .streaming.jobs import AUTO, SPECS, StreamLayout, start_stream
     layout = StreamLayout(base=a.base, checkpoints=a.checkpoints or join_path(a.base, "_checkpoints"),
                           fmt=a.format, raw_path=a.raw)
+    rate = a.max_files if a.max_files in (None, AUTO) else int(a.max_files)
     if a.job == "fan-in":
+        fan_rate = (spark.sparkContext.defaultParallelism if rate == AUTO else rate) or 1
         q = start_fan_in(spark, layout, join_path(a.base, "kr_http_links_by_rule"),
-                         join_path(layout.checkpoints, "fan_in"), max_files=a.max_files or 1,
+                         join_path(layout.checkpoints, "fan_in"), max_files=fan_rate,
                          available_now=a.once)
     else:
-        q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=a.max_files)
+        q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=rate)
     q.awaitTermination()
 
 
@@ -200,7 +202,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--base", required=True, help="folder holding the tables")
     s.add_argument("--raw", help="raw link table (default BASE/raw)")
     s.add_argument("--checkpoints")
-    s.add_argument("--max-files", type=int)
+    s.add_argument("--max-files", default="auto",
+                   help="files per micro-batch: a number, or 'auto' (>= one per task slot; default)")
     s.add_argument("--once", action="store_true", help="take what is there and stop")
     s.set_defaults(fn=cmd_stream)
 

@@ -142,12 +142,30 @@ def read_table_batch(spark: SparkSession, layout: StreamLayout, table: str) -> D
     return out
 
 
+AUTO = "auto"
+
+
+def files_per_trigger(spark: SparkSession, spec: StreamSpec, max_files: int | str | None) -> int:
+    """Files admitted per micro-batch.
+
+    ``None`` keeps the job's own rate (1 or 4 files). ``"auto"`` admits at
+    least one file per task slot of the cluster: the jobs are stateless, so
+    the batch size changes throughput only, never the rows; a 1-file batch
+    would keep all but a few executors idle on a large cluster.
+    """
+    if max_files is None:
+        return spec.max_files
+    if max_files == AUTO:
+        return max(spec.max_files, spark.sparkContext.defaultParallelism)
+    return int(max_files)
+
+
 def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
-                 available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+                 available_now: bool = True, max_files: int | str | None = None) -> StreamingQuery:
     """Start one job. With ``available_now`` it takes every file present at
     start (in batches of ``max_files``) and stops; otherwise it keeps running
     on the default trigger, as a resident job."""
-    source = read_table_stream(spark, layout, spec.source, max_files or spec.max_files)
+    source = read_table_stream(spark, layout, spec.source, files_per_trigger(spark, spec, max_files))
     writer = (spec.transform(source).writeStream.format(layout.fmt)
               .outputMode("append")
               .queryName(f"linkloom_{spec.name}")
@@ -158,7 +176,7 @@ def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
 
 
 def run_stream(spark: SparkSession, spec: StreamSpec | str, layout: StreamLayout,
-               with_upstream: bool = True, max_files: int | None = None) -> None:
+               with_upstream: bool = True, max_files: int | str | None = None) -> None:
     """Run a job (and, first, the jobs feeding its source) to completion."""
     spec = SPECS[spec] if isinstance(spec, str) else spec
     chain = (layout.upstream(spec) if with_upstream else []) + [spec]

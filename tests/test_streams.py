@@ -128,3 +128,12 @@ def test_stream_specs_table():
     assert [s.name for s in STREAMS] == [f"st{i}" for i in range(1, 13)]
     assert {s.max_files for s in STREAMS if s.name in ("st2", "st7")} == {4}
     assert sum(1 for s in STREAMS if s.sink == "kr_http_links") == 6
+
+
+def test_files_per_trigger(spark):
+    from linkloom.streaming.jobs import AUTO, files_per_trigger
+    slots = spark.sparkContext.defaultParallelism
+    assert files_per_trigger(spark, SPECS["st1"], None) == 1
+    assert files_per_trigger(spark, SPECS["st7"], None) == 4
+    assert files_per_trigger(spark, SPECS["st1"], AUTO) == max(1, slots)
+    assert files_per_trigger(spark, SPECS["st1"], 3) == 3
