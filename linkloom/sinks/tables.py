@@ -57,18 +57,40 @@ def create_new_table(df: DataFrame, table: LinkTable | str) -> None:
     df.write.mode("errorifexists").format(table.fmt).save(table.path)
 
 
+# Up to this many input partitions per output file, merging partitions
+# without a shuffle is cheaper than redistributing the rows.
+COALESCE_FACTOR = 4
+
+
+def bound_files(df: DataFrame, max_files: int) -> DataFrame:
+    """At most ``max_files`` write tasks (so at most that many part files).
+
+    ``coalesce`` is narrow: it also narrows the stage that computes ``df``.
+    That is the cheapest choice while the input is only a few times wider
+    than the bound; for a much wider input (a large table) the rows are
+    redistributed instead, so the scan and filters keep their full
+    parallelism and only the write runs ``max_files`` tasks.
+    """
+    n = df.rdd.getNumPartitions()
+    if n <= max_files:
+        return df
+    if n <= COALESCE_FACTOR * max_files:
+        return df.coalesce(max_files)
+    return df.repartition(max_files)
+
+
 def export_delimited(df: DataFrame, path: str, sep: str = EXPORT_SEPARATOR,
                      max_files: int = EXPORT_MAX_FILES, null_value: str | None = None) -> None:
     """Delimited text without header, at most ``max_files`` part files,
     replacing what is at ``path``.
 
-    ``coalesce`` merges partitions without a shuffle. Cells holding the
+    See ``bound_files`` for how the file bound is met. Cells holding the
     separator or a quote are quoted; null is an empty cell, an empty string
     is written as ``""``. Spark's CSV writer skips a row whose cells are all
     null (in a one-column export: every null); give ``null_value`` (for
     example ``\\N``) to write such rows with that marker instead.
     """
-    writer = (df.coalesce(max_files).write.mode("overwrite")
+    writer = (bound_files(df, max_files).write.mode("overwrite")
               .option("sep", sep).option("header", False))
     if null_value is not None:
         writer = writer.option("nullValue", null_value)

@@ -103,3 +103,27 @@ def test_catalog_table_and_database(spark):
     assert "linkloom_test_db" in [d.name for d in spark.catalog.listDatabases()]
     urls(spark, ["a", "b"]).createOrReplaceTempView("linkloom_audit_view")
     assert read_catalog_table(spark, "linkloom_audit_view").count() == 2
+
+
+def test_bound_files_keeps_upstream_parallel_for_wide_inputs(spark):
+    from linkloom.sinks.tables import bound_files
+    narrow = spark.range(0, 100, numPartitions=3)
+    assert bound_files(narrow, 5) is narrow
+    mid = spark.range(0, 100, numPartitions=12)
+    plan = bound_files(mid, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" in plan and "Exchange" not in plan
+    wide = spark.range(0, 1000, numPartitions=40)
+    out = bound_files(wide, 5)
+    assert out.rdd.getNumPartitions() == 5
+    assert "Exchange" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 1000
+
+
+def test_spread_small_input_only_below_task_slots(spark):
+    from linkloom.operators.partitioning import spread_small_input
+    slots = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, numPartitions=slots + 1)
+    assert spread_small_input(wide) is wide
+    small = spark.range(0, 100, numPartitions=1)
+    spread = spread_small_input(small)
+    assert spread.rdd.getNumPartitions() == slots and spread.count() == 100
