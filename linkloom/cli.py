@@ -76,7 +76,8 @@ def cmd_ingest(spark, a) -> None:
 
 def cmd_ingest_stream(spark, a) -> None:
     from .streaming.ingest import start_ingest_stream
-    q = start_ingest_stream(spark, a.wat, a.raw, a.checkpoint, max_files=a.max_files,
+    rate = a.max_files if a.max_files == "auto" else int(a.max_files)
+    q = start_ingest_stream(spark, a.wat, a.raw, a.checkpoint, max_files=rate,
                             archive_dir=a.archive, fmt=a.format, available_now=a.once,
                             partition_by_suffix=a.partition_by_suffix)
     q.awaitTermination()
@@ -107,9 +108,8 @@ def cmd_stream(spark, a) -> None:
                           fmt=a.format, raw_path=a.raw)
     rate = a.max_files if a.max_files in (None, AUTO) else int(a.max_files)
     if a.job == "fan-in":
-        fan_rate = (spark.sparkContext.defaultParallelism if rate == AUTO else rate) or 1
         q = start_fan_in(spark, layout, join_path(a.base, "kr_http_links_by_rule"),
-                         join_path(layout.checkpoints, "fan_in"), max_files=fan_rate,
+                         join_path(layout.checkpoints, "fan_in"), max_files=rate or AUTO,
                          available_now=a.once)
     else:
         q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=rate)
@@ -173,7 +173,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--raw", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--archive")
-    s.add_argument("--max-files", type=int, default=1)
+    s.add_argument("--max-files", default="auto",
+                   help="files per micro-batch: a number, or 'auto' (one per task slot; default)")
     s.add_argument("--once", action="store_true", help="take what is there and stop")
     s.add_argument("--partition-by-suffix", action="store_true")
     s.set_defaults(fn=cmd_ingest_stream)

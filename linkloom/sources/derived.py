@@ -24,6 +24,7 @@ from ..functions.rules import SUFFIX_COLUMN, url_suffix_class
 from ..operators.partitioning import spread_small_input
 from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINKS, PAYLOAD
 from ..session import join_path, new_work_dir
+from .files import table_exists
 
 # Anchor patterns, the link path tag and the url pieces.
 ANCHOR_PATTERN = r'<a href="[^"]*"[^>]*>[^<]*</a>'
@@ -130,6 +131,8 @@ def raw_links_table(spark: SparkSession, sf_dir: str, by_suffix: bool = False) -
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), by_suffix)
     path = _MATERIALIZED.get(key)
+    if path is not None and not table_exists(spark, path):
+        path = None  # the work folder was removed: write it again
     if path is None:
         path = join_path(new_work_dir(spark, "rawlinks"), "raw")
         links = synthetic_links(spark, sf_dir)

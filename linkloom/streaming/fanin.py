@@ -15,13 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import KR_FAN_IN, Rule
 from ..operators.fanin import tag_rules
-from .jobs import RAW, StreamLayout, read_table_stream
+from .jobs import AUTO, RAW, StreamLayout, read_table_stream, resolve_rate
 
 
 def start_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoint: str,
-                 rules: Sequence[Rule] = KR_FAN_IN, max_files: int = 1,
+                 rules: Sequence[Rule] = KR_FAN_IN, max_files: int | str = AUTO,
                  available_now: bool = True) -> StreamingQuery:
-    source = read_table_stream(spark, layout, RAW, max_files)
+    """``max_files``: files per micro-batch, or ``"auto"`` (one per task slot)."""
+    source = read_table_stream(spark, layout, RAW, resolve_rate(spark, max_files, 1))
     writer = (tag_rules(source, rules).writeStream.format(layout.fmt)
               .outputMode("append").partitionBy("rule")
               .option("checkpointLocation", checkpoint))
@@ -31,5 +32,5 @@ def start_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoin
 
 
 def run_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoint: str,
-               rules: Sequence[Rule] = KR_FAN_IN, max_files: int = 1) -> None:
+               rules: Sequence[Rule] = KR_FAN_IN, max_files: int | str = AUTO) -> None:
     start_fan_in(spark, layout, sink, checkpoint, rules, max_files).awaitTermination()

@@ -5,6 +5,7 @@ name (``fileNameOnly``), so the same file arriving in another folder is
 skipped, and a crash between writing and recording cannot repeat a file
 (the sink log commits the batch and the offsets together). Optionally the
 consumed files are moved to an archive folder once a later batch commits.
+Files per micro-batch default to one per task slot (``"auto"``).
 """
 
 from __future__ import annotations
@@ -17,15 +18,16 @@ from ..operators.filters import with_url_suffix
 from ..schema import WAT_SCHEMA
 from ..sources.wat import explode_links
 from ..tables import DEFAULT_FORMAT
+from .jobs import AUTO, resolve_rate
 
 
 def start_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, checkpoint: str,
-                        max_files: int = 1, archive_dir: str | None = None,
+                        max_files: int | str = AUTO, archive_dir: str | None = None,
                         fmt: str = DEFAULT_FORMAT, available_now: bool = True,
                         partition_by_suffix: bool = False) -> StreamingQuery:
     reader = (spark.readStream.schema(WAT_SCHEMA)
               .option("fileNameOnly", True)
-              .option("maxFilesPerTrigger", max_files))
+              .option("maxFilesPerTrigger", resolve_rate(spark, max_files, 1)))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     links = explode_links(reader.json(wat_path))
@@ -41,7 +43,7 @@ def start_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, check
 
 
 def run_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, checkpoint: str,
-                      max_files: int = 1, archive_dir: str | None = None,
+                      max_files: int | str = AUTO, archive_dir: str | None = None,
                       fmt: str = DEFAULT_FORMAT) -> None:
     start_ingest_stream(spark, wat_path, raw_path, checkpoint, max_files, archive_dir,
                         fmt).awaitTermination()

@@ -153,10 +153,14 @@ def files_per_trigger(spark: SparkSession, spec: StreamSpec, max_files: int | st
     the batch size changes throughput only, never the rows; a 1-file batch
     would keep all but a few executors idle on a large cluster.
     """
+    return resolve_rate(spark, max_files, spec.max_files)
+
+
+def resolve_rate(spark: SparkSession, max_files: int | str | None, default: int) -> int:
     if max_files is None:
-        return spec.max_files
+        return default
     if max_files == AUTO:
-        return max(spec.max_files, spark.sparkContext.defaultParallelism)
+        return max(default, spark.sparkContext.defaultParallelism)
     return int(max_files)
 
 

@@ -118,9 +118,9 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_work_dir(spark, "streamingest")
     wat = write_wat_files(spark, sf_dir, join_path(work, "wat"))
     raw, ckpt = join_path(work, "raw"), join_path(work, "checkpoint")
-    run_ingest_stream(spark, wat, raw, ckpt, max_files=4)
+    run_ingest_stream(spark, wat, raw, ckpt)
     first = read_table(spark, raw).count()
-    run_ingest_stream(spark, wat, raw, ckpt, max_files=4)
+    run_ingest_stream(spark, wat, raw, ckpt)
     if read_table(spark, raw).count() != first:
         raise RuntimeError("second ingest run added rows")
     return read_table(spark, raw)

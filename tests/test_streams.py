@@ -69,7 +69,7 @@ def test_kr_chain_keeps_duplicates_of_two_rules(spark, work):
         [("http://x.co.kr/a.joins.com/i.jpg",)] * 2 + [("http://m.daum.net/p.jpg",)])
 
 
-@pytest.mark.parametrize("name", ["st1", "st3", "st5", "st8", "st12"])
+@pytest.mark.parametrize("name", [s.name for s in STREAMS if s.source == "raw"])
 def test_stream_equals_batch(spark, work, name):
     layout = layout_at(work)
     write_raw_links(spark, SF_SMALL, layout.raw(), n_files=3)
