@@ -1,9 +1,11 @@
 """Joins with a size-checked broadcast.
 
 A side is broadcast only after counting that it holds at most ``max_rows``
-rows (the count stops early: it reads at most ``max_rows + 1`` rows).
-Beyond that bound the join is left to the planner (sort-merge on the key,
-with AQE free to re-plan and split skewed partitions).
+rows. The count is a distributed aggregate (each task counts its part, only
+the counts move; on parquet only footers are read), so checking a side that
+turns out to be large never funnels its rows through one task. Beyond the
+bound the join is left to the planner (sort-merge on the key, with AQE free
+to re-plan and split skewed partitions).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -13,11 +12,12 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
 
     Any input that already has enough partitions (every large table) is
     returned untouched, so at scale this adds no shuffle. Below that it is a
-    hash exchange on all columns: deterministic when a task is retried (no
-    sort needed, unlike round-robin), and only identical rows share a
-    partition, so one hot key cannot pile up in one task.
+    round-robin exchange: rows are dealt out evenly whatever their values, so
+    even one row repeated a million times cannot pile up in one task, and
+    Spark sorts each partition before dealing so a retried task re-deals the
+    same rows.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
+    return df.repartition(target)

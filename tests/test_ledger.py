@@ -46,7 +46,7 @@ def test_pending_files_broadcast_or_shuffle_same_rows(spark, max_rows):
         assert "BroadcastExchange" in plan or "BroadcastHashJoin" in plan
 
 
-def test_size_check_stops_early(spark):
+def test_size_check(spark):
     assert has_at_most(spark.range(10), 10)
     assert not has_at_most(spark.range(11), 10)
 
