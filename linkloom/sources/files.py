@@ -50,7 +50,9 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """Files of a folder as rows ``path``; a missing folder is an error.
+    """Files of a folder as rows ``path`` (one level: files inside
+    sub-folders are not listed, nor is the sub-folder itself); a missing
+    folder is an error.
 
     The listing is Spark's own file index; the content column is pruned, so
     only names are produced.

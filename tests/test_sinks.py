@@ -127,3 +127,12 @@ def test_spread_small_input_only_below_task_slots(spark):
     small = spark.range(0, 100, numPartitions=1)
     spread = spread_small_input(small)
     assert spread.rdd.getNumPartitions() == slots and spread.count() == 100
+
+
+def test_list_files_is_one_level_files_only(spark, work):
+    os.makedirs(os.path.join(work, "sub"))
+    for name in ("top.gz", os.path.join("sub", "inner.gz")):
+        with open(os.path.join(work, name), "w") as fh:
+            fh.write("1")
+    got = sorted(r.path.split("/")[-1] for r in list_files(spark, work).collect())
+    assert got == ["top.gz"]  # one level; a sub-folder is not listed

@@ -80,3 +80,14 @@ def test_fixed_schema_scan_prunes_to_links(spark, work):
     write_gz(os.path.join(work, "p.wat.gz"), HEADER + [record([{"url": "u"}])])
     plan = read_wat_links(spark, work).select("url")._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan and "FileScan json" in plan
+
+
+def test_fixed_schema_reads_both_header_spellings_in_any_session(spark, work):
+    write_gz(os.path.join(work, "h.gz"), HEADER + [record(
+        [{"url": "u"}], headers={"Content-Type": "a", "content-type": "b"})])
+    before = spark.conf.get("spark.sql.caseSensitive")
+    try:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+        assert rows(read_wat_links(spark, work), "url") == [("u",)]
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
