@@ -12,7 +12,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.names import file_name_of_path, file_name_of_url, warc_to_wat
