@@ -12,7 +12,8 @@
     python -m linkloom audit         --table NAME_OR_PATH
     python -m linkloom range-smoke   --out DIR
 
-Paths are parameters (no host paths are built in); ``--format`` chooses the
+Paths are parameters (no host paths are built in); a table argument may also
+be ``catalog:db.table`` for a table of the session catalog. ``--format`` chooses the
 table format (parquet by default, delta when its package is present). The
 session comes from the launcher (``spark-submit`` settings win), with the
 library defaults for what is unset.
@@ -25,11 +26,12 @@ import sys
 
 from .functions.names import is_count_arg
 from .session import build_session, join_path
-from .tables import LinkTable
+from .tables import CATALOG_PREFIX, LinkTable, as_table
 
 
-def _table(path: str, fmt: str) -> LinkTable:
-    return LinkTable(path, fmt)
+def _table(spec: str, fmt: str) -> LinkTable:
+    """A folder path, or ``catalog:db.table`` for a metastore table."""
+    return as_table(spec, fmt)
 
 
 def cmd_warc_to_wat(spark, a) -> None:
@@ -119,12 +121,14 @@ def cmd_stream(spark, a) -> None:
 def cmd_audit(spark, a) -> None:
     from .operators.audit import schema_text
     from .plans.extract import audit_path, audit_table
-    looks_like_path = "/" in a.table or ":" in a.table
-    df = audit_path(spark, _table(a.table, a.format)) if looks_like_path else audit_table(spark, a.table)
-    row = df.first()
-    print(f"##### Count {row.row_count}")
-    source = spark.read.format(a.format).load(a.table) if looks_like_path else spark.table(a.table)
-    print(schema_text(source))
+    from .sources.files import read_table
+    spec = a.table
+    if "/" not in spec and ":" not in spec:  # a bare name is a catalog table
+        spec = CATALOG_PREFIX + spec
+    table = _table(spec, a.format)
+    df = audit_table(spark, table.name) if table.in_catalog else audit_path(spark, table)
+    print(f"##### Count {df.first().row_count}")
+    print(schema_text(read_table(spark, table)))
 
 
 def cmd_range_smoke(spark, a) -> None:

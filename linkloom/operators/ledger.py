@@ -24,6 +24,10 @@ from .joins import DEFAULT_BROADCAST_ROWS, anti_join
 def read_ledger(spark: SparkSession, table: LinkTable | str) -> DataFrame:
     """Names already processed; a ledger that does not exist yet is empty."""
     table = as_table(table)
+    if table.in_catalog:
+        if spark.catalog.tableExists(table.name):
+            return spark.table(table.name).select("file_name")
+        return empty_frame(spark, LEDGER_SCHEMA)
     try:
         return spark.read.format(table.fmt).schema(LEDGER_SCHEMA).load(table.path)
     except AnalysisException as exc:

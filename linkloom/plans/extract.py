@@ -50,4 +50,4 @@ def audit_table(spark: SparkSession, name: str) -> DataFrame:
 
 def audit_path(spark: SparkSession, table: LinkTable | str, name: str | None = None) -> DataFrame:
     table = as_table(table)
-    return row_count(read_table(spark, table), name or table.path)
+    return row_count(read_table(spark, table), name or str(table))

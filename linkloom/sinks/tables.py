@@ -16,6 +16,13 @@ EXPORT_SEPARATOR = "|"
 EXPORT_MAX_FILES = 100
 
 
+def _save(writer, table: LinkTable) -> None:
+    if table.in_catalog:
+        writer.saveAsTable(table.name)
+    else:
+        writer.save(table.path)
+
+
 def overwrite_table(df: DataFrame, table: LinkTable | str,
                     partition_by: list[str] | None = None) -> None:
     """Replace the table's content (creates it when absent)."""
@@ -23,7 +30,7 @@ def overwrite_table(df: DataFrame, table: LinkTable | str,
     writer = df.write.mode("overwrite").format(table.fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(table.path)
+    _save(writer, table)
 
 
 def append_table(df: DataFrame, table: LinkTable | str,
@@ -40,7 +47,7 @@ def append_table(df: DataFrame, table: LinkTable | str,
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(table.path)
+    _save(writer, table)
 
 
 def create_or_append(df: DataFrame, table: LinkTable | str) -> bool:
@@ -54,7 +61,7 @@ def create_or_append(df: DataFrame, table: LinkTable | str) -> bool:
 def create_new_table(df: DataFrame, table: LinkTable | str) -> None:
     """Create; fail when the table is already there."""
     table = as_table(table)
-    df.write.mode("errorifexists").format(table.fmt).save(table.path)
+    _save(df.write.mode("errorifexists").format(table.fmt), table)
 
 
 # Up to this many input partitions per output file, merging partitions

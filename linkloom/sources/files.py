@@ -39,8 +39,11 @@ def read_csv_list(spark: SparkSession, path: str,
 
 
 def read_table(spark: SparkSession, table: LinkTable | str) -> DataFrame:
-    """A table by path (parquet by default, any format by name)."""
+    """A table by path (parquet by default, any format by name) or by its
+    catalog name."""
     table = as_table(table)
+    if table.in_catalog:
+        return spark.table(table.name)
     return spark.read.format(table.fmt).load(table.path)
 
 
@@ -79,8 +82,11 @@ def read_range(spark: SparkSession, start: int, end: int) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, table: LinkTable | str) -> bool:
-    """False only when the path does not exist; any other error is raised."""
+    """False only when the path does not exist; any other error is raised.
+    A catalog table exists when the catalog knows its name."""
     table = as_table(table)
+    if table.in_catalog:
+        return spark.catalog.tableExists(table.name)
     try:
         spark.read.format(table.fmt).load(table.path)
         return True

@@ -136,3 +136,27 @@ def test_list_files_is_one_level_files_only(spark, work):
             fh.write("1")
     got = sorted(r.path.split("/")[-1] for r in list_files(spark, work).collect())
     assert got == ["top.gz"]  # one level; a sub-folder is not listed
+
+
+def test_catalog_tables_by_name(spark):
+    from linkloom.operators.ledger import mark_processed, read_ledger
+    from linkloom.tables import LinkTable, as_table
+    create_database(spark, "linkloom_cat")
+    t = as_table("catalog:linkloom_cat.raw_links")
+    assert t.in_catalog and str(t) == "linkloom_cat.raw_links"
+    assert not table_exists(spark, t)
+    assert create_or_append(urls(spark, ["a"]), t) is False
+    append_table(urls(spark, ["b"]), t)
+    assert table_exists(spark, t)
+    assert rows(read_table(spark, t)) == [("a",), ("b",)]
+    assert rows(read_catalog_table(spark, "linkloom_cat.raw_links")) == [("a",), ("b",)]
+    overwrite_table(urls(spark, ["z"]), t)
+    assert rows(read_table(spark, t)) == [("z",)]
+    with pytest.raises(AnalysisException):
+        create_new_table(urls(spark, ["y"]), t)
+    ledger = LinkTable.catalog("linkloom_cat.ledger")
+    assert read_ledger(spark, ledger).count() == 0
+    mark_processed(spark.createDataFrame([("f.gz",)], "file_name string"), ledger)
+    assert rows(read_ledger(spark, ledger)) == [("f.gz",)]
+    with pytest.raises(ValueError):
+        LinkTable()
