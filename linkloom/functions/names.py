@@ -53,18 +53,22 @@ def warc_to_wat(df: DataFrame, source: str = "warc_filename", target: str = "ful
     return df.select(*keep, warc_name_to_wat_url(source, prefix).alias(target))
 
 
+# Both patterns end with ``\z`` (end of input): Java's ``$`` also matches
+# before a final line break, which would pick an earlier part of "a/\n".
+
+
 def file_name_of_url(c: Column | str) -> Column:
     """Text after the last ``/``; empty when there is no ``/`` or it is last.
 
     The query string is kept.
     """
-    return F.regexp_extract(_col(c), r"/([^/]*)$", 1)
+    return F.regexp_extract(_col(c), r"/([^/]*)\z", 1)
 
 
 def file_name_of_path(c: Column | str) -> Column:
     """Last non-empty ``/``-separated part: no slash keeps the text, a trailing
     slash is ignored; text made only of slashes gives an empty string."""
-    return F.regexp_extract(_col(c), r"([^/]+)/*$", 1)
+    return F.regexp_extract(_col(c), r"([^/]+)/*\z", 1)
 
 
 def is_count_arg(text: str) -> bool:

@@ -58,3 +58,31 @@ def test_count_argument():
     assert is_count_arg("10") and is_count_arg("0")
     assert not is_count_arg("-1") and not is_count_arg("1.5") and not is_count_arg("") \
         and not is_count_arg("ten")
+
+
+def model_name_of_url(url: str) -> str:
+    """Text after the last '/', empty when there is none or it is last."""
+    i = url.rfind("/")
+    return url[i + 1:] if 0 <= i < len(url) - 1 else ""
+
+
+def model_name_of_path(path: str) -> str:
+    """Last non-empty '/'-separated part (empty for slashes only)."""
+    parts = [p for p in path.split("/") if p]
+    return parts[-1] if parts else ""
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+NAME_PIECES = st.sampled_from(["/", "//", "a", "b.gz", "?x=/y", "wat", ".warc", " ", "\n", "é", "."])
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(NAME_PIECES, max_size=6).map("".join), min_size=1, max_size=20))
+def test_property_name_functions_match_models(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r.i: (r.u, r.p) for r in df.select(
+        "i", file_name_of_url("s").alias("u"), file_name_of_path("s").alias("p")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (model_name_of_url(v), model_name_of_path(v)), repr(v)
