@@ -86,3 +86,21 @@ def test_property_name_functions_match_models(spark, values):
         "i", file_name_of_url("s").alias("u"), file_name_of_path("s").alias("p")).collect()}
     for i, v in enumerate(values):
         assert got[i] == (model_name_of_url(v), model_name_of_path(v)), repr(v)
+
+
+WARC_PIECES = st.sampled_from(["/warc/", "warc", ".warc", ".warc.gz", "/", "crawl-data", "x",
+                               "/warc/warc/", ".WARC", "\n", "é"])
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(WARC_PIECES, max_size=6).map("".join), min_size=1, max_size=20))
+def test_property_warc_to_wat_matches_model(spark, values):
+    import re
+
+    def model(v):
+        return "https://data.commoncrawl.org/" + re.sub(r"\.warc", ".warc.wat", re.sub("/warc/", "/wat/", v))
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r.i: r.o for r in df.select("i", warc_name_to_wat_url("s").alias("o")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == model(v), repr(v)
