@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..schema import SUFFIX_COLUMN as _SUFFIX_COLUMN
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -67,7 +69,7 @@ def rule(name: str) -> Rule:
 
 # Optional layout of the raw table: a partition column holding the image
 # suffix class of the url, so that image selections read one partition.
-SUFFIX_COLUMN = "url_suffix"
+SUFFIX_COLUMN = _SUFFIX_COLUMN
 OTHER_SUFFIX = "other"
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..schema import BOOKKEEPING_COLUMNS
+
 from ..functions.rules import (JP, JPEG, JPG, KR, PNG, SUFFIX_COLUMN, Rule, all_of, any_of, rule,
                                suffix_pruning, url_present, url_suffix_class)
 
@@ -63,3 +65,8 @@ def jp_png(df: DataFrame) -> DataFrame:
 
 def url_only(df: DataFrame) -> DataFrame:
     return df.select("url")
+
+
+def link_columns(df: DataFrame) -> DataFrame:
+    """Drop the raw table's bookkeeping partition columns (run, suffix class)."""
+    return df.drop(*[c for c in BOOKKEEPING_COLUMNS if c in df.columns])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import file_name_of_path, file_name_of_url
 from ..schema import LEDGER_SCHEMA
@@ -21,18 +22,25 @@ from ..tables import LinkTable, as_table
 from .joins import DEFAULT_BROADCAST_ROWS, anti_join
 
 
-def read_ledger(spark: SparkSession, table: LinkTable | str) -> DataFrame:
-    """Names already processed; a ledger that does not exist yet is empty."""
+def read_ledger(spark: SparkSession, table: LinkTable | str,
+                schema: T.StructType = LEDGER_SCHEMA) -> DataFrame:
+    """Names already processed; a ledger that does not exist yet is empty.
+
+    ``schema`` may ask for more columns than a ledger holds (older ledgers
+    hold only ``file_name``); missing ones read as null.
+    """
     table = as_table(table)
     if table.in_catalog:
-        if spark.catalog.tableExists(table.name):
-            return spark.table(table.name).select("file_name")
-        return empty_frame(spark, LEDGER_SCHEMA)
+        if not spark.catalog.tableExists(table.name):
+            return empty_frame(spark, schema)
+        found = spark.table(table.name)
+        return found.select(*[F.col(f.name) if f.name in found.columns
+                              else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     try:
-        return spark.read.format(table.fmt).schema(LEDGER_SCHEMA).load(table.path)
+        return spark.read.format(table.fmt).schema(schema).load(table.path)
     except AnalysisException as exc:
         if is_path_not_found(exc):
-            return empty_frame(spark, LEDGER_SCHEMA)
+            return empty_frame(spark, schema)
         raise
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import file_name_of_url, warc_to_wat
+from ..operators.filters import link_columns
 from ..operators.ledger import download_plan, pending_files
 from ..sinks.tables import append_table, export_delimited
 from ..session import join_path, new_work_dir
@@ -47,7 +48,7 @@ def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = ingest_wat_files(spark, folder, ledger, raw)
     if first.count == 0 or second.count != 0:
         raise RuntimeError(f"ingest took {first.count} then {second.count} files")
-    return read_table(spark, raw)
+    return link_columns(read_table(spark, raw))
 
 
 # --- delimited export and read back -------------------------------------------

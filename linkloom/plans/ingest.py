@@ -2,15 +2,29 @@
 
 Batch form: list the folder, drop the names already in the ledger (anti
 join), read **all** pending files in one multi-path scan (one task per
-gzip file, all in parallel), append once, then append their names to the
-ledger. Only the pending paths reach the driver (to hand them to the
-reader), never rows. The append and the ledger mark are two commits: a
-crash between them makes the next run take the files again; the streaming
-form in ``linkloom.streaming.ingest`` closes that gap with its checkpoint.
+gzip file, all in parallel) and write them as one run. Only the pending
+paths reach the driver (to hand them to the reader), never rows.
+
+A run survives a crash at any point:
+
+1. it records its intents (file name, path, run id) first;
+2. it writes its rows into its own partition ``ingest_run=<id>`` of the raw
+   table with dynamic partition overwrite (the partition is published whole
+   at commit, or not at all);
+3. it appends the names with the run id to the ledger.
+
+The next call first finishes every run that has intents but no ledger
+rows: when its partition is there the data had committed and only the mark
+is written; otherwise the run's files are read and written again. Data that
+committed is never rewritten, so streams reading the raw table never see a
+file twice.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -18,22 +32,39 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import SUFFIX_COLUMN
 from ..operators.filters import with_url_suffix
-from ..operators.ledger import mark_processed, pending_files, read_ledger, with_path_name
-from ..sinks.tables import append_table
-from ..sources.files import list_files
+from ..operators.ledger import pending_files, read_ledger, with_path_name
+from ..schema import INTENT_SCHEMA, RUN_COLUMN, RUN_LEDGER_SCHEMA
+from ..sinks.tables import append_table, overwrite_partitions
+from ..sources.files import list_files, read_table, table_exists
 from ..sources.wat import read_wat_links
 from ..tables import LinkTable, as_table
 
+# A gzip file is one task however large it is; its links are split into
+# files of at most this many rows so that scans of the raw table stay parallel.
+RECORDS_PER_FILE = 5_000_000
+
 
 @dataclass(frozen=True)
 class IngestResult:
     files: tuple[str, ...]
+    resumed: tuple[str, ...] = ()
 
     @property
     def count(self) -> int:
         return len(self.files)
 
 
+def intents_table(ledger: LinkTable) -> LinkTable:
+    """Where a ledger's run intents live (next to the ledger)."""
+    if ledger.in_catalog:
+        return LinkTable.catalog(f"{ledger.name}_intents", ledger.fmt)
+    return LinkTable(f"{ledger.path.rstrip('/')}_intents", ledger.fmt)
+
+
+def new_run_id() -> str:
+    return time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
+
+
 def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
                 glob: str | None = None):
     """Pending files of the folder: ``path, file_name`` (lazy)."""
@@ -41,32 +72,74 @@ def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
     return pending_files(files, read_ledger(spark, ledger))
 
 
-# A gzip file is one task however large it is; its links are split into
-# files of at most this many rows so that scans of the raw table stay parallel.
-RECORDS_PER_FILE = 5_000_000
+def run_written(spark: SparkSession, raw_table: LinkTable, run_id: str) -> bool:
+    """Whether the run's partition was published (a pruned, one-row probe)."""
+    if not table_exists(spark, raw_table):
+        return False
+    raw = read_table(spark, raw_table)
+    if RUN_COLUMN not in raw.columns:
+        return False
+    return raw.where(F.col(RUN_COLUMN) == run_id).limit(1).count() > 0
+
+
+def _write_run(spark: SparkSession, paths: list[str], raw_table: LinkTable, run_id: str,
+               records_per_file: int, partition_by_suffix: bool) -> None:
+    links = read_wat_links(spark, paths).withColumn(RUN_COLUMN, F.lit(run_id))
+    parts = [RUN_COLUMN]
+    if partition_by_suffix:
+        links, parts = with_url_suffix(links), [RUN_COLUMN, SUFFIX_COLUMN]
+    overwrite_partitions(links, raw_table, parts, max_records_per_file=records_per_file)
+
+
+def _mark(spark: SparkSession, names: list[str], run_id: str, ledger: LinkTable) -> None:
+    rows = [(name, run_id) for name in names]
+    append_table(spark.createDataFrame(rows, RUN_LEDGER_SCHEMA), ledger)
+
+
+def finish_open_runs(spark: SparkSession, ledger: LinkTable, raw_table: LinkTable,
+                     records_per_file: int = RECORDS_PER_FILE,
+                     partition_by_suffix: bool = False) -> tuple[str, ...]:
+    """Complete runs that recorded intents but never reached their ledger mark."""
+    intents = read_ledger(spark, intents_table(ledger), INTENT_SCHEMA)
+    done_runs = read_ledger(spark, ledger, RUN_LEDGER_SCHEMA).select("run_id").where(
+        F.col("run_id").isNotNull())
+    # Bounded by the files of unfinished runs (normally none).
+    open_rows = intents.join(done_runs, "run_id", "left_anti").collect()
+    by_run: dict[str, list] = defaultdict(list)
+    for row in open_rows:
+        by_run[row.run_id].append(row)
+    finished: list[str] = []
+    for run_id, rows in sorted(by_run.items()):
+        if not run_written(spark, raw_table, run_id):
+            _write_run(spark, sorted({r.path for r in rows}), raw_table, run_id,
+                       records_per_file, partition_by_suffix)
+        names = sorted({r.file_name for r in rows})
+        _mark(spark, names, run_id, ledger)
+        finished.extend(names)
+    return tuple(finished)
 
 
 def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
                      raw_table: LinkTable | str, glob: str | None = None,
                      records_per_file: int = RECORDS_PER_FILE,
                      partition_by_suffix: bool = False) -> IngestResult:
-    """Append the links of every not yet processed file; returns the names taken.
+    """Take every not yet processed file of the folder into the raw table;
+    returns the names taken (and those of interrupted runs it finished).
 
-    With ``partition_by_suffix`` the raw table is partitioned by the url's
-    image suffix class, so image selections read one partition.
+    With ``partition_by_suffix`` the raw table is also partitioned by the
+    url's image suffix class, so image selections read one partition.
     """
     ledger, raw_table = as_table(ledger), as_table(raw_table)
+    resumed = finish_open_runs(spark, ledger, raw_table, records_per_file, partition_by_suffix)
     pending = (plan_ingest(spark, wat_folder, ledger, glob)
                .groupBy("file_name").agg(F.min("path").alias("path")))
     chosen = pending.orderBy("file_name").collect()
     if not chosen:
-        return IngestResult(())
-    paths = [row.path for row in chosen]
-    links = read_wat_links(spark, paths)
-    parts = None
-    if partition_by_suffix:
-        links, parts = with_url_suffix(links), [SUFFIX_COLUMN]
-    append_table(links, raw_table, partition_by=parts, max_records_per_file=records_per_file)
-    names = spark.createDataFrame([(row.file_name,) for row in chosen], "file_name string")
-    mark_processed(names, ledger)
-    return IngestResult(tuple(row.file_name for row in chosen))
+        return IngestResult((), resumed)
+    run_id = new_run_id()
+    append_table(spark.createDataFrame([(r.file_name, r.path, run_id) for r in chosen],
+                                       INTENT_SCHEMA), intents_table(ledger))
+    _write_run(spark, [r.path for r in chosen], raw_table, run_id, records_per_file,
+               partition_by_suffix)
+    _mark(spark, [r.file_name for r in chosen], run_id, ledger)
+    return IngestResult(tuple(r.file_name for r in chosen), resumed)

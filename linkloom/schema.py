@@ -39,6 +39,19 @@ URL_SCHEMA = T.StructType([T.StructField("url", T.StringType(), True)])
 
 LEDGER_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), True)])
 
+# The ingest ledger also records which run took a file; the intents record
+# what a run is about to take, before it writes anything.
+RUN_LEDGER_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), True),
+                                  T.StructField("run_id", T.StringType(), True)])
+INTENT_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), True),
+                              T.StructField("path", T.StringType(), True),
+                              T.StructField("run_id", T.StringType(), True)])
+
+# Bookkeeping partition columns a raw link table may carry besides the links.
+RUN_COLUMN = "ingest_run"
+SUFFIX_COLUMN = "url_suffix"
+BOOKKEEPING_COLUMNS = (RUN_COLUMN, SUFFIX_COLUMN)
+
 WARC_LIST_SCHEMA = T.StructType([T.StructField("warc_filename", T.StringType(), True)])
 
 LINES_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])

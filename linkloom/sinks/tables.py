@@ -50,6 +50,30 @@ def append_table(df: DataFrame, table: LinkTable | str,
     _save(writer, table)
 
 
+def overwrite_partitions(df: DataFrame, table: LinkTable | str, partition_by: list[str],
+                         max_records_per_file: int | None = None) -> None:
+    """Replace only the partitions ``df`` holds (dynamic partition overwrite);
+    every other partition of the table stays as it is.
+
+    Spark writes the partitions to a staging folder and publishes each one
+    whole at job commit, so a partition is either complete or absent.
+    """
+    table = as_table(table)
+    spark = df.sparkSession
+    if table.in_catalog and table_exists(spark, table):
+        columns = spark.table(table.name).columns
+        writer = df.select(*columns).write.option("partitionOverwriteMode", "dynamic")
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        writer.insertInto(table.name, overwrite=True)
+        return
+    writer = (df.write.mode("overwrite").format(table.fmt)
+              .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    _save(writer, table)
+
+
 def create_or_append(df: DataFrame, table: LinkTable | str) -> bool:
     """Append to an existing table or create it. Returns whether it existed."""
     table = as_table(table)

@@ -6,6 +6,7 @@ import gzip
 import json
 import os
 
+import pytest
 from conftest import rows
 
 from linkloom.plans.extract import audit_path, deduplicate_table, extract_jp_jpg_jpeg, extract_jp_png
@@ -96,8 +97,68 @@ def test_ingest_partitioned_by_suffix(spark, work):
     wat_file(os.path.join(wat, "p.gz"), ["http://a.jp/x.JPG", "http://a.jp/y.png", "http://b/z", None])
     raw = LinkTable(os.path.join(work, "raw"))
     ingest_wat_files(spark, wat, LinkTable(os.path.join(work, "ledger")), raw, partition_by_suffix=True)
-    assert sorted(d for d in os.listdir(raw.path) if d.startswith("url_suffix=")) == [
-        "url_suffix=jpg", "url_suffix=other", "url_suffix=png"]
+    runs = [d for d in os.listdir(raw.path) if d.startswith("ingest_run=")]
+    assert len(runs) == 1
+    assert sorted(d for d in os.listdir(os.path.join(raw.path, runs[0]))
+                  if d.startswith("url_suffix=")) == ["url_suffix=jpg", "url_suffix=other", "url_suffix=png"]
     table = read_table(spark, raw)
     assert rows(select_links(table, R.JPG), "url") == [("http://a.jp/x.JPG",)]
     assert table.count() == 4
+
+
+def test_ingest_survives_a_crash_between_write_and_mark(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    for i in range(2):
+        wat_file(os.path.join(wat, f"c{i}.gz"), [f"u{i}a", f"u{i}b"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("driver lost after the data commit")
+
+    monkeypatch.setattr(ingest, "_mark", crash)
+    with pytest.raises(RuntimeError):
+        ingest_wat_files(spark, wat, ledger, raw)
+    monkeypatch.undo()
+    assert read_table(spark, raw).count() == 4  # data committed, ledger not marked
+    wat_file(os.path.join(wat, "c9.gz"), ["u9"])
+    result = ingest_wat_files(spark, wat, ledger, raw)
+    assert result.resumed == ("c0.gz", "c1.gz") and result.files == ("c9.gz",)
+    assert rows(read_table(spark, raw), "url") == [("u0a",), ("u0b",), ("u1a",), ("u1b",), ("u9",)]
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 0
+
+
+def test_ingest_crash_before_the_data_commit_rewrites_the_run(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "d0.gz"), ["v1", "v2"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    real_write = ingest._write_run
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost before the write committed")
+
+    monkeypatch.setattr(ingest, "_write_run", crash)
+    with pytest.raises(RuntimeError):
+        ingest_wat_files(spark, wat, ledger, raw)
+    monkeypatch.setattr(ingest, "_write_run", real_write)
+    result = ingest_wat_files(spark, wat, ledger, raw)
+    assert result.resumed == ("d0.gz",) and result.files == ()
+    assert rows(read_table(spark, raw), "url") == [("v1",), ("v2",)]
+
+
+def test_ingest_into_catalog_tables(spark, work):
+    from linkloom.sinks.tables import create_database
+    create_database(spark, "linkloom_ing")
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "k0.gz"), ["a", "b"])
+    ledger = LinkTable.catalog("linkloom_ing.ledger")
+    raw = LinkTable.catalog("linkloom_ing.raw_links")
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 1
+    wat_file(os.path.join(wat, "k1.gz"), ["c"])
+    assert ingest_wat_files(spark, wat, ledger, raw).files == ("k1.gz",)
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 0
+    assert rows(read_table(spark, raw), "url") == [("a",), ("b",), ("c",)]
