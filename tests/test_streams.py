@@ -137,3 +137,19 @@ def test_files_per_trigger(spark):
     assert files_per_trigger(spark, SPECS["st7"], None) == 4
     assert files_per_trigger(spark, SPECS["st1"], AUTO) == max(1, slots)
     assert files_per_trigger(spark, SPECS["st1"], 3) == 3
+
+
+def test_stream_follows_new_ingest_runs(spark, work):
+    from linkloom.plans.ingest import ingest_wat_files
+    from linkloom.tables import LinkTable
+    src = os.path.join(work, "wat")
+    wat(os.path.join(src, "r1.gz"), ["http://a.jp/1", "http://b.kr/1"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), os.path.join(work, "raw")
+    ingest_wat_files(spark, src, ledger, LinkTable(raw))
+    layout = StreamLayout(base=os.path.join(work, "t"), checkpoints=os.path.join(work, "c"), raw_path=raw)
+    run_stream(spark, "st1", layout)
+    assert sink_urls(spark, layout, SPECS["st1"]) == [("http://a.jp/1",)]
+    wat(os.path.join(src, "r2.gz"), ["http://c.jp/2"])
+    ingest_wat_files(spark, src, ledger, LinkTable(raw))
+    run_stream(spark, "st1", layout)
+    assert sink_urls(spark, layout, SPECS["st1"]) == [("http://a.jp/1",), ("http://c.jp/2",)]
