@@ -2,6 +2,7 @@
 
     python -m linkloom warc-to-wat   --csv LIST.csv --out WAT_LIST [--warc-table T --wat-table T]
     python -m linkloom plan-downloads N --url-list DIR --ledger TABLE [--out DIR]
+    python -m linkloom download N    --url-list DIR --ledger TABLE --dest DIR --report TABLE
     python -m linkloom mark-done     --names DIR --ledger TABLE
     python -m linkloom ingest        --wat DIR --ledger TABLE --raw TABLE
     python -m linkloom ingest-stream --wat DIR --raw DIR --checkpoint DIR [--archive DIR]
@@ -59,6 +60,16 @@ def cmd_plan_downloads(spark, a) -> None:
             print(row.url)
 
 
+def cmd_download(spark, a) -> None:
+    from .plans.fetch import fetch_and_mark
+    if not is_count_arg(a.n):
+        raise SystemExit("usage: download <numberOfFiles> ...")
+    report = fetch_and_mark(spark, a.url_list, _table(a.ledger, a.format), int(a.n), a.dest,
+                            _table(a.report, a.format), retries=a.retries, wait_s=a.wait)
+    done = report.where("ok").count()
+    print(f"Number of files downloaded {done}")
+
+
 def cmd_mark_done(spark, a) -> None:
     from pyspark.sql import functions as F
 
@@ -158,6 +169,16 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out")
     s.set_defaults(fn=cmd_plan_downloads)
 
+    s = sub.add_parser("download")
+    s.add_argument("n")
+    s.add_argument("--url-list", required=True)
+    s.add_argument("--ledger", required=True)
+    s.add_argument("--dest", required=True, help="folder (or pyarrow-readable uri) for the files")
+    s.add_argument("--report", required=True, help="table recording every attempt")
+    s.add_argument("--retries", type=int, default=10)
+    s.add_argument("--wait", type=float, default=5.0, help="seconds between tries")
+    s.set_defaults(fn=cmd_download)
+
     s = sub.add_parser("mark-done")
     s.add_argument("--names", required=True, help="folder of url lines whose files are done")
     s.add_argument("--ledger", required=True)

@@ -59,3 +59,17 @@ def test_jobs_end_to_end(spark, work, capsys):
     assert "##### Count 4" in out and "url: string" in out
     main(["range-smoke", "--out", j("range")])
     assert spark.read.parquet(j("range")).count() == 5
+
+
+def test_download_job(spark, work, capsys):
+    src = os.path.join(work, "remote")
+    os.makedirs(src)
+    with open(os.path.join(src, "w1.gz"), "wb") as fh:
+        fh.write(b"x" * 10)
+    os.makedirs(os.path.join(work, "list"))
+    with open(os.path.join(work, "list", "p.txt"), "w") as fh:
+        fh.write(f"file://{src}/w1.gz\n")
+    main(["download", "5", "--url-list", os.path.join(work, "list"), "--ledger", os.path.join(work, "l"),
+          "--dest", os.path.join(work, "dest"), "--report", os.path.join(work, "r"), "--wait", "0"])
+    assert "Number of files downloaded 1" in capsys.readouterr().out
+    assert os.path.exists(os.path.join(work, "dest", "w1.gz"))
