@@ -13,12 +13,8 @@ then marked in the ledger: a failed download stays pending for the next run.
 
 from __future__ import annotations
 
-import time
-import urllib.request
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,47 +24,55 @@ from ..sources.files import read_lines, read_table
 from ..tables import LinkTable, as_table
 
 FETCH_SCHEMA = "file_name string, url string, ok boolean, bytes long, attempts int, error string"
-CHUNK = 1 << 20
-
-
-def _fetch_one(filesystem, root: str, name: str, url: str, retries: int, wait_s: float,
-               timeout_s: float) -> tuple:
-    error = None
-    for attempt in range(1, retries + 2):
-        tmp = f"{root}/.{name}.{uuid.uuid4().hex[:8]}.part"
-        try:
-            size = 0
-            with urllib.request.urlopen(url, timeout=timeout_s) as src, \
-                    filesystem.open_output_stream(tmp) as dst:
-                while True:
-                    block = src.read(CHUNK)
-                    if not block:
-                        break
-                    dst.write(block)
-                    size += len(block)
-            filesystem.move(tmp, f"{root}/{name}")
-            return name, url, True, size, attempt, None
-        except Exception as exc:  # network, HTTP status, file system
-            error = f"{type(exc).__name__}: {exc}"
-            try:
-                filesystem.delete_file(tmp)
-            except Exception:
-                pass
-            if attempt <= retries and wait_s > 0:
-                time.sleep(wait_s)
-    return name, url, False, 0, retries + 1, error
 
 
 def _fetcher(dest: str, retries: int, wait_s: float, timeout_s: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The per-partition function. Everything it uses is defined or imported
+    inside it, so it is shipped by value and executors need no copy of this
+    library."""
+
+    def run(batches):
+        import time
+        import urllib.request
+        import uuid
+
+        import pandas as pd
         from pyarrow import fs as pafs
 
+        chunk = 1 << 20
         filesystem, root = pafs.FileSystem.from_uri(dest)
         filesystem.create_dir(root, recursive=True)
+
+        def fetch_one(name: str, url: str) -> tuple:
+            error = None
+            for attempt in range(1, retries + 2):
+                tmp = f"{root}/.{name}.{uuid.uuid4().hex[:8]}.part"
+                try:
+                    size = 0
+                    with urllib.request.urlopen(url, timeout=timeout_s) as src, \
+                            filesystem.open_output_stream(tmp) as dst:
+                        while True:
+                            block = src.read(chunk)
+                            if not block:
+                                break
+                            dst.write(block)
+                            size += len(block)
+                    filesystem.move(tmp, f"{root}/{name}")
+                    return name, url, True, size, attempt, None
+                except Exception as exc:  # network, HTTP status, file system
+                    error = f"{type(exc).__name__}: {exc}"
+                    try:
+                        filesystem.delete_file(tmp)
+                    except Exception:
+                        pass
+                    if attempt <= retries and wait_s > 0:
+                        time.sleep(wait_s)
+            return name, url, False, 0, retries + 1, error
+
         for pdf in batches:
-            rows = [_fetch_one(filesystem, root, n, u, retries, wait_s, timeout_s)
-                    for n, u in zip(pdf["file_name"], pdf["url"])]
+            rows = [fetch_one(n, u) for n, u in zip(pdf["file_name"], pdf["url"])]
             yield pd.DataFrame(rows, columns=["file_name", "url", "ok", "bytes", "attempts", "error"])
+
     return run
 
 

@@ -18,11 +18,12 @@ from ..session import join_path, new_work_dir
 from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, raw_links_table,
                                read_driver_table, stored_links, warc_names, warc_names_of,
                                write_wat_files)
-from ..sources.files import read_lines, read_table
+from ..sources.files import list_files, read_lines, read_table
 from ..sources.wat import read_wat_links
 from ..tables import LinkTable
 from . import oracle as O
 from .extract import audit_table, deduplicate_table, extract_jp_jpg_jpeg
+from .fetch import fetch_and_mark
 from .ingest import ingest_wat_files
 from .queries import register
 from .warc_list import warc_csv_to_wat_list
@@ -51,6 +52,27 @@ def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_columns(read_table(spark, raw))
 
 
+@register("fetch_ingest", O.WAT_LINKS)
+def q_fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The download and ingest jobs end to end: metadata files in a "remote"
+    folder, their urls exported as a list, every listed file fetched by the
+    distributed fetch and marked, the fetched folder ingested."""
+    work = new_work_dir(spark, "fetch")
+    remote = write_wat_files(spark, sf_dir, join_path(work, "remote"))
+    urls = join_path(work, "url_list")
+    export_delimited(list_files(spark, remote).select(F.col("path").alias("url")), urls)
+    n_files = read_lines(spark, urls).count()
+    dest = join_path(work, "wat")
+    report = fetch_and_mark(spark, urls, LinkTable(join_path(work, "fetched")), n_files, dest,
+                            LinkTable(join_path(work, "report")), retries=2, wait_s=1.0)
+    failed = report.where(~F.col("ok")).count()
+    if failed:
+        raise RuntimeError(f"{failed} planned file(s) did not arrive")
+    raw = LinkTable(join_path(work, "raw"))
+    ingest_wat_files(spark, dest, LinkTable(join_path(work, "ledger")), raw)
+    return link_columns(read_table(spark, raw))
+
+
 # --- delimited export and read back -------------------------------------------
 
 _URL_ROW = T.StructType([T.StructField(k, T.LongType() if k != "l_linenumber" else T.IntegerType())
