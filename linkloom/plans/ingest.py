@@ -100,6 +100,8 @@ def finish_open_runs(spark: SparkSession, ledger: LinkTable, raw_table: LinkTabl
                      records_per_file: int = RECORDS_PER_FILE,
                      partition_by_suffix: bool = False) -> tuple[str, ...]:
     """Complete runs that recorded intents but never reached their ledger mark."""
+    if not table_exists(spark, intents_table(ledger)):
+        return ()
     intents = read_ledger(spark, intents_table(ledger), INTENT_SCHEMA)
     done_runs = read_ledger(spark, ledger, RUN_LEDGER_SCHEMA).select("run_id").where(
         F.col("run_id").isNotNull())
