@@ -1,10 +1,11 @@
 """One session builder and the shared work folder.
 
-The session is case sensitive on purpose: crawl metadata carries both
-``Content-Type`` and ``content-type`` headers, and a case-insensitive
-session refuses such records. Nothing here hard-codes a cluster path;
-scratch output goes below the folder the cluster names in
-``spark.checkpoint.dir``.
+Crawl metadata carries both ``Content-Type`` and ``content-type`` headers; a
+case-insensitive session refuses such records when it infers their schema.
+The library reads with a fixed schema, so it works in any session; case
+sensitivity is still the default here (as in the original jobs) for users
+who infer. Nothing here hard-codes a cluster path; scratch output goes below
+the folder the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -15,43 +16,56 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+# Runtime SQL settings the library wants unless the launcher (spark-submit,
+# spark-defaults.conf) or the caller already chose a value.
+DEFAULT_SQL_CONF = {
     "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     # A generated method above 8000 bytes of bytecode is never JIT-compiled
     # and runs interpreted; above this limit Spark falls back to per-operator
     # code instead, which is compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+# Settings fixed when the context starts (used only when this builder starts it).
+DEFAULT_STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Gzip crawl files are not splittable: one file is one task, so the
     # scheduler should not wait for locality on a busy cluster.
     "spark.locality.wait": "0s",
 }
 
+DEFAULT_CONF = {**DEFAULT_SQL_CONF, **DEFAULT_STATIC_CONF}
+
 
 def build_session(app_name: str = "linkloom", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Return the active session or build one with the library settings.
 
     ``master`` is only applied when given (tests, bench); on a cluster the
-    launcher decides it.
+    launcher decides it. Settings in ``conf`` always apply; the library's
+    SQL defaults apply only to keys the launcher did not set.
     """
+    conf = dict(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in {**DEFAULT_STATIC_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_case_sensitive(spark)
+    launched = spark.sparkContext.getConf()
+    for key, value in DEFAULT_SQL_CONF.items():
+        if key not in conf and not launched.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
 def ensure_case_sensitive(spark: SparkSession) -> None:
-    """Crawl JSON may hold keys that differ only in case."""
+    """For schema inference over crawl JSON, whose keys may differ only in case."""
     spark.conf.set("spark.sql.caseSensitive", "true")
 
 

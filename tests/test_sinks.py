@@ -160,3 +160,13 @@ def test_catalog_tables_by_name(spark):
     assert rows(read_ledger(spark, ledger)) == [("f.gz",)]
     with pytest.raises(ValueError):
         LinkTable()
+
+
+def test_session_defaults_do_not_override_launcher_settings(spark):
+    from linkloom.session import DEFAULT_SQL_CONF, build_session
+    again = build_session("again")
+    assert again is spark or again.sparkContext is spark.sparkContext
+    for key in DEFAULT_SQL_CONF:
+        assert again.conf.get(key) is not None
+    launched = spark.sparkContext.getConf()
+    assert launched.get("spark.sql.shuffle.partitions") == "8"  # caller's value kept
