@@ -61,9 +61,31 @@ def build_session(app_name: str = "linkloom", master: str | None = None,
     for key, value in DEFAULT_SQL_CONF.items():
         if key not in conf and not launched.contains(key):
             spark.conf.set(key, value)
+    size_shuffles(spark, conf)
     return spark
 
 
+SHUFFLE_KEYS = ("spark.sql.shuffle.partitions",
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def size_shuffles(spark: SparkSession, conf: dict[str, str] | None = None,
+                  per_slot: int = 3, floor: int = 200) -> None:
+    """Start shuffles with enough partitions for the cluster, unless the
+    launcher or caller sized them.
+
+    AQE only merges shuffle partitions (to its advisory size), it never
+    splits an ordinary one, so the initial count must be large enough for
+    the biggest shuffle; small shuffles are merged back down at run time.
+    """
+    conf = conf or {}
+    launched = spark.sparkContext.getConf()
+    if any(key in conf or launched.contains(key) for key in SHUFFLE_KEYS):
+        return
+    slots = spark.sparkContext.defaultParallelism
+    spark.conf.set(SHUFFLE_KEYS[1], str(max(floor, per_slot * slots)))
+
+
 def ensure_case_sensitive(spark: SparkSession) -> None:
     """For schema inference over crawl JSON, whose keys may differ only in case."""
     spark.conf.set("spark.sql.caseSensitive", "true")

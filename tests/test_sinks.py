@@ -170,3 +170,11 @@ def test_session_defaults_do_not_override_launcher_settings(spark):
         assert again.conf.get(key) is not None
     launched = spark.sparkContext.getConf()
     assert launched.get("spark.sql.shuffle.partitions") == "8"  # caller's value kept
+
+
+def test_shuffle_sizing_respects_explicit_settings(spark):
+    from linkloom.session import SHUFFLE_KEYS, size_shuffles
+    key = SHUFFLE_KEYS[1]
+    before = spark.conf.get(key, None)
+    size_shuffles(spark)  # the test session set shuffle partitions: nothing changes
+    assert spark.conf.get(key, None) == before
