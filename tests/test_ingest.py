@@ -9,6 +9,7 @@ import os
 import pytest
 from conftest import rows
 
+from linkloom.functions.names import WAT_URL_PREFIX
 from linkloom.plans.extract import audit_path, deduplicate_table, extract_jp_jpg_jpeg, extract_jp_png
 from linkloom.plans.ingest import ingest_wat_files
 from linkloom.plans.warc_list import convert_warc_list, export_table, load_warc_list
@@ -85,8 +86,8 @@ def test_warc_list_job_tables(spark, work):
     export = os.path.join(work, "export")
     export_table(spark, wat, export)
     assert sorted(r.value for r in read_lines(spark, export).collect()) == [
-        "https://data.commoncrawl.org/crawl-data/S/segments/1/wat/CC-MAIN-1.warc.wat.gz",
-        "https://data.commoncrawl.org/crawl-data/S/segments/2/wat/CC-MAIN-2.warc.wat.gz"]
+        WAT_URL_PREFIX + "crawl-data/S/segments/1/wat/CC-MAIN-1.warc.wat.gz",
+        WAT_URL_PREFIX + "crawl-data/S/segments/2/wat/CC-MAIN-2.warc.wat.gz"]
 
 
 def test_ingest_partitioned_by_suffix(spark, work):

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-from linkloom.functions.names import (file_name_of_path, file_name_of_url, is_count_arg,
-                                      warc_name_to_wat_url, warc_to_wat)
+from linkloom.functions.names import (WAT_URL_PREFIX, file_name_of_path, file_name_of_url,
+                                      is_count_arg, warc_name_to_wat_url, warc_to_wat)
 
 WARC = ("crawl-data/CC-MAIN-2023-14/segments/1679296949642.35/warc/"
         "CC-MAIN-20230331113819-20230331143819-00137.warc.gz")
-WAT_URL = ("https://data.commoncrawl.org/crawl-data/CC-MAIN-2023-14/segments/1679296949642.35/wat/"
+WAT_URL = (WAT_URL_PREFIX + "crawl-data/CC-MAIN-2023-14/segments/1679296949642.35/wat/"
            "CC-MAIN-20230331113819-20230331143819-00137.warc.wat.gz")
 
 
@@ -44,7 +44,7 @@ def test_golden_warc_to_wat_row(spark):
 
 def test_s10_every_warc_is_rewritten(spark):
     got = one(spark, "a.warc/warc/b.warc.gz", warc_name_to_wat_url)
-    assert got == "https://data.commoncrawl.org/a.warc.wat/wat/b.warc.wat.gz"
+    assert got == WAT_URL_PREFIX + "a.warc.wat/wat/b.warc.wat.gz"
 
 
 def test_warc_to_wat_keeps_other_columns_in_order_and_null(spark):
@@ -98,7 +98,7 @@ def test_property_warc_to_wat_matches_model(spark, values):
     import re
 
     def model(v):
-        return "https://data.commoncrawl.org/" + re.sub(r"\.warc", ".warc.wat", re.sub("/warc/", "/wat/", v))
+        return WAT_URL_PREFIX + re.sub(r"\.warc", ".warc.wat", re.sub("/warc/", "/wat/", v))
 
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
     got = {r.i: r.o for r in df.select("i", warc_name_to_wat_url("s").alias("o")).collect()}
