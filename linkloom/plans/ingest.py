@@ -13,8 +13,8 @@ A run survives a crash at any point:
    at commit, or not at all);
 3. it appends the names with the run id to the ledger.
 
-The next call first finishes every run that has intents but no ledger
-rows: when its partition is there the data had committed and only the mark
+One ingest at a time per ledger. The next call first finishes every run
+that has intents but no ledger rows: when its partition is there the data had committed and only the mark
 is written; otherwise the run's files are read and written again. Data that
 committed is never rewritten, so streams reading the raw table never see a
 file twice.
@@ -27,6 +27,7 @@ import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -74,9 +75,12 @@ def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
 
 def run_written(spark: SparkSession, raw_table: LinkTable, run_id: str) -> bool:
     """Whether the run's partition was published (a pruned, one-row probe)."""
-    if not table_exists(spark, raw_table):
+    try:
+        if not table_exists(spark, raw_table):
+            return False
+        raw = read_table(spark, raw_table)
+    except AnalysisException:  # a folder without data files yet (only empty runs)
         return False
-    raw = read_table(spark, raw_table)
     if RUN_COLUMN not in raw.columns:
         return False
     return raw.where(F.col(RUN_COLUMN) == run_id).limit(1).count() > 0

@@ -163,3 +163,20 @@ def test_ingest_into_catalog_tables(spark, work):
     assert ingest_wat_files(spark, wat, ledger, raw).files == ("k1.gz",)
     assert ingest_wat_files(spark, wat, ledger, raw).count == 0
     assert rows(read_table(spark, raw), "url") == [("a",), ("b",), ("c",)]
+
+
+def test_ingest_of_files_without_links_then_real_ones(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    with gzip.open(os.path.join(wat, "junk.gz"), "wt") as fh:
+        fh.write("WARC/1.0\nnot json\n")
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    monkeypatch.setattr(ingest, "_mark", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest_wat_files(spark, wat, ledger, raw)
+    monkeypatch.undo()
+    wat_file(os.path.join(wat, "real.gz"), ["r1"])
+    result = ingest_wat_files(spark, wat, ledger, raw)
+    assert result.resumed == ("junk.gz",) and result.files == ("real.gz",)
+    assert rows(read_table(spark, raw), "url") == [("r1",)]
