@@ -57,7 +57,10 @@ def _fetcher(dest: str, retries: int, wait_s: float, timeout_s: float):
                                 break
                             dst.write(block)
                             size += len(block)
-                    filesystem.move(tmp, f"{root}/{name}")
+                    final = f"{root}/{name}"
+                    if filesystem.get_file_info(final).type != pafs.FileType.NotFound:
+                        filesystem.delete_file(final)  # some file systems refuse to rename onto a file
+                    filesystem.move(tmp, final)
                     return name, url, True, size, attempt, None
                 except Exception as exc:  # network, HTTP status, file system
                     error = f"{type(exc).__name__}: {exc}"
