@@ -23,14 +23,12 @@ from .fanin import run_fan_in
 from .ingest import run_ingest_stream
 from .jobs import RAW, SPECS, STREAMS, StreamLayout, StreamSpec, read_table_batch, run_stream
 
-RAW_FILES = 8
-
-
-def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int = RAW_FILES,
+def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None,
                     links: DataFrame | None = None) -> None:
-    """Append the synthetic links to ``path`` as ``n_files`` parquet files."""
+    """Append the synthetic links to ``path``. Files follow the scan's
+    partitions (no shuffle); ``n_files`` forces an exact count (tests)."""
     links = synthetic_links(spark, sf_dir) if links is None else links
-    append_table(links.repartition(n_files), path)
+    append_table(links if n_files is None else links.repartition(n_files), path)
 
 
 def new_layout(spark: SparkSession, label: str, raw_path: str | None = None) -> StreamLayout:
