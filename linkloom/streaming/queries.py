@@ -122,3 +122,19 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     if read_table(spark, raw).count() != first:
         raise RuntimeError("second ingest run added rows")
     return read_table(spark, raw)
+
+
+@register("stream_ingest_archive", O.WAT_LINKS)
+def q_stream_ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest stream moving consumed files to an archive folder: a file
+    moves once a later batch has committed, and every link is taken once."""
+    work = new_work_dir(spark, "streamarchive")
+    wat = write_wat_files(spark, sf_dir, join_path(work, "wat"))
+    raw, archive = join_path(work, "raw"), join_path(work, "archive")
+    run_ingest_stream(spark, wat, raw, join_path(work, "checkpoint"), max_files=1,
+                      archive_dir=archive)
+    archived = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(archive).select("path").count())
+    if archived == 0:
+        raise RuntimeError("no consumed file was archived")
+    return read_table(spark, raw)
