@@ -1,6 +1,7 @@
 """Command-line jobs: one sub-command per job of the original application.
 
     python -m linkloom warc-to-wat   --csv LIST.csv --out WAT_LIST [--warc-table T --wat-table T]
+                                     [--create-database DB]
     python -m linkloom plan-downloads N --url-list DIR --ledger TABLE [--out DIR]
     python -m linkloom download N    --url-list DIR --ledger TABLE --dest DIR --report TABLE
     python -m linkloom mark-done     --names DIR --ledger TABLE
@@ -37,6 +38,9 @@ def _table(spec: str, fmt: str) -> LinkTable:
 
 def cmd_warc_to_wat(spark, a) -> None:
     from .plans.warc_list import convert_warc_list, export_table, load_warc_list, warc_csv_to_wat_list
+    from .sinks.tables import create_database
+    if a.create_database:
+        create_database(spark, a.create_database)
     if a.warc_table and a.wat_table:
         load_warc_list(spark, a.csv, _table(a.warc_table, a.format))
         convert_warc_list(spark, _table(a.warc_table, a.format), _table(a.wat_table, a.format))
@@ -160,6 +164,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--warc-table")
     s.add_argument("--wat-table")
+    s.add_argument("--create-database", help="create this catalog database first")
     s.set_defaults(fn=cmd_warc_to_wat)
 
     s = sub.add_parser("plan-downloads")

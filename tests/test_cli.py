@@ -73,3 +73,12 @@ def test_download_job(spark, work, capsys):
           "--dest", os.path.join(work, "dest"), "--report", os.path.join(work, "r"), "--wait", "0"])
     assert "Number of files downloaded 1" in capsys.readouterr().out
     assert os.path.exists(os.path.join(work, "dest", "w1.gz"))
+
+
+def test_warc_to_wat_into_catalog_tables(spark, work):
+    csv = os.path.join(work, "l.csv")
+    with open(csv, "w") as fh:
+        fh.write("warc_filename\ncrawl-data/S/segments/9/warc/Z.warc.gz\n")
+    main(["warc-to-wat", "--csv", csv, "--out", os.path.join(work, "out"), "--create-database", "linkloom_raw",
+          "--warc-table", "catalog:linkloom_raw.warc_names", "--wat-table", "catalog:linkloom_raw.wat_names"])
+    assert spark.table("linkloom_raw.wat_names").first().full_wat_path.endswith("/wat/Z.warc.wat.gz")
