@@ -179,13 +179,30 @@ def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
     return writer.start(layout.job_folder(spec))
 
 
+def depth(layout: StreamLayout, spec: StreamSpec) -> int:
+    """0 for jobs reading the raw table, else one more than their feeders."""
+    if spec.source == RAW:
+        return 0
+    return 1 + max(depth(layout, w) for w in layout.writers(spec.source))
+
+
 def run_stream(spark: SparkSession, spec: StreamSpec | str, layout: StreamLayout,
                with_upstream: bool = True, max_files: int | str | None = None) -> None:
-    """Run a job (and, first, the jobs feeding its source) to completion."""
+    """Run a job (and, first, the jobs feeding its source) to completion.
+
+    Jobs of one level of the chain run side by side, as resident jobs do (the
+    six Korean jobs feeding the Korean jpg job run at once); a level starts
+    when the one feeding it has caught up.
+    """
     spec = SPECS[spec] if isinstance(spec, str) else spec
     chain = (layout.upstream(spec) if with_upstream else []) + [spec]
+    levels: dict[int, list[StreamSpec]] = {}
     for job in chain:
-        query = start_stream(spark, job, layout, available_now=True, max_files=max_files)
-        query.awaitTermination()
-        if query.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
-            raise RuntimeError(f"stream {job.name} failed: {query.exception()}")
+        levels.setdefault(depth(layout, job), []).append(job)
+    for level in sorted(levels):
+        queries = [(job, start_stream(spark, job, layout, available_now=True, max_files=max_files))
+                   for job in levels[level]]
+        for job, query in queries:
+            query.awaitTermination()
+            if query.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
+                raise RuntimeError(f"stream {job.name} failed: {query.exception()}")
