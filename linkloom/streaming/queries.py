@@ -1,9 +1,10 @@
 """Registered streaming queries.
 
-Each query writes the synthetic link table as several parquet files into a
-fresh folder, runs the job(s) with ``availableNow`` (every present file,
-``maxFilesPerTrigger`` at a time, then stop) and returns a batch read of
-the sink. The oracle is the same selection as plain SQL.
+Each query streams from the stored synthetic link table (several parquet
+files; ``resume`` writes its own in two appends), runs the job(s) with
+``availableNow`` (every present file, ``maxFilesPerTrigger`` at a time, then
+stop) into fresh sink and checkpoint folders and returns a batch read of the
+sink. The oracle is the same selection as plain SQL.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from .fanin import run_fan_in
 from .ingest import run_ingest_stream
 from .jobs import RAW, SPECS, STREAMS, StreamLayout, StreamSpec, read_table_batch, run_stream
 
+
 def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None,
                     links: DataFrame | None = None) -> None:
     """Append the synthetic links to ``path``. Files follow the scan's
