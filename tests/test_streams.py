@@ -153,3 +153,30 @@ def test_stream_follows_new_ingest_runs(spark, work):
     ingest_wat_files(spark, src, ledger, LinkTable(raw))
     run_stream(spark, "st1", layout)
     assert sink_urls(spark, layout, SPECS["st1"]) == [("http://a.jp/1",), ("http://c.jp/2",)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+URL_PIECES = st.sampled_from(["http://", "https://", "//", "www.naver.com/", "a.co.jp/", "b.co.kr/",
+                              "m.kakao.com/", "x.daum.net/", "x.nate.com/", "x.chosun.com/",
+                              "x.joins.com/", "x.musinsa.com/", "p", ".jpg", ".JPEG", ".png", ".bmp",
+                              "?w=1", "/"])
+RAW_FED = [s for s in STREAMS if s.source == "raw"]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(urls=st.lists(st.one_of(st.none(), st.lists(URL_PIECES, max_size=5).map("".join)),
+                     min_size=1, max_size=40),
+       spec=st.sampled_from(RAW_FED), n_files=st.integers(1, 3))
+def test_property_stream_equals_batch(spark, urls, spec, n_files):
+    from linkloom.session import local_path, new_work_dir
+    work = local_path(new_work_dir(spark, "prop"))  # fresh for every example
+    layout = StreamLayout(base=os.path.join(work, "t"), checkpoints=os.path.join(work, "c"))
+    spark.createDataFrame([(u,) for u in urls], "url string").repartition(n_files) \
+        .write.parquet(layout.raw())
+    run_stream(spark, spec, layout)
+    got = rows(spark.read.parquet(layout.job_folder(spec)), "url") \
+        if os.path.exists(layout.job_folder(spec)) else []
+    want = rows(spec.transform(spark.read.parquet(layout.raw())), "url")
+    assert got == want
