@@ -17,7 +17,7 @@ from ..sinks.tables import append_table, export_delimited
 from ..session import join_path, new_work_dir
 from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, raw_links_table,
                                read_driver_table, stored_links, warc_names, warc_names_of,
-                               write_wat_files)
+                               wat_files_folder)
 from ..sources.files import list_files, read_lines, read_table
 from ..sources.wat import read_wat_links
 from ..tables import LinkTable
@@ -35,15 +35,14 @@ PLAN_SIZE = 20
 
 @register("wat_links", O.WAT_LINKS)
 def q_wat_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = write_wat_files(spark, sf_dir, join_path(new_work_dir(spark, "wat"), "wat"))
-    return read_wat_links(spark, folder)
+    return read_wat_links(spark, wat_files_folder(spark, sf_dir))
 
 
 @register("ingest_once", O.WAT_LINKS)
 def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest the folder twice: the second run finds every file in the ledger."""
     work = new_work_dir(spark, "ingest")
-    folder = write_wat_files(spark, sf_dir, join_path(work, "wat"))
+    folder = wat_files_folder(spark, sf_dir)
     ledger, raw = LinkTable(join_path(work, "ledger")), LinkTable(join_path(work, "raw"))
     first = ingest_wat_files(spark, folder, ledger, raw)
     second = ingest_wat_files(spark, folder, ledger, raw)
@@ -58,7 +57,7 @@ def q_fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, their urls exported as a list, every listed file fetched by the
     distributed fetch and marked, the fetched folder ingested."""
     work = new_work_dir(spark, "fetch")
-    remote = write_wat_files(spark, sf_dir, join_path(work, "remote"))
+    remote = wat_files_folder(spark, sf_dir)
     urls = join_path(work, "url_list")
     export_delimited(list_files(spark, remote).select(F.col("path").alias("url")), urls)
     n_files = read_lines(spark, urls).count()

@@ -209,3 +209,27 @@ def write_wat_files(spark: SparkSession, sf_dir: str, folder: str,
      .write.mode("errorifexists").option("compression", "gzip")
      .option("maxRecordsPerFile", pages_per_file).text(folder))
     return folder
+
+
+_WAT_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def wat_files_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as metadata files, written once per session and input folder
+    below the checkpoint root, for queries that only read them."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    folder = _WAT_FOLDERS.get(key)
+    if folder is not None and not _has_files(spark, folder):
+        folder = None
+    if folder is None:
+        folder = write_wat_files(spark, sf_dir, join_path(new_work_dir(spark, "watfiles"), "wat"))
+        _WAT_FOLDERS[key] = folder
+    return folder
+
+
+def _has_files(spark: SparkSession, folder: str) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.format("binaryFile").load(folder).select("path").limit(1).count() > 0
+    except AnalysisException:
+        return False

@@ -18,7 +18,8 @@ from ..plans import oracle as O
 from ..plans.queries import register
 from ..session import join_path, new_work_dir
 from ..sinks.tables import append_table
-from ..sources.derived import raw_links_table, stored_links, synthetic_links, write_wat_files
+from ..sources.derived import (raw_links_table, stored_links, synthetic_links, wat_files_folder,
+                               write_wat_files)
 from ..sources.files import read_table
 from .fanin import run_fan_in
 from .ingest import run_ingest_stream
@@ -116,7 +117,7 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata files -> raw table as a stream; a second run adds nothing."""
     work = new_work_dir(spark, "streamingest")
-    wat = write_wat_files(spark, sf_dir, join_path(work, "wat"))
+    wat = wat_files_folder(spark, sf_dir)
     raw, ckpt = join_path(work, "raw"), join_path(work, "checkpoint")
     run_ingest_stream(spark, wat, raw, ckpt)
     first = read_table(spark, raw).count()
