@@ -29,17 +29,16 @@ class Query:
     name: str
     run: QueryFn
     sql: str | None
-    note: str = ""
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None, note: str = ""):
+def register(name: str, sql: str | None):
     def wrap(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Query(name, fn, sql, note)
+        REGISTRY[name] = Query(name, fn, sql)
         return fn
     return wrap
 
