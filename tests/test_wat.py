@@ -91,3 +91,44 @@ def test_fixed_schema_reads_both_header_spellings_in_any_session(spark, work):
         assert rows(read_wat_links(spark, work), "url") == [("u",)]
     finally:
         spark.conf.set("spark.sql.caseSensitive", before)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+FIELD_VALUE = st.one_of(st.text(alphabet="ab/.:?é ", max_size=6), st.integers(0, 9), st.none())
+LINK = st.dictionaries(st.sampled_from(["path", "target", "text", "title", "url"]), FIELD_VALUE,
+                       max_size=5)
+RECORD = st.one_of(
+    st.lists(LINK, max_size=4).map(lambda links: ("links", links)),
+    st.just(("junk", None)), st.just(("null_links", None)), st.just(("no_html", None)))
+
+
+def json_text(value):
+    """How a link field arrives: strings as they are, numbers as JSON text."""
+    if value is None:
+        return None
+    return value if isinstance(value, str) else json.dumps(value)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(RECORD, min_size=1, max_size=12))
+def test_property_reader_matches_model(spark, records):
+    from linkloom.session import local_path, new_work_dir
+    folder = local_path(new_work_dir(spark, "watprop"))
+    os.makedirs(folder)
+    lines, expected = list(HEADER), []
+    for kind, links in records:
+        if kind == "links":
+            lines.append(record(links))
+            expected += [tuple(json_text(link.get(f)) for f in ("path", "target", "text", "title", "url"))
+                         for link in links]
+        elif kind == "junk":
+            lines.append("WARC-Type: metadata")
+        elif kind == "null_links":
+            lines.append(json.dumps({"Envelope": {"Payload-Metadata": {"HTTP-Response-Metadata": {
+                "HTML-Metadata": {"Links": None}}}}}))
+        else:
+            lines.append(json.dumps({"Envelope": {"Payload-Metadata": {}}}))
+    write_gz(os.path.join(folder, "p.gz"), lines)
+    assert rows(read_wat_links(spark, folder)) == sorted(expected, key=repr)
