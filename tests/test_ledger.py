@@ -91,3 +91,44 @@ def test_new_urls_only_matches_null_too(spark):
     df = links(spark)
     existing = spark.createDataFrame([("u1",), (None,)], "url string")
     assert rows(new_urls_only(df, existing), "url") == [("u2",)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+NAMES = st.sampled_from(["a.gz", "b.gz", "c.gz", "d.gz", "", "x?y=1"])
+DIRS = st.sampled_from(["https://h/p/", "https://h/q/", "//h/", "h/", ""])
+
+
+def model_plan(urls, ledger, n):
+    def name(u):
+        i = u.rfind("/")
+        return u[i + 1:] if 0 <= i < len(u) - 1 else ""
+    best = {}
+    for u in urls:
+        f = name(u)
+        if f and f not in ledger:
+            best[f] = min(best.get(f, u), u)
+    return sorted(((f, u) for f, u in best.items()), key=lambda r: (r[1], r[0]))[:n]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(urls=st.lists(st.tuples(DIRS, NAMES).map("".join), min_size=1, max_size=20),
+       ledger=st.sets(NAMES, max_size=3), n=st.integers(0, 6))
+def test_property_download_plan_matches_model(spark, urls, ledger, n):
+    lines = spark.createDataFrame([(u,) for u in urls], "value string")
+    plan = download_plan(lines, names(spark, sorted(ledger)), n)
+    assert [tuple(r) for r in plan.collect()] == model_plan(urls, ledger, n)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 50), st.sampled_from(["t1", "t2", None]),
+                          st.sampled_from(["u1", "u2", "U1", None])), min_size=1, max_size=25,
+                unique_by=lambda r: r[0]))
+def test_property_stable_dedup_keeps_smallest_per_url(spark, data):
+    df = spark.createDataFrame(data, "k int, text string, url string")
+    best = {}
+    for row in data:
+        if row[2] not in best or row[0] < best[row[2]][0]:
+            best[row[2]] = row
+    assert rows(dedup_stable(df, ["k"])) == sorted(best.values(), key=repr)
