@@ -111,7 +111,8 @@ def bound_files(df: DataFrame, max_files: int) -> DataFrame:
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = EXPORT_SEPARATOR,
-                     max_files: int = EXPORT_MAX_FILES, null_value: str | None = None) -> None:
+                     max_files: int = EXPORT_MAX_FILES, null_value: str | None = None,
+                     trim_spaces: bool = True) -> None:
     """Delimited text without header, at most ``max_files`` part files,
     replacing what is at ``path``.
 
@@ -119,12 +120,17 @@ def export_delimited(df: DataFrame, path: str, sep: str = EXPORT_SEPARATOR,
     separator or a quote are quoted; null is an empty cell, an empty string
     is written as ``""``. Spark's CSV writer skips a row whose cells are all
     null (in a one-column export: every null); give ``null_value`` (for
-    example ``\\N``) to write such rows with that marker instead.
+    example ``\\N``) to write such rows with that marker instead. Like the
+    original export, cells lose leading and trailing spaces (Spark's writer
+    defaults); ``trim_spaces=False`` keeps them.
     """
     writer = (bound_files(df, max_files).write.mode("overwrite")
               .option("sep", sep).option("header", False))
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
+    if not trim_spaces:
+        writer = (writer.option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False))
     writer.csv(path)
 
 

@@ -178,3 +178,14 @@ def test_shuffle_sizing_respects_explicit_settings(spark):
     before = spark.conf.get(key, None)
     size_shuffles(spark)  # the test session set shuffle partitions: nothing changes
     assert spark.conf.get(key, None) == before
+
+
+def test_export_trims_spaces_unless_asked(spark, work):
+    df = spark.createDataFrame([(1, " a "), (2, "b\nc")], "k int, v string")
+    trimmed, kept = os.path.join(work, "trim"), os.path.join(work, "keep")
+    export_delimited(df, trimmed, max_files=1)
+    export_delimited(df, kept, max_files=1, trim_spaces=False)
+    read = lambda p: rows(spark.read.schema("k int, v string").option("sep", "|")
+                          .option("multiLine", True).csv(p))
+    assert read(trimmed) == [(1, "a"), (2, "b\nc")]
+    assert read(kept) == [(1, " a "), (2, "b\nc")]
