@@ -117,7 +117,7 @@ def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+_MATERIALIZED: dict[tuple[str, str, bool], str] = {}
 
 
 def raw_links_table(spark: SparkSession, sf_dir: str, by_suffix: bool = False) -> str:
