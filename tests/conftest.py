@@ -20,10 +20,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def spark():
     from linkloom.session import build_session
 
+    # spark.checkpoint.dir is not set here: work folders go below the one the
+    # environment names, and the library makes its own only when none is set.
     scratch = tempfile.mkdtemp(prefix="linkloom-tests-")
     session = build_session("linkloom-tests", master="local[4]", conf={
         "spark.sql.shuffle.partitions": "8",
-        "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
     })
