@@ -94,12 +94,34 @@ def _as_uri(dest: str) -> str:
 
 def fetch_and_mark(spark: SparkSession, url_list: str, ledger: LinkTable | str, n: int, dest: str,
                    report: LinkTable | str, **fetch_kw) -> DataFrame:
-    """Plan the next ``n`` files, fetch them, record the report, mark the
-    files that arrived. Returns the report rows of this run."""
+    """Fetch until ``n`` files arrived or no file is left to try; mark the
+    files that arrived. Returns the report rows of this run.
+
+    Only arrivals count towards ``n``: each round plans the shortfall from
+    files not yet marked and not yet tried in this run, fetches them in
+    parallel, records the outcome and marks the arrivals. Every round removes
+    what it tried from the candidates, so the rounds end.
+    """
     ledger, report = as_table(ledger), as_table(report)
     run = uuid.uuid4().hex[:12]
-    plan = download_plan(read_lines(spark, url_list), read_ledger(spark, ledger), n)
-    append_table(fetch_files(plan, dest, **fetch_kw).withColumn("fetch_run", F.lit(run)), report)
-    this_run = read_table(spark, report).where(F.col("fetch_run") == run)
-    mark_processed(this_run.where("ok"), ledger)
-    return this_run
+    urls = read_lines(spark, url_list)
+    arrived, failed, round_no = 0, [], 0
+    while arrived < n:
+        round_no += 1
+        done = read_ledger(spark, ledger)
+        if failed:  # bounded: at most n failures per round
+            done = done.unionByName(spark.createDataFrame([(f,) for f in failed], "file_name string"))
+        plan = download_plan(urls, done, n - arrived)
+        outcome = (fetch_files(plan, dest, **fetch_kw)
+                   .withColumn("fetch_run", F.lit(run)).withColumn("fetch_round", F.lit(round_no)))
+        append_table(outcome, report)
+        this_round = read_table(spark, report).where(
+            (F.col("fetch_run") == run) & (F.col("fetch_round") == round_no))
+        counts = this_round.groupBy("ok").count().collect()  # at most two rows
+        tried = sum(r["count"] for r in counts)
+        if tried == 0:
+            break
+        mark_processed(this_round.where("ok"), ledger)
+        arrived += sum(r["count"] for r in counts if r.ok)
+        failed += [r.file_name for r in this_round.where(~F.col("ok")).select("file_name").collect()]
+    return read_table(spark, report).where(F.col("fetch_run") == run)

@@ -42,3 +42,20 @@ def test_fetch_marks_only_arrived_files(spark, work):
     # The failed file stays pending for the next run.
     third = fetch_and_mark(spark, lists, ledger, 10, dest, report, retries=0, wait_s=0)
     assert [r.file_name for r in third.collect()] == ["missing.warc.wat.gz"]
+
+
+def test_failures_are_replaced_within_the_run(spark, work):
+    src = os.path.join(work, "remote")
+    os.makedirs(src)
+    for name in ("b.gz", "c.gz", "d.gz"):
+        with open(os.path.join(src, name), "wb") as fh:
+            fh.write(b"1")
+    lists = os.path.join(work, "lists")
+    os.makedirs(lists)
+    with open(os.path.join(lists, "l.txt"), "w") as fh:  # the missing file sorts first
+        fh.write("\n".join(f"file://{src}/{n}" for n in ("a_missing.gz", "b.gz", "c.gz", "d.gz")) + "\n")
+    ledger, report = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "report"))
+    out = fetch_and_mark(spark, lists, ledger, 2, os.path.join(work, "dest"), report, retries=0, wait_s=0)
+    got = sorted((r.file_name, r.ok, r.fetch_round) for r in out.collect())
+    assert got == [("a_missing.gz", False, 1), ("b.gz", True, 1), ("c.gz", True, 2)]
+    assert sorted(r.file_name for r in read_ledger(spark, ledger).collect()) == ["b.gz", "c.gz"]
