@@ -82,3 +82,18 @@ def test_warc_to_wat_into_catalog_tables(spark, work):
     main(["warc-to-wat", "--csv", csv, "--out", os.path.join(work, "out"), "--create-database", "linkloom_raw",
           "--warc-table", "catalog:linkloom_raw.warc_names", "--wat-table", "catalog:linkloom_raw.wat_names"])
     assert spark.table("linkloom_raw.wat_names").first().full_wat_path.endswith("/wat/Z.warc.wat.gz")
+
+
+def test_ingest_stream_job(spark, work):
+    src = os.path.join(work, "wat")
+    os.makedirs(src)
+    for i in range(3):
+        wat(os.path.join(src, f"s{i}.gz"), [f"http://a.jp/{i}.jpg"])
+    args = ["ingest-stream", "--wat", src, "--raw", os.path.join(work, "raw"),
+            "--checkpoint", os.path.join(work, "ck"), "--archive", os.path.join(work, "arch"),
+            "--max-files", "1", "--once"]
+    assert main(args) == 0
+    assert main(args) == 0  # nothing new: nothing added
+    assert spark.read.parquet(os.path.join(work, "raw")).count() == 3
+    archived = [f for _, _, fs in os.walk(os.path.join(work, "arch")) for f in fs if f.endswith(".gz")]
+    assert archived
