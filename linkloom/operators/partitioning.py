@@ -17,7 +17,11 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     Spark sorts each partition before dealing so a retried task re-deals the
     same rows.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

@@ -102,7 +102,10 @@ def bound_files(df: DataFrame, max_files: int) -> DataFrame:
     redistributed instead, so the scan and filters keep their full
     parallelism and only the write runs ``max_files`` tasks.
     """
-    n = df.rdd.getNumPartitions()
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session)
+        return df.coalesce(max_files)
     if n <= max_files:
         return df
     if n <= COALESCE_FACTOR * max_files:
