@@ -21,3 +21,12 @@ def test_bench_prints_one_json_line():
     assert result["unit"] == "sec" and result["sf"] == 0.001 and result["cpus"] == 2
     assert {"page_links", "img_jpg"} <= set(result["queries"])
     assert abs(result["value"] - sum(result["queries"].values())) < 0.01
+
+
+def test_oracle_check_from_a_plain_session():
+    """As the driver does: its own session, another working folder."""
+    script = os.path.join(ROOT, "scripts", "check_oracle.py")
+    out = subprocess.run([sys.executable, script, "--plain", SF_SMALL, "distinct_links", "wat_links",
+                          "img_jpg", "fan_in"], capture_output=True, text=True, timeout=600, cwd="/tmp")
+    assert out.returncode == 0, out.stdout[-2000:] + out.stderr[-2000:]
+    assert out.stdout.count(" OK ") == 4
