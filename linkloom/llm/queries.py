@@ -1,0 +1,37 @@
+"""Queries of the training-data operators: name -> (callable, DuckDB SQL or None)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .packing import pack_documents
+from .token_files import token_digest
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+
+@dataclass(frozen=True)
+class Query:
+    run: QueryFn
+    sql: str | None = None
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+REGISTRY: dict[str, Query] = {
+    "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
+    "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
+}
+
+
+def queries() -> dict[str, QueryFn]:
+    return {name: q.run for name, q in REGISTRY.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
