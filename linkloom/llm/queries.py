@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import pack_documents
+from .secrets import secret_digest
+from .sharding import shard_digest
 from .token_files import token_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +26,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op4_sharding": Query(lambda spark, d: shard_digest(_table(spark, d, "documents"))),
     "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
+    "op7_secrets": Query(lambda spark, d: secret_digest(_table(spark, d, "documents"))),
     "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
 }
 
