@@ -10,11 +10,14 @@ similarity.
 1. Sketch every row; rows with equal sets form one class (set digest).
 2. Band the registers of each class. Classes that share a band value are
    candidates; nothing else is compared.
-3. Candidates are visited as stars, not as all pairs of a bucket: first every
-   bucket member against the bucket's most popular class, then only members
-   of buckets that the links found so far leave in several components
-   (``rounds``), and at last, exactly, every remaining pair of different
-   components in a bucket. Links inside one component would change nothing.
+3. Candidates are visited as stars, not as all pairs of a bucket: every member
+   against the bucket's most popular class. Links inside a component change
+   nothing, so only buckets that these links leave in several components are
+   open. In an open bucket with few pairs across components each of them is
+   visited. The members of all others go through an exact prefix filter: two
+   sets at the threshold share a shingle among the rarest quarter of each, and
+   enough lies behind the first such shingle in both. Documents that share
+   only a common passage fail that.
 4. A candidate pair is kept if the joint maximum-likelihood estimate of the
    similarity from both sketches (with the known set sizes) is not far below
    the threshold, and is then confirmed on the full sets.
@@ -28,7 +31,7 @@ At similarity 0.75 a pair shares no band with probability
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import join_path, new_work_dir
@@ -42,8 +45,7 @@ BAND = 4  # registers a band
 SIMILAR, OF = 75, 100  # threshold 75 / 100
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 MARGIN = 0.23  # six standard errors of the estimate at the threshold
-PAIRS_OF_BUCKET = 2_000
-ROUNDS = 3
+PAIRS_OF_BUCKET = 200
 
 SIGNED = ("doc_id long, n_shingles long, digest_a long, digest_b long, registers binary")
 
@@ -228,7 +230,56 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, store: _Stored
                       .distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _shingler(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        for at, stop, block in blocks(batch):
+            sets = [s.view(np.int64) for s in shingle_sets(block)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, stop - at), pa.array(sets, pa.list_(pa.int64()))],
+                names=["rep", "shingles"])
+
+
+def _across(rows: DataFrame, key: str, more=()) -> DataFrame:
+    """Pairs of equal ``key`` in different components whose sizes allow a link."""
+    x, y = (rows.select(key, F.col("rep").alias(i), F.col("n").alias(f"n{i}"),
+                        F.col("component").alias(f"c{i}"), *[F.col(m).alias(m + i) for m in more])
+            for i in "ab")
+    return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                                & _fits("na", "nb"))
+
+
+def _by_prefix(members: DataFrame, docs: DataFrame, store: _Stored) -> DataFrame:
+    """Pairs across components that share one of the rarest shingles of both:
+    of n shingles, the n - ceil(threshold * n) + 1 that fewest members have."""
+    texts = (docs.join(members.select(F.col("rep").alias("doc_id")), "doc_id")
+             .select("doc_id", "text"))
+    shingles = store.keep(
+        texts.mapInArrow(_shingler, "rep long, shingles array<long>")
+        .join(members, "rep").select("rep", "n", "component", F.explode("shingles").alias("shingle")),
+        "shingles")
+    common = (shingles.groupBy("shingle")
+              .agg(F.count("*").alias("f"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+              .where("f > 1").select("shingle", "f", (F.col("c0") != F.col("c1")).alias("across")))
+    # A shingle of one member alone is rarer than any in ``common``, so a set's prefix ends
+    # so many places earlier among its common shingles.
+    rarest = Window.partitionBy("rep").orderBy("f", "shingle")
+    counted = shingles.join(common, "shingle")
+    sizes = counted.groupBy("rep").agg(F.count("*").alias("n_common"))
+    room = F.expr(f"n - cast(ceil({SIMILAR} * n / {OF}) as long) + 1")
+    prefix = store.keep(
+        counted.withColumn("row", F.row_number().over(rarest)).join(sizes, "rep")
+        .withColumn("place", F.col("row") + F.col("n") - F.col("n_common"))
+        .where((F.col("place") <= room) & F.col("across"))
+        .select("rep", "n", "component", "shingle", (F.col("n") - F.col("place") + 1).alias("left")),
+        "prefix")
+    # What two linked sets share lies at or behind their first shared place.
+    enough = F.expr(f"{SIMILAR + OF} * least(lefta, leftb) >= {SIMILAR} * (na + nb)")
+    return _across(prefix, "shingle", ["left"]).where(enough).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
     Rows without words have no shingles and are their own component. Rows
@@ -252,43 +303,25 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = store.keep(banded.join(shared, "key"), "members")
     popular = members.groupBy("rep").agg(F.sum("size").alias("popularity"))
-    ranked = store.keep(members.join(popular, "rep"), "ranked")
-
-    def stars(rows: DataFrame, within: str) -> DataFrame:
-        """Every member against the most popular member of its bucket (and not
-        of its own component)."""
-        top = rows.groupBy("key").agg(F.max(F.struct(
-            "popularity", "rep", "n", F.col(within).alias("part"))).alias("t"))
-        return (rows.join(top, "key")
-                .where((F.col(within) != F.col("t.part")) & _fits("n", "t.n"))
-                .select(F.col("t.rep").alias("a"), F.col("rep").alias("b")).distinct())
-
-    links = _links(stars(ranked, "rep"), classes, docs, store)
+    ranked = members.join(popular, "rep")
+    top = ranked.groupBy("key").agg(F.max(F.struct("popularity", "rep", "n")).alias("t"))
+    stars = (members.join(top, "key").where((F.col("rep") != F.col("t.rep")) & _fits("n", "t.n"))
+             .select(F.col("t.rep").alias("a"), F.col("rep").alias("b")).distinct())
+    links = _links(stars, classes, docs, store)
     found = components(links, store)
 
-    for turn in range(rounds):
-        placed = (ranked.join(found, ranked["rep"] == found["node"], "left")
-                  .select(*ranked.columns, F.coalesce("component", "rep").alias("component")))
-        parts = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-        open_ = (parts.groupBy("key").agg(
-            F.count("*").alias("parts"),
-            ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
-            .where("parts > 1"))
-        rest = store.keep(placed.join(open_, "key"), "open")
-        last = turn == rounds - 1
-        small = rest if last else rest.where(F.col("pairs") <= PAIRS_OF_BUCKET)
-        x = small.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        y = small.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        pairs = (x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                        & _fits("na", "nb")).select("a", "b"))
-        if not last:
-            pairs = pairs.union(stars(rest.where(F.col("pairs") > PAIRS_OF_BUCKET), "component"))
-        more = _links(pairs.distinct(), classes, docs, store)
-        if not more.isEmpty():
-            found = components(links.union(more), store)
-            links = links.union(more)
-        if rest.where(F.col("pairs") > PAIRS_OF_BUCKET).isEmpty():
-            break
+    placed = store.keep(members.join(found, members["rep"] == found["node"], "left")
+                        .select(*members.columns, F.coalesce("component", "rep").alias("component")),
+                        "placed")
+    total, squares = F.sum("c"), F.sum(F.col("c") * F.col("c"))
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    open_ = (parts.groupBy("key").agg(((total * total - squares) / 2).alias("pairs"))
+             .where("pairs > 0"))
+    rest = store.keep(placed.join(open_, "key"), "open")
+    few = _across(rest.where(F.col("pairs") <= PAIRS_OF_BUCKET), "key").select("a", "b")
+    many = rest.where(F.col("pairs") > PAIRS_OF_BUCKET).select("rep", "n", "component").distinct()
+    more = _links(few.union(_by_prefix(many, docs, store)).distinct(), classes, docs, store)
+    found = components(links.union(more), store)
 
     labels = (classes.join(found, classes["rep"] == found["node"], "left")
               .select(*digest, F.coalesce("component", "rep").alias("component")))

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .neardup import near_duplicates
 from .packing import pack_documents
+from .repetition import repetition_verdict
 from .secrets import secret_digest
 from .sharding import shard_digest
 from .token_files import token_digest
@@ -26,9 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op3_repetition": Query(lambda spark, d: repetition_verdict(_table(spark, d, "documents"))),
     "op4_sharding": Query(lambda spark, d: shard_digest(_table(spark, d, "documents"))),
     "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
     "op7_secrets": Query(lambda spark, d: secret_digest(_table(spark, d, "documents"))),
+    "op9_near_duplicates": Query(lambda spark, d: near_duplicates(_table(spark, d, "documents"))),
     "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
 }
 
