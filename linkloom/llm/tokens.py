@@ -1,18 +1,46 @@
 """Token ids of whole texts with the tokenizers library.
 
 The vocabulary's pre-tokenizer never joins across white space, so a text's
-ids are the ids of its white-space separated words in order. A worker keeps
-the ids of words it has met (as little-endian 32-bit bytes) and encodes the
-missing words of a block in one call. The memory of words is bounded: it is
-emptied when full, which changes no result.
+ids are the ids of its white-space separated words in order. A worker
+remembers the ids of words it has met (as little-endian 32-bit bytes). A new
+word that is a run of Latin-1 letters, perhaps with ASCII punctuation behind
+it, is two pre-tokens (letters in lower case, punctuation), which the
+library's model encodes one by one; these are remembered too. Any other new
+word goes through the library's whole pipeline.
+
+Both memories are bounded: a full one becomes the older generation and words
+found there move to the new one. That changes no result.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from itertools import chain
+
+MEMORY_WORDS = 250_000
+MEMORY_PARTS = 350_000
+# No apostrophe: the pre-tokenizer gives contractions a token of their own.
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+PLAIN_CHARS = "".join(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x100)]))
+
+
+class Memory:
+    """A bounded map in two generations."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
 
-MEMORY_WORDS = 400_000
-_ENCODERS: dict[str, "WordEncoder"] = {}
+    def recall(self, key):
+        """Value of a key that is not in ``new``, moved there; None if unknown."""
+        value = self.old.get(key)
+        if value is not None:
+            self.new[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
 
 
 class WordEncoder:
@@ -21,29 +49,52 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.parts = Memory(MEMORY_WORDS), Memory(MEMORY_PARTS)
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelling = str.maketrans({c: split(c)[0][0] for c in PLAIN_CHARS})
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token."""
+        found = self.parts.new.get(part)
+        if found is None:
+            found = self.parts.recall(part)
+        if found is None:
+            tokens = self.tokenizer.model.tokenize(part.translate(self.spelling))
+            found = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+            self.parts.new[part] = found
+        return found
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        import numpy as np
+    def _learn(self, missing: set[bytes]) -> None:
+        odd, new = [], self.words.new
+        for word in missing:
+            if self.words.recall(word) is not None:
+                continue
+            text = word.decode("utf-8", "replace")
+            plain = PLAIN_WORD.fullmatch(text)
+            if plain:
+                letters, tail = plain.groups()
+                ids = self._part(letters.lower())
+                new[word] = ids + self._part(tail) if tail else ids
+            else:
+                odd.append((word, text))
+        if odd:
+            import numpy as np
 
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words],
-                                                 add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found)}
+            whole = self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False)
+            for (word, _), found in zip(odd, whole):
+                new[word] = np.array(found.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        self.words.turn()
+        self.parts.turn()
         split = [t.split() for t in texts]
-        known = self.known
-        missing = {w for words in split for w in words if w not in known}
-        if missing:
-            if len(known) + len(missing) > MEMORY_WORDS:
-                known = self.known = {}
-                missing = {w for words in split for w in words}
-            known.update(self._learn(list(missing)))
-        out = [b"".join([known[w] for w in words]) for words in split]
-        if len(known) > MEMORY_WORDS:
-            self.known = {}
-        return out
+        known = self.words.new
+        self._learn(set(chain.from_iterable(split)).difference(known))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
