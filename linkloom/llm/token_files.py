@@ -231,12 +231,13 @@ def _file_writer(target: str, path: str, end_id: int, mode: str, ids_per_file: i
 
 
 def write_token_files(docs: DataFrame, target: str, path: str, end_id: int = 1,
-                      mode: str = "bit", ids_per_file: int = IDS_PER_FILE) -> DataFrame:
+                      mode: str = "byte", ids_per_file: int = IDS_PER_FILE) -> DataFrame:
     """Encode all documents (null text: empty) in ascending doc_id order into
     plane files below ``target`` (a URI every executor can write) and return
     the manifest with each file's ``first_id``.
 
-    Null doc_ids come first; rows that share a doc_id are ordered by text.
+    Null doc_ids come first; rows that share a doc_id are ordered by
+    their text's checksum.
     An empty table gives an empty manifest. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -249,7 +250,10 @@ def write_token_files(docs: DataFrame, target: str, path: str, end_id: int = 1,
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # The checksum spreads rows that share a doc_id (or have none) and keeps texts out of the
+    # sample from which Spark takes the ranges.
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     manifest = join_path(target, "manifest")
     ordered.mapInArrow(_file_writer(uri, path, end_id, mode, ids_per_file),
                        MANIFEST).write.parquet(manifest)
