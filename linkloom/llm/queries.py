@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import find_leaks
+from .extract_html import extract_pages
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .repetition import repetition_verdict
@@ -28,6 +30,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_decontamination": Query(lambda spark, d: find_leaks(
+        _table(spark, d, "documents"), _table(spark, d, "benchmark"))),
+    "op2_html_extraction": Query(lambda spark, d: extract_pages(_table(spark, d, "pages"))),
     "op3_repetition": Query(lambda spark, d: repetition_verdict(_table(spark, d, "documents"))),
     "op4_sharding": Query(lambda spark, d: shard_digest(_table(spark, d, "documents"))),
     "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
