@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import find_leaks
 from .extract_html import extract_pages
+from .langid import language_digest
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .repetition import repetition_verdict
 from .secrets import secret_digest
 from .sharding import shard_digest
 from .token_files import token_digest
+from .toxicity import toxicity_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +37,11 @@ REGISTRY: dict[str, Query] = {
     "op2_html_extraction": Query(lambda spark, d: extract_pages(_table(spark, d, "pages"))),
     "op3_repetition": Query(lambda spark, d: repetition_verdict(_table(spark, d, "documents"))),
     "op4_sharding": Query(lambda spark, d: shard_digest(_table(spark, d, "documents"))),
+    "op5_toxicity": Query(lambda spark, d: toxicity_digest(
+        _table(spark, d, "documents"), _table(spark, d, "labels"))),
     "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
     "op7_secrets": Query(lambda spark, d: secret_digest(_table(spark, d, "documents"))),
+    "op8_language_id": Query(lambda spark, d: language_digest(_table(spark, d, "documents"))),
     "op9_near_duplicates": Query(lambda spark, d: near_duplicates(_table(spark, d, "documents"))),
     "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
 }

@@ -91,13 +91,13 @@ def text_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarra
 
 
 def blocks(batch: pa.RecordBatch, name: str = "text",
-           target: int = BLOCK_BYTES) -> Iterator[tuple[int, int, TextBlock]]:
-    """(first row, end row, block) over a batch."""
+           target: int = BLOCK_BYTES, most: int = 1 << 30) -> Iterator[tuple[int, int, TextBlock]]:
+    """(first row, end row, block) over a batch; at most ``most`` rows a block."""
     data, off = text_column(batch, name)
     at, n = 0, len(off) - 1
     while at < n:
         stop = int(np.searchsorted(off, off[at] + target, side="right")) - 1
-        stop = min(n, max(stop, at + 1))
+        stop = min(n, max(stop, at + 1), at + most)
         yield at, stop, TextBlock(data[off[at]:off[stop]], off[at:stop + 1] - off[at])
         at = stop
 
