@@ -15,7 +15,8 @@ holds does not grow with the benchmark.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,6 +184,30 @@ def _scanner(items: list[tuple[int, str]], rate: float, min_chars: int):
     return run
 
 
+def _cleaner(items: list[tuple[int, str]], rate: float, min_chars: int):
+    def run(batches):
+        import pyarrow as pa
+
+        matcher = Matcher(items, rate, min_chars)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([not matcher.find(normalise(t.as_py() or "")) for t in texts],
+                                        pa.bool_()))
+
+    return run
+
+
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The test items in blocks of about ``BLOCK_CHARS`` characters."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = 1 + int(chars) // BLOCK_CHARS
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    for i in range(n_blocks):
+        yield [(r["item_id"], r["text"])
+               for r in items.where(block == i).orderBy("item_id", "text").collect()]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
                min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per leak: doc_id, item_id, least distance, start and end in
@@ -193,22 +218,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     an item_id are each searched. Other columns are ignored. An empty
     benchmark gives no rows."""
     ship(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = 1 + int(chars) // BLOCK_CHARS
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    out = None
-    for i in range(n_blocks):
-        held = [(r["item_id"], r["text"]) for r in  # about BLOCK_CHARS characters
-                items.where(block == i).orderBy("item_id", "text").collect()]
-        found = rows.mapInArrow(_scanner(held, rate, min_chars), LEAKS)
-        out = found if out is None else out.union(found)
-    return out
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows whose doc_id has no leak (rows with a null doc_id are judged
-    together and stay only if none of them leaks)."""
-    bad = find_leaks(docs, benchmark, rate).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leaked"]), "left_anti")
+    found = [rows.mapInArrow(_scanner(items, rate, min_chars), LEAKS) for items in item_blocks(benchmark)]
+    return reduce(DataFrame.union, found)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
+                  min_chars: int = MIN_CHARS) -> DataFrame:
+    """The rows, with their columns, whose text holds no leak."""
+    ship(docs.sparkSession)
+    for items in item_blocks(benchmark):
+        docs = docs.mapInArrow(_cleaner(items, rate, min_chars), docs.schema)
+    return docs
