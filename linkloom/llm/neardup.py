@@ -45,7 +45,9 @@ BAND = 4  # registers a band
 SIMILAR, OF = 75, 100  # threshold 75 / 100
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 MARGIN = 0.23  # six standard errors of the estimate at the threshold
-PAIRS_OF_BUCKET = 200
+PAIRS_OF_BUCKET = 1_000
+SHINGLE_ROW = 64
+FREQUENT = 64
 
 SIGNED = ("doc_id long, n_shingles long, digest_a long, digest_b long, registers binary")
 
@@ -216,15 +218,13 @@ def _fits(na: str, nb: str):
     return F.expr(f"{OF} * least({na}, {nb}) >= {SIMILAR} * greatest({na}, {nb})")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, store: _Stored) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, store: _Stored) -> DataFrame:
     """Confirmed links among candidate pairs (a, b) of class representatives."""
     sketches = classes.select("rep", "registers", F.col("n_shingles").alias("n"))
     sa = sketches.toDF("a", "ra", "na")
     sb = sketches.toDF("b", "rb", "nb")
     likely = store.keep(pairs.join(sb, "b").join(sa, "a")
                         .mapInArrow(_estimator, "a long, b long"), "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
     ta, tb = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     return store.keep(likely.join(tb, "b").join(ta, "a").mapInArrow(_confirmer, "a long, b long")
                       .distinct(), "links")
@@ -235,10 +235,14 @@ def _shingler(batches):
 
     for batch in batches:
         for at, stop, block in blocks(batch):
-            sets = [s.view(np.int64) for s in shingle_sets(block)]
+            parts = [(i, s[k:k + SHINGLE_ROW].view(np.int64))
+                     for i, s in zip(range(at, stop), shingle_sets(block))
+                     for k in range(0, len(s), SHINGLE_ROW)]
+            rows = batch.take(pa.array([i for i, _ in parts], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, stop - at), pa.array(sets, pa.list_(pa.int64()))],
-                names=["rep", "shingles"])
+                [*(rows.column(rows.schema.names.index(n)) for n in ("rep", "n", "component")),
+                 pa.array([p for _, p in parts], pa.list_(pa.int64()))],
+                names=["rep", "n", "component", "shingles"])
 
 
 def _across(rows: DataFrame, key: str, more=()) -> DataFrame:
@@ -250,28 +254,37 @@ def _across(rows: DataFrame, key: str, more=()) -> DataFrame:
                                 & _fits("na", "nb"))
 
 
-def _by_prefix(members: DataFrame, docs: DataFrame, store: _Stored) -> DataFrame:
+def _by_prefix(members: DataFrame, texts: DataFrame, store: _Stored) -> DataFrame:
     """Pairs across components that share one of the rarest shingles of both:
-    of n shingles, the n - ceil(threshold * n) + 1 that fewest members have."""
-    texts = (docs.join(members.select(F.col("rep").alias("doc_id")), "doc_id")
-             .select("doc_id", "text"))
-    shingles = store.keep(
-        texts.mapInArrow(_shingler, "rep long, shingles array<long>")
-        .join(members, "rep").select("rep", "n", "component", F.explode("shingles").alias("shingle")),
-        "shingles")
-    common = (shingles.groupBy("shingle")
-              .agg(F.count("*").alias("f"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-              .where("f > 1").select("shingle", "f", (F.col("c0") != F.col("c1")).alias("across")))
-    # A shingle of one member alone is rarer than any in ``common``, so a set's prefix ends
-    # so many places earlier among its common shingles.
-    rarest = Window.partitionBy("rep").orderBy("f", "shingle")
-    counted = shingles.join(common, "shingle")
-    sizes = counted.groupBy("rep").agg(F.count("*").alias("n_common"))
+    of n shingles, the first n - ceil(threshold * n) + 1 in an order that puts
+    shingles of a single component first and then goes by frequency."""
+    cut = (texts.join(members, "rep")
+           .mapInArrow(_shingler, "rep long, n long, component long, shingles array<long>")
+           .repartition("rep", F.element_at("shingles", 1)))  # a long text is in many parts
+    shingles = store.keep(cut.select("rep", "n", "component", F.explode("shingles").alias("shingle")),
+                          "shingles")
+    across = store.keep(
+        shingles.groupBy("shingle")
+        .agg(F.count("*").alias("f"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        .where("c0 != c1").select("shingle", "f"), "across")
     room = F.expr(f"n - cast(ceil({SIMILAR} * n / {OF}) as long) + 1")
+    # Frequent shingles come last in every set, so only sets made mostly of them look them up.
+    cold = store.keep(shingles.join(across.where(F.col("f") <= FREQUENT), "shingle"), "cold")
+    own = shingles.join(across, "shingle", "left_anti").groupBy("rep").agg(F.count("*").alias("n_own"))
+    rarer = cold.groupBy("rep").agg(F.count("*").alias("n_cold"))
+    sizes = store.keep(
+        members.select("rep", "n").join(own, "rep", "left").join(rarer, "rep", "left")
+        .select("rep", F.coalesce("n_own", F.lit(0)).alias("n_own"),
+                (F.coalesce("n_own", F.lit(0)) + F.coalesce("n_cold", F.lit(0)) < room).alias("deep")),
+        "sizes")
+    deep = sizes.where("deep").select("rep")
+    hot = (shingles.join(deep, "rep", "left_semi")
+           .join(across.where(F.col("f") > FREQUENT), "shingle"))
+    order = Window.partitionBy("rep").orderBy("f", "shingle")
     prefix = store.keep(
-        counted.withColumn("row", F.row_number().over(rarest)).join(sizes, "rep")
-        .withColumn("place", F.col("row") + F.col("n") - F.col("n_common"))
-        .where((F.col("place") <= room) & F.col("across"))
+        cold.unionByName(hot).withColumn("row", F.row_number().over(order)).join(sizes, "rep")
+        .withColumn("place", F.col("row") + F.col("n_own"))
+        .where(F.col("place") <= room)
         .select("rep", "n", "component", "shingle", (F.col("n") - F.col("place") + 1).alias("left")),
         "prefix")
     # What two linked sets share lies at or behind their first shared place.
@@ -302,12 +315,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = classes.select("rep", F.col("n_shingles").alias("n"), F.explode(keys).alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = store.keep(banded.join(shared, "key"), "members")
+    # The texts that any comparison may need, moved once, with the same plan at every size.
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = store.keep(docs.join(wanted.hint("merge"), "doc_id", "left_semi")
+                       .select(F.col("doc_id").alias("rep"), "text"), "texts")
     popular = members.groupBy("rep").agg(F.sum("size").alias("popularity"))
     ranked = members.join(popular, "rep")
     top = ranked.groupBy("key").agg(F.max(F.struct("popularity", "rep", "n")).alias("t"))
     stars = (members.join(top, "key").where((F.col("rep") != F.col("t.rep")) & _fits("n", "t.n"))
              .select(F.col("t.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    links = _links(stars, classes, docs, store)
+    links = _links(stars, classes, texts, store)
     found = components(links, store)
 
     placed = store.keep(members.join(found, members["rep"] == found["node"], "left")
@@ -320,7 +337,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = store.keep(placed.join(open_, "key"), "open")
     few = _across(rest.where(F.col("pairs") <= PAIRS_OF_BUCKET), "key").select("a", "b")
     many = rest.where(F.col("pairs") > PAIRS_OF_BUCKET).select("rep", "n", "component").distinct()
-    more = _links(few.union(_by_prefix(many, docs, store)).distinct(), classes, docs, store)
+    more = _links(few.union(_by_prefix(many, texts, store)).distinct(), classes, texts, store)
     found = components(links.union(more), store)
 
     labels = (classes.join(found, classes["rep"] == found["node"], "left")
@@ -330,3 +347,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), own)
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
                        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows, with their columns, of the documents that stay: the one with
+    the smallest doc_id of each group. Rows that repeat a doc_id stay or go
+    together; rows with a null doc_id stay."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
