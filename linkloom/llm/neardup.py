@@ -31,7 +31,7 @@ At similarity 0.75 a pair shares no band with probability
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import join_path, new_work_dir
@@ -45,7 +45,7 @@ BAND = 4  # registers a band
 SIMILAR, OF = 75, 100  # threshold 75 / 100
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 MARGIN = 0.23  # six standard errors of the estimate at the threshold
-PAIRS_OF_BUCKET = 1_000
+PAIRS_OF_BUCKET = 200
 SHINGLE_ROW = 64
 FREQUENT = 64
 
@@ -186,28 +186,31 @@ class _Stored:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_edges(self, df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The table, and the number and checksum of its rows, taken as it is written."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "edges")
+        return kept, (seen.get["n"], seen.get["sum"])
 
-def components(edges: DataFrame, store: _Stored) -> DataFrame:
-    """(node, component): the smallest node reachable, for nodes with a link."""
-    edges = store.keep(edges.select("a", "b").where("a != b").distinct(), "edges")
 
-    def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    now = state(edges)
+def components(links: DataFrame, store: _Stored) -> DataFrame:
+    """(node, component): the smallest node reachable, for nodes that reach a
+    smaller one."""
+    edges, now = store.keep_edges(links.select("a", "b").where("a != b").distinct())
     while now[0]:
         # Large star: neighbours above a node move to the least of its neighbourhood.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a != b").distinct())
+                 .where("a != b"))
         # Small star: a node's smaller neighbours (here a > b always) move to the least one.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.explode(F.array(
             F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
             .select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct())
-        edges = store.keep(small, "edges")
-        before, now = now, state(edges)
+        before = now
+        edges, now = store.keep_edges(small)
         if now == before:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -223,11 +226,10 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, store: _Store
     sketches = classes.select("rep", "registers", F.col("n_shingles").alias("n"))
     sa = sketches.toDF("a", "ra", "na")
     sb = sketches.toDF("b", "rb", "nb")
-    likely = store.keep(pairs.join(sb, "b").join(sa, "a")
-                        .mapInArrow(_estimator, "a long, b long"), "likely")
+    likely = pairs.join(sb, "b").join(sa, "a").mapInArrow(_estimator, "a long, b long")
     ta, tb = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    return store.keep(likely.join(tb, "b").join(ta, "a").mapInArrow(_confirmer, "a long, b long")
-                      .distinct(), "links")
+    return store.keep(likely.join(tb, "b").join(ta, "a").mapInArrow(_confirmer, "a long, b long"),
+                      "links")
 
 
 def _shingler(batches):
