@@ -59,28 +59,28 @@ def _zip(**arrays: Column) -> Column:
     return F.transform(first, lambda _, i: F.struct(*[F.get(a, i).alias(n) for n, a in arrays.items()]))
 
 
-def _located(text: str, pattern: str, least: int, kind: str, whole: str) -> Column:
-    """Spans of ``pattern`` in column ``text``: the pieces between matches and
-    the matches add up to the positions. ``whole`` holds the matches, whose
-    length must be ``least``; a match that fails still uses up its text."""
-    pieces = F.split(F.col(text), F.lit(pattern), -1)
-    empty = F.lit(None).cast(SPAN)
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often body uses
+    it, and stays one expression when a filter is moved below."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _located(text: Column, pattern: str, rank: int, matches: Column, keep: Column) -> Column:
+    """Spans of the matches of ``pattern``: the pieces between matches and the
+    matches add up to the positions. A match that is not kept still uses up
+    its text."""
     state = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-    matches = F.col(whole)
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["piece"])
         end = start + F.length(x["match"])
-        span = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
-                                end.alias("end")))
+        span = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["keep"], F.concat(acc["found"], span))
                         .otherwise(acc["found"]).alias("found"))
 
-    kept = F.col(whole + "_keep") if kind == "assign" else F.transform(
-        matches, lambda m: F.length(m) >= least)
-    parts = _zip(match=matches, piece=pieces, keep=kept)
-    located = F.aggregate(parts, state, step, lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, located).otherwise(F.coalesce(empty, F.array().cast(SPAN)))
+    located = _let(F.split(text, F.lit(pattern), -1), lambda pieces: F.aggregate(
+        _zip(match=matches, piece=pieces, keep=keep), state, step, lambda acc: acc["found"]))
+    return F.when(F.size(matches) > 0, located).otherwise(F.array().cast(SPAN))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -106,109 +106,126 @@ def _sum(values: Column, f=lambda x: x) -> Column:
 
 
 def _p_value(token: Column) -> Column:
-    """Bonferroni-combined p-value of the three tests for one token. Nested
-    one-element transforms name intermediate results, so each is computed once."""
-
-    def let(value: Column, body) -> Column:
-        return F.element_at(F.transform(F.array(value), body), 1)
+    """Bonferroni-combined p-value of the three tests for one token."""
 
     def tests(s: Column) -> Column:
-        x, counts = s["x"], s["counts"]
-        n, k = F.size(x).cast("double"), s["k"]
+        x, counts, n, k = s["x"], s["counts"], s["n"], s["k"]
         chi = k / n * _sum(counts, lambda c: c * c) - n
-        df = k - 1.0
-        spread = F.lit(2.0) / (F.lit(9.0) * df)
-        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread)
-        p_chi = _upper_tail(z_chi)
-
-        pairs = F.transform(F.slice(x, F.lit(2), F.size(x) - 1),
-                            lambda v, i: F.struct(F.get(x, i).alias("a"), v.alias("b")))
-        high = _sum(x, lambda v: F.when(v >= k / 2.0, 1.0).otherwise(0.0))
-        low = n - high
-        runs = 1.0 + _sum(pairs, lambda q: F.when((q["a"] >= k / 2.0) != (q["b"] >= k / 2.0), 1.0)
-                          .otherwise(0.0))
-        both = 2.0 * high * low
-        mean_runs = both / n + 1.0
+        spread = F.lit(2.0) / (F.lit(9.0) * (k - 1.0))
+        z_chi = ((F.pow(F.greatest(chi, F.lit(0.0)) / (k - 1.0), F.lit(1.0 / 3.0)) - (1.0 - spread))
+                 / F.sqrt(spread))
+
+        both = 2.0 * s["high"] * (n - s["high"])
         var_runs = both * (both - n) / (n * n * (n - 1.0))
-        z_runs = F.when(var_runs > 0, F.abs(runs - mean_runs) / F.sqrt(var_runs)).otherwise(F.lit(40.0))
-        p_runs = 2.0 * _upper_tail(z_runs)
+        runs = 1.0 + _sum(s["pairs"], lambda q: F.when(
+            (q["a"] >= k / 2.0) != (q["b"] >= k / 2.0), 1.0).otherwise(0.0))
+        z_runs = F.when(var_runs > 0, F.abs(runs - both / n - 1.0) / F.sqrt(var_runs)).otherwise(F.lit(40.0))
 
-        mean = _sum(x) / n
-        top = let(mean, lambda m: _sum(pairs, lambda q: (q["a"] - m) * (q["b"] - m)))
-        square = let(mean, lambda m: _sum(x, lambda v: (v - m) * (v - m)))
+        top = _sum(s["pairs"], lambda q: (q["a"] - s["mean"]) * (q["b"] - s["mean"]))
+        square = _sum(x, lambda v: (v - s["mean"]) * (v - s["mean"]))
         z_serial = F.when(square > 0, F.abs(top / square) * F.sqrt(n)).otherwise(F.lit(40.0))
-        p_serial = 2.0 * _upper_tail(z_serial)
+        p_chi = _let(z_chi, _upper_tail)
+        p_runs = 2.0 * _let(z_runs, _upper_tail)
+        p_serial = 2.0 * _let(z_serial, _upper_tail)
         return F.least(F.lit(1.0), 3.0 * F.least(p_chi, p_runs, p_serial))
 
-    def symbols(s: Column) -> Column:
-        chars = F.split(s["body"], "")
+    def sums(s: Column) -> Column:
+        x, k = s["x"], s["k"]
+        n = F.size(x).cast("double")
         return F.struct(
+            x.alias("x"), s["counts"].alias("counts"), k.alias("k"), n.alias("n"),
+            F.transform(F.slice(x, F.lit(2), F.size(x) - 1),
+                        lambda v, i: F.struct(F.get(x, i).alias("a"), v.alias("b"))).alias("pairs"),
+            (_sum(x) / n).alias("mean"),
+            _sum(x, lambda v: F.when(v >= k / 2.0, 1.0).otherwise(0.0)).alias("high"))
+
+    def symbols(s: Column) -> Column:
+        return _let(F.split(s["body"], ""), lambda chars: F.struct(
             F.transform(chars, lambda c: F.instr(s["letters"], c) - 1).alias("x"),
             F.transform(F.array_distinct(chars),
                         lambda c: (F.length(s["body"]) - F.length(F.replace(s["body"], c, F.lit(""))))
                         .cast("double")).alias("counts"),
-            F.length(s["letters"]).cast("double").alias("k"))
+            F.length(s["letters"]).cast("double").alias("k")))
+
+    named = _let(F.rtrim(token, F.lit("=")),
+                 lambda b: F.struct(b.alias("body"), _alphabet(b).alias("letters")))
+    return _let(_let(_let(named, symbols), sums), tests)
+
 
-    body = F.rtrim(token, F.lit("="))
-    named = let(body, lambda b: F.struct(b.alias("body"), _alphabet(b).alias("letters")))
-    return let(let(named, symbols), tests)
+def _scan(text: Column, dismissals: float) -> Column:
+    """Struct of ``base`` and ``spans`` for a non-null text."""
+    none = F.array().cast("array<string>")
+    long_hex = f"[0-9a-f]{{{HEX_MIN},}}"  # runs are maximal, so this finds the long ones
+
+    def all_of(pattern: str, group: int = 0) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+    matches = F.struct(
+        all_of(ASSIGN).alias("assign"),
+        F.when(text.contains("AKIA"), all_of(ACCESS)).otherwise(none).alias("access"),
+        all_of(long_hex).alias("hex"),
+        all_of(CANDIDATE).alias("candidate"))
+
+    def locate(m: Column) -> Column:
+        keys = F.when(F.size(m["assign"]) > 0, all_of(ASSIGN, 2)).otherwise(none)
+        maybe = F.exists(m["candidate"], _mixed)
+        return F.struct(
+            F.array_sort(F.concat(
+                _let(keys, lambda g: _located(text, ASSIGN, 0, m["assign"], F.transform(
+                    g, lambda v: F.length(v) >= ASSIGN_MIN))),
+                _located(text, ACCESS, 1, m["access"], F.transform(
+                    m["access"], lambda v: F.length(v) >= ACCESS_MIN)),
+                _located(text, long_hex, 2, m["hex"], F.transform(m["hex"], lambda v: F.lit(True)))
+            )).alias("base"),
+            m["candidate"].alias("tokens"),
+            F.when(maybe, _located(text, CANDIDATE, 3, m["candidate"], F.transform(
+                m["candidate"], lambda v: F.lit(True)))).otherwise(F.array().cast(SPAN)).alias("where"))
+
+    def test(f: Column) -> Column:
+        paired = F.transform(f["where"], lambda w, i: F.struct(F.get(f["tokens"], i).alias("token"),
+                                                               w.alias("span")))
+        open_ = F.filter(paired, lambda z: _mixed(z["token"]) & ~F.exists(
+            f["base"], lambda b: (b["start"] <= z["span"]["start"]) & (b["end"] >= z["span"]["end"])))
+        return F.struct(f["base"].alias("base"), F.transform(open_, lambda z: F.struct(
+            z["span"].alias("span"), F.length(z["token"]).cast("double").alias("n"),
+            _p_value(z["token"]).alias("p"))).alias("tests"))
+
+    def weigh(f: Column) -> Column:
+        mean = _sum(f["tests"], lambda t: t["n"]) / F.greatest(F.size(f["tests"]), F.lit(1))
+        return F.struct(f["base"].alias("base"), _let(mean, lambda m: F.transform(
+            f["tests"], lambda t: F.struct((t["p"] * m / t["n"]).alias("p"), t["span"].alias("span"))))
+            .alias("tests"))
+
+    def limit(f: Column) -> Column:
+        ordered = F.array_sort(F.transform(f["tests"], lambda t: t["p"]))
+        dismissed = F.transform(ordered, lambda p, i: F.when(
+            p <= (i + 1) * F.lit(dismissals) / F.size(f["tests"]), p).otherwise(F.lit(-1.0)))
+        return F.struct(f["base"].alias("base"), f["tests"].alias("tests"), F.aggregate(
+            dismissed, F.lit(-1.0), lambda acc, p: F.greatest(acc, p)).alias("limit"))
+
+    def join(f: Column) -> Column:
+        random = F.transform(F.filter(f["tests"], lambda t: t["p"] > f["limit"]), lambda t: t["span"])
+        return F.struct(f["base"].alias("base"), F.array_sort(F.concat(f["base"], random)).alias("spans"))
+
+    return _let(_let(_let(_let(_let(matches, locate), test), weigh), limit), join)
+
+
+def _mixed(token: Column) -> Column:
+    """Digits and letters, and long enough without padding."""
+    return (token.rlike("[0-9]") & token.rlike("[A-Za-z]")
+            & (F.length(F.rtrim(token, F.lit("="))) >= CANDIDATE_MIN))
 
 
 def scan_secrets(docs: DataFrame, dismissals: float = FALSE_DISMISSALS) -> DataFrame:
     """Adds to every row ``base_spans`` and ``spans``: arrays of (start, rank,
     end), rank being the place of the kind in ``KINDS``, in order.
 
-    Null and empty texts have no spans. Other columns pass through; columns
-    the scan itself needs live in one struct and clash with none."""
-    names = docs.columns
-    text = F.coalesce(F.col("text"), F.lit(""))
-    held = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), text.alias("_t"))
-
-    def all_of(pattern: str, group: int) -> Column:
-        return F.regexp_extract_all(F.col("_t"), F.lit(pattern), F.lit(group))
-
-    none = F.array().cast("array<string>")
-    found = (held
-             .withColumn("_a", all_of(ASSIGN, 0))
-             .withColumn("_a2", F.when(F.size("_a") > 0, all_of(ASSIGN, 2)).otherwise(none))
-             .withColumn("_a_keep", F.transform("_a2", lambda g: F.length(g) >= ASSIGN_MIN))
-             .withColumn("_k", F.when(F.col("_t").contains("AKIA"), all_of(ACCESS, 0)).otherwise(none))
-             .withColumn("_h", F.when(F.col("_t").rlike(f"[0-9a-f]{{{HEX_MIN}}}"),
-                                      all_of(f"[0-9a-f]{{{HEX_MIN},}}", 0)).otherwise(none))
-             .withColumn("_c", all_of(CANDIDATE, 0)))
-    # Runs of hex digits are maximal, so matching only long ones finds the same spans.
-    spans = found.select(
-        "_row",
-        F.concat(_located("_t", ASSIGN, ASSIGN_MIN, "assign", "_a"),
-                 _located("_t", ACCESS, ACCESS_MIN, "access", "_k"),
-                 _located("_t", f"[0-9a-f]{{{HEX_MIN},}}", HEX_MIN, "hex", "_h")).alias("_base"),
-        "_c",
-        F.when(F.exists("_c", lambda c: c.rlike("[0-9]") & c.rlike("[A-Za-z]")),
-               _located("_t", CANDIDATE, CANDIDATE_MIN, "random", "_c"))
-        .otherwise(F.array().cast(SPAN)).alias("_where"))
-    # Candidates with digits and letters that no base span covers.
-    tested = spans.withColumn("_cand", F.filter(
-        F.transform("_where", lambda w, i: F.struct(F.get("_c", i).alias("token"), w.alias("span"))),
-        lambda z: z["token"].rlike("[0-9]") & z["token"].rlike("[A-Za-z]")
-        & (F.length(F.rtrim(z["token"], F.lit("="))) >= CANDIDATE_MIN)
-        & ~F.exists("_base", lambda b: (b["start"] <= z["span"]["start"]) & (b["end"] >= z["span"]["end"]))))
-    tested = tested.select("_row", "_base", F.transform(
-        "_cand", lambda z: F.struct(z["span"].alias("span"), F.length(z["token"]).cast("double").alias("n"),
-                                    _p_value(z["token"]).alias("p"))).alias("_tests"))
-    mean = _sum(F.col("_tests"), lambda t: t["n"]) / F.size("_tests")
-    weighed = tested.withColumn("_q", F.transform(
-        "_tests", lambda t: F.struct((t["p"] * mean / t["n"]).alias("p"), t["span"].alias("span"))))
-    ordered = F.array_sort(F.transform("_q", lambda t: t["p"]))
-    limit = F.aggregate(
-        F.transform(ordered, lambda p, i: F.when(
-            p <= (i + 1) * F.lit(dismissals) / F.size("_q"), p).otherwise(F.lit(-1.0))),
-        F.lit(-1.0), lambda acc, p: F.greatest(acc, p))
-    kept = (weighed.withColumn("_limit", limit)
-            .withColumn("_random", F.transform(F.filter("_q", lambda t: t["p"] > F.col("_limit")),
-                                               lambda t: t["span"])))
-    return kept.select(*[F.col("_row")[n].alias(n) for n in names],
-                       F.array_sort("_base").alias("base_spans"),
-                       F.array_sort(F.concat("_base", "_random")).alias("spans"))
+    Null and empty texts have no spans. Other columns pass through."""
+    found = _let(F.coalesce(F.col("text"), F.lit("")), lambda t: _scan(t, dismissals))
+    scanned = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"),
+                          found.alias("found"))
+    return scanned.select(*[F.col("row")[n].alias(n) for n in docs.columns],
+                          F.col("found.base").alias("base_spans"), F.col("found.spans").alias("spans"))
 
 
 def _joined(spans: str) -> Column:
