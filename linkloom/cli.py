@@ -87,14 +87,14 @@ def cmd_mark_done(spark, a) -> None:
 def cmd_ingest(spark, a) -> None:
     from .plans.ingest import ingest_wat_files
     result = ingest_wat_files(spark, a.wat, _table(a.ledger, a.format), _table(a.raw, a.format),
-                              glob=a.glob, partition_by_suffix=a.partition_by_suffix)
+                              glob=a.glob, partition_by_suffix=a.partition_by_suffix,
+                              retry_quarantined=a.retry_quarantined)
     print(f"ingested {result.count} file(s)")
 
 
 def cmd_ingest_stream(spark, a) -> None:
     from .streaming.ingest import start_ingest_stream
-    rate = a.max_files if a.max_files == "auto" else int(a.max_files)
-    q = start_ingest_stream(spark, a.wat, a.raw, a.checkpoint, max_files=rate,
+    q = start_ingest_stream(spark, a.wat, a.raw, a.checkpoint, max_files=a.max_files, job=a.job,
                             archive_dir=a.archive, fmt=a.format, available_now=a.once,
                             partition_by_suffix=a.partition_by_suffix)
     q.awaitTermination()
@@ -115,21 +115,21 @@ def cmd_dedup(spark, a) -> None:
 
 def cmd_export(spark, a) -> None:
     from .plans.warc_list import export_table
-    export_table(spark, _table(a.table, a.format), a.out, max_files=a.max_files)
+    export_table(spark, _table(a.table, a.format), a.out, max_files=a.max_files,
+                 null_value=a.null_value, trim_spaces=not a.keep_spaces)
 
 
 def cmd_stream(spark, a) -> None:
-    from .streaming.fanin import start_fan_in
-    from .streaming.jobs import AUTO, SPECS, StreamLayout, start_stream
+    from .functions.rules import KR_FAN_IN
+    from .streaming.jobs import SPECS, StreamLayout, start_fan_in, start_stream
     layout = StreamLayout(base=a.base, checkpoints=a.checkpoints or join_path(a.base, "_checkpoints"),
                           fmt=a.format, raw_path=a.raw)
-    rate = a.max_files if a.max_files in (None, AUTO) else int(a.max_files)
     if a.job == "fan-in":
-        q = start_fan_in(spark, layout, join_path(a.base, "kr_http_links_by_rule"),
-                         join_path(layout.checkpoints, "fan_in"), max_files=rate or AUTO,
+        q = start_fan_in(spark, layout, layout.fan_in_folder("kr_http_links"),
+                         join_path(layout.checkpoints, "fan_in"), KR_FAN_IN, max_files=a.max_files,
                          available_now=a.once)
     else:
-        q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=rate)
+        q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=a.max_files)
     q.awaitTermination()
 
 
@@ -178,7 +178,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("n")
     s.add_argument("--url-list", required=True)
     s.add_argument("--ledger", required=True)
-    s.add_argument("--dest", required=True, help="folder (or pyarrow-readable uri) for the files")
+    s.add_argument("--dest", required=True, help="folder for the files, on a file system that all executors share")
     s.add_argument("--report", required=True, help="table recording every attempt")
     s.add_argument("--retries", type=int, default=10)
     s.add_argument("--wait", type=float, default=5.0, help="seconds between tries")
@@ -196,6 +196,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--glob")
     s.add_argument("--partition-by-suffix", action="store_true",
                    help="partition the raw table by url image suffix (prunes image selections)")
+    s.add_argument("--retry-quarantined", action="store_true", help="take files again that could not be read")
     s.set_defaults(fn=cmd_ingest)
 
     s = sub.add_parser("ingest-stream")
@@ -204,7 +205,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--archive")
     s.add_argument("--max-files", default="auto",
-                   help="files per micro-batch: a number, or 'auto' (one per task slot; default)")
+                   help="files per micro-batch: a number, or 'auto' (a thousand; default)")
+    s.add_argument("--job", default="ingest", help="name of this job among those filling the raw table")
     s.add_argument("--once", action="store_true", help="take what is there and stop")
     s.add_argument("--partition-by-suffix", action="store_true")
     s.set_defaults(fn=cmd_ingest_stream)
@@ -226,6 +228,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--max-files", type=int, default=100)
+    s.add_argument("--null-value", help="marker for null cells (also keeps rows that are all null)")
+    s.add_argument("--keep-spaces", action="store_true", help="keep leading and trailing spaces")
     s.set_defaults(fn=cmd_export)
 
     s = sub.add_parser("stream")
@@ -234,7 +238,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--raw", help="raw link table (default BASE/raw)")
     s.add_argument("--checkpoints")
     s.add_argument("--max-files", default="auto",
-                   help="files per micro-batch: a number, or 'auto' (>= one per task slot; default)")
+                   help="files per micro-batch: a number, or 'auto' (a thousand; default)")
     s.add_argument("--once", action="store_true", help="take what is there and stop")
     s.set_defaults(fn=cmd_stream)
 

@@ -40,6 +40,7 @@ def distinct_urls(df: DataFrame, url: str = "url") -> DataFrame:
 
 def new_urls_only(df: DataFrame, existing: DataFrame, url: str = "url") -> DataFrame:
     """Rows whose url is not yet in ``existing`` (null matches null), so that
-    appending the result to ``existing`` keeps it free of repeats."""
-    known = existing.select(F.col(url).alias("_known_url")).distinct()
+    appending the result to ``existing`` keeps it free of repeats. An anti
+    join does not mind repeats on its right side, so each side is shuffled once."""
+    known = existing.select(F.col(url).alias("_known_url"))
     return df.join(known, df[url].eqNullSafe(known["_known_url"]), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..schema import BOOKKEEPING_COLUMNS
 
-from ..functions.rules import (JP, JPEG, JPG, KR, PNG, SUFFIX_COLUMN, Rule, all_of, any_of, rule,
+from ..functions.rules import (JP, JPEG, JPG, PNG, SUFFIX_COLUMN, Rule, all_of, any_of, rule,
                                suffix_pruning, url_present, url_suffix_class)
 
 
@@ -40,14 +40,6 @@ def with_url_suffix(df: DataFrame, url: str = "url") -> DataFrame:
     return df.withColumn(SUFFIX_COLUMN, url_suffix_class(url))
 
 
-def japan_links(df: DataFrame) -> DataFrame:
-    return df.where(JP.column())
-
-
-def korea_links(df: DataFrame) -> DataFrame:
-    return df.where(KR.column())
-
-
 def jp_jpg_jpeg(df: DataFrame) -> DataFrame:
     """Japanese jpg and jpeg links, all columns.
 
@@ -63,10 +55,6 @@ def jp_png(df: DataFrame) -> DataFrame:
     return df.where(_prune(df, url_present() & PNG.column() & JP.column(), [PNG]))
 
 
-def url_only(df: DataFrame) -> DataFrame:
-    return df.select("url")
-
-
 def link_columns(df: DataFrame) -> DataFrame:
     """Drop the raw table's bookkeeping partition columns (run, suffix class)."""
     return df.drop(*[c for c in BOOKKEEPING_COLUMNS if c in df.columns])

@@ -1,32 +1,15 @@
-"""Joins with a size-checked broadcast.
+"""Anti join on a key.
 
-A side is broadcast only after counting that it holds at most ``max_rows``
-rows. The count is a distributed aggregate (each task counts its part, only
-the counts move; on parquet only footers are read), so checking a side that
-turns out to be large never funnels its rows through one task. Beyond the
-bound the join is left to the planner (sort-merge on the key, with AQE free
-to re-plan and split skewed partitions).
+The join is left to the planner: sort-merge or hash on the key, with AQE free
+to broadcast a side whose measured bytes are small and to split skewed
+partitions. No counting job and no hint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Names of files are short strings; half a million of them stay far below
-# an executor's broadcast budget.
-DEFAULT_BROADCAST_ROWS = 500_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def anti_join(left: DataFrame, right: DataFrame, on: str | list[str] | Column,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows of ``left`` with no match in ``right``."""
-    return left.join(maybe_broadcast(right, max_broadcast_rows), on, "left_anti")
+    return left.join(right, on, "left_anti")

@@ -2,9 +2,8 @@
 
 The ledger is a one-column table ``file_name``; the name (not the path) is
 the key, so a file moved to another folder still counts as done. Checking
-a listing against it is a left anti join on the name: the ledger is
-broadcast only after its size is checked, otherwise both sides shuffle on
-the name. Nothing but the final, bounded plan ever reaches the driver.
+a listing against it is a left anti join on the name, planned by Spark
+from the measured sizes. Nothing but the final, bounded plan ever reaches the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from ..schema import LEDGER_SCHEMA
 from ..sinks.tables import append_table
 from ..sources.files import empty_frame, is_path_not_found
 from ..tables import LinkTable, as_table
-from .joins import DEFAULT_BROADCAST_ROWS, anti_join
+from .joins import anti_join
 
 
 def read_ledger(spark: SparkSession, table: LinkTable | str,
@@ -60,19 +59,17 @@ def with_path_name(files: DataFrame, path: str = "path", out: str = "file_name")
     return files.withColumn(out, file_name_of_path(path))
 
 
-def pending_files(files: DataFrame, ledger: DataFrame, name: str = "file_name",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def pending_files(files: DataFrame, ledger: DataFrame, name: str = "file_name") -> DataFrame:
     """Rows of ``files`` whose ``name`` is not in the ledger.
 
     The ledger may hold a name twice; an anti join does not care, so it goes
     to the join as it is (no extra shuffle to make it distinct).
     """
     done = ledger.select(F.col("file_name").alias(name))
-    return anti_join(files, done, name, max_broadcast_rows)
+    return anti_join(files, done, name)
 
 
-def download_plan(urls: DataFrame, ledger: DataFrame, n: int, url: str = "value",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def download_plan(urls: DataFrame, ledger: DataFrame, n: int, url: str = "value") -> DataFrame:
     """The first ``n`` files still to fetch, by url: ``file_name, url``.
 
     A url whose name is empty (blank line, trailing slash) cannot be fetched
@@ -85,6 +82,6 @@ def download_plan(urls: DataFrame, ledger: DataFrame, n: int, url: str = "value"
     named = (urls.select(F.col(url).alias("url"))
              .withColumn("file_name", file_name_of_url("url"))
              .where(F.col("file_name") != ""))
-    todo = pending_files(named, ledger, "file_name", max_broadcast_rows)
+    todo = pending_files(named, ledger, "file_name")
     one_per_name = todo.groupBy("file_name").agg(F.min("url").alias("url"))
     return one_per_name.orderBy("url", "file_name").limit(n)

@@ -12,21 +12,22 @@ from pyspark.sql import types as T
 
 from ..functions.names import file_name_of_url, warc_to_wat
 from ..operators.filters import link_columns
-from ..operators.ledger import download_plan, pending_files
+from ..operators.dedup import dedup_urls
+from ..operators.ledger import download_plan, merge_ledger, pending_files
 from ..sinks.tables import append_table, export_delimited
 from ..session import join_path, new_work_dir
 from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, raw_links_table,
                                read_driver_table, stored_links, warc_names, warc_names_of,
-                               wat_files_folder)
-from ..sources.files import list_files, read_lines, read_table
+                               wat_files_folder, write_wat_files)
+from ..sources.files import copy_file, list_files, read_lines, read_table
 from ..sources.wat import read_wat_links
 from ..tables import LinkTable
 from . import oracle as O
 from .extract import audit_table, deduplicate_table, extract_jp_jpg_jpeg
 from .fetch import fetch_and_mark
-from .ingest import ingest_wat_files
+from .ingest import ingest_wat_files, read_quarantine
 from .queries import register
-from .warc_list import warc_csv_to_wat_list
+from .warc_list import convert_warc_list, load_warc_list, warc_csv_to_wat_list
 
 PLAN_SIZE = 20
 
@@ -51,6 +52,23 @@ def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_columns(read_table(spark, raw))
 
 
+@register("ingest_with_bad_file", O.WAT_LINKS)
+def q_ingest_with_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cut-off gzip among the files holds up neither its run nor later ones,
+    and stays recorded with its error."""
+    work = new_work_dir(spark, "badfile")
+    folder = write_wat_files(spark, sf_dir, join_path(work, "wat"))
+    whole = list_files(spark, folder, "*.gz").agg(F.min("path")).first()[0]
+    copy_file(spark, whole, join_path(folder, "cut.gz"), keep=0.6)
+    ledger, raw = LinkTable(join_path(work, "ledger")), LinkTable(join_path(work, "raw"))
+    ingest_wat_files(spark, folder, ledger, raw)
+    again = ingest_wat_files(spark, folder, ledger, raw)
+    bad = read_quarantine(spark, ledger).select("file_name").distinct().collect()
+    if again.count or [r.file_name for r in bad] != ["cut.gz"]:
+        raise RuntimeError(f"second run took {again.files}, quarantined {bad}")
+    return link_columns(read_table(spark, raw))
+
+
 @register("fetch_ingest", O.WAT_LINKS)
 def q_fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The download and ingest jobs end to end: metadata files in a "remote"
@@ -99,6 +117,22 @@ def q_wat_list_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, out)
 
 
+@register("wat_list_table", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, {O.wat_url_sql('warc_filename')} AS full_wat_path
+FROM ({O.WARC_NAMES})""")
+def q_wat_list_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list CSV with another column in front, through both tables by
+    overwrite (twice: the second replaces the first)."""
+    work = new_work_dir(spark, "wattable")
+    csv = join_path(work, "warc_csv")
+    warc_names(spark, sf_dir).select("o_orderkey", "warc_filename").write.option("header", True).csv(csv)
+    warc, wat = LinkTable(join_path(work, "warc")), LinkTable(join_path(work, "wat"))
+    for _ in range(2):
+        load_warc_list(spark, csv, warc)
+        out = convert_warc_list(spark, warc, wat)
+    return out
+
+
 # --- what is still to fetch ---------------------------------------------------
 
 _LEDGER_SQL = f"""
@@ -167,10 +201,26 @@ def q_jpg_distinct_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("table_audit", f"""
 SELECT 'jpn_jpg_links' AS table_name, count(*) AS row_count FROM ({_JPG_SQL})""")
 def q_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count of a table registered in the session catalog."""
+    """Count of a catalog table that the extract job made (its files lie in a
+    fresh folder, so no run meets another's)."""
     work = new_work_dir(spark, "audit")
     table = LinkTable(join_path(work, "jpn_jpg_links"))
-    raw = LinkTable(raw_links_table(spark, sf_dir))
-    extract_jp_jpg_jpeg(spark, raw, table)
-    read_table(spark, table).createOrReplaceTempView("jpn_jpg_links")
-    return audit_table(spark, "jpn_jpg_links")
+    extract_jp_jpg_jpeg(spark, LinkTable(raw_links_table(spark, sf_dir)), table)
+    name = "jpn_jpg_links_" + work.rsplit("-", 1)[1]
+    spark.catalog.createTable(name, path=table.path, source=table.fmt)
+    return audit_table(spark, name).withColumn("table_name", F.lit("jpn_jpg_links"))
+
+
+@register("dedup_any", f"SELECT DISTINCT url FROM ({O.SYNTHETIC_LINKS})")
+def q_dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per url, whichever row survives: its urls."""
+    return dedup_urls(stored_links(spark, sf_dir)).select("url")
+
+
+@register("ledger_merge", f"""
+SELECT file_name FROM ({_LEDGER_SQL}) UNION
+SELECT file_name FROM (SELECT file_name FROM ({_PENDING_SQL}) ORDER BY url LIMIT {PLAN_SIZE})""")
+def q_ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with the names of a fetched plan, as a set."""
+    lines, ledger = _fetch_inputs(spark, sf_dir)
+    return merge_ledger(ledger, download_plan(lines, ledger, PLAN_SIZE))

@@ -1,45 +1,65 @@
 """Ingest crawl-metadata files into the raw link table, each file once.
 
 Batch form: list the folder, drop the names already in the ledger (anti
-join), read **all** pending files in one multi-path scan (one task per
-gzip file, all in parallel) and write them as one run. Only the pending
-paths reach the driver (to hand them to the reader), never rows.
+join), read a run of pending files in one multi-path scan (one task per gzip
+file, all in parallel) and write them as one run. At most ``FILES_PER_RUN``
+paths reach the driver at a time (to hand them to the reader), never rows;
+more pending files are more runs.
 
 A run survives a crash at any point:
 
-1. it records its intents (file name, path, run id) first;
-2. it writes its rows into its own partition ``ingest_run=<id>`` of the raw
-   table with dynamic partition overwrite (the partition is published whole
-   at commit, or not at all);
-3. it appends the names with the run id to the ledger.
-
-One ingest at a time per ledger. The next call first finishes every run
-that has intents but no ledger rows: when its partition is there the data had committed and only the mark
-is written; otherwise the run's files are read and written again. Data that
-committed is never rewritten, so streams reading the raw table never see a
-file twice.
+1. its intents (file name, path, run id) are written first;
+2. its rows go to the partition ``ingest_run=<id>`` of the raw table;
+   unreadable files, if any, are recorded with their error in the quarantine
+   table before the partition appears;
+3. one row in the commits table says that the data is complete;
+4. the names of the good files are appended to the ledger.
+
+The commit row is the only proof. The next call (one ingest at a time per
+ledger) first finishes what a crash left: a run without a commit row is
+written again from its intents, replacing its whole partition; a committed
+run only gets its missing ledger names. Nothing is judged by what happens to
+lie in the raw table, so half-published partitions do no harm.
+
+On a path table a run is staged below ``_staging`` and published by renaming
+its one folder, so on file systems with an atomic rename a stream reading the
+table sees a run whole or not at all, also when a run is finished after a
+crash: a folder already published is left as it is. On stores without one,
+streams should read tables that ingest streams write (their sink logs name
+the committed files).
+
+A file that cannot be read (a cut-off gzip) does not hold up others: the run
+goes on without it. It stays out of the ledger and in the quarantine table;
+``retry_quarantined`` takes such files again.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import SUFFIX_COLUMN
 from ..operators.filters import with_url_suffix
+from ..operators.joins import anti_join
 from ..operators.ledger import pending_files, read_ledger, with_path_name
-from ..schema import INTENT_SCHEMA, RUN_COLUMN, RUN_LEDGER_SCHEMA
-from ..sinks.tables import append_table, overwrite_partitions
-from ..sources.files import list_files, read_table, table_exists
+from ..schema import (COMMIT_SCHEMA, INTENT_SCHEMA, LINK_SCHEMA, QUARANTINE_SCHEMA, RUN_COLUMN,
+                      RUN_LEDGER_SCHEMA)
+from ..session import join_path
+from ..sinks.tables import append_table, overwrite_partitions, overwrite_table
+from ..sources.files import list_files, move_folder, path_exists, table_exists
 from ..sources.wat import read_wat_links
+from ..streaming.sources import refuse_stream_folder
 from ..tables import LinkTable, as_table
 
+FILES_PER_RUN = 10_000
+STAGING = "_staging"
+
 # A gzip file is one task however large it is; its links are split into
 # files of at most this many rows so that scans of the raw table stay parallel.
 RECORDS_PER_FILE = 5_000_000
@@ -55,80 +75,138 @@ class IngestResult:
         return len(self.files)
 
 
-def intents_table(ledger: LinkTable) -> LinkTable:
-    """Where a ledger's run intents live (next to the ledger)."""
+def companion(ledger: LinkTable, kind: str) -> LinkTable:
+    """A table next to the ledger: ``intents``, ``commits`` or ``quarantine``."""
     if ledger.in_catalog:
-        return LinkTable.catalog(f"{ledger.name}_intents", ledger.fmt)
-    return LinkTable(f"{ledger.path.rstrip('/')}_intents", ledger.fmt)
+        return LinkTable.catalog(f"{ledger.name}_{kind}", ledger.fmt)
+    return LinkTable(f"{ledger.path.rstrip('/')}_{kind}", ledger.fmt)
 
 
 def new_run_id() -> str:
     return time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
 
 
+def read_quarantine(spark: SparkSession, ledger: LinkTable | str) -> DataFrame:
+    """``file_name, path, run_id, error`` of files that could not be read."""
+    return read_ledger(spark, companion(as_table(ledger), "quarantine"), QUARANTINE_SCHEMA)
+
+
 def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
-                glob: str | None = None):
-    """Pending files of the folder: ``path, file_name`` (lazy)."""
-    files = with_path_name(list_files(spark, wat_folder, glob))
-    return pending_files(files, read_ledger(spark, ledger))
+                glob: str | None = None, retry_quarantined: bool = False) -> DataFrame:
+    """Pending files of the folder: ``file_name, path``, one path per name (lazy)."""
+    ledger = as_table(ledger)
+    files = pending_files(with_path_name(list_files(spark, wat_folder, glob)), read_ledger(spark, ledger))
+    if not retry_quarantined:
+        files = anti_join(files, read_quarantine(spark, ledger).select("file_name"), "file_name")
+    return files.groupBy("file_name").agg(F.min("path").alias("path"))
 
 
-def run_written(spark: SparkSession, raw_table: LinkTable, run_id: str) -> bool:
-    """Whether the run's partition was published (a pruned, one-row probe)."""
-    try:
-        if not table_exists(spark, raw_table):
-            return False
-        raw = read_table(spark, raw_table)
-    except AnalysisException:  # a folder without data files yet (only empty runs)
-        return False
-    if RUN_COLUMN not in raw.columns:
-        return False
-    return raw.where(F.col(RUN_COLUMN) == run_id).limit(1).count() > 0
+def unreadable_path(exc: Exception, paths: list[str]) -> str | None:
+    """The file of this run that an error of the reader names, if any."""
+    found = re.search(r"while reading file (\S+?)\.? ", str(exc))
+    if not found:
+        return None
+    bare = re.compile(r"^[a-z0-9]+:/*")
+    named = bare.sub("/", found[1])
+    return next((p for p in paths if bare.sub("/", p) == named), None)
 
 
-def _write_run(spark: SparkSession, paths: list[str], raw_table: LinkTable, run_id: str,
-               records_per_file: int, partition_by_suffix: bool) -> None:
-    links = read_wat_links(spark, paths).withColumn(RUN_COLUMN, F.lit(run_id))
-    parts = [RUN_COLUMN]
-    if partition_by_suffix:
-        links, parts = with_url_suffix(links), [RUN_COLUMN, SUFFIX_COLUMN]
-    overwrite_partitions(links, raw_table, parts, max_records_per_file=records_per_file)
+def _folders(raw_table: LinkTable, run_id: str) -> tuple[str, str]:
+    """Where a run is staged, and its place in the table."""
+    folder = f"{RUN_COLUMN}={run_id}"
+    return join_path(raw_table.path, STAGING, folder), join_path(raw_table.path, folder)
 
 
-def _mark(spark: SparkSession, names: list[str], run_id: str, ledger: LinkTable) -> None:
-    rows = [(name, run_id) for name in names]
-    append_table(spark.createDataFrame(rows, RUN_LEDGER_SCHEMA), ledger)
+def _write_run(spark: SparkSession, paths: list[str], raw_table: LinkTable, run_id: str,
+               records_per_file: int, partition_by_suffix: bool) -> list[tuple[str, str]]:
+    """Write the run's readable files (staged on a path table, else into the
+    run's partition); returns (path, error) of the others."""
+    parts = [SUFFIX_COLUMN] if partition_by_suffix else []
+    bad: list[tuple[str, str]] = []
+    good = list(paths)
+    while True:
+        links = read_wat_links(spark, good) if good else spark.createDataFrame([], LINK_SCHEMA)
+        if partition_by_suffix:
+            links = with_url_suffix(links)
+        try:
+            if raw_table.in_catalog:
+                overwrite_partitions(links.withColumn(RUN_COLUMN, F.lit(run_id)), raw_table,
+                                     [RUN_COLUMN, *parts], max_records_per_file=records_per_file)
+            else:
+                staged = LinkTable(_folders(raw_table, run_id)[0], raw_table.fmt)
+                overwrite_table(links, staged, parts, max_records_per_file=records_per_file)
+            return bad
+        except Exception as exc:
+            path = unreadable_path(exc, good)
+            if path is None:
+                raise
+            bad.append((path, str(exc).splitlines()[0][:500]))
+            good.remove(path)
+
+
+def _mark(spark: SparkSession, names: DataFrame, ledger: LinkTable) -> None:
+    append_table(names.select("file_name", "run_id"), ledger)
+
+
+def _finish_run(spark: SparkSession, run_id: str, ledger: LinkTable, raw_table: LinkTable,
+                records_per_file: int, partition_by_suffix: bool) -> tuple[str, ...]:
+    """Write, commit and mark one run from its intents; returns the names taken."""
+    intents = read_ledger(spark, companion(ledger, "intents"), INTENT_SCHEMA).where(F.col("run_id") == run_id)
+    rows = sorted({(r.path, r.file_name) for r in intents.collect()})  # at most FILES_PER_RUN
+    published = False
+    if not raw_table.in_catalog:
+        staged, final = _folders(raw_table, run_id)
+        published = path_exists(spark, final) and not path_exists(spark, staged)
+    if published:  # renamed before a crash: complete, and its bad files are recorded
+        bad = [(r.path, r.error) for r in
+               read_quarantine(spark, ledger).where(F.col("run_id") == run_id).collect()]
+    else:
+        bad = _write_run(spark, [p for p, _ in rows], raw_table, run_id, records_per_file,
+                         partition_by_suffix)
+        if bad:
+            names = dict(rows)
+            append_table(spark.createDataFrame([(names[p], p, run_id, e) for p, e in bad],
+                                               QUARANTINE_SCHEMA), companion(ledger, "quarantine"))
+        if not raw_table.in_catalog:
+            move_folder(spark, staged, final)
+    append_table(spark.createDataFrame([(run_id,)], COMMIT_SCHEMA), companion(ledger, "commits"))
+    failed = {p for p, _ in bad}
+    taken = sorted({n for p, n in rows if p not in failed})
+    _mark(spark, spark.createDataFrame([(n, run_id) for n in taken], RUN_LEDGER_SCHEMA), ledger)
+    return tuple(taken)
 
 
 def finish_open_runs(spark: SparkSession, ledger: LinkTable, raw_table: LinkTable,
                      records_per_file: int = RECORDS_PER_FILE,
                      partition_by_suffix: bool = False) -> tuple[str, ...]:
-    """Complete runs that recorded intents but never reached their ledger mark."""
-    if not table_exists(spark, intents_table(ledger)):
+    """Complete runs that a crash left before their commit row or ledger names."""
+    if not table_exists(spark, companion(ledger, "intents")):
         return ()
-    intents = read_ledger(spark, intents_table(ledger), INTENT_SCHEMA)
-    done_runs = read_ledger(spark, ledger, RUN_LEDGER_SCHEMA).select("run_id").where(
-        F.col("run_id").isNotNull())
-    # Bounded by the files of unfinished runs (normally none).
-    open_rows = intents.join(done_runs, "run_id", "left_anti").collect()
-    by_run: dict[str, list] = defaultdict(list)
-    for row in open_rows:
-        by_run[row.run_id].append(row)
+    intents = read_ledger(spark, companion(ledger, "intents"), INTENT_SCHEMA)
+    commits = read_ledger(spark, companion(ledger, "commits"), COMMIT_SCHEMA)
+    marked = read_ledger(spark, ledger, RUN_LEDGER_SCHEMA)
+    settled = marked.select("file_name", "run_id").union(
+        read_quarantine(spark, ledger).select("file_name", "run_id"))
+    missing = anti_join(intents.select("file_name", "run_id"), settled, ["file_name", "run_id"])
+    # One row per run that a crash left open: at most a few, as a call finishes them first.
+    left = (missing.join(commits.withColumn("committed", F.lit(True)), "run_id", "left")
+            .groupBy("run_id").agg(F.first("committed").alias("committed")).collect())
     finished: list[str] = []
-    for run_id, rows in sorted(by_run.items()):
-        if not run_written(spark, raw_table, run_id):
-            _write_run(spark, sorted({r.path for r in rows}), raw_table, run_id,
-                       records_per_file, partition_by_suffix)
-        names = sorted({r.file_name for r in rows})
-        _mark(spark, names, run_id, ledger)
-        finished.extend(names)
+    for run_id, committed in sorted((r.run_id, r.committed) for r in left):
+        if committed:
+            names = missing.where(F.col("run_id") == run_id).distinct()
+            finished += sorted(r.file_name for r in names.select("file_name").collect())
+            _mark(spark, names, ledger)
+        else:
+            finished += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
     return tuple(finished)
 
 
 def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
                      raw_table: LinkTable | str, glob: str | None = None,
                      records_per_file: int = RECORDS_PER_FILE,
-                     partition_by_suffix: bool = False) -> IngestResult:
+                     partition_by_suffix: bool = False, retry_quarantined: bool = False,
+                     files_per_run: int = FILES_PER_RUN) -> IngestResult:
     """Take every not yet processed file of the folder into the raw table;
     returns the names taken (and those of interrupted runs it finished).
 
@@ -136,16 +214,18 @@ def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | s
     url's image suffix class, so image selections read one partition.
     """
     ledger, raw_table = as_table(ledger), as_table(raw_table)
+    if not raw_table.in_catalog:
+        refuse_stream_folder(spark, raw_table.path)
     resumed = finish_open_runs(spark, ledger, raw_table, records_per_file, partition_by_suffix)
-    pending = (plan_ingest(spark, wat_folder, ledger, glob)
-               .groupBy("file_name").agg(F.min("path").alias("path")))
-    chosen = pending.orderBy("file_name").collect()
-    if not chosen:
-        return IngestResult((), resumed)
-    run_id = new_run_id()
-    append_table(spark.createDataFrame([(r.file_name, r.path, run_id) for r in chosen],
-                                       INTENT_SCHEMA), intents_table(ledger))
-    _write_run(spark, [r.path for r in chosen], raw_table, run_id, records_per_file,
-               partition_by_suffix)
-    _mark(spark, [r.file_name for r in chosen], run_id, ledger)
-    return IngestResult(tuple(r.file_name for r in chosen), resumed)
+    taken: list[str] = []
+    while True:
+        pending = plan_ingest(spark, wat_folder, ledger, glob, retry_quarantined)
+        run = pending.limit(files_per_run).collect()
+        if not run:
+            return IngestResult(tuple(sorted(taken)), resumed)
+        run_id = new_run_id()
+        append_table(spark.createDataFrame([(r.file_name, r.path, run_id) for r in run], INTENT_SCHEMA),
+                     companion(ledger, "intents"))
+        taken += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
+        if len(run) < files_per_run or retry_quarantined:
+            return IngestResult(tuple(sorted(taken)), resumed)

@@ -6,8 +6,6 @@ registered as views (``pages``, ``lineitem``, ``orders``, ...).
 
 from __future__ import annotations
 
-from ..functions.names import WAT_URL_PREFIX
-from ..functions.rules import KR_FAN_IN, Rule
 from ..sources.derived import (ANCHOR_PATTERN, ANCHOR_TEXT_PATTERN, FILE_SUFFIXES, HREF_PATTERN,
                                LINK_PATH, SITE_SUFFIXES)
 
@@ -60,14 +58,26 @@ WARC_NAMES_FETCHED = WARC_NAMES.replace("FROM orders", "FROM orders WHERE o_orde
 
 
 def wat_url_sql(col: str) -> str:
-    return (f"'{WAT_URL_PREFIX}' || regexp_replace(regexp_replace({col}, '/warc/', '/wat/', 'g'),"
+    return (f"'https://data.commoncrawl.org/' || regexp_replace(regexp_replace({col}, '/warc/', '/wat/', 'g'),"
             f" '\\.warc', '.warc.wat', 'g')")
 
 
-def rule_sql(rule: Rule, url: str = "url") -> str:
-    return f"lower({url}) LIKE '{rule.pattern}'"
+# Fixed values, written out a second time so that a mistyped rule shows up.
+PATTERNS = {
+    "jpg": "http%.jpg", "jpeg": "http%.jpeg", "png": "http%.png", "bmp": "http%.bmp",
+    "jp": "%.jp/%", "kr": "%.kr/%",
+    "naver": "www.naver.com/%", "kakao": "%.kakao.com/%", "daum": "%.daum.net/%",
+    "coupang": "%.coupang.com/%", "nate": "%.nate.com/%", "chosun": "%.chosun.com/%",
+    "joins": "%.joins.com/%", "musinsa": "%.musinsa.com/%",
+}
+FAN_IN = ("kr", "joins", "musinsa", "daum", "nate", "chosun")
 
 
-def fan_in_sql(source: str, rules=KR_FAN_IN, keep: str = "url") -> str:
+def rule_sql(rule, url: str = "url") -> str:
+    """The predicate of a rule (or its name)."""
+    return f"lower({url}) LIKE '{PATTERNS[getattr(rule, 'name', rule)]}'"
+
+
+def fan_in_sql(source: str, rules=FAN_IN, keep: str = "url") -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{r.name}' AS rule, {keep} FROM ({source}) WHERE {rule_sql(r)}" for r in rules)
+        f"SELECT '{r}' AS rule, {keep} FROM ({source}) WHERE {rule_sql(r)}" for r in rules)

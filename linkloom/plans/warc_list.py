@@ -34,5 +34,7 @@ def export_table(spark: SparkSession, table: LinkTable | str, path: str, **kw) -
 
 def warc_csv_to_wat_list(spark: SparkSession, csv_path: str, export_path: str,
                          prefix: str = WAT_URL_PREFIX, **kw) -> None:
-    """The whole job without intermediate tables: CSV -> WAT urls -> text."""
-    export_delimited(warc_to_wat(read_csv_list(spark, csv_path), prefix=prefix), export_path, **kw)
+    """The whole job without intermediate tables: CSV -> WAT urls -> text, one
+    url a line whatever else the list holds."""
+    urls = warc_to_wat(read_csv_list(spark, csv_path), prefix=prefix).select("full_wat_path")
+    export_delimited(urls, export_path, **kw)

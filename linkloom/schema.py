@@ -46,6 +46,9 @@ RUN_LEDGER_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), Tru
 INTENT_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), True),
                               T.StructField("path", T.StringType(), True),
                               T.StructField("run_id", T.StringType(), True)])
+# A run whose data is complete, and files a run could not read.
+COMMIT_SCHEMA = T.StructType([T.StructField("run_id", T.StringType(), True)])
+QUARANTINE_SCHEMA = T.StructType([*INTENT_SCHEMA, T.StructField("error", T.StringType(), True)])
 
 # Bookkeeping partition columns a raw link table may carry besides the links.
 RUN_COLUMN = "ingest_run"

@@ -54,7 +54,7 @@ def build_session(app_name: str = "linkloom", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_STATIC_CONF, **conf}.items():
+    for key, value in {**_unset_by_launcher(DEFAULT_STATIC_CONF), **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     launched = spark.sparkContext.getConf()
@@ -65,42 +65,53 @@ def build_session(app_name: str = "linkloom", master: str | None = None,
     return spark
 
 
+def _unset_by_launcher(defaults: dict[str, str]) -> dict[str, str]:
+    """The defaults whose keys the launcher (spark-submit options,
+    PYSPARK_SUBMIT_ARGS, spark-defaults.conf) did not set. The JVM knows what
+    the launcher gave as soon as it runs."""
+    from pyspark import SparkConf, SparkContext
+
+    SparkContext._ensure_initialized()
+    launched = SparkConf(loadDefaults=True)
+    return {k: v for k, v in defaults.items() if not launched.contains(k)}
+
+
 SHUFFLE_KEYS = ("spark.sql.shuffle.partitions",
                 "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
 def size_shuffles(spark: SparkSession, conf: dict[str, str] | None = None,
-                  per_slot: int = 3, floor: int = 200) -> None:
-    """Start shuffles with enough partitions for the cluster, unless the
+                  partitions: int = 2_000) -> None:
+    """Start shuffles with enough partitions for a large one, unless the
     launcher or caller sized them.
 
     AQE only merges shuffle partitions (to its advisory size), it never
     splits an ordinary one, so the initial count must be large enough for
-    the biggest shuffle; small shuffles are merged back down at run time.
+    the biggest shuffle; small shuffles are merged back down at run time. The
+    number does not depend on how many executors have joined so far. A local
+    session keeps Spark's own number.
     """
     conf = conf or {}
     launched = spark.sparkContext.getConf()
     if any(key in conf or launched.contains(key) for key in SHUFFLE_KEYS):
         return
-    slots = spark.sparkContext.defaultParallelism
-    spark.conf.set(SHUFFLE_KEYS[1], str(max(floor, per_slot * slots)))
-
-
-def ensure_case_sensitive(spark: SparkSession) -> None:
-    """For schema inference over crawl JSON, whose keys may differ only in case."""
-    spark.conf.set("spark.sql.caseSensitive", "true")
+    if not spark.sparkContext.master.startswith("local"):
+        spark.conf.set(SHUFFLE_KEYS[1], str(partitions))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file
-    system. Only when it is unset (local runs and tests) do we make our own
-    and register it, so that ``DataFrame.checkpoint()`` works too.
+    system; without it there is no folder that all executors see, which is an
+    error. Only a session on one machine (local runs and tests) makes its own
+    and registers it, so that ``DataFrame.checkpoint()`` works too.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="linkloom-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -24,10 +24,13 @@ def _save(writer, table: LinkTable) -> None:
 
 
 def overwrite_table(df: DataFrame, table: LinkTable | str,
-                    partition_by: list[str] | None = None) -> None:
+                    partition_by: list[str] | None = None,
+                    max_records_per_file: int | None = None) -> None:
     """Replace the table's content (creates it when absent)."""
     table = as_table(table)
     writer = df.write.mode("overwrite").format(table.fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     _save(writer, table)
@@ -55,8 +58,9 @@ def overwrite_partitions(df: DataFrame, table: LinkTable | str, partition_by: li
     """Replace only the partitions ``df`` holds (dynamic partition overwrite);
     every other partition of the table stays as it is.
 
-    Spark writes the partitions to a staging folder and publishes each one
-    whole at job commit, so a partition is either complete or absent.
+    Spark stages the partitions and publishes them one by one at job commit: a
+    driver lost meanwhile may leave some of them, so a caller needs a proof of
+    its own that the write returned.
     """
     table = as_table(table)
     spark = df.sparkSession
@@ -88,28 +92,13 @@ def create_new_table(df: DataFrame, table: LinkTable | str) -> None:
     _save(df.write.mode("errorifexists").format(table.fmt), table)
 
 
-# Up to this many input partitions per output file, merging partitions
-# without a shuffle is cheaper than redistributing the rows.
-COALESCE_FACTOR = 4
-
-
 def bound_files(df: DataFrame, max_files: int) -> DataFrame:
     """At most ``max_files`` write tasks (so at most that many part files).
 
-    ``coalesce`` is narrow: it also narrows the stage that computes ``df``.
-    That is the cheapest choice while the input is only a few times wider
-    than the bound; for a much wider input (a large table) the rows are
-    redistributed instead, so the scan and filters keep their full
-    parallelism and only the write runs ``max_files`` tasks.
+    The rows are dealt out round-robin, so the scan and filters in front keep
+    their full parallelism and only the write runs ``max_files`` tasks. The
+    plan is the same at every size and nothing runs while it is built.
     """
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session)
-        return df.coalesce(max_files)
-    if n <= max_files:
-        return df
-    if n <= COALESCE_FACTOR * max_files:
-        return df.coalesce(max_files)
     return df.repartition(max_files)
 
 

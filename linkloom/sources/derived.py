@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import SUFFIX_COLUMN, url_suffix_class
-from ..operators.partitioning import spread_small_input
 from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINKS, PAYLOAD
 from ..session import join_path, new_work_dir
 from .files import table_exists
@@ -66,7 +65,7 @@ def anchor_text(anchor: Column) -> Column:
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, url, text``: one row per anchor of every page."""
-    pages = spread_small_input(read_driver_table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = read_driver_table(spark, sf_dir, "pages").select("page_id", "html")
     exploded = pages.select("page_id", F.explode(anchors("html")).alias("anchor"))
     return exploded.select("page_id", anchor_href(F.col("anchor")).alias("url"),
                            anchor_text(F.col("anchor")).alias("text"))
@@ -105,8 +104,7 @@ def synthetic_url() -> Column:
 def synthetic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link rows with the four ``lineitem`` keys (unique together) and the
     five link columns."""
-    li = spread_small_input(read_driver_table(spark, sf_dir, "lineitem")
-                            .select(*SYNTHETIC_KEYS, "l_returnflag"))
+    li = read_driver_table(spark, sf_dir, "lineitem").select(*SYNTHETIC_KEYS, "l_returnflag")
     return li.select(
         *SYNTHETIC_KEYS,
         F.lit(LINK_PATH).alias("path"),
@@ -197,14 +195,16 @@ def wat_text(pages: DataFrame) -> DataFrame:
 
 
 def write_wat_files(spark: SparkSession, sf_dir: str, folder: str,
-                    pages_per_file: int = 50) -> str:
+                    pages_per_file: int = 50, where: Column | None = None) -> str:
     """Write the pages as gzipped metadata files into ``folder`` and return it.
 
     The file count grows with the pages: each task cuts its output into files
     of at most ``pages_per_file`` records (no count job, no shuffle of the
     html).
     """
-    pages = spread_small_input(read_driver_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    pages = read_driver_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    if where is not None:
+        pages = pages.where(where)
     (wat_text(pages).select("value")
      .write.mode("errorifexists").option("compression", "gzip")
      .option("maxRecordsPerFile", pages_per_file).text(folder))

@@ -3,15 +3,21 @@ line files. All are lazy DataFrames; nothing is read into the driver."""
 
 from __future__ import annotations
 
+import time
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LINES_SCHEMA, WARC_LIST_SCHEMA
 from ..tables import LinkTable, as_table
 
 
+LISTING_TASKS = 8
+COPY_BYTES = 1 << 20
+
+
 def is_path_not_found(exc: AnalysisException) -> bool:
     condition = None
     for getter in ("getCondition", "getErrorClass"):
@@ -32,10 +38,14 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_csv_list(spark: SparkSession, path: str,
-                  schema: T.StructType = WARC_LIST_SCHEMA, sep: str = ",") -> DataFrame:
-    """CSV file list with a header row, read with a fixed schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+def read_csv_list(spark: SparkSession, path: str, column: str = WARC_LIST_SCHEMA[0].name,
+                  sep: str = ",") -> DataFrame:
+    """CSV file list: columns by the names in its header, all strings (no
+    inference pass). A list without ``column`` is an error."""
+    listed = spark.read.option("header", True).option("sep", sep).csv(path)
+    if column not in listed.columns:
+        raise ValueError(f"{path} has no column {column!r}, only {listed.columns}")
+    return listed
 
 
 def read_table(spark: SparkSession, table: LinkTable | str) -> DataFrame:
@@ -57,13 +67,15 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     sub-folders are not listed, nor is the sub-folder itself); a missing
     folder is an error.
 
-    The listing is Spark's own file index; the content column is pruned, so
-    only names are produced.
+    The names come from Spark's file index, which lists the folder while the
+    reader is made; they are dealt out over a bounded number of tasks, and no
+    file is opened.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder).select("path")
+    names = [unquote(name) for name in reader.load(folder).inputFiles()]
+    return spark.createDataFrame([(n,) for n in names], "path string").coalesce(LISTING_TASKS)
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,6 +108,74 @@ def table_exists(spark: SparkSession, table: LinkTable | str) -> bool:
         raise
 
 
-def with_file_name(df: DataFrame, column: str = "file_name") -> DataFrame:
-    """Add the base name of the file each row came from (file sources only)."""
-    return df.withColumn(column, F.col("_metadata.file_name"))
+# --- folders and small notes, through the path's own file system -----------------
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme it has on this cluster."""
+    jpath, fs = _hadoop(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _hadoop(spark, path)
+    return fs.exists(jpath)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries of one folder, hidden ones too."""
+    jpath, fs = _hadoop(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    jpath, fs = _hadoop(spark, path)
+    out = fs.create(jpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    jpath, fs = _hadoop(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; what lies at the target is replaced."""
+    jsource, fs = _hadoop(spark, source)
+    jtarget, _ = _hadoop(spark, target)
+    if fs.exists(jtarget):
+        fs.delete(jtarget, True)
+    if not fs.rename(jsource, jtarget):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def copy_file(spark: SparkSession, source: str, target: str, keep: float = 1.0) -> None:
+    """Copy a file, or its first part."""
+    jsource, fs = _hadoop(spark, source)
+    jtarget, target_fs = _hadoop(spark, target)
+    size = int(fs.getFileStatus(jsource).getLen() * keep)
+    read, written = fs.open(jsource), target_fs.create(jtarget, True)
+    try:
+        for at in range(0, size, COPY_BYTES):
+            written.write(bytearray(read.readNBytes(min(COPY_BYTES, size - at))))
+    finally:
+        written.close()
+        read.close()
+
+
+def set_modified(spark: SparkSession, path: str, offset_ms: int) -> None:
+    """Set a file's modification time to now plus an offset."""
+    jpath, fs = _hadoop(spark, path)
+    fs.setTimes(jpath, int(time.time() * 1000) + offset_ms, -1)

@@ -1,36 +1,15 @@
-"""Several selections into one table as one streaming query.
-
-Instead of six queries each scanning the raw table, one query evaluates
-all rules per row and writes ``rule, url`` partitioned by ``rule``: one
-scan, one checkpoint, one sink log; a url matching two rules is stored
-twice, as it would be by two appending jobs.
-"""
+"""The Korean fan-in as a job of its own (see ``jobs.start_fan_in``)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import KR_FAN_IN, Rule
-from ..operators.fanin import tag_rules
-from .jobs import AUTO, RAW, StreamLayout, read_table_stream, resolve_rate
-
-
-def start_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoint: str,
-                 rules: Sequence[Rule] = KR_FAN_IN, max_files: int | str = AUTO,
-                 available_now: bool = True) -> StreamingQuery:
-    """``max_files``: files per micro-batch, or ``"auto"`` (one per task slot)."""
-    source = read_table_stream(spark, layout, RAW, resolve_rate(spark, max_files, 1))
-    writer = (tag_rules(source, rules).writeStream.format(layout.fmt)
-              .outputMode("append").partitionBy("rule")
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(sink)
+from .jobs import StreamLayout, start_fan_in
 
 
 def run_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoint: str,
-               rules: Sequence[Rule] = KR_FAN_IN, max_files: int | str = AUTO) -> None:
+               rules: Sequence[Rule] = KR_FAN_IN, max_files: int | str | None = None) -> None:
     start_fan_in(spark, layout, sink, checkpoint, rules, max_files).awaitTermination()

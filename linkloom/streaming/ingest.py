@@ -2,35 +2,43 @@
 
 The stream's checkpoint is the ledger: a file is taken once by its base
 name (``fileNameOnly``), so the same file arriving in another folder is
-skipped, and a crash between writing and recording cannot repeat a file
-(the sink log commits the batch and the offsets together). Optionally the
-consumed files are moved to an archive folder once a later batch commits.
-Files per micro-batch default to one per task slot (``"auto"``).
+skipped however much later it comes, and a crash between writing and
+recording cannot repeat a file (the sink log commits the batch and the
+offsets together). Optionally the consumed files are moved to an archive
+folder once a later batch commits.
+
+Several ingest jobs may fill one raw table: each writes its own sub-folder
+``job=<name>`` and readers take their union (``read_raw``). A folder notes
+the checkpoint that owns it; any other writer is refused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import SUFFIX_COLUMN
 from ..operators.filters import with_url_suffix
 from ..schema import WAT_SCHEMA
+from ..session import join_path
 from ..sources.wat import explode_links
 from ..tables import DEFAULT_FORMAT
-from .jobs import AUTO, resolve_rate
+from .sources import JOB_FOLDER, claim, file_stream, raw_folders, resolve_rate, union_all
+
+JOB = "ingest"
 
 
 def start_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, checkpoint: str,
-                        max_files: int | str = AUTO, archive_dir: str | None = None,
+                        max_files: int | str | None = None, archive_dir: str | None = None,
                         fmt: str = DEFAULT_FORMAT, available_now: bool = True,
-                        partition_by_suffix: bool = False) -> StreamingQuery:
-    reader = (spark.readStream.schema(WAT_SCHEMA)
-              .option("fileNameOnly", True)
-              .option("maxFilesPerTrigger", resolve_rate(spark, max_files, 1)))
+                        partition_by_suffix: bool = False, job: str = JOB) -> StreamingQuery:
+    sink = join_path(raw_path, JOB_FOLDER + job)
+    claim(spark, sink, checkpoint)
+    options = {"fileNameOnly": True}
     if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    links = explode_links(reader.json(wat_path))
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    links = explode_links(file_stream(spark, WAT_SCHEMA, "json", resolve_rate(max_files), **options)
+                          .load(wat_path))
     if partition_by_suffix:
         links = with_url_suffix(links)
     writer = (links.writeStream.format(fmt).outputMode("append")
@@ -39,11 +47,16 @@ def start_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, check
         writer = writer.partitionBy(SUFFIX_COLUMN)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(raw_path)
+    return writer.start(sink)
 
 
 def run_ingest_stream(spark: SparkSession, wat_path: str, raw_path: str, checkpoint: str,
-                      max_files: int | str = AUTO, archive_dir: str | None = None,
-                      fmt: str = DEFAULT_FORMAT) -> None:
+                      max_files: int | str | None = None, archive_dir: str | None = None,
+                      fmt: str = DEFAULT_FORMAT, job: str = JOB) -> None:
     start_ingest_stream(spark, wat_path, raw_path, checkpoint, max_files, archive_dir,
-                        fmt).awaitTermination()
+                        fmt, job=job).awaitTermination()
+
+
+def read_raw(spark: SparkSession, raw_path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """The union of a raw table's job folders, each through its sink log."""
+    return union_all([spark.read.format(fmt).load(f) for f in raw_folders(spark, raw_path)])

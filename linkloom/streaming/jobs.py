@@ -7,11 +7,13 @@ shuffle, no state store, no watermark.
 
 Tables are folders below one base folder. A file sink owns its folder (two
 queries writing one folder lose rows), so a job writes to
-``<base>/<table>/<job>``; a table that several jobs append to is the union
-of its job folders, and a downstream job streams from all of them at once.
-Each folder is read through its sink log, so readers only ever see
-committed batches, and a job restarted from its checkpoint neither skips
-nor repeats a file.
+``<base>/<table>/<job>``. A table that several jobs append to is filled
+either by one fan-in job (all their rules in one scan of the raw table,
+folder ``fan_in``) or by the single jobs; it is the union of the folders
+that exist, and a downstream job streams from those. Each folder is read
+through its sink log, so readers only ever see committed batches, and a job
+restarted from its checkpoint neither skips nor repeats a file, however old
+the file is.
 """
 
 from __future__ import annotations
@@ -25,11 +27,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import (BMP, CHOSUN, DAUM, JOINS, JP, JPEG, JPG, KR, MUSINSA, NATE, PNG,
                                Rule, all_of, suffix_pruning, url_present)
+from ..operators.fanin import tag_rules
 from ..schema import URL_SCHEMA
 from ..session import join_path
+from ..sources.files import path_exists
 from ..tables import DEFAULT_FORMAT
+from .sources import file_stream, raw_folders, resolve_rate, union_all
 
 RAW = "raw"
+FAN_IN = "fan_in"
 
 
 @dataclass(frozen=True)
@@ -94,74 +100,80 @@ class StreamLayout:
     def writers(self, table: str) -> list[StreamSpec]:
         return [s for s in self.specs if s.sink == table]
 
-    def table_folders(self, table: str) -> list[str]:
+    def fan_in_folder(self, table: str) -> str:
+        return join_path(self.base, table, FAN_IN)
+
+    def table_folders(self, spark: SparkSession, table: str) -> list[str]:
+        """The folders of a table that exist: a feeder that never ran has none.
+        A table fed both by its fan-in and by single jobs would hold rows twice."""
         if table == RAW:
-            return [self.raw()]
+            return raw_folders(spark, self.raw())
         writers = self.writers(table)
         if not writers:
             raise KeyError(f"no job writes table {table!r}")
-        return [self.job_folder(s) for s in writers]
-
-    def upstream(self, spec: StreamSpec) -> list[StreamSpec]:
-        """Jobs that must have run before ``spec`` (transitively, in order)."""
-        if spec.source == RAW:
-            return []
-        out: list[StreamSpec] = []
-        for writer in self.writers(spec.source):
-            for dep in self.upstream(writer) + [writer]:
-                if dep not in out:
-                    out.append(dep)
-        return out
+        single = [f for f in map(self.job_folder, writers) if path_exists(spark, f)]
+        if not path_exists(spark, self.fan_in_folder(table)):
+            if not single:
+                raise FileNotFoundError(f"no job has written table {table!r} yet")
+            return single
+        if single:
+            raise RuntimeError(f"table {table!r} is fed by its fan-in and by single jobs: {single}")
+        return [self.fan_in_folder(table)]
+
+    def fans_in(self, table: str) -> bool:
+        """Whether one scan of the raw table can feed the table."""
+        writers = self.writers(table)
+        return len(writers) > 1 and all(
+            s.source == RAW and s.url_only and not s.require_url and len(s.rules) == 1 for s in writers)
 
 
-def _schema_of(spark: SparkSession, layout: StreamLayout, table: str) -> T.StructType:
+def _schema_of(spark: SparkSession, layout: StreamLayout, table: str, folder: str) -> T.StructType:
     if table == RAW:
-        return spark.read.format(layout.fmt).load(layout.raw()).schema
+        return spark.read.format(layout.fmt).load(folder).schema
+    if folder == layout.fan_in_folder(table):
+        return T.StructType([*URL_SCHEMA, T.StructField("rule", T.StringType(), True)])
     return URL_SCHEMA
 
 
 def read_table_stream(spark: SparkSession, layout: StreamLayout, table: str,
                       max_files: int) -> DataFrame:
-    """The table as one stream: the union of its folders' file streams."""
-    schema = _schema_of(spark, layout, table)
-    streams = [spark.readStream.schema(schema).format(layout.fmt)
-               .option("maxFilesPerTrigger", max_files).load(folder)
-               for folder in layout.table_folders(table)]
-    out = streams[0]
-    for other in streams[1:]:
-        out = out.unionByName(other)
-    return out
+    """The table as one stream. ``max_files`` is the rate of the whole batch:
+    several folders share it, with one file each at the least."""
+    folders = layout.table_folders(spark, table)
+    each = max(1, max_files // len(folders))
+    streams = [file_stream(spark, _schema_of(spark, layout, table, f), layout.fmt, each).load(f)
+               for f in folders]
+    return union_all(streams if table == RAW else [s.select("url") for s in streams])
 
 
 def read_table_batch(spark: SparkSession, layout: StreamLayout, table: str) -> DataFrame:
     """The committed content of a table (each folder through its sink log)."""
-    frames = [spark.read.format(layout.fmt).load(folder) for folder in layout.table_folders(table)]
-    out = frames[0]
-    for other in frames[1:]:
-        out = out.unionByName(other)
-    return out
-
-
-AUTO = "auto"
-
-
-def files_per_trigger(spark: SparkSession, spec: StreamSpec, max_files: int | str | None) -> int:
-    """Files admitted per micro-batch.
-
-    ``None`` keeps the job's own rate (1 or 4 files). ``"auto"`` admits at
-    least one file per task slot of the cluster: the jobs are stateless, so
-    the batch size changes throughput only, never the rows; a 1-file batch
-    would keep all but a few executors idle on a large cluster.
-    """
-    return resolve_rate(spark, max_files, spec.max_files)
+    frames = [spark.read.format(layout.fmt).load(f) for f in layout.table_folders(spark, table)]
+    return union_all(frames if table == RAW else [f.select("url") for f in frames])
+
+
+def start_fan_in(spark: SparkSession, layout: StreamLayout, sink: str, checkpoint: str,
+                 rules: Sequence[Rule], max_files: int | str | None = None,
+                 available_now: bool = True) -> StreamingQuery:
+    """Several selections of the raw table as one streaming query: one scan,
+    one checkpoint, one sink log. It writes ``rule, url`` partitioned by
+    ``rule``; a url matching two rules is stored twice, as it would be by two
+    appending jobs."""
+    source = read_table_stream(spark, layout, RAW, resolve_rate(max_files))
+    writer = (tag_rules(source, rules).writeStream.format(layout.fmt)
+              .outputMode("append").partitionBy("rule")
+              .option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(sink)
 
 
-def resolve_rate(spark: SparkSession, max_files: int | str | None, default: int) -> int:
-    if max_files is None:
-        return default
-    if max_files == AUTO:
-        return max(default, spark.sparkContext.defaultParallelism)
-    return int(max_files)
+def feed_table(spark: SparkSession, layout: StreamLayout, table: str,
+               max_files: int | str | None = None) -> None:
+    """Fill a table that several raw-fed jobs append to, by one fan-in job."""
+    rules = [s.rules[0] for s in layout.writers(table)]
+    start_fan_in(spark, layout, layout.fan_in_folder(table),
+                 join_path(layout.checkpoints, f"{FAN_IN}-{table}"), rules, max_files).awaitTermination()
 
 
 def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
@@ -169,7 +181,7 @@ def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
     """Start one job. With ``available_now`` it takes every file present at
     start (in batches of ``max_files``) and stops; otherwise it keeps running
     on the default trigger, as a resident job."""
-    source = read_table_stream(spark, layout, spec.source, files_per_trigger(spark, spec, max_files))
+    source = read_table_stream(spark, layout, spec.source, resolve_rate(max_files, spec.max_files))
     writer = (spec.transform(source).writeStream.format(layout.fmt)
               .outputMode("append")
               .queryName(f"linkloom_{spec.name}")
@@ -179,30 +191,18 @@ def start_stream(spark: SparkSession, spec: StreamSpec, layout: StreamLayout,
     return writer.start(layout.job_folder(spec))
 
 
-def depth(layout: StreamLayout, spec: StreamSpec) -> int:
-    """0 for jobs reading the raw table, else one more than their feeders."""
-    if spec.source == RAW:
-        return 0
-    return 1 + max(depth(layout, w) for w in layout.writers(spec.source))
-
-
 def run_stream(spark: SparkSession, spec: StreamSpec | str, layout: StreamLayout,
                with_upstream: bool = True, max_files: int | str | None = None) -> None:
-    """Run a job (and, first, the jobs feeding its source) to completion.
-
-    Jobs of one level of the chain run side by side, as resident jobs do (the
-    six Korean jobs feeding the Korean jpg job run at once); a level starts
-    when the one feeding it has caught up.
-    """
+    """Run a job to completion; first, what feeds its source: one fan-in job
+    where several raw-fed jobs append to it, else the jobs side by side. A
+    source that single jobs have begun to fill is continued by those jobs."""
     spec = SPECS[spec] if isinstance(spec, str) else spec
-    chain = (layout.upstream(spec) if with_upstream else []) + [spec]
-    levels: dict[int, list[StreamSpec]] = {}
-    for job in chain:
-        levels.setdefault(depth(layout, job), []).append(job)
-    for level in sorted(levels):
-        queries = [(job, start_stream(spark, job, layout, available_now=True, max_files=max_files))
-                   for job in levels[level]]
-        for job, query in queries:
-            query.awaitTermination()
-            if query.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
-                raise RuntimeError(f"stream {job.name} failed: {query.exception()}")
+    if with_upstream and spec.source != RAW:
+        feeders = layout.writers(spec.source)
+        begun = [s for s in feeders if path_exists(spark, layout.job_folder(s))]
+        if layout.fans_in(spec.source) and not begun:
+            feed_table(spark, layout, spec.source, max_files)
+        else:
+            for job in begun or feeders:
+                run_stream(spark, job, layout, True, max_files)
+    start_stream(spark, spec, layout, available_now=True, max_files=max_files).awaitTermination()

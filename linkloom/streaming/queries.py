@@ -20,10 +20,11 @@ from ..session import join_path, new_work_dir
 from ..sinks.tables import append_table
 from ..sources.derived import (raw_links_table, stored_links, synthetic_links, wat_files_folder,
                                write_wat_files)
-from ..sources.files import list_files, read_table
+from ..sources.files import copy_file, list_files, set_modified
 from .fanin import run_fan_in
-from .ingest import run_ingest_stream
-from .jobs import RAW, SPECS, STREAMS, StreamLayout, StreamSpec, read_table_batch, run_stream
+from .ingest import read_raw, run_ingest_stream
+from .jobs import (RAW, SPECS, STREAMS, StreamLayout, StreamSpec, feed_table, read_table_batch,
+                   run_stream)
 
 
 def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None,
@@ -67,7 +68,7 @@ for _spec in STREAMS:
     _stream_query(_spec)
 
 
-_FAN_IN_SQL = O.fan_in_sql(O.SYNTHETIC_LINKS, KR_FAN_IN)
+_FAN_IN_SQL = O.fan_in_sql(O.SYNTHETIC_LINKS)
 
 
 @register("fan_in", _FAN_IN_SQL)
@@ -87,9 +88,9 @@ def q_stream_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_kr_chain_table", f"""
 SELECT url FROM ({' UNION ALL '.join(spec_sql(s) for s in STREAMS if s.sink == 'kr_http_links')})""")
 def q_stream_kr_chain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Korean link table as six jobs append it (duplicates kept)."""
+    """The Korean link table as its six jobs fill it (duplicates kept), in one scan."""
     layout = new_layout(spark, "krtable", raw_links_table(spark, sf_dir))
-    run_stream(spark, SPECS["st7"], layout)
+    feed_table(spark, layout, "kr_http_links")
     return read_table_batch(spark, layout, "kr_http_links")
 
 
@@ -120,11 +121,11 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     wat = wat_files_folder(spark, sf_dir)
     raw, ckpt = join_path(work, "raw"), join_path(work, "checkpoint")
     run_ingest_stream(spark, wat, raw, ckpt)
-    first = read_table(spark, raw).count()
+    first = read_raw(spark, raw).count()
     run_ingest_stream(spark, wat, raw, ckpt)
-    if read_table(spark, raw).count() != first:
+    if read_raw(spark, raw).count() != first:
         raise RuntimeError("second ingest run added rows")
-    return read_table(spark, raw)
+    return read_raw(spark, raw)
 
 
 @register("stream_ingest_archive", O.WAT_LINKS)
@@ -143,4 +144,56 @@ def q_stream_ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .load(archive).select("path").count())
         if archived == 0:
             raise RuntimeError("no consumed file was archived")
-    return read_table(spark, raw)
+    return read_raw(spark, raw)
+
+
+DAY_MS = 86_400_000
+
+
+@register("stream_late_file", spec_sql(SPECS["st1"]))
+def q_stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive late, with a modification time twenty days behind
+    what the stream has already seen, are taken like any other."""
+    layout = new_layout(spark, "late")
+    links = synthetic_links(spark, sf_dir)
+    is_n = F.coalesce(F.col("text") == "N", F.lit(False))
+    spec = SPECS["st1"]
+    write_raw_links(spark, sf_dir, layout.raw(), links=links.where(~is_n))
+    run_stream(spark, spec, layout)
+    early = {r.path for r in list_files(spark, layout.raw(), "*.parquet").collect()}
+    write_raw_links(spark, sf_dir, layout.raw(), links=links.where(is_n))
+    for r in list_files(spark, layout.raw(), "*.parquet").collect():
+        if r.path not in early:
+            set_modified(spark, r.path, -20 * DAY_MS)
+    run_stream(spark, spec, layout)
+    return spark.read.format(layout.fmt).load(layout.job_folder(spec))
+
+
+@register("stream_same_name", O.WAT_LINKS)
+def q_stream_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file comes again in another folder twenty days later: its name is
+    known, so nothing is taken twice."""
+    work = new_work_dir(spark, "samename")
+    first, second = join_path(work, "wat", "first"), join_path(work, "wat", "second")
+    write_wat_files(spark, sf_dir, first)
+    raw, checkpoint = join_path(work, "raw"), join_path(work, "checkpoint")
+    run_ingest_stream(spark, join_path(work, "wat", "*", "*.gz"), raw, checkpoint)
+    for r in list_files(spark, first, "*.gz").collect():
+        target = join_path(second, r.path.rsplit("/", 1)[1])
+        copy_file(spark, r.path, target)
+        set_modified(spark, target, 20 * DAY_MS)
+    for _ in range(2):
+        run_ingest_stream(spark, join_path(work, "wat", "*", "*.gz"), raw, checkpoint)
+    return read_raw(spark, raw)
+
+
+@register("stream_ingest_two", O.WAT_LINKS)
+def q_stream_ingest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ingest streams (even and odd pages) into one raw table."""
+    work = new_work_dir(spark, "ingesttwo")
+    raw = join_path(work, "raw")
+    for job, parity in (("even", 0), ("odd", 1)):
+        wat = write_wat_files(spark, sf_dir, join_path(work, f"wat-{job}"),
+                              where=F.col("page_id") % 2 == parity)
+        run_ingest_stream(spark, wat, raw, join_path(work, f"checkpoint-{job}"), job=job)
+    return read_raw(spark, raw)

@@ -49,10 +49,10 @@ def test_jobs_end_to_end(spark, work, capsys):
     main(["export", "--table", j("jpg_distinct"), "--out", j("export")])
     assert read_lines(spark, j("export")).count() == 1
 
-    main(["stream", "st6", "--base", j("tables"), "--raw", j("raw"), "--once"])
+    main(["stream", "st6", "--base", j("single"), "--raw", j("raw"), "--once"])
     main(["stream", "fan-in", "--base", j("tables"), "--raw", j("raw"), "--once"])
-    assert spark.read.parquet(j("tables", "kr_http_links", "st6")).count() == 1
-    assert spark.read.parquet(j("tables", "kr_http_links_by_rule")).count() == 1
+    assert spark.read.parquet(j("single", "kr_http_links", "st6")).count() == 1
+    assert spark.read.parquet(j("tables", "kr_http_links", "fan_in")).count() == 1
 
     main(["audit", "--table", j("raw")])
     out = capsys.readouterr().out
@@ -94,6 +94,6 @@ def test_ingest_stream_job(spark, work):
             "--max-files", "1", "--once"]
     assert main(args) == 0
     assert main(args) == 0  # nothing new: nothing added
-    assert spark.read.parquet(os.path.join(work, "raw")).count() == 3
+    assert spark.read.parquet(os.path.join(work, "raw", "job=ingest")).count() == 3
     archived = [f for _, _, fs in os.walk(os.path.join(work, "arch")) for f in fs if f.endswith(".gz")]
     assert archived

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 
+import pytest
 from conftest import rows
 
 from linkloom.operators.ledger import read_ledger
@@ -59,3 +61,49 @@ def test_failures_are_replaced_within_the_run(spark, work):
     got = sorted((r.file_name, r.ok, r.fetch_round) for r in out.collect())
     assert got == [("a_missing.gz", False, 1), ("b.gz", True, 1), ("c.gz", True, 2)]
     assert sorted(r.file_name for r in read_ledger(spark, ledger).collect()) == ["b.gz", "c.gz"]
+
+
+class Response(io.BytesIO):
+    """What ``urlopen`` gives for a web address."""
+
+    def __init__(self, body, status=200, announced=None):
+        super().__init__(body)
+        self.status = status
+        self.headers = {} if announced is None else {"Content-Length": str(announced)}
+
+
+@pytest.mark.parametrize("response, ok, error", [
+    (dict(body=b"12345", announced=5), True, None),
+    (dict(body=b"12345"), True, None),
+    (dict(body=b"123", announced=5), False, "3 of 5 bytes came"),
+    (dict(body=b"12345", announced=5, status=206), False, "status 206"),
+])
+def test_a_file_has_arrived_when_it_is_whole(work, monkeypatch, response, ok, error):
+    import urllib.request
+
+    import pandas as pd
+
+    from linkloom.plans.fetch import _fetcher
+    monkeypatch.setattr(urllib.request, "urlopen", lambda *a, **k: Response(**response))
+    plan = pd.DataFrame([("f.gz", "https://h/f.gz")], columns=["file_name", "url"])
+    out = next(_fetcher(f"file://{work}", 1, 0, 1.0)(iter([plan]))).iloc[0]
+    assert bool(out.ok) is ok
+    assert (out.error is None) if error is None else error in out.error
+    assert [f for f in os.listdir(work) if f.endswith(".gz")] == (["f.gz"] if ok else [])
+
+
+def test_destination_is_one_folder_for_all(spark, monkeypatch):
+    from linkloom.plans import fetch
+    assert fetch.shared_uri(spark, "/tmp/x").startswith("file:///tmp/x")
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+    for uri, want in (("s3a://b/k", "s3://b/k"), ("hdfs://n/k", "hdfs://n/k"), ("file:/tmp/x", None)):
+        monkeypatch.setattr(fetch, "qualified", lambda *_, uri=uri: uri)
+        if want:
+            assert fetch.shared_uri(Cluster, uri) == want
+        else:
+            with pytest.raises(ValueError, match="own disk"):
+                fetch.shared_uri(Cluster, uri)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import shutil
 
 import pytest
 from conftest import rows
@@ -180,3 +181,67 @@ def test_ingest_of_files_without_links_then_real_ones(spark, work, monkeypatch):
     result = ingest_wat_files(spark, wat, ledger, raw)
     assert result.resumed == ("junk.gz",) and result.files == ("real.gz",)
     assert rows(read_table(spark, raw), "url") == [("r1",)]
+
+
+def test_crash_in_the_middle_of_a_suffix_layout_commit(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "p.gz"), ["http://a/x.jpg", "http://a/y.png", "http://b/z"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    monkeypatch.setattr(ingest, "move_folder", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest_wat_files(spark, wat, ledger, raw, partition_by_suffix=True)
+    monkeypatch.undo()
+    # A store without atomic rename: one leaf has arrived, the staged run is still there.
+    run = os.listdir(os.path.join(raw.path, "_staging"))[0]
+    shutil.copytree(os.path.join(raw.path, "_staging", run, "url_suffix=jpg"),
+                    os.path.join(raw.path, run, "url_suffix=jpg"))
+    result = ingest_wat_files(spark, wat, ledger, raw, partition_by_suffix=True)
+    assert result.resumed == ("p.gz",)
+    assert rows(read_table(spark, raw), "url") == [("http://a/x.jpg",), ("http://a/y.png",), ("http://b/z",)]
+
+
+def test_crash_after_the_rename_keeps_files_and_bad_ones(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "good.gz"), ["u1"])
+    wat_file(os.path.join(wat, "cut.gz"), [f"u{i}" for i in range(500)])
+    with open(os.path.join(wat, "cut.gz"), "r+b") as fh:
+        fh.truncate(200)
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    real = ingest.append_table
+
+    def no_commit(df, table, *a, **k):
+        if str(table).endswith("_commits"):
+            raise RuntimeError("lost before the commit row")
+        real(df, table, *a, **k)
+
+    monkeypatch.setattr(ingest, "append_table", no_commit)
+    with pytest.raises(RuntimeError):
+        ingest_wat_files(spark, wat, ledger, raw)
+    monkeypatch.undo()
+    before = sorted(os.listdir(os.path.join(raw.path, next(
+        d for d in os.listdir(raw.path) if d.startswith("ingest_run=")))))
+    assert ingest_wat_files(spark, wat, ledger, raw).resumed == ("good.gz",)
+    after = sorted(os.listdir(os.path.join(raw.path, next(
+        d for d in os.listdir(raw.path) if d.startswith("ingest_run=")))))
+    assert before == after  # a stream that saw these files sees no new ones
+    assert rows(read_table(spark, raw), "url") == [("u1",)]
+    assert {r.file_name for r in ingest.read_quarantine(spark, ledger).collect()} == {"cut.gz"}
+    wat_file(os.path.join(wat, "cut.gz"), ["u2"])  # the file is whole now
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 0
+    assert ingest_wat_files(spark, wat, ledger, raw, retry_quarantined=True).files == ("cut.gz",)
+    assert rows(read_table(spark, raw), "url") == [("u1",), ("u2",)]
+
+
+def test_many_files_are_several_runs(spark, work):
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    for i in range(5):
+        wat_file(os.path.join(wat, f"f{i}.gz"), [f"u{i}"])
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    assert ingest_wat_files(spark, wat, ledger, raw, files_per_run=2).count == 5
+    assert len([d for d in os.listdir(raw.path) if d.startswith("ingest_run=")]) == 3
+    assert read_table(spark, raw).count() == 5

@@ -9,7 +9,7 @@ import pytest
 from conftest import rows
 
 from linkloom.operators.dedup import dedup_stable, dedup_urls, distinct_urls, new_urls_only
-from linkloom.operators.joins import anti_join, has_at_most
+from linkloom.operators.joins import anti_join
 from linkloom.operators.ledger import (download_plan, mark_processed, merge_ledger, pending_files,
                                        read_ledger)
 from linkloom.tables import LinkTable
@@ -32,20 +32,19 @@ def test_merge_ledger_is_a_set(spark):
     assert rows(merged) == [("a",), ("b",), ("c",)]
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_pending_files_broadcast_or_shuffle_same_rows(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_pending_files_broadcast_or_shuffle_same_rows(spark, threshold):
     files = spark.createDataFrame([("/w/a.gz", "a.gz"), ("/w/b.gz", "b.gz"), ("/v/c.gz", "c.gz")],
                                   "path string, file_name string")
     ledger = names(spark, ["b.gz", "zz"])
-    out = pending_files(files, ledger, max_broadcast_rows=max_rows)
-    assert rows(out, "file_name") == [("a.gz",), ("c.gz",)]
-    hinted = "broadcast" in out._jdf.queryExecution().logical().toString().lower()
-    assert hinted == (max_rows > 0)  # hint only when the count is within the bound
-
-
-def test_size_check(spark):
-    assert has_at_most(spark.range(10), 10)
-    assert not has_at_most(spark.range(11), 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = pending_files(files, ledger)
+        assert rows(out, "file_name") == [("a.gz",), ("c.gz",)]
+        assert "hint" not in out._jdf.queryExecution().logical().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_anti_join_on_names(spark):

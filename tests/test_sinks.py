@@ -105,28 +105,62 @@ def test_catalog_table_and_database(spark):
     assert read_catalog_table(spark, "linkloom_audit_view").count() == 2
 
 
-def test_bound_files_keeps_upstream_parallel_for_wide_inputs(spark):
+def jobs_of(spark, fn):
+    """Ids of the Spark jobs that ``fn`` starts."""
+    group = f"watch-{id(fn)}"
+    spark.sparkContext.setJobGroup(group, "test")
+    fn()
+    return spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+
+
+def test_bound_files_keeps_upstream_parallel_and_starts_no_job(spark):
     from linkloom.sinks.tables import bound_files
-    narrow = spark.range(0, 100, numPartitions=3)
-    assert bound_files(narrow, 5) is narrow
-    mid = spark.range(0, 100, numPartitions=12)
-    plan = bound_files(mid, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "Coalesce" in plan and "Exchange" not in plan
-    wide = spark.range(0, 1000, numPartitions=40)
-    out = bound_files(wide, 5)
-    assert out.rdd.getNumPartitions() == 5
-    assert "Exchange" in out._jdf.queryExecution().executedPlan().toString()
-    assert out.count() == 1000
-
-
-def test_spread_small_input_only_below_task_slots(spark):
-    from linkloom.operators.partitioning import spread_small_input
-    slots = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, numPartitions=slots + 1)
-    assert spread_small_input(wide) is wide
-    small = spark.range(0, 100, numPartitions=1)
-    spread = spread_small_input(small)
-    assert spread.rdd.getNumPartitions() == slots and spread.count() == 100
+    for partitions in (3, 12, 40):
+        wide = spark.range(0, 1000, numPartitions=partitions).distinct()
+        assert len(jobs_of(spark, lambda: bound_files(wide, 5))) == 0
+        assert bound_files(wide, 5).count() == 1000
+    assert bound_files(spark.range(100), 5).rdd.getNumPartitions() == 5
+
+
+def test_flagship_plan_has_no_round_robin_shuffle(spark):
+    from linkloom.plans import registry
+    for name in ("page_links", "distinct_links"):
+        plan = registry.get(name).run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "RoundRobin" not in plan
+
+
+def test_listing_tasks_are_bounded(spark, work):
+    for i in range(30):
+        with open(os.path.join(work, f"f {i}.gz"), "w") as fh:
+            fh.write("1")
+    listed = list_files(spark, work)
+    assert listed.rdd.getNumPartitions() <= 8
+    assert {r.path.rsplit("/", 1)[1] for r in listed.collect()} == {f"f {i}.gz" for i in range(30)}
+
+
+def test_new_urls_only_shuffles_each_side_once(spark):
+    from linkloom.operators.dedup import new_urls_only
+    a, b = (spark.range(10).selectExpr("cast(id as string) url") for _ in range(2))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = new_urls_only(a, b)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_csv_list_goes_by_header_names(spark, work):
+    path = os.path.join(work, "l.csv")
+    with open(path, "w") as fh:
+        fh.write("id,warc_filename,size\n7,crawl-data/a/warc/x.warc.gz,10\n")
+    got = read_csv_list(spark, path)
+    assert got.columns == ["id", "warc_filename", "size"]
+    assert rows(got) == [("7", "crawl-data/a/warc/x.warc.gz", "10")]
+    with pytest.raises(ValueError, match="warc_filename"):
+        with open(path, "w") as fh:
+            fh.write("id,name\n7,x\n")
+        read_csv_list(spark, path)
 
 
 def test_list_files_is_one_level_files_only(spark, work):
@@ -189,3 +223,35 @@ def test_export_trims_spaces_unless_asked(spark, work):
                           .option("multiLine", True).csv(p))
     assert read(trimmed) == [(1, "a"), (2, "b\nc")]
     assert read(kept) == [(1, " a "), (2, "b\nc")]
+
+
+def test_launcher_settings_win_in_a_fresh_process():
+    import subprocess
+    import sys
+    code = ("from linkloom.session import build_session; s = build_session('t', master='local[1]');"
+            "print('WAIT', s.sparkContext.getConf().get('spark.locality.wait'),"
+            " s.sparkContext.getConf().get('spark.ui.enabled'))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root,
+           "PYSPARK_SUBMIT_ARGS": "--conf spark.locality.wait=7s pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "WAIT 7s false" in out.stdout, out.stderr[-2000:]
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster(spark):
+    from linkloom.session import checkpoint_root
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

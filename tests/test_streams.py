@@ -14,7 +14,7 @@ from linkloom.functions.rules import KR_FAN_IN
 from linkloom.operators.fanin import tag_rules
 from linkloom.sources.derived import synthetic_links
 from linkloom.streaming.fanin import run_fan_in
-from linkloom.streaming.ingest import run_ingest_stream, start_ingest_stream
+from linkloom.streaming.ingest import read_raw, run_ingest_stream, start_ingest_stream
 from linkloom.streaming.jobs import SPECS, STREAMS, StreamLayout, read_table_batch, run_stream, start_stream
 from linkloom.streaming.queries import write_raw_links
 
@@ -62,7 +62,7 @@ def test_kr_chain_keeps_duplicates_of_two_rules(spark, work):
     add_raw_file(spark, layout, ["http://x.co.kr/a.joins.com/i.jpg", "http://m.daum.net/p.jpg",
                                  "http://m.naver.com/p.jpg"])
     run_stream(spark, "st7", layout)
-    assert len(layout.upstream(SPECS["st7"])) == 6
+    assert os.listdir(os.path.join(layout.base, "kr_http_links")) == ["fan_in"]
     table = rows(read_table_batch(spark, layout, "kr_http_links"), "url")
     assert table.count(("http://x.co.kr/a.joins.com/i.jpg",)) == 2
     assert sink_urls(spark, layout, SPECS["st7"]) == sorted(
@@ -105,11 +105,11 @@ def test_ingest_stream_once_per_base_name(spark, work):
     wat(os.path.join(src, "d1", "b.gz"), ["u3"])
     raw, ckpt = os.path.join(work, "raw"), os.path.join(work, "ckpt")
     run_ingest_stream(spark, os.path.join(src, "*", "*.gz"), raw, ckpt)
-    assert rows(spark.read.parquet(raw), "url") == [("u1",), ("u2",), ("u3",)]
+    assert rows(read_raw(spark, raw), "url") == [("u1",), ("u2",), ("u3",)]
     wat(os.path.join(src, "d2", "a.gz"), ["other"])  # same base name, other folder: skipped
     wat(os.path.join(src, "d2", "c.gz"), ["u4"])
     run_ingest_stream(spark, os.path.join(src, "*", "*.gz"), raw, ckpt)
-    assert rows(spark.read.parquet(raw), "url") == [("u1",), ("u2",), ("u3",), ("u4",)]
+    assert rows(read_raw(spark, raw), "url") == [("u1",), ("u2",), ("u3",), ("u4",)]
 
 
 def test_ingest_stream_archives_consumed_files(spark, work):
@@ -121,7 +121,7 @@ def test_ingest_stream_archives_consumed_files(spark, work):
     q.awaitTermination()
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".gz")]
     assert 1 <= len(archived) <= 3
-    assert spark.read.parquet(os.path.join(work, "raw")).count() == 3
+    assert read_raw(spark, os.path.join(work, "raw")).count() == 3
 
 
 def test_stream_specs_table():
@@ -130,13 +130,62 @@ def test_stream_specs_table():
     assert sum(1 for s in STREAMS if s.sink == "kr_http_links") == 6
 
 
-def test_files_per_trigger(spark):
-    from linkloom.streaming.jobs import AUTO, files_per_trigger
-    slots = spark.sparkContext.defaultParallelism
-    assert files_per_trigger(spark, SPECS["st1"], None) == 1
-    assert files_per_trigger(spark, SPECS["st7"], None) == 4
-    assert files_per_trigger(spark, SPECS["st1"], AUTO) == max(1, slots)
-    assert files_per_trigger(spark, SPECS["st1"], 3) == 3
+def test_rates():
+    from linkloom.streaming.sources import AUTO, FILES_PER_BATCH, resolve_rate
+    assert resolve_rate(None, SPECS["st1"].max_files) == 1
+    assert resolve_rate(None, SPECS["st7"].max_files) == 4
+    assert resolve_rate(AUTO, 1) == FILES_PER_BATCH and resolve_rate("3", 1) == 3
+
+
+def test_st7_reads_the_feeders_that_exist(spark, work):
+    layout = layout_at(work)
+    add_raw_file(spark, layout, ["http://x.co.kr/a.jpg", "http://m.daum.net/p.jpg"])
+    with pytest.raises(FileNotFoundError):
+        run_stream(spark, "st7", layout, with_upstream=False)
+    run_stream(spark, "st6", layout)
+    run_stream(spark, "st7", layout, with_upstream=False)
+    assert sink_urls(spark, layout, SPECS["st7"]) == [("http://x.co.kr/a.jpg",)]
+    run_stream(spark, "st10", layout)  # a second feeder appears
+
+
+def test_a_table_is_fed_one_way(spark, work):
+    from linkloom.streaming.jobs import feed_table
+    layout = layout_at(work)
+    add_raw_file(spark, layout, ["http://x.co.kr/a.jpg"])
+    feed_table(spark, layout, "kr_http_links")
+    run_stream(spark, "st6", layout)
+    with pytest.raises(RuntimeError, match="fan-in"):
+        read_table_batch(spark, layout, "kr_http_links")
+
+
+def test_st7_rate_is_of_the_whole_batch(spark, work):
+    layout = layout_at(work)
+    write_raw_links(spark, SF_SMALL, layout.raw(), n_files=6)
+    from linkloom.streaming.jobs import feed_table
+    feed_table(spark, layout, "kr_http_links", max_files=1)
+    n_files = sum(f.endswith(".parquet") for _, _, fs in os.walk(layout.fan_in_folder("kr_http_links"))
+                  for f in fs)
+    query = start_stream(spark, SPECS["st7"], layout)
+    query.awaitTermination()
+    batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    assert n_files > 8 and len(batches) >= n_files / 4
+
+
+def test_ingest_streams_own_their_folders(spark, work):
+    from linkloom.plans.ingest import ingest_wat_files
+    from linkloom.streaming.ingest import read_raw
+    from linkloom.tables import LinkTable
+    raw = os.path.join(work, "raw")
+    for name in ("jp", "kr"):
+        wat(os.path.join(work, name, f"{name}.gz"), [f"http://{name}/"])
+        run_ingest_stream(spark, os.path.join(work, name), raw, os.path.join(work, "c" + name), job=name)
+    assert rows(read_raw(spark, raw), "url") == [("http://jp/",), ("http://kr/",)]
+    with pytest.raises(RuntimeError, match="belongs to"):
+        run_ingest_stream(spark, os.path.join(work, "jp"), raw, os.path.join(work, "other"), job="kr")
+    with pytest.raises(RuntimeError, match="ingest streams"):
+        ingest_wat_files(spark, os.path.join(work, "jp"), LinkTable(os.path.join(work, "l")), LinkTable(raw))
+    layout = StreamLayout(base=os.path.join(work, "t"), checkpoints=os.path.join(work, "c"), raw_path=raw)
+    assert read_table_batch(spark, layout, "raw").count() == 2
 
 
 def test_stream_follows_new_ingest_runs(spark, work):
