@@ -1,0 +1,73 @@
+"""HTML extraction (op2): fixtures with known article text."""
+
+import re
+from html import unescape
+
+import pytest
+
+from linkloom.llm.extract_html import extract_pages, main_text
+
+SF = "/root/testdata/sf0.01"
+P = ["First paragraph, with commas, and enough length to count as text.",
+     "Second paragraph; it is long enough, too, and has no links at all in it.",
+     "Third paragraph, which closes the article, is long as well, as it should be."]
+ARTICLE = "".join(f"<p>{p}</p>" for p in P)
+WANT = "\n\n".join(P)
+LINKS = "".join(f'<li><a href="/{i}">Menu entry number {i}, with, commas</a></li>' for i in range(9))
+LONG = "Something, that, is, not, part, of, the article, however, long, it, may, be, really. " * 4
+
+CASES = {
+    "nav and footer": (f"<body><nav><ul>{LINKS}</ul></nav><div>{ARTICLE}</div><footer>{LONG}</footer></body>", WANT),
+    "menu without nav": (f"<body><ul>{LINKS}</ul><div id=main>{ARTICLE}</div></body>", WANT),
+    "sidebar and comments": (f"<body><div class='content'>{ARTICLE}</div><div class='sidebar'><p>{LONG}</p></div>"
+                             f"<div id='comments'><p>{LONG}</p></div></body>", WANT),
+    "comments inside": (f"<article>{ARTICLE}<section class='comments'><p>{LONG}</p></section></article>", WANT),
+    "sections": ("<article><h1>Head</h1><section>" + f"<p>{P[0]}</p></section><section><p>{P[1]}</p><p>{P[2]}</p>"
+                 "</section></article>", "Head\n\n" + WANT),
+    "headline before container": (f"<body><h1>Head</h1><div>{ARTICLE}</div></body>", "Head\n\n" + WANT),
+    "form and notice": (f"<body><form><p>{LONG}</p></form><div role='alert'><p>{LONG}</p></div><main>{ARTICLE}</main>",
+                        WANT),
+    "hidden": (f"<main>{ARTICLE}<div style='display: none'><p>{LONG}</p></div><div hidden><p>{LONG}</p></div></main>",
+               WANT),
+    "header": (f"<body><header><p>{LONG}</p></header><article>{ARTICLE}</article></body>", WANT),
+    "script text": (f"<body><script>var t='<p>{LONG}</p>';</script><style>p{{}}</style><div>{ARTICLE}</div>", WANT),
+    "unclosed": ("<body><article>" + "".join(f"<p><b>{p}" for p in P) + "<footer>x", WANT),
+    "white space and references": ("<article><p>  a &amp;\n\t b&nbsp;&#8212; &lt;c&gt; &copy &unknown; <br>d </p></article>",
+                                   "a & b — <c> © &unknown; d"),
+    "table": ("<table><tr><td>" + P[0] + "<td>" + P[1] + "</table>", P[0] + "\n\n" + P[1]),
+    "page comments": (f"<!-- <p>{LONG}</p> --><div>{ARTICLE}</div>", WANT),
+    "plain": ("only text", "only text"),
+    "empty": ("", ""),
+    "no text": ("<html><head><title>x</title></head><body><img src=x></body></html>", ""),
+    "stray ends": (f"</p></div><article>{ARTICLE}</span></b></article></section>", WANT),
+    "unfinished tag": (f"<article>{ARTICLE}<a href='x", WANT),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_case(name):
+    html, want = CASES[name]
+    assert main_text(html) == want
+
+
+def test_pages_hold_their_articles(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    rows = extract_pages(pages).collect()
+    assert sorted(r.page_id for r in rows) == sorted(html)
+    for r in rows:
+        body = re.search(r"<article>(.*?)</article>", html[r.page_id], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", unescape(re.sub(r"<[^>]*>", " ", b))).strip()
+                  for b in re.split(r"</?p>|</?h1>", body)]
+        assert r.text == "\n\n".join(b for b in blocks if b)
+        assert r.n_chars == len(r.text)
+
+
+def test_odd_rows(spark):
+    long = "<article>" + "<p>" + "word, " * 20_000 + "</p>" + "</article>"
+    deep = "<div>" * 3_000 + P[0] + "</div>" * 3_000
+    rows = [(1, "u", None, 0), (None, None, "<p>x</p>", 0), (2, "u", long, 0), (2, "u", long, 0), (3, "v", deep, 0)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
+    got = {(r.page_id, r.url, r.n_chars, r.text[:5]) for r in extract_pages(pages).collect()}
+    assert got == {(1, "u", 0, ""), (None, None, 1, "x"), (2, "u", 119_999, "word,"), (3, "v", len(P[0]), "First")}
+    assert extract_pages(pages.limit(0)).count() == 0

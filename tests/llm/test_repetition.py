@@ -1,0 +1,102 @@
+"""Repetition measures (op3) against brute force."""
+
+import collections
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
+
+from linkloom.llm.repetition import longest_repeats, measure, repetition_verdict
+from linkloom.llm.textblocks import blocks
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
+
+
+def brute(text, least=5):
+    words = WORD.findall(text)
+    windows = collections.Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    in_window = {p for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1
+                 for p in range(i, i + 8)}
+    lines, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in lines
+            lines.add(line)
+    repeat = brute_repeats(words)
+    in_repeat = {p for i, k in enumerate(repeat) if k >= least for p in range(i, i + k)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(in_window),
+            len(in_repeat), max(repeat, default=0))
+
+
+def brute_repeats(words):
+    best = [0] * len(words)
+    for i in range(len(words)):
+        for j in range(len(words)):
+            if i != j:
+                k = 0
+                while i + k < len(words) and j + k < len(words) and words[i + k] == words[j + k]:
+                    k += 1
+                best[i] = max(best[i], k)
+    return best
+
+
+def measured(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())],
+                                       names=["doc_id", "text"])
+    out = []
+    for _, _, block in blocks(batch):
+        found = measure(block)
+        out += list(zip(*(v.tolist() for v in found.values())))
+    return out
+
+
+TEXTS = st.lists(st.text(alphabet="ab c\n\t#é日\r", max_size=80), max_size=6)
+
+
+@given(TEXTS)
+@settings(max_examples=150, deadline=None)
+def test_measures(texts):
+    assert measured(texts) == [brute(t) for t in texts]
+
+
+@given(st.lists(st.integers(0, 2), max_size=40))
+@settings(max_examples=150, deadline=None)
+def test_longest_repeats(values):
+    got = longest_repeats(np.array(values, dtype=np.uint64), np.zeros(len(values), dtype=np.int64))
+    assert got.tolist() == brute_repeats(values)
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
+    for r in repetition_verdict(docs).collect():
+        if len(texts[r.doc_id]) < 4000:
+            want = brute(texts[r.doc_id])
+            assert tuple(r[n] for n in names) == want[:5]
+            failed = want[0] < 20 or 100 * want[4] > 30 * want[0]
+            assert r.base_failed == failed and (not r.kept or not failed)
+            assert (r.covered_words, r.longest_repeat) == want[5:]
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"w{i}" for i in range(50_000))
+    same = "x " * 30_000
+    rows = [(1, None, 0), (1, "", 0), (None, long, 0), (2, same, 0), (2, same, 0), (3, " \n\n ", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int")
+    got = {(r.doc_id, r.n_words, r.kept) for r in repetition_verdict(docs).collect()}
+    assert got == {(1, 0, False), (None, 50_000, True), (2, 30_000, False), (3, 0, False)}
+    assert repetition_verdict(docs).count() == 6
+    assert repetition_verdict(docs.limit(0)).count() == 0
+
+
+def test_middling_repetition_fails_the_method_only(spark):
+    unique = [f"u{i}" for i in range(400)]
+    block = [f"r{i}" for i in range(6)]
+    words = []
+    for i in range(50):  # a six-word phrase between eight unique words
+        words += block + unique[8 * i:8 * i + 8]
+    row = repetition_verdict(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()
+    assert not row.base_failed and not row.kept and row.covered_words == 300
