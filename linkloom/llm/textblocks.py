@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2_000_000
-HASH_PIECE = 4_000_000
+BLOCK_BYTES = 1_000_000
+HASH_PIECE = 1_000_000
 MAX_POWERS = 4096
 
 SEPARATORS = np.zeros(256, dtype=bool)

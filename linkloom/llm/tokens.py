@@ -16,31 +16,31 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
-MEMORY_WORDS = 250_000
-MEMORY_PARTS = 350_000
+MEMORY_WORDS = 160_000
+MEMORY_PARTS = 250_000
 # No apostrophe: the pre-tokenizer gives contractions a token of their own.
 PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 PLAIN_CHARS = "".join(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x100)]))
 
 
-class Memory:
-    """A bounded map in two generations."""
+class Memory(dict):
+    """A bounded map in two generations; ``learn`` gives what it does not hold."""
 
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+    def __init__(self, size: int, learn):
+        self.size, self.learn, self.old = size, learn, {}
 
-    def recall(self, key):
-        """Value of a key that is not in ``new``, moved there; None if unknown."""
+    def __missing__(self, key):
         value = self.old.get(key)
-        if value is not None:
-            self.new[key] = value
+        if value is None:
+            value = self.learn(key)
+        self[key] = value
         return value
 
     def turn(self) -> None:
-        if len(self.new) > self.size:
-            self.new, self.old = {}, self.new
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
 
 
 class WordEncoder:
@@ -49,49 +49,30 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = Memory(MEMORY_WORDS), Memory(MEMORY_PARTS)
+        self.words, self.parts = Memory(MEMORY_WORDS, self._word), Memory(MEMORY_PARTS, self._part)
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.spelling = str.maketrans({c: split(c)[0][0] for c in PLAIN_CHARS})
 
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token."""
-        found = self.parts.new.get(part)
-        if found is None:
-            found = self.parts.recall(part)
-        if found is None:
-            tokens = self.tokenizer.model.tokenize(part.translate(self.spelling))
-            found = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-            self.parts.new[part] = found
-        return found
-
-    def _learn(self, missing: set[bytes]) -> None:
-        odd, new = [], self.words.new
-        for word in missing:
-            if self.words.recall(word) is not None:
-                continue
-            text = word.decode("utf-8", "replace")
-            plain = PLAIN_WORD.fullmatch(text)
-            if plain:
-                letters, tail = plain.groups()
-                ids = self._part(letters.lower())
-                new[word] = ids + self._part(tail) if tail else ids
-            else:
-                odd.append((word, text))
-        if odd:
-            import numpy as np
-
-            whole = self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False)
-            for (word, _), found in zip(odd, whole):
-                new[word] = np.array(found.ids, dtype="<u4").tobytes()
+        tokens = self.tokenizer.model.tokenize(part.translate(self.spelling))
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        plain = PLAIN_WORD.fullmatch(text)
+        if plain:
+            letters, tail = plain.groups()
+            ids = self.parts[letters.lower()]
+            return ids + self.parts[tail] if tail else ids
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         self.words.turn()
         self.parts.turn()
-        split = [t.split() for t in texts]
-        known = self.words.new
-        self._learn(set(chain.from_iterable(split)).difference(known))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [b"".join(map(self.words.__getitem__, t.split())) for t in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
