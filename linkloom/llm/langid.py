@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .shipping import ship
 from .textblocks import TextBlock, blocks, hash_words, mix64, split_words
 
-SAMPLE, SAMPLE_CHARS = 800, 20_000
+SAMPLE, SAMPLE_CHARS, LANGUAGES = 800, 20_000, 200
 BUCKETS = 4096
-BLOCK_DOCS = 512
+BLOCK_DOCS = 256
 ROUNDS, PENALTY = 150, 1e-4
 UNKNOWN = "und"
 
@@ -80,8 +80,8 @@ def vectors(block: TextBlock) -> np.ndarray:
 
 def fit_machine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Linear support vector machine (squared hinge, accelerated gradient),
-    classes weighted equally; the last entry is the bias. ``y`` is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    classes weighted equally; the last entry is the bias, for which the last
+    column of ``x`` is 1. ``y`` is -1 or 1."""
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = np.zeros(x.shape[1], np.float32)
     ahead, t = w.copy(), 1.0
@@ -132,12 +132,13 @@ class Model:
 
 
 def _stacked(texts: list[str]) -> np.ndarray:
-    out = []
+    """Feature vectors of texts with a last column of ones."""
+    out = np.ones((len(texts), BUCKETS + 1), np.float32)
     for k in range(0, len(texts), BLOCK_DOCS):
         raw = [t.encode() for t in texts[k:k + BLOCK_DOCS]]
         off = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
-        out.append(vectors(TextBlock(np.frombuffer(b"".join(raw), np.uint8), off)))
-    return np.concatenate(out)
+        out[k:k + len(raw), :-1] = vectors(TextBlock(np.frombuffer(b"".join(raw), np.uint8), off))
+    return out
 
 
 def train(texts: list[str], langs: list[str]) -> Model:
@@ -173,14 +174,19 @@ def held_out(doc_id) -> Column:
 
 def sample_and_train(docs: DataFrame) -> Model:
     """Train from about ``SAMPLE`` documents of each language outside the
-    held-out rows, chosen by hash of the doc_id."""
+    held-out rows, chosen by hash of the doc_id; at most the ``LANGUAGES``
+    most frequent languages."""
     known = (docs.select("doc_id", "lang", "text")
              .where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id"))))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    chance = F.broadcast(counts.select("lang", (F.lit(float(SAMPLE)) / F.col("n")).alias("chance")))
+    counts = (known.groupBy("lang").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    if not counts:
+        return train([], [])
+    chances = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE / r["n"]))])
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / float(1 << 53)
-    rows = (known.where(F.length("text").between(1, SAMPLE_CHARS)).join(chance, "lang")
-            .where(place < F.col("chance")).select("text", "lang").collect())
+    rows = (known.where(F.length("text").between(1, SAMPLE_CHARS))
+            .where(place < F.coalesce(F.try_element_at(chances, F.col("lang")), F.lit(0.0)))
+            .select("text", "lang").collect())
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

@@ -15,6 +15,7 @@ reads every whole text, with no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
-from .textblocks import (BYTE_POWERS, BYTE_VALUES, TextBlock, blocks, hash_words, mix64,
+from .textblocks import (BLOCK_BYTES, BYTE_POWERS, BYTE_VALUES, TextBlock, blocks, hash_words, mix64,
                          split_words)
 
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2_000, 4_000, 20_000
@@ -71,7 +72,7 @@ def sentences(block: TextBlock) -> Sentences:
         if j + 1 in BEGINNINGS:
             # Shorter words repeat their whole-word feature's bucket 0, which has no weight.
             kinds.append(np.where(there, mix64(running + np.uint64(j + 1)), np.uint64(0)))
-    features = np.stack(kinds, axis=1) % np.uint64(BUCKETS) if n else np.zeros((0, len(kinds)), np.uint64)
+    features = np.stack([(k % np.uint64(BUCKETS)).astype(np.int32) for k in kinds], axis=1)
     ends = np.concatenate(([0], np.cumsum(SENTENCE_ENDS[data])))
     key = ends[words.start] if n else np.zeros(0, np.int64)
     head = np.ones(n, dtype=bool)
@@ -80,7 +81,7 @@ def sentences(block: TextBlock) -> Sentences:
     within = at - np.maximum.accumulate(np.where(head, at, 0))
     first = np.flatnonzero(within % SENTENCE_WORDS == 0)
     last = np.append(first[1:], n) - 1
-    return Sentences(features.astype(np.int64), first, words.doc[first], words.start[first],
+    return Sentences(features, first, words.doc[first], words.start[first],
                      words.end[last] if len(first) else first)
 
 
@@ -108,6 +109,19 @@ def _join_blocks(texts: list[str]) -> TextBlock:
                      np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64))
 
 
+def _featured(texts: list[str]) -> Iterator[tuple[int, Sentences]]:
+    """(first text, its sentences) for blocks of texts, so that only one block's
+    features are held at a time."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= BLOCK_BYTES):
+            size += len(texts[stop])
+            stop += 1
+        yield at, sentences(_join_blocks(texts[at:stop]))
+        at = stop
+
+
 def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | None = None) -> Model:
     """Fit on whole texts with their labels. ``class_rows``: rows of class 0
     and 1 in the population the sample stands for. Equal texts with equal
@@ -116,22 +130,29 @@ def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | Non
     y = np.array([label for _, label in rows], dtype=float)
     if not len(y) or not 0 < y.sum() < len(y):
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
-    s = sentences(_join_blocks([t for t, _ in rows]))
-    n_docs, n_kinds = len(rows), s.features.shape[1]
-    word_doc = np.repeat(s.doc, np.diff(np.append(s.first, len(s.features))))
-    pairs = np.unique(s.features * np.int64(n_docs) + word_doc[:, None])
-    texts_with = np.bincount(pairs // n_docs, minlength=BUCKETS)
-    toxic_with = np.bincount(pairs // n_docs, y[pairs % n_docs], minlength=BUCKETS)
+    texts, n_docs = [t for t, _ in rows], len(rows)
+    texts_with, toxic_with = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at, s in _featured(texts):
+        word_doc = np.repeat(s.doc, np.diff(np.append(s.first, len(s.features))))
+        for kind in range(s.features.shape[1]):
+            pairs = np.unique(s.features[:, kind].astype(np.int64) * n_docs + word_doc + at)
+            texts_with += np.bincount(pairs // n_docs, minlength=BUCKETS)
+            toxic_with += np.bincount(pairs // n_docs, y[pairs % n_docs], minlength=BUCKETS)
     rate = y.mean()
     z = (toxic_with - rate * texts_with) / np.sqrt(rate * (1 - rate) * np.maximum(texts_with, 1))
     used = (texts_with >= LEAST_TEXTS) & (z >= LEAST_Z)
     used[0] = False
     # Only used features are kept: a flat list with its sentence.
-    sentence_of = np.repeat(np.arange(len(s.first)), np.diff(np.append(s.first, len(s.features))))
-    keep = used[s.features]
-    column = s.features[keep]
-    line = np.broadcast_to(sentence_of[:, None], keep.shape)[keep]
-    names, column = np.unique(column, return_inverse=True)
+    columns, lines, docs, n_lines = [], [], [], 0
+    for at, s in _featured(texts):
+        sentence_of = np.repeat(np.arange(len(s.first)), np.diff(np.append(s.first, len(s.features))))
+        keep = used[s.features]
+        columns.append(s.features[keep])
+        lines.append(np.broadcast_to(sentence_of[:, None], keep.shape)[keep] + n_lines)
+        docs.append(s.doc + at)
+        n_lines += len(s.first)
+    names, column = np.unique(np.concatenate(columns), return_inverse=True)
+    line, doc = np.concatenate(lines), np.concatenate(docs)
     share = np.ones(n_docs)
     if class_rows is not None:
         counts = np.array([(y == 0).sum(), (y == 1).sum()])
@@ -140,12 +161,12 @@ def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | Non
     w, b = np.zeros(len(names)), FIRST_BIAS
     square, square_b = np.full(len(names), 1e-8), 1e-8
     for _ in range(EPOCHS):
-        z = np.bincount(line, w[column], minlength=len(s.first)) + b
+        z = np.bincount(line, w[column], minlength=n_lines) + b
         p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
-        log_none = np.bincount(s.doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
+        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
         none = np.exp(log_none)
         blame = np.where(y == 1, none / np.maximum(1.0 - none, 1e-9), -1.0) * share
-        up = p * blame[s.doc]
+        up = p * blame[doc]
         g = np.bincount(column, up[line], minlength=len(names)) / n_docs
         square += g * g
         rate = STEP / np.sqrt(square)
