@@ -247,7 +247,7 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame:
     """The same rows and columns with every span replaced; overlapping spans
-    are replaced once. Null text stays null."""
+    are replaced once, a column ``n_chars`` follows. Null text stays null."""
     names = docs.columns
     scanned = scan_secrets(docs.select(
         F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("text").alias("text")))
@@ -266,8 +266,9 @@ def redact_secrets(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame
         if n == "text":
             cols.append(F.col("clean").alias(n))
         elif n == "n_chars":
-            cols.append(F.when(F.size("spans") > 0, F.length("clean").cast("long"))
-                        .otherwise(F.col("row")[n].cast("long")).alias(n))
+            kind = docs.schema[n].dataType
+            cols.append(F.when(F.size("spans") > 0, F.length("clean").cast(kind))
+                        .otherwise(F.col("row")[n]).alias(n))
         else:
             cols.append(F.col("row")[n].alias(n))
     return done.select(*cols)

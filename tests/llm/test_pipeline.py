@@ -78,6 +78,27 @@ def test_packing_stage_and_run(spark, staged):
     assert sorted(map(tuple, C.run(spark, SF).collect())) == sorted(map(tuple, after.collect()))
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and long texts, repeated rows and clashing column names."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, None, None, None, None, 1, "a", 5), (2, "", "en", "s", 0, 2, "b", 5),
+            (3, long, "en", "s", 7, 3, None, 5), (3, long, "en", "s", 7, 3, None, 5),
+            (4, long, None, "s", 7, 4, "d", 5), (None, "token=abcdef12 x", "en", "s", 16, 5, "e", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                       "rep long, gone_id string, spans int")
+    for empty in (False, True):
+        at = docs.limit(0) if empty else docs
+        for _, stage in C.STAGES[:-1]:
+            out = stage(spark, at, SF)
+            assert out.dtypes == docs.dtypes
+            at = out
+        got = sorted((tuple(r) for r in at.collect()), key=str)
+        want = [] if empty else [*rows[:4], (None, "[SECRET] x", "en", "s", 10, 5, "e", 5)]
+        assert got == sorted(want, key=str)
+        packed = C.STAGES[-1][1](spark, at, SF).collect()
+        assert sorted({r.doc_id for r in packed}, key=str) == sorted({r[0] for r in want}, key=str)
+
+
 def test_entry_registers_everything():
     import __spark_entry__ as E
 
