@@ -230,6 +230,17 @@ def _file_writer(target: str, path: str, end_id: int, mode: str, ids_per_file: i
     return run
 
 
+def _file_system_uri(spark: SparkSession, folder: str) -> str:
+    """Make the folder and name it the way ``pyarrow.fs`` does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    scheme, rest = fs.makeQualified(path).toString().split(":", 1)
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else f"{scheme}:{rest}"
+
+
 def write_token_files(docs: DataFrame, target: str, path: str, end_id: int = 1,
                       mode: str = "byte", ids_per_file: int = IDS_PER_FILE) -> DataFrame:
     """Encode all documents (null text: empty) in ascending doc_id order into
@@ -242,13 +253,7 @@ def write_token_files(docs: DataFrame, target: str, path: str, end_id: int = 1,
     """
     spark = docs.sparkSession
     ship(spark)
-    files = join_path(target, "files")
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(files)
-    jfs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    jfs.mkdirs(jpath)
-    uri = jfs.makeQualified(jpath).toString()
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
+    uri = _file_system_uri(spark, join_path(target, "files"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # The checksum spreads rows that share a doc_id (or have none) and keeps texts out of the
     # sample from which Spark takes the ranges.
