@@ -2,8 +2,8 @@
 of every stream job) to PLANS.md.
 
 Usage: python scripts/explain_plans.py [sf_dir] [out.md]
-Queries that write files run their writes first (the plan shown is the one
-of the DataFrame they return); stream jobs are shown as streaming plans.
+For queries that write first, the plan of every distinct write is shown before
+the plan of the DataFrame they return; stream jobs are shown as streaming plans.
 """
 
 from __future__ import annotations
@@ -22,24 +22,56 @@ def plan_text(df) -> str:
     return text.rstrip()
 
 
+class Writes:
+    """Records the plan of every batch write while it is open."""
+
+    METHODS = ("save", "parquet", "csv", "text", "json", "saveAsTable", "insertInto")
+
+    def __enter__(self):
+        from pyspark.sql.classic.dataframe import DataFrame  # noqa: F401  (the session is classic)
+        from pyspark.sql import DataFrameWriter
+
+        self.seen, self.cls = [], DataFrameWriter
+        self.kept = {m: getattr(DataFrameWriter, m) for m in self.METHODS}
+        for name, method in self.kept.items():
+            def recorded(writer, *args, _method=method, **kw):
+                text = plan_text(writer._df)
+                if text not in self.seen:
+                    self.seen.append(text)
+                return _method(writer, *args, **kw)
+            setattr(DataFrameWriter, name, recorded)
+        return self
+
+    def __exit__(self, *exc):
+        for name, method in self.kept.items():
+            setattr(self.cls, name, method)
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     out = argv[2] if len(argv) > 2 else os.path.join(os.path.dirname(__file__), "..", "PLANS.md")
     from linkloom.plans import registry
     from linkloom.session import build_session, join_path, new_work_dir
-    from linkloom.sources.derived import raw_links_table
+    from linkloom.sources.derived import raw_links_table, wat_files_folder
     from linkloom.streaming.jobs import STREAMS, StreamLayout, read_table_stream
 
     spark = build_session("plans", master="local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
+    raw_links_table(spark, sf_dir)
+    raw_links_table(spark, sf_dir, by_suffix=True)
+    wat_files_folder(spark, sf_dir)
     parts = ["# Physical plans\n",
              f"Generated by `scripts/explain_plans.py` on `{sf_dir}` (AQE shows the initial plan;"
-             " work folders are abbreviated).\n"]
+             " work folders are abbreviated). Inputs that many queries share are written once"
+             " before.\n"]
     for name, q in registry.REGISTRY.items():
         if name.startswith("stream_"):
             continue
-        df = q.run(spark, sf_dir)
-        parts.append(f"## {name}\n\n```\n{plan_text(df)}\n```\n")
+        with Writes() as writes:
+            df = q.run(spark, sf_dir)
+        parts.append(f"## {name}\n")
+        parts += [f"Write {i}:\n\n```\n{text}\n```\n" for i, text in enumerate(writes.seen, 1)]
+        parts.append(f"```\n{plan_text(df)}\n```\n")
     work = new_work_dir(spark, "plans")
     layout = StreamLayout(base=join_path(work, "t"), checkpoints=join_path(work, "c"),
                           raw_path=raw_links_table(spark, sf_dir))
