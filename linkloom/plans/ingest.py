@@ -12,14 +12,14 @@ A run survives a crash at any point:
 2. its rows go to the partition ``ingest_run=<id>`` of the raw table;
    unreadable files, if any, are recorded with their error in the quarantine
    table before the partition appears;
-3. one row in the commits table says that the data is complete;
-4. the names of the good files are appended to the ledger.
+3. the names of the good files are appended to the ledger;
+4. one row in the commits table says that the run is complete.
 
 The commit row is the only proof. The next call (one ingest at a time per
 ledger) first finishes what a crash left: a run without a commit row is
-written again from its intents, replacing its whole partition; a committed
-run only gets its missing ledger names. Nothing is judged by what happens to
-lie in the raw table, so half-published partitions do no harm.
+written again from its intents, replacing its whole partition, and marked
+(the ledger is read as a set, so marking twice is harmless). Leaf partitions
+that happen to lie in the raw table prove nothing.
 
 On a path table a run is staged below ``_staging`` and published by renaming
 its one folder, so on file systems with an atomic rename a stream reading the
@@ -38,7 +38,6 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +51,7 @@ from ..schema import (COMMIT_SCHEMA, INTENT_SCHEMA, LINK_SCHEMA, QUARANTINE_SCHE
                       RUN_LEDGER_SCHEMA)
 from ..session import join_path
 from ..sinks.tables import append_table, overwrite_partitions, overwrite_table
-from ..sources.files import list_files, move_folder, path_exists, table_exists
+from ..sources.files import list_files, move_folder, path_exists
 from ..sources.wat import read_wat_links
 from ..streaming.sources import refuse_stream_folder
 from ..tables import LinkTable, as_table
@@ -93,12 +92,12 @@ def read_quarantine(spark: SparkSession, ledger: LinkTable | str) -> DataFrame:
 
 def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
                 glob: str | None = None, retry_quarantined: bool = False) -> DataFrame:
-    """Pending files of the folder: ``file_name, path``, one path per name (lazy)."""
+    """Pending files of the folder: ``path, file_name`` (lazy)."""
     ledger = as_table(ledger)
-    files = pending_files(with_path_name(list_files(spark, wat_folder, glob)), read_ledger(spark, ledger))
+    known = read_ledger(spark, ledger).select("file_name")
     if not retry_quarantined:
-        files = anti_join(files, read_quarantine(spark, ledger).select("file_name"), "file_name")
-    return files.groupBy("file_name").agg(F.min("path").alias("path"))
+        known = known.union(read_quarantine(spark, ledger).select("file_name"))
+    return pending_files(with_path_name(list_files(spark, wat_folder, glob)), known)
 
 
 def unreadable_path(exc: Exception, paths: list[str]) -> str | None:
@@ -169,36 +168,23 @@ def _finish_run(spark: SparkSession, run_id: str, ledger: LinkTable, raw_table:
                                                QUARANTINE_SCHEMA), companion(ledger, "quarantine"))
         if not raw_table.in_catalog:
             move_folder(spark, staged, final)
-    append_table(spark.createDataFrame([(run_id,)], COMMIT_SCHEMA), companion(ledger, "commits"))
     failed = {p for p, _ in bad}
     taken = sorted({n for p, n in rows if p not in failed})
     _mark(spark, spark.createDataFrame([(n, run_id) for n in taken], RUN_LEDGER_SCHEMA), ledger)
+    append_table(spark.createDataFrame([(run_id,)], COMMIT_SCHEMA), companion(ledger, "commits"))
     return tuple(taken)
 
 
 def finish_open_runs(spark: SparkSession, ledger: LinkTable, raw_table: LinkTable,
                      records_per_file: int = RECORDS_PER_FILE,
                      partition_by_suffix: bool = False) -> tuple[str, ...]:
-    """Complete runs that a crash left before their commit row or ledger names."""
-    if not table_exists(spark, companion(ledger, "intents")):
-        return ()
+    """Complete runs that a crash left without their commit row (normally none)."""
     intents = read_ledger(spark, companion(ledger, "intents"), INTENT_SCHEMA)
     commits = read_ledger(spark, companion(ledger, "commits"), COMMIT_SCHEMA)
-    marked = read_ledger(spark, ledger, RUN_LEDGER_SCHEMA)
-    settled = marked.select("file_name", "run_id").union(
-        read_quarantine(spark, ledger).select("file_name", "run_id"))
-    missing = anti_join(intents.select("file_name", "run_id"), settled, ["file_name", "run_id"])
-    # One row per run that a crash left open: at most a few, as a call finishes them first.
-    left = (missing.join(commits.withColumn("committed", F.lit(True)), "run_id", "left")
-            .groupBy("run_id").agg(F.first("committed").alias("committed")).collect())
+    left = anti_join(intents.select("run_id"), commits, "run_id").distinct().collect()
     finished: list[str] = []
-    for run_id, committed in sorted((r.run_id, r.committed) for r in left):
-        if committed:
-            names = missing.where(F.col("run_id") == run_id).distinct()
-            finished += sorted(r.file_name for r in names.select("file_name").collect())
-            _mark(spark, names, ledger)
-        else:
-            finished += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
+    for run_id in sorted(r.run_id for r in left):
+        finished += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
     return tuple(finished)
 
 
@@ -220,12 +206,13 @@ def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | s
     taken: list[str] = []
     while True:
         pending = plan_ingest(spark, wat_folder, ledger, glob, retry_quarantined)
-        run = pending.limit(files_per_run).collect()
-        if not run:
+        listed = pending.limit(files_per_run).collect()
+        if not listed:
             return IngestResult(tuple(sorted(taken)), resumed)
+        run = dict(sorted(((r.file_name, r.path) for r in listed), reverse=True))  # one path per name
         run_id = new_run_id()
-        append_table(spark.createDataFrame([(r.file_name, r.path, run_id) for r in run], INTENT_SCHEMA),
+        append_table(spark.createDataFrame([(n, p, run_id) for n, p in run.items()], INTENT_SCHEMA),
                      companion(ledger, "intents"))
         taken += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
-        if len(run) < files_per_run or retry_quarantined:
+        if len(listed) < files_per_run or retry_quarantined:
             return IngestResult(tuple(sorted(taken)), resumed)
