@@ -7,6 +7,7 @@ import pytest
 from linkloom.functions.names import (WAT_URL_PREFIX, file_name_of_path, file_name_of_url,
                                       is_count_arg, warc_name_to_wat_url, warc_to_wat)
 
+# A golden archive name and the url it must become.
 WARC = ("crawl-data/CC-MAIN-2023-14/segments/1679296949642.35/warc/"
         "CC-MAIN-20230331113819-20230331143819-00137.warc.gz")
 WAT_URL = (WAT_URL_PREFIX + "crawl-data/CC-MAIN-2023-14/segments/1679296949642.35/wat/"
