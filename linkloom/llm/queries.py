@@ -12,7 +12,7 @@ from .extract_html import extract_pages
 from .langid import language_digest
 from .neardup import near_duplicates
 from .packing import pack_documents
-from .repetition import repetition_verdict
+from .repetition import VERDICT_SQL, repetition_digest
 from .secrets import secret_digest
 from .sharding import shard_digest
 from .token_files import token_digest
@@ -35,7 +35,7 @@ REGISTRY: dict[str, Query] = {
     "op1_decontamination": Query(lambda spark, d: find_leaks(
         _table(spark, d, "documents"), _table(spark, d, "benchmark"))),
     "op2_html_extraction": Query(lambda spark, d: extract_pages(_table(spark, d, "pages"))),
-    "op3_repetition": Query(lambda spark, d: repetition_verdict(_table(spark, d, "documents"))),
+    "op3_repetition": Query(lambda spark, d: repetition_digest(_table(spark, d, "documents")), VERDICT_SQL),
     "op4_sharding": Query(lambda spark, d: shard_digest(_table(spark, d, "documents"))),
     "op5_toxicity": Query(lambda spark, d: toxicity_digest(
         _table(spark, d, "documents"), _table(spark, d, "labels"))),

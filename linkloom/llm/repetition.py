@@ -12,9 +12,13 @@ starts there. A maximal repeat covers what its shorter parts cover, so the
 union of these spans, taken where the length is at least ``MIN_REPEAT``
 words, is the union of the spans of all maximal repeats of that length.
 
-Verdict: a text is dropped when repeats cover more than ``MAX_COVERED`` of
-its words, or the longest repeat exceeds both ``MAX_LONGEST`` words and
-``MAX_LONGEST_SHARE`` of the text.
+Verdict: a text is dropped when repeats cover more than ``MAX_COVERED``
+percent of its words, or the longest repeat exceeds both ``MAX_LONGEST``
+words and ``MAX_LONGEST_SHARE`` percent of the text.
+
+The spans of all repeats of at least m words cover what the m-word windows
+that occur twice cover, and a repeat of m words exists if such a window does;
+``VERDICT_SQL`` says the same in SQL that way.
 """
 
 from __future__ import annotations
@@ -27,9 +31,9 @@ from .shipping import ship
 from .textblocks import SEPARATORS, TextBlock, Words, blocks, hash_words, split_words
 
 MIN_REPEAT = 5
-MAX_COVERED = 0.4
+MAX_COVERED = 40  # percent of the words
 MAX_LONGEST = 100
-MAX_LONGEST_SHARE = 0.2
+MAX_LONGEST_SHARE = 20  # percent of the words
 
 # Fixed values of the base measures.
 SYMBOLS = b"#*$%&|<>"
@@ -187,14 +191,59 @@ def repetition_measures(docs: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFr
         _measurer(min_repeat), MEASURES)
 
 
-def repetition_verdict(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED,
+def repetition_verdict(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: int = MAX_COVERED,
                        max_longest: int = MAX_LONGEST,
-                       max_longest_share: float = MAX_LONGEST_SHARE) -> DataFrame:
+                       max_longest_share: int = MAX_LONGEST_SHARE) -> DataFrame:
     """Measures with ``base_failed`` and ``kept``."""
     m = repetition_measures(docs, min_repeat)
     failed = ((F.col("n_words") < BASE_MIN_WORDS)
               | (100 * F.col("n_repeat_words") > BASE_REPEAT_PERCENT * F.col("n_words")))
-    repetitive = ((F.col("covered_words") > max_covered * F.col("n_words"))
+    repetitive = ((100 * F.col("covered_words") > max_covered * F.col("n_words"))
                   | ((F.col("longest_repeat") > max_longest)
-                     & (F.col("longest_repeat") > max_longest_share * F.col("n_words"))))
+                     & (100 * F.col("longest_repeat") > max_longest_share * F.col("n_words"))))
     return m.withColumn("base_failed", failed).withColumn("kept", ~failed & ~repetitive)
+
+
+def repetition_digest(docs: DataFrame) -> DataFrame:
+    """The contract's columns and the words that maximal repeats cover."""
+    return repetition_verdict(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words",
+        "base_failed", "kept")
+
+
+def _windows_sql(name: str, size: str) -> str:
+    """Words that windows of ``size`` words cover which occur twice in a text."""
+    return f"""
+{name}_at AS (
+  SELECT rid, i, size, count(*) OVER (PARTITION BY rid, md5(array_to_string(words[i:i + size - 1], ' '))) AS n
+  FROM (SELECT rid, words, {size} AS size, unnest(range(1, n_words - {size} + 2)) AS i FROM w)),
+{name} AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (
+    SELECT rid, unnest(range(i, i + size)) AS p FROM {name}_at WHERE n > 1) GROUP BY rid)"""
+
+
+VERDICT_SQL = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+s AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM t),
+w AS (SELECT *, len(words) AS n_words FROM s),
+{_windows_sql("eight", str(BASE_WINDOW))},
+{_windows_sql("short", str(MIN_REPEAT))},
+{_windows_sql("long", f"greatest({MAX_LONGEST}, n_words * {MAX_LONGEST_SHARE} // 100) + 1")},
+m AS (
+  SELECT doc_id, n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(eight.n, 0) AS n_repeat_words, coalesce(short.n, 0) AS covered_words,
+         coalesce(long.n, 0) > 0 AS long_repeat
+  FROM w LEFT JOIN eight USING (rid) LEFT JOIN short USING (rid) LEFT JOIN long USING (rid)),
+b AS (
+  SELECT *, n_words < {BASE_MIN_WORDS} OR 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words AS base_failed
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
+       NOT base_failed AND NOT (100 * covered_words > {MAX_COVERED} * n_words OR long_repeat) AS kept
+FROM b"""
