@@ -357,3 +357,31 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     together; rows with a null doc_id stay."""
     gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+# The same result by comparing every pair that shares a shingle.
+COMPONENTS_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {SHINGLE - 1}, 1) + 1)) AS i
+        FROM w WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM sh x JOIN sh y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE {OF} * c >= {SIMILAR} * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM w
+  UNION
+  SELECT b, root FROM reach JOIN edges ON a = node)
+SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) c ON c.node = w.doc_id"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import find_leaks
 from .extract_html import extract_pages
 from .langid import language_digest
-from .neardup import near_duplicates
+from .neardup import COMPONENTS_SQL, near_duplicates
 from .packing import pack_documents
 from .repetition import VERDICT_SQL, repetition_digest
 from .secrets import secret_digest
@@ -42,7 +42,8 @@ REGISTRY: dict[str, Query] = {
     "op6_packing": Query(lambda spark, d: pack_documents(_table(spark, d, "documents"))),
     "op7_secrets": Query(lambda spark, d: secret_digest(_table(spark, d, "documents"))),
     "op8_language_id": Query(lambda spark, d: language_digest(_table(spark, d, "documents"))),
-    "op9_near_duplicates": Query(lambda spark, d: near_duplicates(_table(spark, d, "documents"))),
+    "op9_near_duplicates": Query(lambda spark, d: near_duplicates(_table(spark, d, "documents")),
+                                 COMPONENTS_SQL),
     "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
 }
 
