@@ -53,8 +53,8 @@ CONTAINERS = ("article", "main", "body", "html")
 RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
                    r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+HIDDEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|(?:content-)?visibility\s*:\s*hidden)", re.I)
 WORD_PARTS = re.compile(r"[^a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
@@ -81,11 +81,9 @@ def _unlikely(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes:
         return False
-    if re.search(r"(?<![\w-])hidden(?![\w=-])", attributes, re.I):
-        return True
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "role" and value in ROLES:
+        if name == "hidden" or name == "role" and value in ROLES:
             return True
         if name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
             return True

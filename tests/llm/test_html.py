@@ -43,6 +43,15 @@ CASES = {
     "unfinished tag": (f"<article>{ARTICLE}<a href='x", WANT),
 }
 
+HIDDEN_CASES = {
+    "hidden in a value": ("<div style='overflow:hidden'><article title='The hidden cost' data-x=hidden>"
+                          f"{ARTICLE}</article></div>", WANT),
+    "hidden in a property's name": (f"<article style='backface-visibility: hidden'>{ARTICLE}</article>", WANT),
+    "hidden with a value": (f"<main>{ARTICLE}<div class=x hidden=''><p>{LONG}</p></div><div HIDDEN=hidden><p>{LONG}"
+                            f"</p></div><div data-a='1'hidden><p>{LONG}</p></div></main>", WANT),
+}
+CASES |= HIDDEN_CASES
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_case(name):
