@@ -29,6 +29,7 @@ LONG_SIBLING = 80
 # Elements of HTML by the part they play here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title", "select")
+FOREIGN = ("svg", "math")  # of RAW, those that may close themselves
 DROPPED = frozenset("head nav footer aside form button dialog menu object canvas audio video map "
                     "fieldset label".split())
 BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption "
@@ -105,6 +106,7 @@ def parse(html: str) -> list[Block]:
     text: list[str] = []
     links = link_depth = 0
     owner = root
+    unended: set[str] = set()  # tags of RAW without an end tag in the rest of the page
 
     def flush() -> None:
         nonlocal links
@@ -161,8 +163,18 @@ def parse(html: str) -> list[Block]:
                 close(open_)
             continue
         if tag in RAW:
-            stop = RAW_END[tag].search(html, at)
-            at = stop.end() if stop else end
+            if tag in FOREIGN and attributes.endswith("/"):
+                continue
+            stop = None if tag in unended else RAW_END[tag].search(html, at)
+            if stop:
+                at = stop.end()
+            elif tag == "script":
+                at = end
+            else:  # no end tag: only the tag itself and a style's rules are skipped
+                unended.add(tag)
+                if tag == "style":
+                    at = html.find("<", at)
+                    at = end if at < 0 else at
             continue
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             if tag in BLOCK:

@@ -50,7 +50,15 @@ HIDDEN_CASES = {
     "hidden with a value": (f"<main>{ARTICLE}<div class=x hidden=''><p>{LONG}</p></div><div HIDDEN=hidden><p>{LONG}"
                             f"</p></div><div data-a='1'hidden><p>{LONG}</p></div></main>", WANT),
 }
-CASES |= HIDDEN_CASES
+RAW_CASES = {
+    "icons that close themselves": (f"<article><p>{P[0]}<svg width='1'/></p><p>{P[1]}<math/></p><p>{P[2]}</p></article>"
+                                    f"<footer><svg><title>x</title></svg>{LONG}</footer>", WANT),
+    **{f"{tag} without end": (f"<article><{tag}>{ARTICLE}</article>", WANT)
+       for tag in ("noscript", "iframe", "svg", "math", "template", "textarea", "select", "title")},
+    "style without end": (f"<article><style>p{{margin:0}}{ARTICLE}</article>", WANT),
+    "script without end": (f"<article>{ARTICLE}<script>var t = '<p>{LONG}</p>'", WANT),
+}
+CASES |= HIDDEN_CASES | RAW_CASES
 
 
 @pytest.mark.parametrize("name", CASES)
