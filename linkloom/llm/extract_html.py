@@ -2,7 +2,9 @@
 
 A page is tokenised once into a tree of elements. Block elements cut the text
 into blocks. Elements that never hold article text (navigation, forms,
-scripts, adverts, comments, ... by tag, role, class or id) take no part.
+scripts, ... by tag, role or hiding) take no part. Elements whose class or id
+names an advert, a sidebar, comments, ... take no part unless they turn out to
+hold the page's text (``_released``).
 
 Every block of some length passes points to its ancestors: one, plus one per
 comma, plus one per hundred characters up to three; the parent gets all of
@@ -15,6 +17,7 @@ paragraphs with few links.
 from __future__ import annotations
 
 import re
+from heapq import heappop, heappush
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -48,6 +51,19 @@ UNLIKELY = frozenset(
     "overlay newsletter subscribe subscription signup share sharing social related recommended "
     "breadcrumb breadcrumbs menu nav navbar navigation pagination pager footer masthead toolbar "
     "widget paywall login replies respond skip outbrain taboola".split())
+# Of UNLIKELY, what readers write: often longer than the article itself.
+READERS = frozenset("comment comments disqus replies respond".split())
+# Words that may stand beside one of UNLIKELY in an id that names a part of the page. With
+# another word the id is taken for a heading's ("related-work", "social-impact").
+PART_WORDS = frozenset(
+    "area article articles aside bar block body bottom box btn button buttons center container content count "
+    "div element feed float form frame google group header holder home icons in inner item items layer leaderboard "
+    "left link links list main media message module new next outer page panel post posts pre prev previous "
+    "primary right row secondary section site skyscraper slot small square sticky stories story tab tag text "
+    "thread title to top unit up video view wrap wrapper".split())
+MODIFIERS = frozenset("has with without no".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+LEAST_LEFT = 140  # characters of paragraphs that make a page of their own
 OUTSIDE_ARTICLE = frozenset(("header", "topbar", "site-header", "page-header"))
 CONTAINERS = ("article", "main", "body", "html")
 
@@ -61,12 +77,22 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "dropped", "in_article", "points", "chars", "links", "order")
+    """``under``: the nearest element, itself included, that its class or id makes unlikely."""
 
-    def __init__(self, tag: str, parent: "Node | None", dropped: bool, order: int):
-        self.tag, self.parent, self.dropped, self.order = tag, parent, dropped, order
+    __slots__ = ("tag", "parent", "depth", "dropped", "under", "words", "readers", "in_article", "points", "chars",
+                 "links", "order")
+
+    def __init__(self, tag: str, parent: "Node | None", attributes: str, order: int):
+        self.tag, self.parent, self.order = tag, parent, order
         self.depth = parent.depth + 1 if parent else 0
-        self.in_article = tag in ("article", "main") or bool(parent and parent.in_article)
+        within = bool(parent and parent.in_article)
+        self.in_article = tag in ("article", "main") or within
+        self.dropped = bool(parent and parent.dropped) or _never(tag, attributes, within)
+        self.under, self.words, self.readers = parent and parent.under, set(), False
+        if attributes and not self.dropped and tag not in CONTAINERS and tag not in HEADINGS:
+            words = _unlikely(attributes, within)
+            if words:
+                self.under, self.words, self.readers = self, words, not READERS.isdisjoint(words)
         self.points, self.chars, self.links = 0.0, 0, 0
 
 
@@ -77,57 +103,158 @@ class Block:
         self.node, self.text, self.chars, self.links = node, text, len(text), links
 
 
-def _unlikely(tag: str, attributes: str, in_article: bool) -> bool:
+# A run of text between two block tags: its element, and its pieces with the unlikely element
+# that holds them and whether they are in a link.
+Run = tuple[Node, list[tuple[str, "Node | None", bool]]]
+
+
+def _attributes(attributes: str) -> list[tuple[str, str]]:
+    return [(name.lower(), (a or b or c).lower()) for name, a, b, c in ATTRIBUTE.findall(attributes)]
+
+
+def _never(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether an element never holds article text, by tag, role or hiding."""
     if tag in DROPPED or (tag == "header" and not in_article):
         return True
-    if not attributes:
-        return False
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), (a or b or c).lower()
+    for name, value in _attributes(attributes) if attributes else ():
         if name == "hidden" or name == "role" and value in ROLES:
             return True
         if name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
             return True
-        if name in ("class", "id") and tag not in CONTAINERS:
-            for item in value.split():
-                if not in_article and item in OUTSIDE_ARTICLE:
-                    return True
-                parts = WORD_PARTS.split(item)
-                if parts[0] not in ("has", "with", "no") and not UNLIKELY.isdisjoint(parts):
-                    return True
     return False
 
 
+def _unlikely(attributes: str, in_article: bool) -> set[str]:
+    """What in an element's class and id speaks against article text."""
+    found: set[str] = set()
+    for name, value in _attributes(attributes):
+        if name not in ("class", "id"):
+            continue
+        for item in value.split():
+            if not in_article and item in OUTSIDE_ARTICLE:
+                found.add(item)
+            parts = WORD_PARTS.split(item)
+            words = [w for i, w in enumerate(parts) if w in UNLIKELY and MODIFIERS.isdisjoint(parts[:i])]
+            if name == "class" or all(w in UNLIKELY or w in PART_WORDS or not w.isalpha() for w in parts):
+                found.update(words)
+    return found
+
+
+def _block(run: Run, released: set[Node] | None) -> Block | None:
+    """The text of a run that no unlikely element holds back; None: all of it."""
+    node, pieces = run
+    left = [(p, link) for p, under, link in pieces if released is None or under is None or under in released]
+    joined = SPACE.sub(" ", unescape("".join(p for p, _ in left))).strip()
+    if not joined:
+        return None
+    links = sum(len(SPACE.sub(" ", unescape(p))) for p, link in left if link)
+    return Block(node, joined, min(links, len(joined)))
+
+
+def _released(runs: list[Run]) -> set[Node]:
+    """The unlikely elements that take part after all, each with the unlikely
+    elements around it. From the outermost inwards these are released:
+
+    an element with more than half of the paragraph text and every h1; where
+    nothing good is left beside the unlikely elements, one with more than half
+    of the paragraph text and those beside it that are named like it, else all;
+    one with the page's only article. Readers' comments go last, where the rest
+    has no article and is no page of its own.
+    """
+    own: dict[Node | None, list[int]] = {None: [0, 0, 0, 0]}  # characters: paragraphs, article, all; h1
+    for node, pieces in runs:
+        whole = _block((node, pieces), None)
+        if not whole:
+            continue
+        paragraph = whole.chars >= LEAST_SCORED and 2 * whole.links <= whole.chars
+        for piece, under, _ in pieces:
+            up = under
+            while up not in own:
+                own[up] = [0, 0, 0, 0]
+                up = up.parent.under
+            n = len(piece.strip())
+            for k, much in enumerate((n * paragraph, n * node.in_article, n, int(n and node.tag == "h1"))):
+                own[under][k] += much
+    if len(own) == 1:
+        return set()
+    total = {u: list(v) for u, v in own.items()}
+    inner: dict[Node | None, list[Node]] = {u: [] for u in own}
+    for u in sorted((u for u in own if u), key=lambda u: -u.order):
+        inner[u.parent.under].append(u)
+        total[u.parent.under] = [x + y for x, y in zip(total[u.parent.under], total[u])]
+    page, left, held = total[None], [0, 0, 0, 0], 0
+    released: set[Node | None] = set()
+    by_text: list[tuple[int, int, Node]] = []
+    by_article: list[tuple[int, int, Node]] = []
+    readers: list[Node] = []
+
+    def release(nodes: list[Node | None]) -> None:
+        nonlocal left, held
+        while nodes:
+            u = nodes.pop()
+            released.add(u)
+            left = [x + y for x, y in zip(left, own[u])]
+            if u and not u.readers:
+                held -= total[u][0]
+            for v in inner[u]:
+                chars, article, _, h1 = total[v]
+                if not v.readers:
+                    held += chars
+                if 2 * chars > page[0] and 0 < page[3] == h1:
+                    nodes.append(v)
+                elif v.readers:
+                    readers.append(v)
+                else:
+                    heappush(by_text, (-chars, v.order, v))
+                    if article and not v.in_article:
+                        heappush(by_article, (-article, v.order, v))
+
+    release([None])
+    while True:
+        for heap in (by_text, by_article):
+            while heap and heap[0][2] in released:
+                heappop(heap)
+        alone = bool(left[1]) or left[0] >= LEAST_LEFT
+        if by_text and (not left[2] or held >= LEAST_LEFT and not (alone and 10 * left[0] >= held)):
+            most = by_text[0]
+            group = [u for _, _, u in by_text if u not in released
+                     and (-2 * most[0] <= page[0] or not u.words.isdisjoint(most[2].words))]
+            release(group)
+        elif by_article and not left[1] and -by_article[0][0] > left[0]:
+            release([heappop(by_article)[2]])
+        elif readers and (not left[2] or not alone and sum(total[u][0] for u in readers) >= LEAST_LEFT):
+            group, readers = readers, []
+            release(group)
+        else:
+            return released - {None}
+
+
 def parse(html: str) -> list[Block]:
-    """Blocks of text outside dropped elements, in page order. Ancestors of a
-    block carry its points, characters and link characters."""
-    root = Node("", None, False, 0)
-    node, blocks, order = root, [], 0
-    text: list[str] = []
-    links = link_depth = 0
+    """Blocks of text outside dropped and unlikely elements, in page order.
+    Ancestors of a block carry its points, characters and link characters."""
+    root = Node("", None, "", 0)
+    node, order = root, 0
+    runs: list[Run] = []
+    text: list[tuple[str, Node | None, bool]] = []
+    link_depth = 0
     owner = root
     unended: set[str] = set()  # tags of RAW without an end tag in the rest of the page
 
     def flush() -> None:
-        nonlocal links
+        nonlocal text
         if text:
-            joined = SPACE.sub(" ", unescape("".join(text))).strip()
-            if joined:
-                blocks.append(Block(owner, joined, min(links, len(joined))))
-            text.clear()
-        links = 0
+            runs.append((owner, text))
+            text = []
 
     def add(piece: str) -> None:
-        nonlocal links, owner
+        nonlocal owner
         if node.dropped or not piece:
             return
         if not text:
             owner = node
             while owner.parent and owner.tag not in BLOCK:
                 owner = owner.parent
-        text.append(piece)
-        if link_depth:
-            links += len(SPACE.sub(" ", unescape(piece)))
+        text.append((piece, node.under, link_depth > 0))
 
     def close(upto: Node) -> None:
         """Leave ``upto`` and everything open inside it."""
@@ -198,10 +325,11 @@ def parse(html: str) -> list[Block]:
         if tag in BLOCK:
             flush()
         order += 1
-        node = Node(tag, node, node.dropped or _unlikely(tag, attributes, node.in_article), order)
+        node = Node(tag, node, attributes, order)
         link_depth += tag == "a"
     flush()
-    return blocks
+    released = _released(runs)
+    return [b for run in runs if (b := _block(run, released))]
 
 
 def score(blocks: list[Block]) -> dict[Node, float]:

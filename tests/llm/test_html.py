@@ -58,7 +58,28 @@ RAW_CASES = {
     "style without end": (f"<article><style>p{{margin:0}}{ARTICLE}</article>", WANT),
     "script without end": (f"<article>{ARTICLE}<script>var t = '<p>{LONG}</p>'", WANT),
 }
-CASES |= HIDDEN_CASES | RAW_CASES
+BODY = f"<h1>Head</h1><p>{LONG.strip()}</p>{ARTICLE}"
+CLASS_CASES = {
+    **{f"wrapper {name}": (f"<body><div class='{name}'><div class='sidebar'><p>{LONG[:150]}</p></div><div>{BODY}</div>"
+                           f"</div><p>{P[0]}</p></body>", f"Head\n\n{LONG.strip()}\n\n{WANT}")
+       for name in ("page-with-sidebar", "site right-sidebar", "post comments-open", "menu-open")},
+    "wrapper of an article": (f"<div class='right-sidebar'><article>{ARTICLE}</article></div><p>{P[0]} {P[1]}</p>", WANT),
+    "wrapper beside a long text": (f"<div class=teaser><p>{P[0]} {P[1]} {P[2]}</p></div><div class='right-sidebar'><div>"
+                                   f"{BODY}</div></div>", f"Head\n\n{LONG.strip()}\n\n{WANT}"),
+    "generated ids": (f"<article><h2 id='social-impact'>Social impact</h2><p>{P[0]}</p><section id='related-work'>"
+                      f"<p>{P[1]}</p></section><h3 id=comments>Comments</h3><p>{P[2]}</p></article>",
+                      f"Social impact\n\n{P[0]}\n\n{P[1]}\n\nComments\n\n{P[2]}"),
+    "all text in widgets": ("<body><main>" + "".join(f"<div class='x-widget'><p>{p}</p></div>" for p in P)
+                            + "</main></body>", WANT),
+    "most text in one widget": (f"<body><div class='widget-wrap'><div class='widget'><p>{' '.join(P * 2)}</p></div>"
+                                f"<div class='widget'>{ARTICLE}</div></div></body>", f"{' '.join(P * 2)}\n\n{WANT}"),
+    "ids of parts": (f"<article>{ARTICLE}<div id='related-posts'><p>{LONG}</p></div><div id='ad-slot-1'>{P[0]}</div>"
+                     "<p>y <span class='share'>Share</span>z</p></article>", WANT + "\n\ny z"),
+    "long comments": (f"<div>{ARTICLE}</div><div id='comments'>" + f"<article><p>{LONG}</p></article>" * 30 + "</div>",
+                      WANT),
+    "long sidebar": (f"<div><h1>Head</h1>{ARTICLE}</div><div class='sidebar'><p>{LONG}</p></div>", "Head\n\n" + WANT),
+}
+CASES |= HIDDEN_CASES | RAW_CASES | CLASS_CASES
 
 
 @pytest.mark.parametrize("name", CASES)
