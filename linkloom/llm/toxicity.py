@@ -3,7 +3,10 @@
 A document is a bag of sentences. A sentence's score is logistic in hashed
 features of its words (the word and its beginnings, so that inflected forms
 share evidence); the document's score is the noisy-or of its sentences,
-1 - prod(1 - p). Only documents carry labels: the gradient of the
+1 - prod(1 - p). In scoring only sentences that are more likely toxic than
+not count, or the most toxic one where there is none, and a sentence without
+any learned feature has p = 0: however long a text is, sentences that are each
+clean do not add up to a toxic one. Only documents carry labels: the gradient of the
 document's likelihood reaches each sentence in proportion to its share of
 the blame, so the model learns which sentences offend and can point at them.
 
@@ -35,6 +38,7 @@ LEAST_TEXTS = 4  # a feature in fewer training texts is ignored
 LEAST_Z = 6.0  # least enrichment of a feature among toxic texts, in standard errors
 EPOCHS, STEP, PENALTY = 150, 0.3, 3e-5
 FIRST_BIAS = -5.0
+COUNTS = 0.5  # least score of a sentence that counts besides the greatest
 
 WORD_GAPS = np.ones(256, dtype=bool)
 WORD_GAPS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1),
@@ -93,12 +97,23 @@ class Model:
     def sentence_scores(self, s: Sentences) -> np.ndarray:
         if not len(s.first):
             return np.zeros(0)
-        z = np.add.reduceat(self.weights[s.features].sum(axis=1, dtype=float), s.first) + self.bias
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
-
-    def document_scores(self, s: Sentences, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-        """Noisy-or of each document's sentences, and the sentences' scores."""
-        p = self.sentence_scores(s)
+        weights = self.weights[s.features]
+        z = np.add.reduceat(weights.sum(axis=1, dtype=float), s.first) + self.bias
+        known = np.add.reduceat(np.count_nonzero(weights, axis=1), s.first) > 0
+        return np.where(known, 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))), 0.0)
+
+    def document_scores(self, s: Sentences, n_docs: int,
+                        p: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Noisy-or of each document's sentences that count, and the sentences'
+        scores, 0 where they do not. ``p``: the scores of all sentences."""
+        p = self.sentence_scores(s) if p is None else p
+        if len(p):
+            begins = np.flatnonzero(np.diff(s.doc, prepend=-1))
+            top = np.maximum.reduceat(p, begins)
+            greatest = np.flatnonzero(p == np.repeat(top, np.diff(np.append(begins, len(p)))))
+            counts = p >= COUNTS
+            counts[greatest[np.diff(s.doc[greatest], prepend=-1) > 0]] = True
+            p = np.where(counts, p, 0.0)
         none = np.bincount(s.doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
         return -np.expm1(none), p
 
@@ -210,7 +225,8 @@ def _scorer(model: Model, locate: float):
         for batch in batches:
             for at, stop, block in blocks(batch):
                 s = sentences(block)
-                scores, p = model.document_scores(s, len(block))
+                p = model.sentence_scores(s)
+                scores, _ = model.document_scores(s, len(block), p)
                 found: list[list] = [[] for _ in range(len(block))]
                 bad = np.flatnonzero(p >= locate)
                 if len(bad):

@@ -62,6 +62,22 @@ def test_noisy_or_equals_the_formula():
         assert abs(scores[i] - (1 - np.prod(1 - p[s.doc == i]))) < 1e-6
 
 
+def test_long_clean_text_stays_clean(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = T.sample_and_train(docs, labels)
+    clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").select("text").collect()]
+    block = T._join_blocks(clean)
+    scores, _ = model.document_scores(T.sentences(block), len(block))
+    long = " ".join(t for t, score in zip(clean, scores) if score < 0.5)
+    assert len(T.sentences(T._join_blocks([long])).first) > 50_000
+    toxic = [r.text for r in docs.join(labels.where("toxic = 1"), "doc_id").orderBy("doc_id").select("text").collect()]
+    block = T._join_blocks(toxic)
+    bad = toxic[int(model.document_scores(T.sentences(block), len(block))[0].argmax())]
+    rows = spark.createDataFrame([(1, long), (2, long + "\n" + bad)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score_toxicity(rows, model).collect()}
+    assert got[1] < 0.5 <= got[2]
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 9), (1, 0, 9), (None, 1, 9), (2, None, 9), (7, 0, 9)],
                                    "doc_id long, toxic int, text int")
