@@ -8,8 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import find_leaks
+from .divergence import DIVERGENCE_SQL, source_divergence
 from .extract_html import extract_pages
 from .langid import language_digest
+from .lloyd import CLUSTERS_SQL, cluster_digest
+from .lm_score import score_digest
 from .neardup import COMPONENTS_SQL, near_duplicates
 from .packing import pack_documents
 from .repetition import VERDICT_SQL, repetition_digest
@@ -45,6 +48,10 @@ REGISTRY: dict[str, Query] = {
     "op9_near_duplicates": Query(lambda spark, d: near_duplicates(_table(spark, d, "documents")),
                                  COMPONENTS_SQL),
     "op10_token_files": Query(lambda spark, d: token_digest(_table(spark, d, "documents"))),
+    "op11_lm_score": Query(lambda spark, d: score_digest(_table(spark, d, "documents"))),
+    "op12_clusters": Query(lambda spark, d: cluster_digest(_table(spark, d, "embeddings")), CLUSTERS_SQL),
+    "op13_source_divergence": Query(lambda spark, d: source_divergence(_table(spark, d, "documents")),
+                                    DIVERGENCE_SQL),
 }
 
 

@@ -27,10 +27,15 @@ def test_columns_of_the_contract(spark):
         "op8": "doc_id held_out lang_pred score",
         "op9": "doc_id n_shingles component_id kept",
         "op10": "doc_id start n_tokens ids_crc32",
+        "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op12": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+        "op13": "lang source part item value rank",
     }
     kinds = {"shard": "int", "grown_shard": "int", "predicted": "int", "score": "double", "held_out": "boolean",
              "base_failed": "boolean", "kept": "boolean", "url": "string", "text": "string", "law": "string",
-             "base_sha256": "string", "spans": "string", "lang_pred": "string"}
+             "base_sha256": "string", "spans": "string", "lang_pred": "string",
+             "base_score": "double", "cluster": "int", "centroid_sha256": "string", "lang": "string",
+             "source": "string", "part": "string", "item": "string", "rank": "int"}
     for name, run in queries().items():
         op = name.split("_")[0]
         if op in want:
