@@ -120,14 +120,13 @@ def cmd_export(spark, a) -> None:
 
 
 def cmd_stream(spark, a) -> None:
-    from .functions.rules import KR_FAN_IN
-    from .streaming.jobs import SPECS, StreamLayout, start_fan_in, start_stream
+    from .streaming.jobs import SPECS, StreamLayout, start_feed, start_stream
+    if a.base.startswith(CATALOG_PREFIX) and not a.checkpoints:
+        raise SystemExit("give --checkpoints: a folder, for tables of a catalog")
     layout = StreamLayout(base=a.base, checkpoints=a.checkpoints or join_path(a.base, "_checkpoints"),
-                          fmt=a.format, raw_path=a.raw)
+                          fmt=a.format, raw_path=a.raw, ledger=a.ledger and _table(a.ledger, a.format))
     if a.job == "fan-in":
-        q = start_fan_in(spark, layout, layout.fan_in_folder("kr_http_links"),
-                         join_path(layout.checkpoints, "fan_in"), KR_FAN_IN, max_files=a.max_files,
-                         available_now=a.once)
+        q = start_feed(spark, layout, "kr_http_links", max_files=a.max_files, available_now=a.once)
     else:
         q = start_stream(spark, SPECS[a.job], layout, available_now=a.once, max_files=a.max_files)
     q.awaitTermination()
@@ -234,8 +233,9 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("stream")
     s.add_argument("job", choices=[f"st{i}" for i in range(1, 13)] + ["fan-in"])
-    s.add_argument("--base", required=True, help="folder holding the tables")
+    s.add_argument("--base", required=True, help="folder holding the tables, or catalog:DATABASE")
     s.add_argument("--raw", help="raw link table (default BASE/raw)")
+    s.add_argument("--ledger", help="read only the ingest runs that are complete by this ledger")
     s.add_argument("--checkpoints")
     s.add_argument("--max-files", default="auto",
                    help="files per micro-batch: a number, or 'auto' (a thousand; default)")

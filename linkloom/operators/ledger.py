@@ -8,15 +8,17 @@ from the measured sizes. Nothing but the final, bounded plan ever reaches the dr
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import file_name_of_path, file_name_of_url
-from ..schema import LEDGER_SCHEMA
+from ..schema import COMMIT_SCHEMA, LEDGER_SCHEMA, RUN_COLUMN
 from ..sinks.tables import append_table
-from ..sources.files import empty_frame, is_path_not_found
+from ..sources.files import empty_frame, is_path_not_found, read_table
 from ..tables import LinkTable, as_table
 from .joins import anti_join
 
@@ -43,6 +45,29 @@ def read_ledger(spark: SparkSession, table: LinkTable | str,
         raise
 
 
+def companion(ledger: LinkTable | str, kind: str) -> LinkTable:
+    """A table next to the ledger: ``intents``, ``commits`` or ``quarantine``."""
+    ledger = as_table(ledger)
+    if ledger.in_catalog:
+        return LinkTable.catalog(f"{ledger.name}_{kind}", ledger.fmt)
+    return LinkTable(f"{ledger.path.rstrip('/')}_{kind}", ledger.fmt)
+
+
+def read_runs(spark: SparkSession, raw_table: LinkTable | str, run_ids: Sequence[str] | None = None,
+              ledger: LinkTable | str | None = None) -> DataFrame:
+    """Rows of the raw table by ingest run: of the named runs (only their
+    partitions are listed), or of every run that has a commit row at the
+    ledger. Rows of a run that is being written, or was cut off, are left out."""
+    raw_table = as_table(raw_table)
+    if raw_table.in_catalog:
+        spark.catalog.refreshTable(raw_table.name)  # other sessions write it too
+    raw = read_table(spark, raw_table)
+    if run_ids is not None:
+        return raw.where(F.col(RUN_COLUMN).isin(list(run_ids)))
+    commits = read_ledger(spark, companion(ledger, "commits"), COMMIT_SCHEMA)
+    return raw.join(commits, raw[RUN_COLUMN] == commits["run_id"], "left_semi")
+
+
 def mark_processed(names: DataFrame, table: LinkTable | str, column: str = "file_name") -> None:
     """Append names to the ledger. Marking a name twice is harmless: readers
     treat the ledger as a set."""

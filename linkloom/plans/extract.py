@@ -14,18 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.audit import row_count
 from ..operators.dedup import dedup_stable, dedup_urls, new_urls_only
 from ..operators.filters import jp_jpg_jpeg, jp_png, link_columns
-from ..sinks.tables import append_table
+from ..sinks.tables import append_table, create_or_append
 from ..sources.files import read_catalog_table, read_table, table_exists
 from ..tables import LinkTable, as_table
 
 
 def extract_jp_jpg_jpeg(spark: SparkSession, raw: LinkTable | str, out: LinkTable | str) -> None:
-    """Japanese jpg + jpeg links of the raw table, appended with their link columns."""
-    append_table(link_columns(jp_jpg_jpeg(read_table(spark, raw))), as_table(out))
+    """Japanese jpg + jpeg links of the raw table with their link columns: the
+    table is created, or appended to."""
+    create_or_append(link_columns(jp_jpg_jpeg(read_table(spark, raw))), out)
 
 
 def extract_jp_png(spark: SparkSession, raw: LinkTable | str, out: LinkTable | str) -> None:
-    append_table(link_columns(jp_png(read_table(spark, raw))), as_table(out))
+    create_or_append(link_columns(jp_png(read_table(spark, raw))), out)
 
 
 def deduplicate_table(spark: SparkSession, src: LinkTable | str, dst: LinkTable | str,

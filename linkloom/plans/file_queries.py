@@ -14,7 +14,8 @@ from ..functions.names import file_name_of_url, warc_to_wat
 from ..operators.filters import link_columns
 from ..operators.dedup import dedup_urls
 from ..operators.ledger import download_plan, merge_ledger, pending_files
-from ..sinks.tables import append_table, export_delimited
+from ..schema import RUN_COLUMN
+from ..sinks.tables import append_table, create_database, export_delimited
 from ..session import join_path, new_work_dir
 from ..sources.derived import (SYNTHETIC_KEYS, fetched_orders, raw_links_table,
                                read_driver_table, stored_links, warc_names, warc_names_of,
@@ -25,7 +26,7 @@ from ..tables import LinkTable
 from . import oracle as O
 from .extract import audit_table, deduplicate_table, extract_jp_jpg_jpeg
 from .fetch import fetch_and_mark
-from .ingest import ingest_wat_files, read_quarantine
+from .ingest import ingest_wat_files, read_committed, read_quarantine
 from .queries import register
 from .warc_list import convert_warc_list, load_warc_list, warc_csv_to_wat_list
 
@@ -54,21 +55,37 @@ def q_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ingest_with_bad_file", O.WAT_LINKS)
 def q_ingest_with_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cut-off gzip among the files holds up neither its run nor later ones,
-    and stays recorded with its error."""
+    """Five cut-off gzip files among the files, with blanks and signs in their
+    names, hold up neither their run nor later ones, and stay recorded with
+    their errors."""
     work = new_work_dir(spark, "badfile")
     folder = write_wat_files(spark, sf_dir, join_path(work, "wat"))
     whole = list_files(spark, folder, "*.gz").agg(F.min("path")).first()[0]
-    copy_file(spark, whole, join_path(folder, "cut.gz"), keep=0.6)
+    names = ["cut 1.gz", "cut%2.gz", "cut+3.gz", "cut[4].gz", "cut5.gz"]
+    for name in names:
+        copy_file(spark, whole, join_path(folder, name), keep=0.6)
     ledger, raw = LinkTable(join_path(work, "ledger")), LinkTable(join_path(work, "raw"))
     ingest_wat_files(spark, folder, ledger, raw)
     again = ingest_wat_files(spark, folder, ledger, raw)
-    bad = read_quarantine(spark, ledger).select("file_name").distinct().collect()
-    if again.count or [r.file_name for r in bad] != ["cut.gz"]:
+    bad = sorted(r.file_name for r in read_quarantine(spark, ledger).select("file_name").collect())
+    if again.count or bad != sorted(names):
         raise RuntimeError(f"second run took {again.files}, quarantined {bad}")
     return link_columns(read_table(spark, raw))
 
 
+@register("ingest_committed", O.WAT_LINKS)
+def q_ingest_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed rows of a catalog table that holds rows of a torn run."""
+    work = new_work_dir(spark, "committed")
+    db = "linkloom_committed_" + work.rsplit("-", 1)[1]
+    create_database(spark, db)
+    ledger, raw = LinkTable(join_path(work, "ledger")), LinkTable.catalog(f"{db}.raw")
+    ingest_wat_files(spark, wat_files_folder(spark, sf_dir), ledger, raw)
+    torn = spark.table(raw.name).limit(5).withColumn(RUN_COLUMN, F.lit("torn-run"))
+    torn.write.mode("append").insertInto(raw.name)
+    return link_columns(read_committed(spark, raw, ledger))
+
+
 @register("fetch_ingest", O.WAT_LINKS)
 def q_fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The download and ingest jobs end to end: metadata files in a "remote"
@@ -198,6 +215,17 @@ def q_jpg_distinct_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, distinct)
 
 
+@register("create_or_append", f"SELECT * FROM ({_JPG_SQL}) UNION ALL SELECT * FROM ({_JPG_SQL})")
+def q_create_or_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract job twice into a catalog table: it is created, then appended to."""
+    db = "linkloom_extract_" + new_work_dir(spark, "extract").rsplit("-", 1)[1]
+    create_database(spark, db)
+    raw, out = LinkTable(raw_links_table(spark, sf_dir)), LinkTable.catalog(f"{db}.jpg")
+    for _ in range(2):
+        extract_jp_jpg_jpeg(spark, raw, out)
+    return read_table(spark, out)
+
+
 @register("table_audit", f"""
 SELECT 'jpn_jpg_links' AS table_name, count(*) AS row_count FROM ({_JPG_SQL})""")
 def q_table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

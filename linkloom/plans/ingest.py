@@ -1,14 +1,14 @@
 """Ingest crawl-metadata files into the raw link table, each file once.
 
-Batch form: list the folder, drop the names already in the ledger (anti
-join), read a run of pending files in one multi-path scan (one task per gzip
-file, all in parallel) and write them as one run. At most ``FILES_PER_RUN``
-paths reach the driver at a time (to hand them to the reader), never rows;
-more pending files are more runs.
+Batch form: list the folder once, drop the names already in the ledger (anti
+join), store what is pending and number it into runs of at most
+``FILES_PER_RUN`` files. Each run is one multi-path scan (one task per gzip
+file, all in parallel) and one write. Only a run's own paths reach the driver
+(to hand them to the reader), never the listing and never rows.
 
 A run survives a crash at any point:
 
-1. its intents (file name, path, run id) are written first;
+1. the intents of all runs of a call (file name, path, run id) are written first;
 2. its rows go to the partition ``ingest_run=<id>`` of the raw table;
    unreadable files, if any, are recorded with their error in the quarantine
    table before the partition appears;
@@ -19,45 +19,47 @@ The commit row is the only proof. The next call (one ingest at a time per
 ledger) first finishes what a crash left: a run without a commit row is
 written again from its intents, replacing its whole partition, and marked
 (the ledger is read as a set, so marking twice is harmless). Leaf partitions
-that happen to lie in the raw table prove nothing.
+that happen to lie in the raw table prove nothing; ``read_committed`` reads
+the runs that have their proof, in batch, and streams with a ledger
+(``StreamLayout.ledger``) do the same.
 
 On a path table a run is staged below ``_staging`` and published by renaming
-its one folder, so on file systems with an atomic rename a stream reading the
+its one folder, so on file systems with an atomic rename any reader of the
 table sees a run whole or not at all, also when a run is finished after a
-crash: a folder already published is left as it is. On stores without one,
-streams should read tables that ingest streams write (their sink logs name
-the committed files).
+crash: a folder already published is left as it is.
 
-A file that cannot be read (a cut-off gzip) does not hold up others: the run
-goes on without it. It stays out of the ledger and in the quarantine table;
-``retry_quarantined`` takes such files again.
+A file that cannot be read (a cut-off gzip) does not hold up others: where a
+write fails, one narrow job finds all files of the run that are not whole
+(``sources.readable``) and the run is written once more without them, so bad
+files cost one more write however many they are. They stay out of the ledger
+and in the quarantine table; ``retry_quarantined`` takes such files again.
 """
 
 from __future__ import annotations
 
-import re
 import time
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import SUFFIX_COLUMN
 from ..operators.filters import with_url_suffix
 from ..operators.joins import anti_join
-from ..operators.ledger import pending_files, read_ledger, with_path_name
-from ..schema import (COMMIT_SCHEMA, INTENT_SCHEMA, LINK_SCHEMA, QUARANTINE_SCHEMA, RUN_COLUMN,
-                      RUN_LEDGER_SCHEMA)
-from ..session import join_path
-from ..sinks.tables import append_table, overwrite_partitions, overwrite_table
-from ..sources.files import list_files, move_folder, path_exists
-from ..sources.wat import read_wat_links
+from ..operators.ledger import companion, pending_files, read_ledger, read_runs, with_path_name
+from ..schema import COMMIT_SCHEMA, INTENT_SCHEMA, QUARANTINE_SCHEMA, RUN_COLUMN, RUN_LEDGER_SCHEMA
+from ..session import join_path, new_work_dir
+from ..sinks.tables import append_table, is_published, overwrite_partitions, overwrite_table, staged_and_final
+from ..sources.files import list_files, move_folder
+from ..sources.readable import unreadable_files
+from ..sources.wat import read_wat_files
 from ..streaming.sources import refuse_stream_folder
 from ..tables import LinkTable, as_table
 
 FILES_PER_RUN = 10_000
-STAGING = "_staging"
+FILES_PER_BUCKET = 1_000  # names numbered together by one task
 
 # A gzip file is one task however large it is; its links are split into
 # files of at most this many rows so that scans of the raw table stay parallel.
@@ -74,14 +76,7 @@ class IngestResult:
         return len(self.files)
 
 
-def companion(ledger: LinkTable, kind: str) -> LinkTable:
-    """A table next to the ledger: ``intents``, ``commits`` or ``quarantine``."""
-    if ledger.in_catalog:
-        return LinkTable.catalog(f"{ledger.name}_{kind}", ledger.fmt)
-    return LinkTable(f"{ledger.path.rstrip('/')}_{kind}", ledger.fmt)
-
-
-def new_run_id() -> str:
+def new_call_id() -> str:
     return time.strftime("%Y%m%d%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
 
 
@@ -100,20 +95,32 @@ def plan_ingest(spark: SparkSession, wat_folder: str, ledger: LinkTable | str,
     return pending_files(with_path_name(list_files(spark, wat_folder, glob)), known)
 
 
-def unreadable_path(exc: Exception, paths: list[str]) -> str | None:
-    """The file of this run that an error of the reader names, if any."""
-    found = re.search(r"while reading file (\S+?)\.? ", str(exc))
-    if not found:
-        return None
-    bare = re.compile(r"^[a-z0-9]+:/*")
-    named = bare.sub("/", found[1])
-    return next((p for p in paths if bare.sub("/", p) == named), None)
+def read_committed(spark: SparkSession, raw_table: LinkTable | str, ledger: LinkTable | str) -> DataFrame:
+    """The raw table's rows of complete runs."""
+    return read_runs(spark, raw_table, None, ledger)
+
+
+def write_readable(spark: SparkSession, paths: Sequence[str], write: Callable[[DataFrame], None],
+                   bad: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
+    """``write`` the links of the files that can be read; returns (path, error)
+    of the others (``bad`` holds them before the second write). At most two
+    writes: one more if the first fails on files that are not whole."""
+    bad = [] if bad is None else bad
+    try:
+        write(read_wat_files(spark, paths))
+        return bad
+    except Exception:
+        bad += sorted((r.path, r.error) for r in unreadable_files(spark, paths).collect())  # of these paths
+        if not bad:
+            raise
+    gone = {p for p, _ in bad}
+    write(read_wat_files(spark, [p for p in paths if p not in gone]))
+    return bad
 
 
 def _folders(raw_table: LinkTable, run_id: str) -> tuple[str, str]:
     """Where a run is staged, and its place in the table."""
-    folder = f"{RUN_COLUMN}={run_id}"
-    return join_path(raw_table.path, STAGING, folder), join_path(raw_table.path, folder)
+    return staged_and_final(raw_table, f"{RUN_COLUMN}={run_id}")
 
 
 def _write_run(spark: SparkSession, paths: list[str], raw_table: LinkTable, run_id: str,
@@ -121,26 +128,18 @@ def _write_run(spark: SparkSession, paths: list[str], raw_table: LinkTable, run_
     """Write the run's readable files (staged on a path table, else into the
     run's partition); returns (path, error) of the others."""
     parts = [SUFFIX_COLUMN] if partition_by_suffix else []
-    bad: list[tuple[str, str]] = []
-    good = list(paths)
-    while True:
-        links = read_wat_links(spark, good) if good else spark.createDataFrame([], LINK_SCHEMA)
+
+    def write(links: DataFrame) -> None:
         if partition_by_suffix:
             links = with_url_suffix(links)
-        try:
-            if raw_table.in_catalog:
-                overwrite_partitions(links.withColumn(RUN_COLUMN, F.lit(run_id)), raw_table,
-                                     [RUN_COLUMN, *parts], max_records_per_file=records_per_file)
-            else:
-                staged = LinkTable(_folders(raw_table, run_id)[0], raw_table.fmt)
-                overwrite_table(links, staged, parts, max_records_per_file=records_per_file)
-            return bad
-        except Exception as exc:
-            path = unreadable_path(exc, good)
-            if path is None:
-                raise
-            bad.append((path, str(exc).splitlines()[0][:500]))
-            good.remove(path)
+        if raw_table.in_catalog:
+            overwrite_partitions(links.withColumn(RUN_COLUMN, F.lit(run_id)), raw_table,
+                                 [RUN_COLUMN, *parts], max_records_per_file=records_per_file)
+        else:
+            staged = LinkTable(_folders(raw_table, run_id)[0], raw_table.fmt)
+            overwrite_table(links, staged, parts, max_records_per_file=records_per_file)
+
+    return write_readable(spark, paths, write)
 
 
 def _mark(spark: SparkSession, names: DataFrame, ledger: LinkTable) -> None:
@@ -155,7 +154,7 @@ def _finish_run(spark: SparkSession, run_id: str, ledger: LinkTable, raw_table:
     published = False
     if not raw_table.in_catalog:
         staged, final = _folders(raw_table, run_id)
-        published = path_exists(spark, final) and not path_exists(spark, staged)
+        published = is_published(spark, staged, final)
     if published:  # renamed before a crash: complete, and its bad files are recorded
         bad = [(r.path, r.error) for r in
                read_quarantine(spark, ledger).where(F.col("run_id") == run_id).collect()]
@@ -175,6 +174,29 @@ def _finish_run(spark: SparkSession, run_id: str, ledger: LinkTable, raw_table:
     return tuple(taken)
 
 
+def _plan_runs(spark: SparkSession, pending: DataFrame, ledger: LinkTable, files_per_run: int) -> list[str]:
+    """Write the intents of all pending files, one path per name, and return
+    the ids of their runs. The names are numbered bucket by bucket, so no task
+    sorts all of them."""
+    call = new_call_id()
+    listing = join_path(new_work_dir(spark, "pending"), "files")
+    pending.groupBy("file_name").agg(F.min("path").alias("path")).write.parquet(listing)
+    stored = spark.read.schema("file_name string, path string").parquet(listing)
+    n_files = stored.count()
+    if not n_files:
+        return []
+    bucket = F.pmod(F.xxhash64("file_name"), F.lit(1 + n_files // FILES_PER_BUCKET))
+    named = stored.withColumn("bucket", bucket)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # over the buckets' counts
+    counts = (named.groupBy("bucket").agg(F.count("*").alias("n"))
+              .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    place = F.col("first") + F.row_number().over(Window.partitionBy("bucket").orderBy("file_name")) - 1
+    run = F.format_string(f"{call}-%06d", F.floor(place / files_per_run).cast("int"))
+    append_table(named.join(counts, "bucket").select("file_name", "path", run.alias("run_id")),
+                 companion(ledger, "intents"))
+    return [f"{call}-{i:06d}" for i in range(-(-n_files // files_per_run))]
+
+
 def finish_open_runs(spark: SparkSession, ledger: LinkTable, raw_table: LinkTable,
                      records_per_file: int = RECORDS_PER_FILE,
                      partition_by_suffix: bool = False) -> tuple[str, ...]:
@@ -203,16 +225,8 @@ def ingest_wat_files(spark: SparkSession, wat_folder: str, ledger: LinkTable | s
     if not raw_table.in_catalog:
         refuse_stream_folder(spark, raw_table.path)
     resumed = finish_open_runs(spark, ledger, raw_table, records_per_file, partition_by_suffix)
+    pending = plan_ingest(spark, wat_folder, ledger, glob, retry_quarantined)
     taken: list[str] = []
-    while True:
-        pending = plan_ingest(spark, wat_folder, ledger, glob, retry_quarantined)
-        listed = pending.limit(files_per_run).collect()
-        if not listed:
-            return IngestResult(tuple(sorted(taken)), resumed)
-        run = dict(sorted(((r.file_name, r.path) for r in listed), reverse=True))  # one path per name
-        run_id = new_run_id()
-        append_table(spark.createDataFrame([(n, p, run_id) for n, p in run.items()], INTENT_SCHEMA),
-                     companion(ledger, "intents"))
+    for run_id in _plan_runs(spark, pending, ledger, files_per_run):
         taken += _finish_run(spark, run_id, ledger, raw_table, records_per_file, partition_by_suffix)
-        if len(listed) < files_per_run or retry_quarantined:
-            return IngestResult(tuple(sorted(taken)), resumed)
+    return IngestResult(tuple(sorted(taken)), resumed)

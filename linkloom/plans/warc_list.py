@@ -1,8 +1,8 @@
 """WARC file list (CSV) -> WAT download urls -> exported text list.
 
 One lazy plan from the CSV scan to the sink: scan, two regex rewrites and
-a prefix, written as a table; the export is a ``coalesce`` (no shuffle)
-to delimited text.
+a prefix, written as a table; the export deals the rows out over a bounded
+number of delimited text files (see ``sinks.tables.bound_files``).
 """
 
 from __future__ import annotations

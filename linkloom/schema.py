@@ -53,8 +53,13 @@ QUARANTINE_SCHEMA = T.StructType([*INTENT_SCHEMA, T.StructField("error", T.Strin
 # Bookkeeping partition columns a raw link table may carry besides the links.
 RUN_COLUMN = "ingest_run"
 SUFFIX_COLUMN = "url_suffix"
-BOOKKEEPING_COLUMNS = (RUN_COLUMN, SUFFIX_COLUMN)
+JOB_COLUMN, BATCH_COLUMN = "job", "batch"  # of tables that streams write
+BOOKKEEPING_COLUMNS = (RUN_COLUMN, SUFFIX_COLUMN, JOB_COLUMN, BATCH_COLUMN)
 
 WARC_LIST_SCHEMA = T.StructType([T.StructField("warc_filename", T.StringType(), True)])
 
+# The columns of Spark's file listing source; only the path is ever read.
+FILE_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                            T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
 LINES_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])

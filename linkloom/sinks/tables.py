@@ -6,9 +6,13 @@ committer, so a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.files import table_exists
+from ..session import join_path
+from ..sources.files import move_folder, path_exists, table_exists
 from ..tables import LinkTable, as_table
 
 # Export layout (separator and most part files per export).
@@ -36,6 +40,22 @@ def overwrite_table(df: DataFrame, table: LinkTable | str,
     _save(writer, table)
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """SQL settings of the session for the time of one write."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def append_table(df: DataFrame, table: LinkTable | str,
                  partition_by: list[str] | None = None,
                  max_records_per_file: int | None = None) -> None:
@@ -66,10 +86,12 @@ def overwrite_partitions(df: DataFrame, table: LinkTable | str, partition_by: li
     spark = df.sparkSession
     if table.in_catalog and table_exists(spark, table):
         columns = spark.table(table.name).columns
-        writer = df.select(*columns).write.option("partitionOverwriteMode", "dynamic")
+        # An insert takes these from the session; options of its writer do not reach it.
+        settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
         if max_records_per_file:
-            writer = writer.option("maxRecordsPerFile", max_records_per_file)
-        writer.insertInto(table.name, overwrite=True)
+            settings["spark.sql.files.maxRecordsPerFile"] = str(max_records_per_file)
+        with session_settings(spark, settings):
+            df.select(*columns).write.insertInto(table.name, overwrite=True)
         return
     writer = (df.write.mode("overwrite").format(table.fmt)
               .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
@@ -78,18 +100,52 @@ def overwrite_partitions(df: DataFrame, table: LinkTable | str, partition_by: li
     _save(writer, table)
 
 
+STAGING = "_staging"
+
+
+def staged_and_final(table: LinkTable, *parts: str) -> tuple[str, str]:
+    """Where a partition of a path table is staged, and its place in the table."""
+    return join_path(table.path, STAGING, *parts), join_path(table.path, *parts)
+
+
+def is_published(spark: SparkSession, staged: str, final: str) -> bool:
+    """Whether a staged folder has arrived whole: the rename takes the staged
+    folder away last, also where it copies file by file."""
+    return path_exists(spark, final) and not path_exists(spark, staged)
+
+
+def publish(df: DataFrame, staged: str, final: str, fmt: str, partition_by: Sequence[str] = (),
+            max_records_per_file: int | None = None) -> None:
+    """Write the rows to the staged folder, then rename it to its place (what
+    an earlier try left there is replaced)."""
+    overwrite_table(df, LinkTable(staged, fmt), list(partition_by), max_records_per_file)
+    move_folder(df.sparkSession, staged, final)
+
+
 def create_or_append(df: DataFrame, table: LinkTable | str) -> bool:
-    """Append to an existing table or create it. Returns whether it existed."""
+    """Append to an existing table or create it. Returns whether it existed.
+
+    An existing table keeps its columns: rows are matched by name, and a column
+    that one side lacks is an error rather than a table with two schemas."""
     table = as_table(table)
-    existed = table_exists(df.sparkSession, table)
-    append_table(df, table)
-    return existed
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        create_new_table(df, table)
+        return False
+    found = spark.table(table.name) if table.in_catalog else spark.read.format(table.fmt).load(table.path)
+    if set(found.columns) != set(df.columns):
+        raise ValueError(f"{table} has columns {found.columns}, the rows have {df.columns}")
+    append_table(df.select(*[f"`{c}`" for c in found.columns]), table)
+    return True
 
 
 def create_new_table(df: DataFrame, table: LinkTable | str) -> None:
     """Create; fail when the table is already there."""
     table = as_table(table)
-    _save(df.write.mode("errorifexists").format(table.fmt), table)
+    if table.in_catalog:
+        df.writeTo(table.name).using(table.fmt).create()
+    else:
+        df.write.mode("errorifexists").format(table.fmt).save(table.path)
 
 
 def bound_files(df: DataFrame, max_files: int) -> DataFrame:

@@ -3,8 +3,8 @@ line files. All are lazy DataFrames; nothing is read into the driver."""
 
 from __future__ import annotations
 
+import re
 import time
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -67,15 +67,19 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     sub-folders are not listed, nor is the sub-folder itself); a missing
     folder is an error.
 
-    The names come from Spark's file index, which lists the folder while the
-    reader is made; they are dealt out over a bounded number of tasks, and no
-    file is opened.
+    Spark's file index lists the folder, and the names stay with it: they are
+    read by a bounded number of tasks, which open no file. Each use of the
+    result lists the folder again; store it to list once.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    names = [unquote(name) for name in reader.load(folder).inputFiles()]
-    return spark.createDataFrame([(n,) for n in names], "path string").coalesce(LISTING_TASKS)
+    return reader.load(folder).select("path").coalesce(LISTING_TASKS)
+
+
+def literal_path(path: str) -> str:
+    """A path for Spark's readers in which ``[``, ``*`` and their like mean themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINK_FIELDS, LINKS, PAYLOAD, WAT_SCHEMA
+from ..schema import ENVELOPE, HTML_META, HTTP_RESPONSE, LINK_FIELDS, LINK_SCHEMA, LINKS, PAYLOAD, WAT_SCHEMA
+from .files import literal_path
 
 
 def links_array() -> Column:
@@ -36,6 +37,13 @@ def read_wat_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
             .json(list(paths)))
 
 
+def read_wat_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The links of the files with these names, taken literally; none for no names."""
+    if not paths:
+        return spark.createDataFrame([], LINK_SCHEMA)
+    return read_wat_links(spark, [literal_path(p) for p in paths])
+
+
 def read_wat_links(spark: SparkSession, paths: str | Sequence[str],
                    with_source: bool = False) -> DataFrame:
     """WAT file(s) or folder(s) -> ``path, target, text, title, url``.

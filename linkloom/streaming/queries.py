@@ -3,8 +3,8 @@
 Each query streams from the stored synthetic link table (several parquet
 files; ``resume`` writes its own in two appends), runs the job(s) with
 ``availableNow`` (every present file, ``maxFilesPerTrigger`` at a time, then
-stop) into fresh sink and checkpoint folders and returns a batch read of the
-sink. The oracle is the same selection as plain SQL.
+stop) into fresh tables and checkpoints and returns a batch read of the
+table. The oracle is the same selection as plain SQL.
 """
 
 from __future__ import annotations
@@ -12,19 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import KR_FAN_IN
+from ..functions.rules import KR_FAN_IN, Rule
 from ..operators.fanin import tag_rules
 from ..plans import oracle as O
 from ..plans.queries import register
+from ..plans.ingest import ingest_wat_files
+from ..schema import RUN_COLUMN
 from ..session import join_path, new_work_dir
-from ..sinks.tables import append_table
+from ..sinks.tables import append_table, create_database
 from ..sources.derived import (raw_links_table, stored_links, synthetic_links, wat_files_folder,
                                write_wat_files)
-from ..sources.files import copy_file, list_files, set_modified
+from ..sources.files import copy_file, list_files, read_table, set_modified
+from ..tables import LinkTable
 from .fanin import run_fan_in
-from .ingest import read_raw, run_ingest_stream
-from .jobs import (RAW, SPECS, STREAMS, StreamLayout, StreamSpec, feed_table, read_table_batch,
-                   run_stream)
+from .ingest import read_raw, read_stream_quarantine, run_ingest_stream
+from .jobs import (RAW, SPECS, STREAMS, StreamLayout, StreamSpec, feed_table, read_job, read_table_batch,
+                   run_stream, start_feed)
 
 
 def write_raw_links(spark: SparkSession, sf_dir: str, path: str, n_files: int | None = None,
@@ -59,7 +62,7 @@ def _stream_query(spec: StreamSpec) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         layout = new_layout(spark, f"stream-{spec.name}", raw_links_table(spark, sf_dir))
         run_stream(spark, spec, layout)
-        return spark.read.format(layout.fmt).load(layout.job_folder(spec)).select("url")
+        return read_job(spark, layout, spec)
 
     register(f"stream_{spec.name}", spec_sql(spec))(run)
 
@@ -82,7 +85,7 @@ def q_stream_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = new_layout(spark, "fanin", raw_links_table(spark, sf_dir))
     sink = join_path(layout.base, "kr_http_links_by_rule")
     run_fan_in(spark, layout, sink, join_path(layout.checkpoints, "fan_in"))
-    return spark.read.format(layout.fmt).load(sink).select("rule", "url")
+    return read_table(spark, sink).select("rule", "url")
 
 
 @register("stream_kr_chain_table", f"""
@@ -108,10 +111,10 @@ def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         if part is not None:
             write_raw_links(spark, sf_dir, layout.raw(), links=part)
         run_stream(spark, spec, layout)
-        counts.append(spark.read.format(layout.fmt).load(layout.job_folder(spec)).count())
+        counts.append(read_job(spark, layout, spec).count())
     if not (counts[0] <= counts[1] == counts[2]):
         raise RuntimeError(f"resume counts not monotone: {counts}")
-    return spark.read.format(layout.fmt).load(layout.job_folder(spec))
+    return read_job(spark, layout, spec)
 
 
 @register("stream_ingest", O.WAT_LINKS)
@@ -166,7 +169,7 @@ def q_stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         if r.path not in early:
             set_modified(spark, r.path, -20 * DAY_MS)
     run_stream(spark, spec, layout)
-    return spark.read.format(layout.fmt).load(layout.job_folder(spec))
+    return read_job(spark, layout, spec)
 
 
 @register("stream_same_name", O.WAT_LINKS)
@@ -197,3 +200,97 @@ def q_stream_ingest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
                               where=F.col("page_id") % 2 == parity)
         run_ingest_stream(spark, wat, raw, join_path(work, f"checkpoint-{job}"), job=job)
     return read_raw(spark, raw)
+
+
+_KR_SQL = f"""
+SELECT url FROM ({' UNION ALL '.join(spec_sql(s) for s in STREAMS if s.sink == 'kr_http_links')})"""
+
+
+@register("stream_fan_in_two_starts", _KR_SQL)
+def q_stream_fan_in_two_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fan-in started as the command line does, new files, then the chained
+    jpg job, which continues the same fan-in: no link is lost or doubled."""
+    layout = new_layout(spark, "twostarts")
+    links = synthetic_links(spark, sf_dir)
+    is_n = F.coalesce(F.col("text") == "N", F.lit(False))
+    write_raw_links(spark, sf_dir, layout.raw(), links=links.where(~is_n))
+    start_feed(spark, layout, "kr_http_links").awaitTermination()
+    write_raw_links(spark, sf_dir, layout.raw(), links=links.where(is_n))
+    run_stream(spark, "st7", layout)
+    return read_table_batch(spark, layout, "kr_http_links")
+
+
+@register("stream_single_writers", _KR_SQL)
+def q_stream_single_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six Korean jobs as jobs of their own, appending to one table in two
+    rounds and in another order each, with new files between."""
+    layout = new_layout(spark, "singles")
+    links = synthetic_links(spark, sf_dir)
+    is_n = F.coalesce(F.col("text") == "N", F.lit(False))
+    jobs = layout.writers("kr_http_links")
+    for part, order in ((~is_n, jobs), (is_n, jobs[::-1])):
+        write_raw_links(spark, sf_dir, layout.raw(), links=links.where(part))
+        for spec in order:
+            run_stream(spark, spec, layout, max_files=100)
+    return read_table_batch(spark, layout, "kr_http_links")
+
+
+@register("stream_ingest_bad_file", O.WAT_LINKS)
+def q_stream_ingest_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cut-off gzip comes first, alone in the folder; good files come later.
+    All their links arrive, and the bad name is in the quarantine table."""
+    work = new_work_dir(spark, "streambad")
+    wat, raw, checkpoint = (join_path(work, n) for n in ("wat", "raw", "checkpoint"))
+    good = wat_files_folder(spark, sf_dir)
+    listed = [r.path for r in list_files(spark, good, "*.gz").orderBy("path").collect()]
+    copy_file(spark, listed[0], join_path(wat, "cut off.gz"), keep=0.6)
+    run_ingest_stream(spark, wat, raw, checkpoint)
+    for path in listed:
+        copy_file(spark, path, join_path(wat, path.rsplit("/", 1)[1]))
+    run_ingest_stream(spark, wat, raw, checkpoint, max_files=max(1, len(listed) // 2))
+    bad = [r.file_name for r in read_stream_quarantine(spark, raw).collect()]
+    if bad != ["cut off.gz"]:
+        raise RuntimeError(f"quarantined {bad}")
+    return read_raw(spark, raw)
+
+
+def _new_database(spark: SparkSession, label: str) -> str:
+    name = f"linkloom_{label}_" + new_work_dir(spark, label).rsplit("-", 1)[1]
+    create_database(spark, name)
+    return name
+
+
+@register("stream_st1_catalog", spec_sql(SPECS["st1"]))
+def q_stream_st1_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Japanese job from a catalog table to a catalog table, started twice."""
+    base = f"catalog:{_new_database(spark, 'st1')}"
+    layout = StreamLayout(base=base, checkpoints=new_work_dir(spark, "st1catalog"))
+    links = synthetic_links(spark, sf_dir)
+    is_n = F.coalesce(F.col("text") == "N", F.lit(False))
+    for part in (~is_n, is_n):
+        append_table(links.where(part), layout.table(RAW))
+        run_stream(spark, "st1", layout)
+    return read_job(spark, layout, SPECS["st1"])
+
+
+@register("stream_committed_runs", f"""
+SELECT url FROM ({O.WAT_LINKS}) WHERE lower(url) LIKE '%/%'""")
+def q_stream_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over a catalog table that batch ingest fills: it sees the runs
+    that have their commit row, also those finished later, and no row of a run
+    that was cut off between two partitions."""
+    work = new_work_dir(spark, "committed")
+    db = _new_database(spark, "runs")
+    raw, ledger = LinkTable.catalog(f"{db}.raw"), LinkTable(join_path(work, "ledger"))
+    wat = wat_files_folder(spark, sf_dir)
+    spec = StreamSpec("slash", "links with a slash", RAW, "slash_links", (Rule("slash", "%/%", "any"),))
+    layout = StreamLayout(base=join_path(work, "tables"), checkpoints=join_path(work, "ckpt"),
+                          raw_path=f"catalog:{db}.raw", specs=(spec,), ledger=ledger)
+    for glob in ("*0.txt.gz", "*.gz"):
+        ingest_wat_files(spark, wat, ledger, raw, glob=glob)
+        torn = spark.table(raw.name).limit(5).withColumn(RUN_COLUMN, F.lit("torn-run"))
+        torn.write.mode("append").insertInto(raw.name)
+        run_stream(spark, spec, layout)
+    if read_table_batch(spark, layout, RAW).where(F.col(RUN_COLUMN) == "torn-run").count():
+        raise RuntimeError("a reader saw rows of a run without its commit")
+    return read_job(spark, layout, spec)

@@ -5,28 +5,23 @@ it has seen (``maxFileAge``): it would skip files that arrive late with an old
 time, and read a known name again. Every file stream here is built by
 ``file_stream``, which puts that limit out of the way.
 
-A raw table that streams write holds one sub-folder per ingest job
-(``job=<name>``), because a file sink owns its folder. ``claim`` leaves a note
-of the owner in a folder and refuses a folder that belongs to another writer.
+A table is one stream: its folder, or its name in the catalog, whatever jobs
+write it. So a rate holds for the table as a whole.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
 
-from ..session import join_path
-from ..sources.files import list_names, path_exists, read_note, write_note
+from ..schema import JOB_COLUMN
+from ..sources.files import list_names, path_exists
+from ..tables import LinkTable
 
 NO_AGE_LIMIT = "36500d"
 FILES_PER_BATCH = 1_000  # the rate of jobs that have none of their own
 AUTO = "auto"
-JOB_FOLDER = "job="
-OWNER = "_owner"
-SINK_LOG = "_spark_metadata"
+JOB_FOLDER = f"{JOB_COLUMN}="
 
 
 def resolve_rate(max_files: int | str | None, default: int = FILES_PER_BATCH) -> int:
@@ -38,37 +33,18 @@ def resolve_rate(max_files: int | str | None, default: int = FILES_PER_BATCH) ->
     return FILES_PER_BATCH if max_files == AUTO else int(max_files)
 
 
-def file_stream(spark: SparkSession, schema: T.StructType, fmt: str, max_files: int,
-                **options) -> DataStreamReader:
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", max_files).option("maxFileAge", NO_AGE_LIMIT)
-            .options(**options))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def raw_folders(spark: SparkSession, raw: str) -> list[str]:
-    """The job folders of a raw table, or the table itself if it has none."""
-    jobs = sorted(n for n in list_names(spark, raw) if n.startswith(JOB_FOLDER))
-    return [join_path(raw, n) for n in jobs] or [raw]
-
-
-def claim(spark: SparkSession, folder: str, owner: str) -> None:
-    """Note ``owner`` in ``folder``; refuse a folder with another owner, or
-    with content that no stream noted."""
-    if path_exists(spark, folder):
-        found = read_note(spark, join_path(folder, OWNER))
-        if found is None and list_names(spark, folder):
-            raise RuntimeError(f"{folder} holds data of another writer")
-        if found is not None and found != owner:
-            raise RuntimeError(f"{folder} belongs to {found}, not to {owner}")
-    write_note(spark, join_path(folder, OWNER), owner)
+def file_stream(spark: SparkSession, schema: T.StructType | None, table: LinkTable, max_files: int,
+                **options) -> DataFrame:
+    """The files of a path table (or folder), or of a catalog table, as a stream."""
+    reader = (spark.readStream.option("maxFilesPerTrigger", max_files).option("maxFileAge", NO_AGE_LIMIT)
+              .options(**options))
+    if table.in_catalog:
+        return reader.table(table.name)
+    return reader.schema(schema).format(table.fmt).load(table.path)
 
 
 def refuse_stream_folder(spark: SparkSession, folder: str) -> None:
-    """A batch job must not write where a stream's sink log decides what counts."""
+    """A batch job must not write into a table whose partitions are streams' batches."""
     names = list_names(spark, folder) if path_exists(spark, folder) else []
-    if SINK_LOG in names or any(n.startswith(JOB_FOLDER) for n in names):
+    if any(n.startswith(JOB_FOLDER) for n in names):
         raise RuntimeError(f"{folder} is written by ingest streams")

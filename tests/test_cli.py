@@ -51,8 +51,8 @@ def test_jobs_end_to_end(spark, work, capsys):
 
     main(["stream", "st6", "--base", j("single"), "--raw", j("raw"), "--once"])
     main(["stream", "fan-in", "--base", j("tables"), "--raw", j("raw"), "--once"])
-    assert spark.read.parquet(j("single", "kr_http_links", "st6")).count() == 1
-    assert spark.read.parquet(j("tables", "kr_http_links", "fan_in")).count() == 1
+    assert spark.read.parquet(j("single", "kr_http_links", "job=st6")).count() == 1
+    assert spark.read.parquet(j("tables", "kr_http_links", "job=fan_in")).count() == 1
 
     main(["audit", "--table", j("raw")])
     out = capsys.readouterr().out

@@ -245,3 +245,70 @@ def test_many_files_are_several_runs(spark, work):
     assert ingest_wat_files(spark, wat, ledger, raw, files_per_run=2).count == 5
     assert len([d for d in os.listdir(raw.path) if d.startswith("ingest_run=")]) == 3
     assert read_table(spark, raw).count() == 5
+
+
+def test_many_bad_files_cost_one_more_write(spark, work, monkeypatch):
+    """Cut, damaged and vanished files, names with blanks, percent, plus and
+    brackets: one write fails, the second has all good files."""
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    bad = ["a b.gz", "c%20d.gz", "e+f.gz", "g[1].gz", "h.gz", "i%.gz"]
+    for name in bad:
+        wat_file(os.path.join(wat, name), [f"u{i}" for i in range(400)])
+        with open(os.path.join(wat, name), "r+b") as fh:
+            fh.truncate(180)
+    with open(os.path.join(wat, "j.gz"), "wb") as fh:
+        fh.write(b"plain text")
+    wat_file(os.path.join(wat, "whole.gz"), [f"u{i}" for i in range(400)])
+    raw_bytes = bytearray(open(os.path.join(wat, "whole.gz"), "rb").read())
+    raw_bytes[-6] ^= 0xFF  # the checksum of the trailer
+    open(os.path.join(wat, "k.gz"), "wb").write(bytes(raw_bytes))
+    for name in ("good 1.gz", "good%2.gz", "good+3.gz", "good[4].gz"):
+        wat_file(os.path.join(wat, name), [name])
+    two = gzip.compress(b"WARC/1.0\n") + open(os.path.join(wat, "good 1.gz"), "rb").read()
+    open(os.path.join(wat, "members.gz"), "wb").write(two)
+    open(os.path.join(wat, "padded.gz"), "wb").write(two + b"\0" * 20)  # Spark's reader refuses it too
+    os.remove(os.path.join(wat, "whole.gz"))
+    writes = []
+    real = ingest.overwrite_table
+    monkeypatch.setattr(ingest, "overwrite_table", lambda *a, **k: (writes.append(1), real(*a, **k)))
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    first = ingest_wat_files(spark, wat, ledger, raw)
+    assert len(writes) == 2
+    quarantined = sorted(r.file_name for r in ingest.read_quarantine(spark, ledger).collect())
+    assert quarantined == sorted([*bad, "j.gz", "k.gz", "padded.gz"])
+    assert first.files == ("good 1.gz", "good%2.gz", "good+3.gz", "good[4].gz", "members.gz")
+    assert {r.url for r in read_table(spark, raw).collect()} == {"good 1.gz", "good%2.gz", "good+3.gz", "good[4].gz"}
+    assert ingest_wat_files(spark, wat, ledger, raw).count == 0 and len(writes) == 2
+
+
+def test_a_fault_that_no_file_has_is_raised(spark, work, monkeypatch):
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    wat_file(os.path.join(wat, "a.gz"), ["u"])
+    monkeypatch.setattr(ingest, "overwrite_table", lambda *a, **k: (_ for _ in ()).throw(OSError("disk full")))
+    with pytest.raises(OSError, match="disk full"):
+        ingest_wat_files(spark, wat, LinkTable(os.path.join(work, "l")), LinkTable(os.path.join(work, "r")))
+
+
+def test_the_folder_is_listed_once_a_call(spark, work, monkeypatch):
+    """However many runs a call takes; no listed name is in the plan as a
+    local relation; runs hold at most the given number of files."""
+    import linkloom.plans.ingest as ingest
+    wat = os.path.join(work, "wat")
+    os.makedirs(wat)
+    for i in range(7):
+        wat_file(os.path.join(wat, f"f{i}.gz"), [f"u{i}"])
+    calls, real = [], ingest.list_files
+    monkeypatch.setattr(ingest, "list_files", lambda *a, **k: (calls.append(1), real(*a, **k))[1])
+    monkeypatch.setattr(ingest, "FILES_PER_BUCKET", 2)
+    ledger, raw = LinkTable(os.path.join(work, "ledger")), LinkTable(os.path.join(work, "raw"))
+    plan = ingest.plan_ingest(spark, wat, ledger)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan.split("Join LeftAnti")[0].splitlines()[0] and "binaryFile" in plan
+    calls.clear()
+    assert ingest_wat_files(spark, wat, ledger, raw, files_per_run=3).count == 7
+    assert len(calls) == 1
+    sizes = spark.read.parquet(ledger.path).groupBy("run_id").count().collect()
+    assert sorted(r["count"] for r in sizes) == [1, 3, 3]

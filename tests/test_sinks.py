@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import rows
+from conftest import rows, unique_name
 from pyspark.errors import AnalysisException
 
 from linkloom.sinks.tables import (append_table, create_database, create_new_table,
@@ -255,3 +255,31 @@ def test_scratch_folder_must_be_shared_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_partitions_of_a_table_made_elsewhere_are_overwritten_one_by_one(spark):
+    """A table that carries no write option of this library keeps the
+    partitions the rows do not name, and the session keeps its settings."""
+    from linkloom.sinks.tables import create_database, overwrite_partitions
+    create_database(spark, "linkloom_parts")
+    name = unique_name("linkloom_parts.t")
+    spark.sql(f"CREATE TABLE {name} (url STRING, run STRING) USING parquet PARTITIONED BY (run)")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    for run, urls in (("a", ["u1", "u2"]), ("b", ["u3"]), ("a", ["u4"])):
+        df = spark.createDataFrame([(u, run) for u in urls], "url string, run string")
+        overwrite_partitions(df, LinkTable.catalog(name), ["run"], max_records_per_file=1)
+    assert rows(spark.table(name)) == [("u3", "b"), ("u4", "a")]
+    assert spark.conf.get(key) == before
+
+
+def test_create_or_append_keeps_the_tables_columns(spark, work):
+    from linkloom.sinks.tables import create_database, create_or_append
+    create_database(spark, "linkloom_parts")
+    for table in (LinkTable(os.path.join(work, "t")), LinkTable.catalog(unique_name("linkloom_parts.c"))):
+        first = spark.createDataFrame([("u1", "x")], "url string, text string")
+        assert create_or_append(first, table) is False
+        assert create_or_append(first.select("text", "url"), table) is True
+        assert rows(read_table(spark, table), "url", "text") == [("u1", "x")] * 2
+        with pytest.raises(ValueError, match="columns"):
+            create_or_append(first.select("url"), table)
