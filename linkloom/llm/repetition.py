@@ -4,7 +4,10 @@ The words of a text are the alphabet. For a block of documents one suffix
 array is built by prefix doubling (numpy; only suffixes that still tie are
 sorted again), kept apart by document. Comparing the ranks kept from each
 doubling, longest first, gives the longest common prefix (LCP) of
-neighbouring suffixes without a loop per word.
+neighbouring suffixes without a loop per word. Ranks are kept only up to
+``KEPT_RANKS`` numbers; beyond (a very long text that repeats itself at many
+lengths) the same LCP comes from the final ranks alone, in text order, with a
+loop per word and memory in proportion to the words.
 
 The deepest LCP interval around a suffix has the greater of its two
 neighbouring LCP values; that prefix is the longest repeated substring that
@@ -13,8 +16,7 @@ union of these spans, taken where the length is at least ``MIN_REPEAT``
 words, is the union of the spans of all maximal repeats of that length.
 
 Verdict: a text is dropped when repeats cover more than ``MAX_COVERED``
-percent of its words, or the longest repeat exceeds both ``MAX_LONGEST``
-words and ``MAX_LONGEST_SHARE`` percent of the text.
+percent of its words, or the longest repeat exceeds ``MAX_LONGEST`` words.
 
 The spans of all repeats of at least m words cover what the m-word windows
 that occur twice cover, and a repeat of m words exists if such a window does;
@@ -32,8 +34,8 @@ from .textblocks import SEPARATORS, TextBlock, Words, blocks, hash_words, split_
 
 MIN_REPEAT = 5
 MAX_COVERED = 40  # percent of the words
-MAX_LONGEST = 100
-MAX_LONGEST_SHARE = 20  # percent of the words
+MAX_LONGEST = 100  # words
+KEPT_RANKS = 16_000_000
 
 # Fixed values of the base measures.
 SYMBOLS = b"#*$%&|<>"
@@ -45,37 +47,56 @@ MEASURES = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_l
             "n_repeat_words long, covered_words long, longest_repeat long")
 
 
-def suffix_ranks(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def suffix_ranks(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[np.ndarray] | None]:
     """Final rank of every suffix, and the ranks by the first 1, 2, 4, ...
-    words. Equal ranks mean equal prefixes in the same document."""
+    words, or None where these are more than ``KEPT_RANKS``. Equal ranks mean
+    equal prefixes in the same document."""
     n = len(values)
-    order = np.lexsort((values, doc))
-    v, d = values[order], doc[order]
+    kind = np.int32 if n < 1 << 31 else np.int64
+    key = np.unique(values, return_inverse=True)[1].astype(np.int64)
+    key += doc.astype(np.int64) * (int(key.max(initial=0)) + 1)
+    order = np.argsort(key).astype(kind)
+    key = key[order]
     head = np.ones(n, dtype=bool)
-    head[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    head[1:] = key[1:] != key[:-1]
+    del key
+    rank = np.empty(n, dtype=kind)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=kind), 0))
     levels, width = [rank], 1
     tied = order[~(head & np.append(head[1:], True))]
+    del order, head
     while len(tied):
-        after = tied + width
+        after = tied + kind(min(width, n))
         inside = after < n
         after[~inside] = 0
         inside &= doc[after] == doc[tied]
-        second = np.where(inside, rank[after] + 1, 0)
-        by = np.lexsort((second, rank[tied]))
-        tied, second = tied[by], second[by]
+        after = rank[after]
+        after += 1
+        after[~inside] = 0
+        key = rank[tied].astype(np.int64)
+        key *= n + 1
+        key += after
+        del after, inside
+        by = np.argsort(key)
+        tied = tied[by]
+        key = key[by]
+        del by
         first = rank[tied]
         new_group = np.ones(len(tied), dtype=bool)
         new_group[1:] = first[1:] != first[:-1]
-        head = new_group.copy()
-        head[1:] |= second[1:] != second[:-1]
-        at = np.arange(len(tied))
-        group = np.maximum.accumulate(np.where(new_group, at, 0))
-        part = np.maximum.accumulate(np.where(head, at, 0))
-        rank = rank.copy()
-        rank[tied] = first + part - group
-        levels.append(rank)
+        head = np.ones(len(tied), dtype=bool)
+        head[1:] = key[1:] != key[:-1]
+        del key
+        at = np.arange(len(tied), dtype=kind)
+        first -= np.maximum.accumulate(np.where(new_group, at, 0))
+        first += np.maximum.accumulate(np.where(head, at, 0))
+        del at, new_group
+        if levels is not None and n * (len(levels) + 1) > KEPT_RANKS and len(levels) > 1:
+            levels = None
+        if levels is not None:
+            rank = rank.copy()
+            levels.append(rank)
+        rank[tied] = first
         width *= 2
         tied = tied[~(head & np.append(head[1:], True))]
     return rank, levels
@@ -99,24 +120,53 @@ def neighbour_lcp(rank: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarra
     return suffixes, lcp
 
 
+def lcp_in_text_order(values: np.ndarray, doc: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the final ranks alone: the LCP of a suffix with the one
+    before it is at most one shorter than that of the suffix one word earlier."""
+    n = len(rank)
+    suffixes = np.empty(n, dtype=rank.dtype)
+    suffixes[rank] = np.arange(n, dtype=rank.dtype)
+    lcp = np.zeros(n, dtype=rank.dtype)
+    ranks, places, out = memoryview(rank), memoryview(suffixes), memoryview(lcp)
+    words, docs = memoryview(np.ascontiguousarray(values)), memoryview(np.ascontiguousarray(doc))
+    h = 0
+    for i in range(n):
+        r = ranks[i]
+        if not r:
+            h = 0
+            continue
+        j = places[r - 1]
+        if docs[j] != docs[i]:
+            h = 0
+            continue
+        limit = n - max(i, j)
+        while h < limit and words[i + h] == words[j + h] and docs[i + h] == docs[i] and docs[j + h] == docs[i]:
+            h += 1
+        out[r] = h
+        if h:
+            h -= 1
+    return suffixes, lcp
+
+
 def longest_repeats(values: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """For each position, the words of the longest repeat that starts there."""
     if not len(values):
         return np.zeros(0, dtype=np.int64)
     rank, levels = suffix_ranks(values, doc)
-    suffixes, lcp = neighbour_lcp(rank, levels)
-    best = np.maximum(lcp, np.append(lcp[1:], 0))
-    out = np.empty(len(values), dtype=np.int64)
+    suffixes, lcp = lcp_in_text_order(values, doc, rank) if levels is None else neighbour_lcp(rank, levels)
+    best = lcp.copy()
+    np.maximum(best[:-1], lcp[1:], out=best[:-1])
+    out = np.empty(len(values), dtype=lcp.dtype)
     out[suffixes] = best
     return out
 
 
 def covered(start: np.ndarray, length: np.ndarray | int, n: int) -> np.ndarray:
     """Which of n positions the spans cover."""
-    edge = np.zeros(n + 1, dtype=np.int64)
+    edge = np.zeros(n + 1, dtype=np.int32)
     np.add.at(edge, start, 1)
-    np.add.at(edge, start + length, -1)
-    return np.cumsum(edge[:n]) > 0
+    np.subtract.at(edge, start + length, 1)
+    return np.cumsum(edge[:n], dtype=np.int32) > 0
 
 
 def _per_doc(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -150,21 +200,26 @@ def measure(block: TextBlock, min_repeat: int = MIN_REPEAT) -> dict[str, np.ndar
     heads = ((data & 0xC0) != 0x80) & ~SEPARATORS[data]
     symbol = np.zeros(256, dtype=bool)
     symbol[list(SYMBOLS)] = True
-    values = hash_words(data, words.start, words.end, lower=False)
-    repeat = longest_repeats(values, words.doc)
-    window = np.flatnonzero(repeat >= BASE_WINDOW)
-    spans = np.flatnonzero(repeat >= min_repeat)
-    longest = np.zeros(len(block), dtype=np.int64)
-    np.maximum.at(longest, words.doc, repeat)
-    return {
+    counts = {
         "n_words": np.diff(words.first),
         "word_chars": _per_doc(heads, off),
         "n_symbols": _per_doc(symbol[data], off),
         "n_dup_lines": _dup_lines(block, words),
-        "n_repeat_words": _per_doc(covered(window, BASE_WINDOW, n), words.first),
-        "covered_words": _per_doc(covered(spans, repeat[spans], n), words.first),
-        "longest_repeat": longest,
     }
+    values = hash_words(data, words.start, words.end, lower=False)
+    first, doc = words.first, words.doc.astype(np.int32)  # what is left of the words from here on
+    del words, heads
+    repeat = longest_repeats(values, doc)
+    del values
+    longest = np.zeros(len(block), dtype=np.int64)
+    np.maximum.at(longest, doc, repeat)
+    window = np.flatnonzero(repeat >= BASE_WINDOW)
+    counts["n_repeat_words"] = _per_doc(covered(window, BASE_WINDOW, n), first)
+    del window
+    spans = np.flatnonzero(repeat >= min_repeat)
+    counts["covered_words"] = _per_doc(covered(spans, repeat[spans], n), first)
+    counts["longest_repeat"] = longest
+    return counts
 
 
 def _measurer(min_repeat: int):
@@ -192,15 +247,13 @@ def repetition_measures(docs: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFr
 
 
 def repetition_verdict(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: int = MAX_COVERED,
-                       max_longest: int = MAX_LONGEST,
-                       max_longest_share: int = MAX_LONGEST_SHARE) -> DataFrame:
+                       max_longest: int = MAX_LONGEST) -> DataFrame:
     """Measures with ``base_failed`` and ``kept``."""
     m = repetition_measures(docs, min_repeat)
     failed = ((F.col("n_words") < BASE_MIN_WORDS)
               | (100 * F.col("n_repeat_words") > BASE_REPEAT_PERCENT * F.col("n_words")))
     repetitive = ((100 * F.col("covered_words") > max_covered * F.col("n_words"))
-                  | ((F.col("longest_repeat") > max_longest)
-                     & (100 * F.col("longest_repeat") > max_longest_share * F.col("n_words"))))
+                  | (F.col("longest_repeat") > max_longest))
     return m.withColumn("base_failed", failed).withColumn("kept", ~failed & ~repetitive)
 
 
@@ -232,7 +285,7 @@ s AS (
 w AS (SELECT *, len(words) AS n_words FROM s),
 {_windows_sql("eight", str(BASE_WINDOW))},
 {_windows_sql("short", str(MIN_REPEAT))},
-{_windows_sql("long", f"greatest({MAX_LONGEST}, n_words * {MAX_LONGEST_SHARE} // 100) + 1")},
+{_windows_sql("long", str(MAX_LONGEST + 1))},
 m AS (
   SELECT doc_id, n_words,
          CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,

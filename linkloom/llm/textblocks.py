@@ -128,6 +128,17 @@ def hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
     while at < len(start):
         stop = int(np.searchsorted(start, start[at] + HASH_PIECE))
         stop = max(stop, at + 1)
+        if end[stop - 1] - start[at] > 2 * HASH_PIECE:  # ends in a very long one: that by pieces
+            stop = max(stop - 1, at)
+            if stop == at:
+                total = int(end[at] - start[at])
+                for low in range(int(start[at]), int(end[at]), HASH_PIECE):
+                    high = min(low + HASH_PIECE, int(end[at]))
+                    place = np.arange(low - start[at], high - start[at]) % MAX_POWERS
+                    total += int((BYTE_VALUES[lower][data[low:high]] * BYTE_POWERS[place]).sum(dtype=np.uint64))
+                out[at] = total & 0xFFFFFFFFFFFFFFFF
+                at += 1
+                continue
         lengths = end[at:stop] - start[at:stop]
         total = int(lengths.sum())
         heads = np.cumsum(lengths) - lengths

@@ -2,18 +2,27 @@
 
 A document is a bag of sentences. A sentence's score is logistic in hashed
 features of its words (the word and its beginnings, so that inflected forms
-share evidence); the document's score is the noisy-or of its sentences,
-1 - prod(1 - p). In scoring only sentences that are more likely toxic than
-not count, or the most toxic one where there is none, and a sentence without
-any learned feature has p = 0: however long a text is, sentences that are each
-clean do not add up to a toxic one. Only documents carry labels: the gradient of the
-document's likelihood reaches each sentence in proportion to its share of
-the blame, so the model learns which sentences offend and can point at them.
+share evidence), less a background share: with s = 1 / (1 + exp(-z)),
+
+    p = max(0, s - BACKGROUND) / (1 - BACKGROUND),
+
+and 0 for a sentence without any learned feature. The document's score is the
+noisy-or of all its sentences, 1 - prod(1 - p) / (1 - leak)**n, at least 0, in
+scoring and verdict alike: several middling sentences make a toxic text. The
+leak is what a sentence of clean texts adds by chance, measured on every
+``CALIBRATE``-th clean text of the sample, which the fit does not see; it is
+some 1e-4, so it matters only in texts of thousands of sentences, which would
+turn toxic by their length alone. Only documents carry
+labels: the gradient of the document's likelihood reaches each sentence in
+proportion to its share of the blame, so the model learns which sentences
+offend and can point at them. The background grows from 0 in the first epochs,
+so that every feature is weighed before sentences fall silent.
 
 Training takes a bounded sample of labelled rows: up to ``SAMPLE_TOXIC`` and
 ``SAMPLE_CLEAN`` documents of each class by hash order, of at most
-``SAMPLE_CHARS`` characters, re-weighted to the classes' true shares. Scoring
-reads every whole text, with no shuffle.
+``SAMPLE_CHARS`` characters (so that long clean texts are learned from too), one
+row for each doc_id, re-weighted to the classes' true shares. Scoring reads
+every whole text, with no shuffle.
 """
 
 from __future__ import annotations
@@ -30,15 +39,19 @@ from .shipping import ship
 from .textblocks import (BLOCK_BYTES, BYTE_POWERS, BYTE_VALUES, TextBlock, blocks, hash_words, mix64,
                          split_words)
 
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2_000, 4_000, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2_000, 4_000, 100_000
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 5, 6, 7)  # bytes of a word's beginning
 SENTENCE_WORDS = 25  # longer runs without a sentence end are cut
 LEAST_TEXTS = 4  # a feature in fewer training texts is ignored
 LEAST_Z = 6.0  # least enrichment of a feature among toxic texts, in standard errors
+LEAST_SENTENCES = 5  # different sentences it stands in: copies of one text prove nothing
 EPOCHS, STEP, PENALTY = 150, 0.3, 3e-5
 FIRST_BIAS = -5.0
-COUNTS = 0.5  # least score of a sentence that counts besides the greatest
+BACKGROUND = 0.25
+CALIBRATE = 5
+LEAST_CALIBRATION = 1_000  # sentences
+SETTLING = 100  # epochs in which the background grows
 
 WORD_GAPS = np.ones(256, dtype=bool)
 WORD_GAPS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1),
@@ -89,33 +102,32 @@ def sentences(block: TextBlock) -> Sentences:
                      words.end[last] if len(first) else first)
 
 
+def share(z: np.ndarray, background: float) -> np.ndarray:
+    """The logistic of z above the background, from 0 to 1."""
+    s = 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+    return np.maximum(s - background, 0.0) / (1.0 - background)
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # BUCKETS, float32; bucket 0 is always 0
     bias: float
+    leak: float = 0.0  # -log(1 - leak) of a sentence
 
     def sentence_scores(self, s: Sentences) -> np.ndarray:
+        """p of every sentence."""
         if not len(s.first):
             return np.zeros(0)
         weights = self.weights[s.features]
         z = np.add.reduceat(weights.sum(axis=1, dtype=float), s.first) + self.bias
         known = np.add.reduceat(np.count_nonzero(weights, axis=1), s.first) > 0
-        return np.where(known, 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))), 0.0)
+        return np.where(known, share(z, BACKGROUND), 0.0)
 
-    def document_scores(self, s: Sentences, n_docs: int,
-                        p: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Noisy-or of each document's sentences that count, and the sentences'
-        scores, 0 where they do not. ``p``: the scores of all sentences."""
+    def document_scores(self, s: Sentences, n_docs: int, p: np.ndarray | None = None) -> np.ndarray:
+        """Noisy-or of each document's sentences. ``p``: their scores."""
         p = self.sentence_scores(s) if p is None else p
-        if len(p):
-            begins = np.flatnonzero(np.diff(s.doc, prepend=-1))
-            top = np.maximum.reduceat(p, begins)
-            greatest = np.flatnonzero(p == np.repeat(top, np.diff(np.append(begins, len(p)))))
-            counts = p >= COUNTS
-            counts[greatest[np.diff(s.doc[greatest], prepend=-1) > 0]] = True
-            p = np.where(counts, p, 0.0)
-        none = np.bincount(s.doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
-        return -np.expm1(none), p
+        none = np.bincount(s.doc, np.log1p(-np.minimum(p, 1 - 1e-9)) + self.leak, minlength=n_docs)
+        return np.abs(np.expm1(np.minimum(none, 0.0)))
 
 
 def _join_blocks(texts: list[str]) -> TextBlock:
@@ -145,6 +157,12 @@ def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | Non
     y = np.array([label for _, label in rows], dtype=float)
     if not len(y) or not 0 < y.sum() < len(y):
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
+    clean = [i for i, (_, label) in enumerate(rows) if not label]
+    calibration = [rows[i][0] for i in clean[::CALIBRATE]] if len(clean) >= CALIBRATE else []
+    if calibration:
+        apart = set(clean[::CALIBRATE])
+        rows = [row for i, row in enumerate(rows) if i not in apart]
+        y = np.array([label for _, label in rows], dtype=float)
     texts, n_docs = [t for t, _ in rows], len(rows)
     texts_with, toxic_with = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for at, s in _featured(texts):
@@ -158,30 +176,41 @@ def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | Non
     used = (texts_with >= LEAST_TEXTS) & (z >= LEAST_Z)
     used[0] = False
     # Only used features are kept: a flat list with its sentence.
-    columns, lines, docs, n_lines = [], [], [], 0
+    columns, lines, docs, wordings, n_lines = [], [], [], [], 0
     for at, s in _featured(texts):
+        if len(s.first):
+            wordings.append(np.add.reduceat(mix64(s.features[:, 0].astype(np.uint64) + np.uint64(1)), s.first))
         sentence_of = np.repeat(np.arange(len(s.first)), np.diff(np.append(s.first, len(s.features))))
         keep = used[s.features]
         columns.append(s.features[keep])
         lines.append(np.broadcast_to(sentence_of[:, None], keep.shape)[keep] + n_lines)
         docs.append(s.doc + at)
         n_lines += len(s.first)
-    names, column = np.unique(np.concatenate(columns), return_inverse=True)
-    line, doc = np.concatenate(lines), np.concatenate(docs)
-    share = np.ones(n_docs)
+    column, line, doc = np.concatenate(columns).astype(np.int64), np.concatenate(lines), np.concatenate(docs)
+    _, wording = np.unique(np.concatenate(wordings), return_inverse=True)
+    accused = y[doc[line]] == 1
+    pairs = np.unique(column[accused] * (n_lines + 1) + wording[line[accused]])
+    often = np.bincount(pairs // (n_lines + 1), minlength=BUCKETS) >= LEAST_SENTENCES
+    names, column = np.unique(column[often[column]], return_inverse=True), line[often[column]]
+    (names, column), line = names, column
+    counted = np.ones(n_docs)
     if class_rows is not None:
         counts = np.array([(y == 0).sum(), (y == 1).sum()])
-        share = (np.array(class_rows) / counts)[y.astype(int)]
-        share = share / share.mean()
+        counted = (np.array(class_rows) / counts)[y.astype(int)]
+        counted = counted / counted.mean()
+    # Sentences without a used feature have p = 0 and no part in the gradient.
+    evident = np.bincount(line, minlength=n_lines) > 0
     w, b = np.zeros(len(names)), FIRST_BIAS
     square, square_b = np.full(len(names), 1e-8), 1e-8
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        background = BACKGROUND * min(1.0, epoch / SETTLING)
         z = np.bincount(line, w[column], minlength=n_lines) + b
-        p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
+        p = np.where(evident, share(z, background), 0.0)
         log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n_docs)
         none = np.exp(log_none)
-        blame = np.where(y == 1, none / np.maximum(1.0 - none, 1e-9), -1.0) * share
-        up = p * blame[doc]
+        blame = np.where(y == 1, none / np.maximum(1.0 - none, 1e-9), -1.0) * counted
+        # log(1 - p) falls by s for each unit of z, where p > 0.
+        up = np.where(p > 0, background + (1.0 - background) * p, 0.0) * blame[doc]
         g = np.bincount(column, up[line], minlength=len(names)) / n_docs
         square += g * g
         rate = STEP / np.sqrt(square)
@@ -192,7 +221,13 @@ def train(texts: list[str], labels: list[int], class_rows: tuple[int, int] | Non
         b = min(b + STEP * g_b / np.sqrt(square_b), -2.0)
     weights = np.zeros(BUCKETS, np.float32)
     weights[names] = w
-    return Model(weights, float(b))
+    model = Model(weights, float(b))
+    if calibration:
+        # One whole sentence is added to what was seen, for what was not.
+        found = [model.sentence_scores(s) for _, s in _featured(calibration)]
+        added, n = -sum(np.log1p(-np.minimum(p, 0.5)).sum() for p in found), sum(map(len, found))
+        model.leak = float((added + np.log(2.0)) / max(n, 1)) if n >= LEAST_CALIBRATION else 0.0
+    return model
 
 
 def held_out(doc_id) -> Column:
@@ -203,7 +238,8 @@ def held_out(doc_id) -> Column:
 def sample_and_train(docs: DataFrame, labels: DataFrame) -> Model:
     """Train from a bounded sample of labelled documents outside the held-out
     rows. Null labels and null texts are left out; a doc_id that is labelled
-    more than once counts by its greatest label."""
+    more than once counts by its greatest label, and one that has several texts
+    by the least of them, so repeats make no sample larger."""
     known = (labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     totals = {int(r["toxic"]): r["n"] for r in  # two rows
@@ -214,7 +250,7 @@ def sample_and_train(docs: DataFrame, labels: DataFrame) -> Model:
         ids = one if ids is None else ids.union(one)
     rows = (docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS))
             .join(F.broadcast(ids), "doc_id")  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows
-            .select("text", "toxic").collect())
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect())
     return train([r["text"] for r in rows], [int(r["toxic"]) for r in rows],
                  (totals.get(0, 0), totals.get(1, 0)))
 
@@ -226,7 +262,7 @@ def _scorer(model: Model, locate: float):
             for at, stop, block in blocks(batch):
                 s = sentences(block)
                 p = model.sentence_scores(s)
-                scores, _ = model.document_scores(s, len(block), p)
+                scores = model.document_scores(s, len(block), p)
                 found: list[list] = [[] for _ in range(len(block))]
                 bad = np.flatnonzero(p >= locate)
                 if len(bad):
@@ -252,13 +288,21 @@ def score_toxicity(docs: DataFrame, model: Model, locate: float = 0.5) -> DataFr
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row, by a model of the
+    rows that are not held out.
+
+    Null and empty texts score 0; rows with a null doc_id are scored, and not
+    held out; repeated rows are scored each; other columns are ignored. Without
+    labels of both classes every score is 0; an empty table gives no rows."""
     scored = score_toxicity(docs, sample_and_train(docs, labels))
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their columns, that the trained model does not reject."""
+    """The rows, with their columns of any name, that the trained model does
+    not reject. Rows with null or empty text stay; repeated rows stay or go
+    together; an empty table stays empty."""
     model = sample_and_train(docs, labels)
     ship(docs.sparkSession)
 
@@ -266,7 +310,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for _, _, block in blocks(batch):
-                keep.append(model.document_scores(sentences(block), len(block))[0] < 0.5)
+                keep.append(model.document_scores(sentences(block), len(block)) < 0.5)
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 

@@ -30,7 +30,9 @@ def test_myers(item, text):
 @given(st.text("ab", min_size=4, max_size=24), st.text("ab", max_size=60), st.sampled_from([0.1, 0.2, 0.3]))
 @settings(max_examples=200, deadline=None)
 def test_matcher_finds_exactly_the_leaks(item, text, rate):
-    found = Matcher([(7, item)], rate, 1).find(text)
+    found = Matcher([(7, item)], rate, 1, 0).find(text)
+    spans = sorted((f[2], f[3]) for f in found)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     best = least_distance(item, text)
     if best > int(rate * len(item)):
         assert found == []
@@ -104,7 +106,7 @@ def test_blocks_and_odd_rows(spark, monkeypatch):
     rows = [(1, f"x {item.upper()} y", 5), (1, f"x {item.upper()} y", 5), (2, None, 5), (3, "", 5),
             (None, f"é\t{item[:20]}\n{item[20:]}", 5), (5, "short " * 30_000, 5), (6, item[::-1], 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id long")
-    want = sorted([(1, 1)] * 4 + [(None, 1)] * 2 + [(6, None)], key=str)
+    want = sorted([(1, 1)] * 4 + [(None, 1)] * 2 + [(5, 4)] * 30_000 + [(6, None)], key=str)
     for size in (D.BLOCK_CHARS, 50):  # one block, then several
         monkeypatch.setattr(D, "BLOCK_CHARS", size)
         got = find_leaks(docs, bench)
@@ -117,3 +119,54 @@ def test_blocks_and_odd_rows(spark, monkeypatch):
     assert find_leaks(docs, bench.limit(0)).count() == 0
     assert find_leaks(docs.limit(0), bench).count() == 0
     assert without_leaks(docs, bench.limit(0)).count() == 7
+
+
+def brute_short(item, text):
+    """Whole-word occurrences from left to right."""
+    out, at = [], text.find(item)
+    while at >= 0:
+        end = at + len(item)
+        before, after = text[:at][-1:], text[end:][:1]
+        if not (before.isalnum() and item[0].isalnum() or after.isalnum() and item[-1].isalnum()):
+            out.append((0, at, end))
+        at = text.find(item, end)
+    return out
+
+
+def test_items_of_any_length_and_every_match():
+    """Items of 5 to 60 characters, copied side by side and apart, exact and
+    with edits up to the budget: each copy is found, nothing else is."""
+    rng = random.Random(23)
+    words = ["river", "stone", "copper", "lantern", "a", "of", "meadow", "quiet", "silver", "harbour"]
+    for size in range(5, 61):
+        item = normalise(" ".join(rng.choices(words, k=20))[:size].strip()).ljust(size, "k")
+        budget = int(0.08 * len(item)) if len(item) >= D.SHORT_CHARS else 0
+        near = item
+        while budget and (near == item or normalise(near) != near):  # an edit may leave two spaces side by side
+            near = damaged(rng, item, budget)
+        copies = [item, item, near, item]
+        text = normalise("zzz " + " ".join(copies) + " " + "qqqq " * 30 + item + " x" + item + "x " + item)
+        found = Matcher([(1, item)], 0.08).find(text)
+        if budget:
+            assert len(found) == 7
+            for _, distance, start, end in found:
+                assert least_distance(item, text[start:end]) == distance <= budget
+        else:
+            assert sorted(f[1:] for f in found) == sorted(brute_short(item, text)) and len(found) == 6
+
+
+def test_short_items_are_reported_but_only_passages_make_documents_go(spark):
+    bench = spark.createDataFrame([(1, "What is the capital city of France?"), (2, "Paris")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Q: what is the  capital city of france? A: Paris."), (2, "Paris, Parisian life"),
+                                  (3, "comparisons")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end) for r in find_leaks(docs, bench).collect())
+    assert got == [(1, 1, 3, 39), (1, 2, 43, 48), (2, 2, 0, 5)]
+    assert sorted(r.doc_id for r in without_leaks(docs, bench).collect()) == [2, 3]
+    assert sorted(r.doc_id for r in without_leaks(docs, bench, least_chars=1).collect()) == [3]
+
+
+def test_many_copies_with_edits_side_by_side():
+    item = "the quick brown fox jumps over the lazy dog near the river bank"
+    copy = item.replace("fox", "fix").replace("bank", "bunk")
+    found = Matcher([(1, item)], 0.08).find(" ".join([copy] * 3_000))
+    assert len(found) == 3_000 and {f[1] for f in found} == {2}

@@ -57,9 +57,50 @@ def test_noisy_or_equals_the_formula():
     model = T.train(texts, labels)
     block = T._join_blocks(texts)
     s = T.sentences(block)
-    scores, p = model.document_scores(s, len(block))
+    scores = model.document_scores(s, len(block))
+    weights, at = model.weights.astype(float), np.append(s.first, len(s.features))
     for i in range(len(texts)):
-        assert abs(scores[i] - (1 - np.prod(1 - p[s.doc == i]))) < 1e-6
+        none = 1.0
+        for k in np.flatnonzero(s.doc == i):  # every sentence, from its words
+            mine = weights[s.features[at[k]:at[k + 1]]]
+            logistic = 1 / (1 + np.exp(-(mine.sum() + model.bias)))
+            p = max(0.0, logistic - T.BACKGROUND) / (1 - T.BACKGROUND) if mine.any() else 0.0
+            none *= (1 - p) * np.exp(model.leak)
+        assert abs(scores[i] - max(0.0, 1 - none)) < 1e-6
+
+
+def test_middling_sentences_add_up():
+    """Ten sentences of 0.45 are a toxic text; one is none; ten thousand
+    without evidence are none."""
+    model = T.Model(np.zeros(T.BUCKETS, np.float32), -4.0, 1e-4)
+    bucket = int(T.sentences(T._join_blocks(["ill"])).features[0, 0])
+    s = 0.45 * (1 - T.BACKGROUND) + T.BACKGROUND
+    model.weights[bucket] = np.log(s / (1 - s)) + 4.0
+    texts = ["An ill day. " * 10, "An ill day. ", "A sunny day. " * 10_000, "A sunny day. " * 10_000 + "An ill day. " * 10]
+    block = T._join_blocks(texts)
+    scores = model.document_scores(T.sentences(block), len(block))
+    assert abs(scores[0] - (1 - 0.55 ** 10)) < 2e-3 and abs(scores[1] - 0.45) < 1e-3
+    assert scores[2] == 0 and scores[3] > 0.99
+
+
+def test_copies_of_a_text_and_repeated_ids_prove_nothing(spark):
+    """A word that stands in one sentence of many copies is no feature; rows
+    that repeat a sampled doc_id make the sample no larger."""
+    texts, labels = toy()
+    copies = [f"Copied xylophone sentence here. {t}" if k == 0 else t for k, t in enumerate(texts)]
+    copies += [f"Copied xylophone sentence here. Number {k}." for k in range(30)]
+    model = T.train(copies, labels + [1] * 30)
+    block = T._join_blocks(["xylophone"])
+    assert model.document_scores(T.sentences(block), 1)[0] == 0
+    docs = spark.createDataFrame([(i % 7, f"text number {i}") for i in range(700)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, toxic int")
+    seen, real = [], T.train
+    T.train = lambda texts, *rest: seen.append(texts) or real(texts, *rest)
+    try:
+        T.sample_and_train(docs, labels)
+    finally:
+        T.train = real
+    assert 0 < len(seen[0]) <= 7
 
 
 def test_long_clean_text_stays_clean(spark):
@@ -67,12 +108,12 @@ def test_long_clean_text_stays_clean(spark):
     model = T.sample_and_train(docs, labels)
     clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").select("text").collect()]
     block = T._join_blocks(clean)
-    scores, _ = model.document_scores(T.sentences(block), len(block))
+    scores = model.document_scores(T.sentences(block), len(block))
     long = " ".join(t for t, score in zip(clean, scores) if score < 0.5)
     assert len(T.sentences(T._join_blocks([long])).first) > 50_000
     toxic = [r.text for r in docs.join(labels.where("toxic = 1"), "doc_id").orderBy("doc_id").select("text").collect()]
     block = T._join_blocks(toxic)
-    bad = toxic[int(model.document_scores(T.sentences(block), len(block))[0].argmax())]
+    bad = toxic[int(model.document_scores(T.sentences(block), len(block)).argmax())]
     rows = spark.createDataFrame([(1, long), (2, long + "\n" + bad)], "doc_id long, text string")
     got = {r.doc_id: r.score for r in score_toxicity(rows, model).collect()}
     assert got[1] < 0.5 <= got[2]

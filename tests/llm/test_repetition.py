@@ -1,12 +1,16 @@
 """Repetition measures (op3) against brute force."""
 
 import collections
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
+import linkloom.llm.repetition as R
 from linkloom.llm.repetition import longest_repeats, measure, repetition_verdict
 from linkloom.llm.textblocks import blocks
 
@@ -68,6 +72,43 @@ def test_longest_repeats(values):
     assert got.tolist() == brute_repeats(values)
 
 
+@given(st.lists(st.integers(0, 2), max_size=40), st.lists(st.integers(0, 3), max_size=40))
+@settings(max_examples=150, deadline=None)
+def test_both_ways_to_the_common_prefixes_agree(values, cuts):
+    doc = np.sort(np.resize(np.array(cuts or [0]), len(values)))
+    values = np.array(values, dtype=np.uint64)
+    want = longest_repeats(values, doc).tolist()
+    kept, R.KEPT_RANKS = R.KEPT_RANKS, 0
+    try:
+        assert longest_repeats(values, doc).tolist() == want
+    finally:
+        R.KEPT_RANKS = kept
+
+
+def test_a_long_passage_twice_is_dropped_by_its_length_alone(spark):
+    words = [f"w{i}" for i in range(4_300)]
+    text = " ".join(words[:2000] + words[:700] + words[2000:])
+    short = " ".join(words[:2000] + words[:100] + words[2000:])
+    docs = spark.createDataFrame([(1, text), (2, short)], "doc_id long, text string")
+    got = {r.doc_id: r for r in repetition_verdict(docs).collect()}
+    assert got[1].longest_repeat == 700 and 100 * got[1].covered_words < 40 * got[1].n_words
+    assert not got[1].base_failed and not got[1].kept
+    assert got[2].longest_repeat == 100 and got[2].kept
+
+
+def test_memory_of_a_very_long_repetitive_text():
+    """24 MB of one word and a space, in a process of its own."""
+    code = ("import resource, pyarrow as pa; from linkloom.llm import repetition as R; "
+            "from linkloom.llm.textblocks import blocks; "
+            "b = pa.RecordBatch.from_arrays([pa.array(['a ' * %d])], names=['text']); "
+            "m = [R.measure(x) for _, _, x in blocks(b)][0]; "
+            "print(int(m['longest_repeat'][0]), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code % 12_000_000], cwd=root, capture_output=True, text=True, timeout=600)
+    longest, peak_mb = map(int, out.stdout.split())
+    assert longest == 11_999_999 and peak_mb < 1_000
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -100,3 +141,15 @@ def test_middling_repetition_fails_the_method_only(spark):
         words += block + unique[8 * i:8 * i + 8]
     row = repetition_verdict(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()
     assert not row.base_failed and not row.kept and row.covered_words == 300
+
+
+def test_hashes_do_not_depend_on_the_piece_they_are_taken_in(monkeypatch):
+    import linkloom.llm.textblocks as T
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 123, 60_000).astype(np.uint8)
+    cuts = np.unique(np.concatenate(([0, 25_000, 25_001, 40_000], rng.integers(41_000, 60_000, 300))))
+    start, end = cuts[:-1], cuts[1:]
+    want = T.hash_words(data, start, end, lower=True)
+    for piece in (7, 100, 6_000):
+        monkeypatch.setattr(T, "HASH_PIECE", piece)
+        assert (T.hash_words(data, start, end, lower=True) == want).all()
