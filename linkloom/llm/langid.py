@@ -3,13 +3,19 @@
 First the language family is predicted (one-versus-rest linear support
 vector machines over families), then one-versus-one machines tell the
 languages of that family apart; a language's margins against its relatives
-are added up.
+are added up. Families are learned: the languages' mean vectors are joined
+pair by pair, the most alike first, while a pair of groups is more alike than
+two languages are on average, and no family has more than ``FAMILY_MOST``
+languages; so the number of machines grows with the languages, not with their
+square. A table of families can be given instead.
 
 Features are hashed byte 1-, 2- and 3-grams of the lower-cased letters
 (everything else reads as a space) and whole words, as the square roots of
 their frequencies, which gives unit vectors. The machines are fitted on a bounded
-sample: about ``SAMPLE`` documents a language, at most ``SAMPLE_CHARS``
-characters each. Prediction reads every whole text, with no shuffle.
+sample: about ``SAMPLE`` documents a language and ``SAMPLE_ROWS`` in all, but
+``LEAST_OF_LANGUAGE`` of each language at the least, at most ``SAMPLE_CHARS``
+characters each. However rare a language is, it is learned. Prediction reads
+every whole text, with no shuffle.
 """
 
 from __future__ import annotations
@@ -25,25 +31,13 @@ from pyspark.sql import functions as F
 from .shipping import ship
 from .textblocks import TextBlock, blocks, hash_words, mix64, split_words
 
-SAMPLE, SAMPLE_CHARS, LANGUAGES = 800, 20_000, 200
+SAMPLE, SAMPLE_ROWS, LEAST_OF_LANGUAGE, SAMPLE_CHARS = 800, 16_000, 8, 20_000
+FAMILY_MOST = 12
 BUCKETS = 4096
 BLOCK_DOCS = 256
 ROUNDS, PENALTY = 150, 1e-4
 UNKNOWN = "und"
 
-# Families of the common written languages by their codes.
-FAMILIES = {
-    "germanic": "en de nl sv da no nb nn is af lb fy yi",
-    "romance": "fr es it pt ro ca gl oc la",
-    "slavic": "ru uk be pl cs sk bg mk sr hr bs sl",
-    "uralic": "fi et hu",
-    "turkic": "tr az kk uz",
-    "indo-aryan": "hi bn mr ne pa gu ur",
-    "semitic": "ar he mt",
-    "sinitic": "zh yue",
-}
-FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
-
 LETTERS = np.full(256, 0x20, dtype=np.uint8)
 for _c in range(256):
     if chr(_c).isascii() and chr(_c).isalpha() or _c >= 0x80:
@@ -52,8 +46,28 @@ ASCII_LETTER = np.array([chr(c).isascii() and chr(c).isalpha() for c in range(25
 GAPS = LETTERS == 0x20
 
 
-def family(lang: str) -> str:
-    return FAMILY_OF.get(lang.split("-")[0].lower(), "other")
+def learn_families(means: np.ndarray, most: int = FAMILY_MOST) -> list[int]:
+    """The family number of each language, from the languages' mean vectors."""
+    n = len(means)
+    unit = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-12)
+    alike = unit @ unit.T  # of groups: the mean over their pairs of languages
+    least = float(alike[np.triu_indices(n, 1)].mean()) if n > 1 else 0.0
+    np.fill_diagonal(alike, -np.inf)
+    group, size = np.arange(n), np.ones(n)
+    while n > 1:
+        a, b = sorted(np.unravel_index(int(alike.argmax()), alike.shape))
+        if not alike[a, b] > least:
+            break
+        if size[a] + size[b] > most:
+            alike[a, b] = alike[b, a] = -np.inf
+            continue
+        joined = (size[a] * alike[a] + size[b] * alike[b]) / (size[a] + size[b])
+        joined[[a, b]] = -np.inf
+        alike[a], alike[:, a], alike[b], alike[:, b] = joined, joined, -np.inf, -np.inf
+        size[a] += size[b]
+        group[group == b] = a
+    _, numbers = np.unique(group, return_inverse=True)
+    return numbers.tolist()
 
 
 def vectors(block: TextBlock) -> np.ndarray:
@@ -141,19 +155,26 @@ def _stacked(texts: list[str]) -> np.ndarray:
     return out
 
 
-def train(texts: list[str], langs: list[str]) -> Model:
-    """Fit both levels. Languages without a known family form one of their
-    own. Without texts every prediction is ``und``."""
+def train(texts: list[str], langs: list[str], families_of: dict[str, str] | None = None) -> Model:
+    """Fit both levels. ``families_of``: the family of each language by its
+    code in place of learned families (languages that it lacks form one).
+    Without texts every prediction is ``und``."""
     rows = sorted(set(zip(texts, langs)))
-    members: dict[str, list[str]] = {}
-    for lang in sorted({lang for _, lang in rows}):
-        members.setdefault(family(lang), []).append(lang)
-    families = sorted(members)
     if not rows:
         return Model([], {}, np.zeros((0, BUCKETS + 1)), {}, {})
     x = _stacked([t for t, _ in rows])
-    lang = np.array([v for _, v in rows])
-    home = np.array([family(v) for v in lang])
+    names, number = np.unique(np.array([v for _, v in rows], dtype=object), return_inverse=True)
+    lang = names[number]
+    if families_of is None:
+        means = np.stack([x[number == i, :-1].mean(axis=0) for i in range(len(names))])
+        family = {name: f"family {k}" for name, k in zip(names, learn_families(means))}
+    else:
+        family = {name: families_of.get(name, "other") for name in names}
+    home = np.array([family[v] for v in lang])
+    members: dict[str, list[str]] = {}
+    for name in names:
+        members.setdefault(family[name], []).append(name)
+    families = sorted(members)
     top = [fit_machine(x, np.where(home == f, 1.0, -1.0).astype(np.float32)) for f in families]
     pairs, weights = {}, {}
     for f in families:
@@ -172,22 +193,23 @@ def held_out(doc_id) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def sample_and_train(docs: DataFrame) -> Model:
+def sample_and_train(docs: DataFrame, families_of: dict[str, str] | None = None) -> Model:
     """Train from about ``SAMPLE`` documents of each language outside the
-    held-out rows, chosen by hash of the doc_id; at most the ``LANGUAGES``
-    most frequent languages."""
-    known = (docs.select("doc_id", "lang", "text")
-             .where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id"))))
-    counts = (known.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    if not counts:
-        return train([], [])
-    chances = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE / r["n"]))])
+    held-out rows (fewer where there are many languages), chosen by hash of the
+    doc_id. Rows that repeat a doc_id in a language count once, by the least of
+    their texts. A language that has no text of 1 to ``SAMPLE_CHARS``
+    characters cannot be learned."""
+    known = (docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null")
+             .where(~held_out(F.col("doc_id"))).where(F.length("text").between(1, SAMPLE_CHARS)))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    n_langs = counts.count()
+    each = max(LEAST_OF_LANGUAGE, min(SAMPLE, SAMPLE_ROWS // max(n_langs, 1)))
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / float(1 << 53)
-    rows = (known.where(F.length("text").between(1, SAMPLE_CHARS))
-            .where(place < F.coalesce(F.try_element_at(chances, F.col("lang")), F.lit(0.0)))
-            .select("text", "lang").collect())
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    # A rare language takes part whole: a draw by chance could miss it.
+    whole = max(each, 4 * LEAST_OF_LANGUAGE)
+    rows = (known.join(counts, "lang").where((F.col("n") <= whole) | (place < F.lit(float(each)) / F.col("n")))
+            .groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("text", "lang").collect())
+    return train([r["text"] for r in rows], [r["lang"] for r in rows], families_of)
 
 
 def has_letter(block: TextBlock) -> np.ndarray:
@@ -226,6 +248,11 @@ def predict_languages(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def language_digest(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row, by a model of the
+    rows that are not held out. Null texts and texts without a letter are
+    ``und``; rows with a null doc_id are predicted, and not held out; repeated
+    rows are predicted each; other columns are ignored; an empty table gives no
+    rows."""
     found = predict_languages(docs, sample_and_train(docs))
     return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
                         "lang_pred", "score")

@@ -6,10 +6,12 @@ long token of letters and digits is a candidate for the battery: an encoding
 its symbols must look like independent uniform draws from that alphabet:
 
 * chi-squared test of uniform symbol counts,
-* runs test (Wald-Wolfowitz) of the upper against the lower half of the alphabet,
+* runs tests: of the upper against the lower half of the alphabet
+  (Wald-Wolfowitz), and of lower case, upper case, digits and signs (the same for
+  several kinds), which tells names of joined words from keys,
 * lag-one serial correlation.
 
-A candidate's p-value is three times its least one (Bonferroni). Dismissing
+A candidate's p-value is ``TESTS`` times its least one (Bonferroni). Dismissing
 a candidate as "not random" is the discovery that can be false, so these
 dismissals are controlled per document by Benjamini-Hochberg with weights in
 proportion to token length (longer tokens have more power and get more of
@@ -32,7 +34,9 @@ ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 CANDIDATE_MIN = 20
-FALSE_DISMISSALS = 0.01
+FALSE_DISMISSALS = 0.03
+TESTS = 4
+CASES = ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")
 REPLACEMENT = "[SECRET]"
 KINDS = ("assign", "access", "hex", "random")
 
@@ -124,16 +128,24 @@ def _p_value(token: Column) -> Column:
         top = _sum(s["pairs"], lambda q: (q["a"] - s["mean"]) * (q["b"] - s["mean"]))
         square = _sum(x, lambda v: (v - s["mean"]) * (v - s["mean"]))
         z_serial = F.when(square > 0, F.abs(top / square) * F.sqrt(n)).otherwise(F.lit(40.0))
+        # Runs of several kinds: mean and variance of their number in a random order.
+        squares, cubes = _sum(s["cases"], lambda c: c * c), _sum(s["cases"], lambda c: c * c * c)
+        mean_cases = 1.0 + n - squares / n
+        var_cases = (squares * (squares + n * (n + 1.0)) - 2.0 * n * cubes - n * n * n) / (n * n * (n - 1.0))
+        z_cases = F.when(var_cases > 0, (mean_cases - s["case_runs"]) / F.sqrt(var_cases)).otherwise(F.lit(0.0))
+
         p_chi = _let(z_chi, _upper_tail)
         p_runs = 2.0 * _let(z_runs, _upper_tail)
         p_serial = 2.0 * _let(z_serial, _upper_tail)
-        return F.least(F.lit(1.0), 3.0 * F.least(p_chi, p_runs, p_serial))
+        p_cases = _let(z_cases, _upper_tail)  # too few runs only: that is what words give
+        return F.least(F.lit(1.0), TESTS * F.least(p_chi, p_runs, p_serial, p_cases))
 
     def sums(s: Column) -> Column:
         x, k = s["x"], s["k"]
         n = F.size(x).cast("double")
         return F.struct(
             x.alias("x"), s["counts"].alias("counts"), k.alias("k"), n.alias("n"),
+            s["cases"].alias("cases"), s["case_runs"].alias("case_runs"),
             F.transform(F.slice(x, F.lit(2), F.size(x) - 1),
                         lambda v, i: F.struct(F.get(x, i).alias("a"), v.alias("b"))).alias("pairs"),
             (_sum(x) / n).alias("mean"),
@@ -145,7 +157,9 @@ def _p_value(token: Column) -> Column:
             F.transform(F.array_distinct(chars),
                         lambda c: (F.length(s["body"]) - F.length(F.replace(s["body"], c, F.lit(""))))
                         .cast("double")).alias("counts"),
-            F.length(s["letters"]).cast("double").alias("k")))
+            F.length(s["letters"]).cast("double").alias("k"),
+            F.array(*[F.regexp_count(s["body"], F.lit(c)).cast("double") for c in CASES]).alias("cases"),
+            F.regexp_count(s["body"], F.lit("|".join(f"{c}+" for c in CASES))).cast("double").alias("case_runs")))
 
     named = _let(F.rtrim(token, F.lit("=")),
                  lambda b: F.struct(b.alias("body"), _alphabet(b).alias("letters")))
@@ -220,11 +234,13 @@ def scan_secrets(docs: DataFrame, dismissals: float = FALSE_DISMISSALS) -> DataF
     """Adds to every row ``base_spans`` and ``spans``: arrays of (start, rank,
     end), rank being the place of the kind in ``KINDS``, in order.
 
-    Null and empty texts have no spans. Other columns pass through."""
+    Null and empty texts have no spans; repeated rows are scanned each; an
+    empty table stays empty. Other columns pass through, but columns named
+    ``base_spans`` or ``spans`` give way to the result."""
     found = _let(F.coalesce(F.col("text"), F.lit("")), lambda t: _scan(t, dismissals))
     scanned = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"),
                           found.alias("found"))
-    return scanned.select(*[F.col("row")[n].alias(n) for n in docs.columns],
+    return scanned.select(*[F.col("row")[n].alias(n) for n in docs.columns if n not in ("base_spans", "spans")],
                           F.col("found.base").alias("base_spans"), F.col("found.spans").alias("spans"))
 
 
@@ -235,6 +251,9 @@ def _joined(spans: str) -> Column:
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
+    """doc_id, counts of the base matches by kind, their checksum, and all
+    spans of every row. Null and empty texts have none; rows with a null doc_id
+    and repeated rows are scanned each; other columns are ignored."""
     scanned = scan_secrets(docs.select("doc_id", "text"))
 
     def count(kind: str) -> Column:

@@ -145,7 +145,8 @@ def test_language_on_held_out_documents(spark):
 
 def test_language_odd_rows(spark):
     model = L.train(["the cat and the dog"] * 3 + ["der hund und die katze"] * 3 + ["le chat et le chien"] * 3
-                    + ["qqq zzz xxx"], ["en"] * 3 + ["de"] * 3 + ["fr"] * 3 + ["tlh"])
+                    + ["qqq zzz xxx"], ["en"] * 3 + ["de"] * 3 + ["fr"] * 3 + ["tlh"],
+                    {"en": "germanic", "de": "germanic", "fr": "romance"})
     assert model.members == {"germanic": ["de", "en"], "romance": ["fr"], "other": ["tlh"]}
     rows = [(1, None, "x"), (2, "", "x"), (3, "12 34 !?", "x"), (4, "日本", "x"), (None, "der hund", "x"),
             (5, "the dog " * 30_000, "x"), (5, "the dog " * 30_000, "x"), (6, "— … 12", "x")]
@@ -158,6 +159,51 @@ def test_language_odd_rows(spark):
     assert language_digest(unlabelled.limit(0)).count() == 0
 
 
+def test_families_are_learned_from_the_languages():
+    """Against a plain average-linkage clustering, with and without the limit."""
+    def plain(means, most):
+        unit = means / np.linalg.norm(means, axis=1, keepdims=True)
+        groups = [[i] for i in range(len(means))]
+        sim = lambda g, h: np.mean([unit[i] @ unit[j] for i in g for j in h])
+        least = np.mean([unit[i] @ unit[j] for i in range(len(means)) for j in range(i)])
+        while True:
+            pairs = [(sim(g, h), -i, -j) for i, g in enumerate(groups) for j, h in enumerate(groups) if i < j
+                     and len(g) + len(h) <= most]
+            if not pairs or max(pairs)[0] <= least:
+                return {frozenset(g) for g in groups}
+            _, i, j = max(pairs)
+            groups[-i] += groups.pop(-j)
+
+    rng = np.random.default_rng(8)
+    for most in (3, 12):
+        means = np.abs(rng.normal(size=(14, 6)))
+        numbers = L.learn_families(means, most)
+        got = {frozenset(i for i, n in enumerate(numbers) if n == k) for k in set(numbers)}
+        assert got == plain(means, most) and max(map(len, got)) <= most
+    assert L.learn_families(np.ones((1, 3))) == [0]
+
+
+def test_every_language_can_be_predicted(spark):
+    """Sixty languages, some of a few documents, beside one of many; a doc_id
+    that comes a thousand times is one row of the sample."""
+    rng = np.random.default_rng(2)
+    words = {f"l{k}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)] for k in range(60)}
+    rows = [(1000 * k + i, " ".join(rng.choice(w, 12)), lang) for k, (lang, w) in enumerate(words.items())
+            for i in range(400 if k == 0 else 8)]
+    rows += [(7, f"same id {i}", "l1") for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, real = [], L.train
+    L.train = lambda texts, *rest: seen.append(texts) or real(texts, *rest)
+    try:
+        got = language_digest(docs).collect()
+    finally:
+        L.train = real
+    assert len(seen[0]) < 400 + 60 * 8
+    truth = {d: lang for d, _, lang in rows if d != 7}
+    right = [r.lang_pred == truth[r.doc_id] for r in got if r.doc_id in truth]
+    assert np.mean(right) > 0.97 and {r.lang_pred for r in got} == set(words)
+
+
 def test_machines_learn_one_against_one():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(200, 20)).astype(np.float32)

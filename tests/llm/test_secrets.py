@@ -1,9 +1,14 @@
 """Secret scan (op7) against Python's regular expressions, and the battery."""
 
 import hashlib
+import math
 import random
 import re
+import string
 
+from pyspark.sql import functions as F
+
+import linkloom.llm.secrets as S
 from linkloom.llm.secrets import KINDS, redact_secrets, scan_secrets, secret_digest
 
 SF = "/root/testdata/sf0.01"
@@ -90,3 +95,83 @@ def test_redaction_and_odd_rows(spark):
     assert [tuple(r) for r in got if r.doc_id in (2, 3)] == [rows[1], rows[2]]
     assert [r.text for r in got if r.doc_id is None] == [rows[4][1]]
     assert redact_secrets(docs.limit(0)).count() == 0
+
+
+def battery(token):
+    """The p-value of a token, computed another way."""
+    upper, lower, digits = (string.ascii_uppercase, string.ascii_lowercase, string.digits)
+    body = token.rstrip("=")
+    alphabets = [digits + "abcdef", digits + "ABCDEF", upper + "234567", digits + lower, digits + upper,
+                 digits + upper + lower, upper + lower + digits + "-_", upper + lower + digits + "+/"]
+    letters = next((a for a in alphabets if set(body) <= set(a)), upper + lower + digits + "+/-_")
+    x, n, k = [letters.index(c) for c in body], len(body), len(letters)
+
+    def tail(z):
+        return 0.5 * math.erfc(z / math.sqrt(2))
+
+    chi = sum((body.count(c) - n / k) ** 2 / (n / k) for c in letters)
+    spread = 2 / (9 * (k - 1))
+    p_chi = tail(((chi / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+
+    def runs(kinds):
+        sizes = [kinds.count(c) for c in set(kinds)]
+        many = 1 + sum(a != b for a, b in zip(kinds, kinds[1:]))
+        two, three = sum(s ** 2 for s in sizes), sum(s ** 3 for s in sizes)
+        mean = 1 + n - two / n
+        var = (two * (two + n * (n + 1)) - 2 * n * three - n ** 3) / (n * n * (n - 1))
+        return (mean - many) / math.sqrt(var) if var > 1e-12 else None
+
+    halves, cases = runs([v >= k / 2 for v in x]), runs(
+        ["a" if c in lower else "A" if c in upper else "0" if c in digits else "-" for c in body])
+    mean = sum(x) / n
+    square = sum((v - mean) ** 2 for v in x)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / square * math.sqrt(n) if square else 40.0
+    ps = [p_chi, 2 * tail(40.0 if halves is None else abs(halves)), 2 * tail(abs(serial)), tail(cases or 0.0)]
+    return min(1.0, 4 * min(ps))
+
+
+def test_battery_against_another_computation(spark):
+    rng = random.Random(9)
+    alphabets = [string.hexdigits[:16], string.hexdigits[:10] + "ABCDEF", string.ascii_uppercase + "234567",
+                 string.ascii_lowercase + string.digits, string.ascii_letters + string.digits,
+                 string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_",
+                 string.ascii_letters + string.digits + "-_+/", "ab", "aB1"]
+    tokens = ["".join(rng.choices(a, k=rng.randrange(20, 90))) for a in alphabets for _ in range(15)]
+    tokens += ["a1" * 12, "abcdefghijklmnopqrstuvwxyz0123456789", "getUserAccountSettingsFromCache2", "x" * 25 + "7=="]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", S._p_value(F.col("t")).alias("p"))
+    for r in df.collect():
+        want = battery(r.t)
+        assert abs(r.p - want) < 1e-5 * 4 + 1e-3 * want, (r.t, r.p, want)
+
+
+WORDS = ("get set user account value index list item cache buffer reader writer stream handler manager factory builder "
+         "request response session config option table column record field token parser message event queue thread "
+         "worker server client socket file path name type error status result filter query update delete insert "
+         "create remove process execute validate convert format default max min first last next previous").split()
+
+
+def test_names_of_joined_words_are_no_secrets_and_keys_are(spark):
+    rng = random.Random(31)
+    names = []
+    for _ in range(600):
+        picked = rng.choices(WORDS, k=6)
+        names.append(picked[0] + "".join(w.capitalize() for w in picked[1:]) + str(rng.randrange(10)))
+    letters = string.ascii_letters + string.digits
+    keys = ["".join(rng.choices(letters, k=rng.choice((32, 40)))) for _ in range(600)]
+    keys = [k for k in keys if any(c.isdigit() for c in k)]
+    rows = [(i, f"see {t} here") for i, t in enumerate(names + keys)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in scan_secrets(df).where("size(spans) > 0").select("doc_id").collect()}
+    false = sum(i in found for i in range(len(names)))
+    hit = sum(i in found for i in range(len(names), len(rows)))
+    print("names", false / len(names), "keys", hit / len(keys))
+    assert false < 0.02 * len(names) and hit >= 0.95 * len(keys)
+
+
+def test_columns_of_the_result_may_be_there_already(spark):
+    df = spark.createDataFrame([(1, "token=abcdef12", "s", 5, "r")],
+                               "doc_id long, text string, spans string, base_spans int, row string")
+    out = scan_secrets(df)
+    assert out.columns == ["doc_id", "text", "row", "base_spans", "spans"]
+    assert [(s.start, s.end) for s in out.first().spans] == [(0, 14)]
+    assert redact_secrets(df).columns == df.columns and redact_secrets(df).first().spans == "s"
