@@ -16,8 +16,11 @@ similarity.
    open. In an open bucket with few pairs across components each of them is
    visited. The members of all others go through an exact prefix filter: two
    sets at the threshold share a shingle among the rarest quarter of each, and
-   enough lies behind the first such shingle in both. Documents that share
-   only a common passage fail that.
+   enough lies behind the first such shingle in both. That test needs only the
+   shingle, the set's size and what lies behind, so it is made once for each
+   pair of these groups of rows, and only groups that pass it are spread out to
+   rows. Documents that share only a common passage fail it together, however
+   many they are.
 4. A candidate pair is kept if the joint maximum-likelihood estimate of the
    similarity from both sketches (with the known set sizes) is not far below
    the threshold, and is then confirmed on the full sets.
@@ -289,9 +292,26 @@ def _by_prefix(members: DataFrame, texts: DataFrame, store: _Stored) -> DataFram
         .where(F.col("place") <= room)
         .select("rep", "n", "component", "shingle", (F.col("n") - F.col("place") + 1).alias("left")),
         "prefix")
-    # What two linked sets share lies at or behind their first shared place.
-    enough = F.expr(f"{SIMILAR + OF} * least(lefta, leftb) >= {SIMILAR} * (na + nb)")
-    return _across(prefix, "shingle", ["left"]).where(enough).select("a", "b")
+    return _of_groups(prefix)
+
+
+def _of_groups(prefix: DataFrame) -> DataFrame:
+    """Pairs of rows (rep, n, component, shingle, left) of one shingle, in
+    different components, that can be linked: what two linked sets share lies
+    at or behind their first shared place. Rows of equal (shingle, n, left)
+    are one group; pairs are made from the pairs of groups that pass."""
+    key = ["shingle", "n", "left"]
+    groups = prefix.groupBy(*key).agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    x, y = (groups.select("shingle", *[F.col(c).alias(c + i) for c in ("n", "left", "c0", "c1")]) for i in "xy")
+    enough = F.expr(f"{SIMILAR + OF} * least(leftx, lefty) >= {SIMILAR} * (nx + ny)")
+    once = F.expr("nx < ny or nx = ny and leftx <= lefty")
+    apart = F.expr("not (c0x = c1x and c0y = c1y and c0x = c0y)")
+    live = x.join(y, "shingle").where(once & _fits("nx", "ny") & enough & apart).drop("c0x", "c1x", "c0y", "c1y")
+    rows = prefix.select(*key, "rep", "component")
+    a, b = (rows.select("shingle", F.col("n").alias("n" + i), F.col("left").alias("left" + i),
+                        F.col("rep").alias("rep" + i), F.col("component").alias("c" + i)) for i in "xy")
+    pairs = live.join(a, ["shingle", "nx", "leftx"]).join(b, ["shingle", "ny", "lefty"]).where("cx != cy")
+    return pairs.select(F.least("repx", "repy").alias("a"), F.greatest("repx", "repy").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -130,3 +130,37 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([1, 2, 3, 3, None, None, 5, 5, 6], key=str)
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_a_hot_shingle_makes_no_pairs(spark, monkeypatch):
+    """Documents of 25 common and 5 own words are no links (similarity 0.68).
+    They all have the same two shingles among their rarest, and fail the length
+    test as one group: no pair of rows is made. With linked pairs among them
+    only those are found."""
+    common = [f"common{i}" for i in range(25)]
+
+    def rows(n):
+        return [(i, " ".join(common + [f"own{i}x{k}" for k in range(5)])) for i in range(n)]
+
+    made, real = [], N._links
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(N, "_links", counted)
+    docs = rows(600) + [(1_000 + i, " ".join(common + [f"own{i}x{k}" for k in range(4)] + ["other"])) for i in range(3)]
+    check(spark, docs)
+    assert made[1] <= 600  # not 600 * 599 / 2
+
+
+def test_groups_that_can_be_linked_are_spread_out(spark):
+    """The pairs of rows by groups are the pairs by rows."""
+    rng = random.Random(12)
+    rows = [(i, n, rng.randrange(6), rng.randrange(4), rng.randrange(max(1, n - 6), n + 1))
+            for i in range(120) for n in [rng.choice((8, 9, 12, 13))]]
+    df = spark.createDataFrame(rows, "rep long, n long, component long, shingle long, left long")
+    want = {(min(a[0], b[0]), max(a[0], b[0])) for a in rows for b in rows if a[0] < b[0] and a[2] != b[2] and a[3] == b[3]
+            and 100 * min(a[1], b[1]) >= 75 * max(a[1], b[1]) and 175 * min(a[4], b[4]) >= 75 * (a[1] + b[1])}
+    got = [(r.a, r.b) for r in N._of_groups(df).collect()]
+    assert want and sorted(got) == sorted(want)
