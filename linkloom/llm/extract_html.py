@@ -1,17 +1,21 @@
 """HTML extraction: tree scoring.
 
 A page is tokenised once into a tree of elements. Block elements cut the text
-into blocks. Elements that never hold article text (navigation, forms,
-scripts, ... by tag, role or hiding) take no part. Elements whose class or id
-names an advert, a sidebar, comments, ... take no part unless they turn out to
-hold the page's text (``_released``).
+into blocks. Only what is never text for a reader (scripts, controls, players,
+hidden by style) takes no part at all. Elements that a page's furniture is made
+of, by tag (navigation, footer, aside, form), role, ``aria-hidden``, class or id
+(an advert, a sidebar, comments, ...), take no part unless they turn out to hold
+the page's text (``_released``): a form around a whole page, a wrapper named
+after its sidebar. Readers' comments never come while any other text is left.
 
 Every block of some length passes points to its ancestors: one, plus one per
 comma, plus one per hundred characters up to three; the parent gets all of
 them, the grandparent half, further ancestors a third divided by the
-distance. An element's points are discounted by its link density. The best
-container is kept together with those siblings that score well or are long
-paragraphs with few links.
+distance. An element's points are discounted by its link density. Where the
+page has an article with text, the best container is the best article. It is
+kept together with the siblings that score well, are named like it or are long
+paragraphs with few links, and with everything that stands between these and
+is no menu: headings, lists, short blocks. In an article every block is kept.
 """
 
 from __future__ import annotations
@@ -33,8 +37,10 @@ LONG_SIBLING = 80
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title", "select")
 FOREIGN = ("svg", "math")  # of RAW, those that may close themselves
-DROPPED = frozenset("head nav footer aside form button dialog menu object canvas audio video map "
-                    "fieldset label".split())
+DROPPED = frozenset("head button menu object canvas audio video map label".split())
+# Parts of a page around its text; all but FRAMES (of a control, a dialog) even where it is long.
+FRAMES = frozenset("form fieldset dialog".split())
+FURNITURE = FRAMES | frozenset("nav footer aside".split())
 BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section "
                   "summary table tbody td tfoot th thead tr ul menu dialog hgroup caption".split())
@@ -55,6 +61,8 @@ UNLIKELY = frozenset(
 READERS = frozenset("comment comments disqus replies respond".split())
 # Words that may stand beside one of UNLIKELY in an id that names a part of the page. With
 # another word the id is taken for a heading's ("related-work", "social-impact").
+# Words of UNLIKELY that say little inside an article, or beside a word that is none of these.
+WEAK = frozenset("alert skip notice notices banner widget overlay".split())
 PART_WORDS = frozenset(
     "area article articles aside bar block body bottom box btn button buttons center container content count "
     "div element feed float form frame google group header holder home icons in inner item items layer leaderboard "
@@ -64,6 +72,7 @@ PART_WORDS = frozenset(
 MODIFIERS = frozenset("has with without no".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 LEAST_LEFT = 140  # characters of paragraphs that make a page of their own
+MUCH_MORE = 20  # times the paragraphs beside it that an unlikely element holds if it is the page
 OUTSIDE_ARTICLE = frozenset(("header", "topbar", "site-header", "page-header"))
 CONTAINERS = ("article", "main", "body", "html")
 
@@ -77,22 +86,26 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """``under``: the nearest element, itself included, that its class or id makes unlikely."""
+    """``under``: the nearest element, itself included, that is unlikely to
+    hold the text; ``last``: one that does only if nothing else is left."""
 
-    __slots__ = ("tag", "parent", "depth", "dropped", "under", "words", "readers", "in_article", "points", "chars",
-                 "links", "order")
+    __slots__ = ("tag", "parent", "depth", "dropped", "under", "words", "readers", "last", "named", "in_article",
+                 "points", "chars", "links", "order")
 
     def __init__(self, tag: str, parent: "Node | None", attributes: str, order: int):
         self.tag, self.parent, self.order = tag, parent, order
         self.depth = parent.depth + 1 if parent else 0
         within = bool(parent and parent.in_article)
         self.in_article = tag in ("article", "main") or within
-        self.dropped = bool(parent and parent.dropped) or _never(tag, attributes, within)
-        self.under, self.words, self.readers = parent and parent.under, set(), False
-        if attributes and not self.dropped and tag not in CONTAINERS and tag not in HEADINGS:
-            words = _unlikely(attributes, within)
+        pairs = _attributes(attributes) if attributes else []
+        self.named = " ".join(sorted(v for name, v in pairs if name == "class"))
+        self.dropped = bool(parent and parent.dropped) or _never(tag, pairs)
+        self.under, self.words, self.readers, self.last = parent and parent.under, set(), False, False
+        if not self.dropped and tag not in CONTAINERS and tag not in HEADINGS:
+            words = _unlikely(pairs, within) | _furniture(tag, pairs, within)
             if words:
                 self.under, self.words, self.readers = self, words, not READERS.isdisjoint(words)
+                self.last = tag in FURNITURE - FRAMES or tag == "header"
         self.points, self.chars, self.links = 0.0, 0, 0
 
 
@@ -112,31 +125,39 @@ def _attributes(attributes: str) -> list[tuple[str, str]]:
     return [(name.lower(), (a or b or c).lower()) for name, a, b, c in ATTRIBUTE.findall(attributes)]
 
 
-def _never(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element never holds article text, by tag, role or hiding."""
-    if tag in DROPPED or (tag == "header" and not in_article):
-        return True
-    for name, value in _attributes(attributes) if attributes else ():
-        if name == "hidden" or name == "role" and value in ROLES:
-            return True
-        if name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
-            return True
-    return False
+def _never(tag: str, pairs: list[tuple[str, str]]) -> bool:
+    """Whether an element never holds text for a reader."""
+    return tag in DROPPED or any(name == "hidden" or name == "style" and HIDDEN.search(value) for name, value in pairs)
+
+
+def _furniture(tag: str, pairs: list[tuple[str, str]], in_article: bool) -> set[str]:
+    """What in an element's tag, role and state speaks against article text."""
+    found = {tag} if tag in FURNITURE or tag == "header" and not in_article else set()
+    for name, value in pairs:
+        if name == "role" and value in ROLES:
+            found.add(value)
+        elif name == "aria-hidden" and value == "true":
+            found.add(name)
+    return found
 
 
-def _unlikely(attributes: str, in_article: bool) -> set[str]:
+def _unlikely(pairs: list[tuple[str, str]], in_article: bool) -> set[str]:
     """What in an element's class and id speaks against article text."""
     found: set[str] = set()
-    for name, value in _attributes(attributes):
+    for name, value in pairs:
         if name not in ("class", "id"):
             continue
         for item in value.split():
             if not in_article and item in OUTSIDE_ARTICLE:
                 found.add(item)
             parts = WORD_PARTS.split(item)
-            words = [w for i, w in enumerate(parts) if w in UNLIKELY and MODIFIERS.isdisjoint(parts[:i])]
-            if name == "class" or all(w in UNLIKELY or w in PART_WORDS or not w.isalpha() for w in parts):
-                found.update(words)
+            words = {w for i, w in enumerate(parts) if w in UNLIKELY and MODIFIERS.isdisjoint(parts[:i])}
+            plain = all(w in UNLIKELY or w in PART_WORDS or not w.isalpha() for w in parts)
+            if not plain and name == "id":
+                continue
+            if not plain or in_article and words <= {"alert", "skip"}:
+                words -= WEAK
+            found |= words
     return found
 
 
@@ -156,10 +177,11 @@ def _released(runs: list[Run]) -> set[Node]:
     elements around it. From the outermost inwards these are released:
 
     an element with more than half of the paragraph text and every h1; where
-    nothing good is left beside the unlikely elements, one with more than half
-    of the paragraph text and those beside it that are named like it, else all;
-    one with the page's only article. Readers' comments go last, where the rest
-    has no article and is no page of its own.
+    nothing is left beside the unlikely elements, or one holds ``MUCH_MORE``
+    times the paragraphs beside it, one with more than half of the paragraph
+    text and those beside it that are named like it, else all; one with the
+    page's only article. Navigation, footers, headers and asides go after
+    these, readers' comments last of all, both only where nothing else is left.
     """
     own: dict[Node | None, list[int]] = {None: [0, 0, 0, 0]}  # characters: paragraphs, article, all; h1
     for node, pieces in runs:
@@ -187,6 +209,7 @@ def _released(runs: list[Run]) -> set[Node]:
     by_text: list[tuple[int, int, Node]] = []
     by_article: list[tuple[int, int, Node]] = []
     readers: list[Node] = []
+    last: list[Node] = []
 
     def release(nodes: list[Node | None]) -> None:
         nonlocal left, held
@@ -194,16 +217,18 @@ def _released(runs: list[Run]) -> set[Node]:
             u = nodes.pop()
             released.add(u)
             left = [x + y for x, y in zip(left, own[u])]
-            if u and not u.readers:
+            if u and not u.readers and not u.last:
                 held -= total[u][0]
             for v in inner[u]:
                 chars, article, _, h1 = total[v]
-                if not v.readers:
+                if not v.readers and not v.last:
                     held += chars
-                if 2 * chars > page[0] and 0 < page[3] == h1:
+                if 2 * chars > page[0] and 0 < page[3] == h1 and (not v.last or article):
                     nodes.append(v)
                 elif v.readers:
                     readers.append(v)
+                elif v.last and not article:
+                    last.append(v)
                 else:
                     heappush(by_text, (-chars, v.order, v))
                     if article and not v.in_article:
@@ -214,15 +239,17 @@ def _released(runs: list[Run]) -> set[Node]:
         for heap in (by_text, by_article):
             while heap and heap[0][2] in released:
                 heappop(heap)
-        alone = bool(left[1]) or left[0] >= LEAST_LEFT
-        if by_text and (not left[2] or held >= LEAST_LEFT and not (alone and 10 * left[0] >= held)):
-            most = by_text[0]
+        most = by_text[0] if by_text else (0, 0, None)
+        if by_text and (not left[2] or held >= LEAST_LEFT and not left[1] and -most[0] > MUCH_MORE * left[0]):
             group = [u for _, _, u in by_text if u not in released
                      and (-2 * most[0] <= page[0] or not u.words.isdisjoint(most[2].words))]
             release(group)
         elif by_article and not left[1] and -by_article[0][0] > left[0]:
             release([heappop(by_article)[2]])
-        elif readers and (not left[2] or not alone and sum(total[u][0] for u in readers) >= LEAST_LEFT):
+        elif last and not left[2]:
+            group, last = last, []
+            release(group)
+        elif readers and not left[2]:
             group, readers = readers, []
             release(group)
         else:
@@ -361,40 +388,73 @@ def _inside(node: Node | None, tops: set[Node]) -> bool:
     return False
 
 
+def _menu(b: Block) -> bool:
+    """Whether a block is an entry of a list of links."""
+    return 2 * b.links > b.chars and b.node.tag not in ("p", *HEADINGS)
+
+
+def _article(scores: dict[Node, float], best: Node) -> Node | None:
+    """The article (else main) that holds the page's text, if any: of the
+    outermost ones that are no teasers (mostly links), the best."""
+    for tag in ("article", "main"):
+        named = {n for n in scores if n.tag == tag}
+        found = [n for n in named if 2 * n.links <= n.chars and not _inside(n.parent, named)]
+        if found:
+            top = max(found, key=lambda n: (scores[n], n.chars, -n.order))
+            # Several articles beside a much longer text are teasers too.
+            if len(found) == 1 or _inside(best, set(found)) or 3 * sum(n.chars for n in found) >= best.chars:
+                return top
+    return None
+
+
+def _tops(blocks: list[Block], scores: dict[Node, float]) -> set[Node]:
+    """The elements whose blocks are kept."""
+    best = max(scores, key=lambda n: (scores[n], -n.order))
+    article = _article(scores, best)
+    if article is None and scores[best] <= 0:  # nothing long enough
+        return {n for n in scores if n.parent is None}
+    best = article or best
+    tops = {best}
+    if best.tag in ("body", "html", "main") or best.parent is None:
+        return tops
+    children: dict[Node, None] = {}  # the best container and its siblings, in page order
+    own: dict[Node, Block] = {}
+    for b in blocks:
+        up = b.node
+        while up.parent is not None and up.parent is not best.parent:
+            up = up.parent
+        if up.parent is best.parent:
+            children[up] = None
+            if up is b.node:
+                own[up] = b
+    rows = list(children)
+    least = max(10.0, SIBLING_SHARE * scores[best])
+    within = best.parent.tag not in ("body", "html", "")
+    for n in rows:
+        if 4 * n.links >= n.chars or best.tag == "article" and n.tag != "article":
+            continue
+        alike = n.tag == best.tag and n.named == best.named and (within or bool(n.named)) and best.tag != "article"
+        if scores[n] >= least or alike or n.tag == "p" and n.chars > LONG_SIBLING:
+            tops.add(n)
+    places = [i for i, n in enumerate(rows) if n in tops]
+    low, high = places[0], places[-1]
+    while low and rows[low - 1].tag in HEADINGS:  # headings in front
+        low -= 1
+    tops |= {n for n in rows[low:high + 1] if 2 * n.links <= n.chars}
+    # The page's headline, wherever it stands in front.
+    return tops | {n for n in rows[:low] if n.tag == "h1"}
+
+
 def main_text(html: str) -> str:
-    """Text of the best container and its good siblings, blocks joined by an
+    """Text of the best container and what belongs to it, blocks joined by an
     empty line."""
     blocks = parse(html)
     if not blocks:
         return ""
-    scores = score(blocks)
-    best = max(scores, key=lambda n: (scores[n], -n.order))
-    if scores[best] <= 0:  # nothing long enough: an article if there is one, else all
-        held = [n for n in scores if n.tag in ("article", "main")]
-        tops = {held[0]} if held else {n for n in scores if n.parent is None}
-    else:
-        up = best.parent
-        while up is not None and up.parent is not None:
-            if up.tag in ("article", "main") and scores.get(up, 0) >= scores[best] / 3:
-                best = up
-            up = up.parent
-        tops = {best}
-        if best.tag not in CONTAINERS:
-            least = max(10.0, SIBLING_SHARE * scores[best])
-            tops |= {n for n in scores if n.parent is best.parent and scores[n] >= least}
-            tops |= {b.node for b in blocks if b.node.parent is best.parent and b.node.tag == "p"
-                     and b.chars > LONG_SIBLING and b.links < b.chars / 4}
-            # The headline in front of the container.
-            tops |= {b.node for b in blocks if b.node.parent is best.parent and b.node.tag == "h1"
-                     and b.node.order < best.order}
-    kept = []
-    for b in blocks:
-        if not _inside(b.node, tops):
-            continue
-        if 2 * b.links > b.chars and b.node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            continue  # a menu or list of links
-        kept.append(b.text)
-    return "\n\n".join(kept)
+    tops = _tops(blocks, score(blocks))
+    whole = {n for n in tops if n.tag in ("article", "main") or n.in_article}
+    return "\n\n".join(b.text for b in blocks
+                       if _inside(b.node, tops) and (not _menu(b) or _inside(b.node, whole)))
 
 
 def _extractor(batches):
@@ -412,8 +472,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``.
 
     Null and empty html give an empty text; null ids and urls pass through;
-    repeated rows are extracted each; other columns are ignored. The whole
-    page is read, however long."""
+    repeated rows are extracted each; of containers that score alike the first
+    is taken; other columns are ignored; an empty table gives no rows. The
+    whole page is read, however long."""
     ship(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.col("url").cast("string").alias("url"), "html")

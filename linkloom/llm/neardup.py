@@ -250,10 +250,10 @@ def _shingler(batches):
                 names=["rep", "n", "component", "shingles"])
 
 
-def _across(rows: DataFrame, key: str, more=()) -> DataFrame:
+def _across(rows: DataFrame, key: str) -> DataFrame:
     """Pairs of equal ``key`` in different components whose sizes allow a link."""
     x, y = (rows.select(key, F.col("rep").alias(i), F.col("n").alias(f"n{i}"),
-                        F.col("component").alias(f"c{i}"), *[F.col(m).alias(m + i) for m in more])
+                        F.col("component").alias(f"c{i}"))
             for i in "ab")
     return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
                                 & _fits("na", "nb"))

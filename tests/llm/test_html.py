@@ -1,11 +1,13 @@
 """HTML extraction (op2): fixtures with known article text."""
 
+import random
 import re
+from collections import Counter
 from html import unescape
 
 import pytest
 
-from linkloom.llm.extract_html import extract_pages, main_text
+from linkloom.llm.extract_html import extract_pages, main_text, parse, score
 
 SF = "/root/testdata/sf0.01"
 P = ["First paragraph, with commas, and enough length to count as text.",
@@ -79,7 +81,40 @@ CLASS_CASES = {
                       WANT),
     "long sidebar": (f"<div><h1>Head</h1>{ARTICLE}</div><div class='sidebar'><p>{LONG}</p></div>", "Head\n\n" + WANT),
 }
-CASES |= HIDDEN_CASES | RAW_CASES | CLASS_CASES
+SHORT = "A post of thirty-one characters"
+SEC = "This section has a paragraph of its own, rather short."
+WHOLE_PAGE_CASES = {
+    "form around the page": (f"<body><form id='aspnetForm'><nav>{LINKS}</nav><div>{ARTICLE}</div><label>Search</label>"
+                             "<button>Go</button></form></body>", WANT),
+    "dialog around the page": (f"<body><div role='dialog'><div>{ARTICLE}</div></div></body>", WANT),
+    "aria-hidden around the page": (f"<body><div aria-hidden='true'><div>{ARTICLE}</div></div></body>", WANT),
+    "a short post and long comments": (f"<body><p>{SHORT}</p><div id='comments'><p>{LONG}</p><p>{LONG}</p></div></body>",
+                                       SHORT),
+    "a short post, a footer and an aside": (f"<body><div>{SHORT}</div><aside><p>{LONG}</p></aside><footer><p>{LONG}</p>"
+                                            "</footer></body>", SHORT),
+    "comments and nothing else": (f"<body><div id='comments'><p>{P[0]}</p></div></body>", P[0]),
+    "a footer and nothing else": (f"<body><nav>{LINKS}</nav><footer><p>{P[0]}</p></footer></body>", None),
+    "sections of one container": (f"<div id='content'><div class='sec'><h2>One</h2><p>{SEC}</p></div><div class='sec'>"
+                                  f"<h2>Two</h2>{ARTICLE}<p>{LONG.strip()}</p></div><div class='sec'><h2>Three</h2>"
+                                  f"<p>{SEC}</p></div></div>",
+                                  f"One\n\n{SEC}\n\nTwo\n\n{WANT}\n\n{LONG.strip()}\n\nThree\n\n{SEC}"),
+    "between the parts": (f"<div id='content'><h2>Zero</h2><div><p>{LONG.strip()}</p></div><h2>One</h2><ul><li>a</li>"
+                          f"<li>b</li></ul><div>short</div><div>{ARTICLE}</div></div><div>outside</div>",
+                          f"Zero\n\n{LONG.strip()}\n\nOne\n\na\n\nb\n\nshort\n\n{WANT}"),
+    "links in an article": (f"<article>{ARTICLE}<ul><li><a href=x>Source one</a></li></ul><table><tr><td><a href=y>"
+                            "Source two</a></td></tr></table><div><a href=z>Source three</a></div></article>",
+                            WANT + "\n\nSource one\n\nSource two\n\nSource three"),
+    "article text in boxes": (f"<article><div class='alert'><p>{P[0]}</p></div><section class='notice-board'><p>{P[1]}</p>"
+                              f"</section><div class='skip-intro'><p>{P[2]}</p></div></article>", WANT),
+    "a notice in an article": (f"<article>{ARTICLE}<div class='notice'><p>{LONG}</p></div><div class='cookie-notice'>"
+                               f"{P[0]}</div></article>", WANT),
+    "a short article beside a thread": (f"<body><article><p>{SHORT}</p></article><div class='thread'><p>{LONG}</p>"
+                                        f"<p>{LONG}</p></div></body>", SHORT),
+    "teasers beside the text": ("<body>" + f"<article><a href=x>{P[0]}</a></article>" * 3 + f"<div>{ARTICLE}</div></body>",
+                                WANT),
+    "an article in main with a list": (f"<main><ul>{LINKS}</ul><article>{ARTICLE}</article></main>", WANT),
+}
+CASES |= HIDDEN_CASES | RAW_CASES | CLASS_CASES | {k: v for k, v in WHOLE_PAGE_CASES.items() if v[1] is not None}
 
 
 @pytest.mark.parametrize("name", CASES)
@@ -109,3 +144,60 @@ def test_odd_rows(spark):
     got = {(r.page_id, r.url, r.n_chars, r.text[:5]) for r in extract_pages(pages).collect()}
     assert got == {(1, "u", 0, ""), (None, None, 1, "x"), (2, "u", 119_999, "word,"), (3, "v", len(P[0]), "First")}
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+def plain_scores(blocks):
+    """Points of every container, straight from the rule."""
+    points, chars, links = {}, {}, {}
+    for b in blocks:
+        up = b.node
+        while up is not None:
+            chars[up], links[up] = chars.get(up, 0) + b.chars, links.get(up, 0) + b.links
+            up = up.parent
+    for b in blocks:
+        if b.chars < 25:
+            continue
+        given = 1 + b.text.count(",") + min(b.chars // 100, 3)
+        holders, up = [], b.node
+        if up.tag in ("p", "pre", "li", "td", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
+            up = up.parent
+        while up is not None and up.parent is not None:
+            holders.append(up)
+            up = up.parent
+        for distance, holder in enumerate(holders):
+            part = 1 if distance == 0 else 1 / 2 if distance == 1 else 1 / (3 * distance)
+            points[holder] = points.get(holder, 0) + given * part
+    return {n: points.get(n, 0.0) * (1 - links[n] / chars[n]) for n in chars}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_scores_against_a_plain_scorer(seed):
+    rng = random.Random(seed)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.2:
+            text = rng.choice(P + [SHORT, "short", LONG])
+            return rng.choice(["<p>{}</p>", "<li>{}</li>", "{}<br>", "<a href=x>{}</a>", "<h2>{}</h2>"]).format(text)
+        tag = rng.choice(["div", "section", "article", "ul", "td", "blockquote"])
+        return f"<{tag}>" + "".join(tree(depth - 1) for _ in range(rng.randrange(1, 4))) + f"</{tag}>"
+
+    html = "<body>" + "".join(tree(5) for _ in range(3)) + "</body>"
+    want = plain_scores(parse(html))
+    got = score(parse(html))
+    assert [n.tag for n in got] == [n.tag for n in want] or len(got) == len(want)
+    key = lambda scores: sorted((n.order, round(v, 9)) for n, v in scores.items())
+    assert key(got) == key(want)
+
+
+def test_recall_and_precision_without_article_elements(spark):
+    """The given pages with their article in a plain container: what a page's
+    words are worth without the element that names them."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    found = hit = all_ = 0
+    for r in rows:
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        words = Counter(unescape(re.sub(r"<[^>]*>", " ", body)).split())
+        got = Counter(main_text(re.sub(r"<(/?)article>", r"<\1div>", r.html)).split())
+        hit, found, all_ = hit + (words & got).total(), found + got.total(), all_ + words.total()
+    print("recall", hit / all_, "precision", hit / found)
+    assert hit / all_ > 0.98 and hit / found > 0.98
