@@ -207,7 +207,8 @@ def sample_and_train(docs: DataFrame, families_of: dict[str, str] | None = None)
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language sample")), 11) / float(1 << 53)
     # A rare language takes part whole: a draw by chance could miss it.
     whole = max(each, 4 * LEAST_OF_LANGUAGE)
-    rows = (known.join(counts, "lang").where((F.col("n") <= whole) | (place < F.lit(float(each)) / F.col("n")))
+    # One row a language, as many as the model has classes: no text is moved to meet its language.
+    rows = (known.join(F.broadcast(counts), "lang").where((F.col("n") <= whole) | (place < F.lit(float(each)) / F.col("n")))
             .groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("text", "lang").collect())
     return train([r["text"] for r in rows], [r["lang"] for r in rows], families_of)
 
