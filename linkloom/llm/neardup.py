@@ -27,10 +27,6 @@ similarity.
 5. Components come from alternating large-star and small-star steps on the
    confirmed links.
 
-A key with more than a thousandth of a join's rows (the hub of a large group's
-star, the class of many equal texts) is split into parts, and what it meets is
-copied for each part; fewer than a thousand keys can be of that kind.
-
 At similarity 0.75 a pair shares no band with probability
 (1 - 0.75**4)**32 = 5e-6, and the estimate's margin is six standard errors.
 """
@@ -38,7 +34,7 @@ At similarity 0.75 a pair shares no band with probability
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import join_path, new_work_dir
@@ -55,8 +51,6 @@ MARGIN = 0.23  # six standard errors of the estimate at the threshold
 PAIRS_OF_BUCKET = 200
 SHINGLE_ROW = 64
 FREQUENT = 64
-# A key of more than a HOT_SHARE-th of a join's rows, and of more than HOT_LEAST, is split.
-HOT_SHARE, HOT_LEAST = 1_000, 64
 
 SIGNED = ("doc_id long, n_shingles long, digest_a long, digest_b long, registers binary")
 
@@ -155,8 +149,8 @@ def _estimator(batches):
         similar = estimate(column("na").to_numpy().astype(float), column("nb").to_numpy().astype(float),
                            (ra > rb).sum(axis=1), (ra < rb).sum(axis=1))
         keep = pa.array(similar >= SIMILAR / OF - MARGIN)
-        out = ["a", "b", "pa", "pb"]
-        yield pa.RecordBatch.from_arrays([column(n).filter(keep) for n in out], names=out)
+        yield pa.RecordBatch.from_arrays([column("a").filter(keep), column("b").filter(keep)],
+                                         names=["a", "b"])
 
 
 def _confirmer(batches):
@@ -203,39 +197,6 @@ class _Stored:
         return kept, (seen.get["n"], seen.get["sum"])
 
 
-def _most(n: int) -> int:
-    """Rows of one key, of ``n`` rows in all, that are left together."""
-    return max(n // HOT_SHARE, HOT_LEAST)
-
-
-def _hot(rows: DataFrame, key: list[str], n: int) -> DataFrame:
-    """The keys of more than ``_most(n)`` of the ``n`` rows, with the number of
-    parts to split them into: fewer than ``HOT_SHARE`` rows."""
-    return (rows.groupBy(*key).agg(F.count("*").alias("rows")).where(F.col("rows") > _most(n))
-            .select(*key, F.ceil(F.col("rows") / _most(n)).cast("int").alias("parts")))
-
-
-def _dealt(rows: DataFrame, hot: DataFrame, key: list[str], by: Column, part: str) -> DataFrame:
-    """The rows with their part of a hot key (0 for others), dealt by ``by``."""
-    return (rows.join(F.broadcast(hot), key, "left")  # fewer than HOT_SHARE rows
-            .withColumn(part, F.pmod(by, F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"))
-
-
-def _copied(table: DataFrame, hot: DataFrame, key: list[str], part: str) -> DataFrame:
-    """The table, with the rows of a hot key once for each of its parts."""
-    return (table.join(F.broadcast(hot), key, "left")  # fewer than HOT_SHARE rows
-            .withColumn(part, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"))
-
-
-def _with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
-    """Rows (a, b), at most ``n``, with the m of their a from ``least``, which
-    has the number of rows of each a: hubs meet theirs in parts."""
-    parts = F.ceil(F.col("rows") / _most(n)).cast("int")
-    hubs = least.where(F.col("rows") > _most(n)).select("a", parts.alias("parts"))
-    copies = least.select("a", "m", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    return _dealt(rows, hubs, ["a"], F.xxhash64("b"), "part").join(copies, ["a", "part"]).select("a", "b", "m")
-
-
 def components(links: DataFrame, store: _Stored) -> DataFrame:
     """(node, component): the smallest node reachable, for nodes that reach a
     smaller one."""
@@ -243,13 +204,12 @@ def components(links: DataFrame, store: _Stored) -> DataFrame:
     while now[0]:
         # Large star: neighbours above a node move to the least of its neighbourhood.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = (both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows"))
-                 .select("a", F.least("a", "m").alias("m"), "rows"))
-        large = (_with_least(both, least, 2 * now[0]).where("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .where("a != b"))
         # Small star: a node's smaller neighbours (here a > b always) move to the least one.
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows"))
-        small = (_with_least(large, least, 2 * now[0]).select(F.explode(F.array(
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (large.join(least, "a").select(F.explode(F.array(
             F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
             .select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct())
         before = now
@@ -265,25 +225,14 @@ def _fits(na: str, nb: str):
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, store: _Stored) -> DataFrame:
-    """Confirmed links among candidate pairs (a, b) of class representatives.
-
-    The pairs of a hub, as of the star of a large group, are dealt out in parts
-    that each meet a copy of the hub's sketch and text."""
-    pairs, (n, _) = store.keep_edges(pairs.select("a", "b"))
-    if not n:
-        return pairs
-    hot_a, hot_b = _hot(pairs, ["a"], n), _hot(pairs, ["b"], n)
-    dealt = _dealt(_dealt(pairs, hot_a, ["a"], F.xxhash64("b"), "pa"), hot_b, ["b"], F.xxhash64("a"), "pb")
-
-    def meet(rows: DataFrame, table: DataFrame, *names: str) -> DataFrame:
-        """Rows with the columns of both sides' rep, named for each side."""
-        a, b = (table.toDF(i, *[c + i for c in names]) for i in "ab")
-        return (rows.join(_copied(b, hot_b, ["b"], "pb"), ["b", "pb"])
-                .join(_copied(a, hot_a, ["a"], "pa"), ["a", "pa"]))
-
+    """Confirmed links among candidate pairs (a, b) of class representatives."""
     sketches = classes.select("rep", "registers", F.col("n_shingles").alias("n"))
-    likely = meet(dealt, sketches, "r", "n").mapInArrow(_estimator, "a long, b long, pa int, pb int")
-    return store.keep(meet(likely, texts, "text_").mapInArrow(_confirmer, "a long, b long"), "links")
+    sa = sketches.toDF("a", "ra", "na")
+    sb = sketches.toDF("b", "rb", "nb")
+    likely = pairs.join(sb, "b").join(sa, "a").mapInArrow(_estimator, "a long, b long")
+    ta, tb = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
+    return store.keep(likely.join(tb, "b").join(ta, "a").mapInArrow(_confirmer, "a long, b long"),
+                      "links")
 
 
 def _shingler(batches):
@@ -415,11 +364,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     labels = (classes.join(found, classes["rep"] == found["node"], "left")
               .select(*digest, F.coalesce("component", "rep").alias("component")))
-    # Many copies of one text, or many empty texts, meet their class in parts.
-    rows = signed.select("doc_id", *digest)
-    hot = _hot(rows, digest, rows.count())
-    rows = (_dealt(rows, hot, digest, F.monotonically_increasing_id(), "part")
-            .join(_copied(labels, hot, digest, "part"), [*digest, "part"], "left"))
+    rows = signed.select("doc_id", *digest).join(labels, digest, "left")
     own = F.when(F.col("n_shingles") > 0, F.least("component", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),

@@ -2,11 +2,9 @@
 
 import random
 import re
-from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import linkloom.llm.neardup as N
 from linkloom.llm.neardup import components, estimate, near_duplicates, sketch, without_near_duplicates
@@ -156,48 +154,6 @@ def test_a_hot_shingle_makes_no_pairs(spark, monkeypatch):
     assert made[1] <= 600  # not 600 * 599 / 2
 
 
-def test_hot_keys_are_dealt_out_in_parts(spark, monkeypatch):
-    """A hub's pairs are split into parts of about equal size, and each pair
-    meets its hub once."""
-    monkeypatch.setattr(N, "HOT_SHARE", 20)
-    monkeypatch.setattr(N, "HOT_LEAST", 3)
-    rows = [(1, b) for b in range(2, 402)] + [(500 + i, 600 + i) for i in range(100)]
-    pairs = spark.createDataFrame(rows, "a long, b long")
-    hot = N._hot(pairs, ["a"], len(rows))
-    assert [tuple(r) for r in hot.collect()] == [(1, 16)]
-    dealt = N._dealt(pairs, hot, ["a"], F.xxhash64("b"), "part")
-    sizes = Counter((r.a, r.part) for r in dealt.collect())
-    assert len(sizes) == 116 and max(sizes.values()) <= 50
-    table = spark.createDataFrame([(a, f"of {a}") for a in sorted({a for a, _ in rows})], "a long, x string")
-    met = dealt.join(N._copied(table, hot, ["a"], "part"), ["a", "part"])
-    assert sorted((r.a, r.b, r.x) for r in met.collect()) == sorted((a, b, f"of {a}") for a, b in rows)
-    least = pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows"))
-    got = [tuple(r) for r in N._with_least(pairs, least, len(rows)).collect()]
-    assert sorted(got) == sorted((a, b, 2 if a == 1 else b) for a, b in rows)
-
-
-@pytest.mark.parametrize("share, least", [(4, 1), (1_000, 1), (20, 5)])
-def test_hubs_copies_and_empty_texts_against_brute_force(spark, monkeypatch, share, least):
-    """Near copies of one base, exact copies that are a third of the rows, and
-    many empty texts give the same groups however small a hot key is."""
-    monkeypatch.setattr(N, "HOT_SHARE", share)
-    monkeypatch.setattr(N, "HOT_LEAST", least)
-    rng = random.Random(21)
-    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
-    rows = []
-    for i in range(40):
-        at = rng.randrange(120)
-        rows.append(" ".join(base[:at] + [f"x{i}"] + base[at + 1:]))
-    rows += ["one text with more than five words that many rows repeat"] * 40 + [""] * 25 + [None] * 5
-    rows += [" ".join(f"own{i}w{k}" for k in range(9)) for i in range(15)]
-    rng.shuffle(rows)
-    check(spark, list(enumerate(rows)))
-    edges = [(0, i) for i in range(1, 60)] + [(i, i + 100) for i in range(1, 20)] + [(300, 301)]
-    links = spark.createDataFrame([(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges], "a long, b long")
-    got = {r.node: r.component for r in components(links, N._Stored(spark)).collect()}
-    assert got == {**{i: 0 for i in [*range(1, 60), *range(101, 120)]}, 301: 300}
-
-
 def test_groups_that_can_be_linked_are_spread_out(spark):
     """The pairs of rows by groups are the pairs by rows."""
     rng = random.Random(12)
