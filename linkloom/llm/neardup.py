@@ -25,7 +25,9 @@ similarity.
    similarity from both sketches (with the known set sizes) is not far below
    the threshold, and is then confirmed on the full sets.
 5. Components come from alternating large-star and small-star steps on the
-   confirmed links.
+   confirmed links. A hub, a node of more than a thousandth of a step's rows,
+   never comes together in one task: fewer than a thousand nodes can be hubs,
+   so what their rows need is broadcast to where the rows are.
 
 At similarity 0.75 a pair shares no band with probability
 (1 - 0.75**4)**32 = 5e-6, and the estimate's margin is six standard errors.
@@ -51,6 +53,7 @@ MARGIN = 0.23  # six standard errors of the estimate at the threshold
 PAIRS_OF_BUCKET = 200
 SHINGLE_ROW = 64
 FREQUENT = 64
+HUBS = 1_000  # a node of more than a HUBS-th of the rows is a hub
 
 SIGNED = ("doc_id long, n_shingles long, digest_a long, digest_b long, registers binary")
 
@@ -197,6 +200,17 @@ class _Stored:
         return kept, (seen.get["n"], seen.get["sum"])
 
 
+def _with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """Rows (a, b), ``n`` at the most, with the m of their a from ``least``
+    (a, m, degree). Hubs' rows stay in place: fewer than HUBS nodes can have
+    more than n / HUBS rows each, so their m is broadcast."""
+    hubs = F.broadcast(least.where(F.col("degree") * HUBS > n).select("a", F.col("m").alias("hub_m")))
+    met = rows.join(hubs, "a", "left")
+    of_hubs = met.where("hub_m is not null").select("a", "b", F.col("hub_m").alias("m"))
+    others = met.where("hub_m is null").join(least, "a").select("a", "b", "m")
+    return of_hubs.unionByName(others)
+
+
 def components(links: DataFrame, store: _Stored) -> DataFrame:
     """(node, component): the smallest node reachable, for nodes that reach a
     smaller one."""
@@ -204,12 +218,13 @@ def components(links: DataFrame, store: _Stored) -> DataFrame:
     while now[0]:
         # Large star: neighbours above a node move to the least of its neighbourhood.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a != b"))
+        least = (both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+                 .select("a", F.least("a", "m").alias("m"), "degree"))
+        large = store.keep(_with_least(both, least, 2 * now[0]).where("b > a and b != m")
+                           .select(F.col("b").alias("a"), F.col("m").alias("b")), "large")
         # Small star: a node's smaller neighbours (here a > b always) move to the least one.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.explode(F.array(
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+        small = (_with_least(large, least, now[0]).select(F.explode(F.array(
             F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
             .select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct())
         before = now

@@ -117,6 +117,31 @@ def test_components_of_long_paths(spark):
     assert components(links.limit(0), N._Stored(spark)).count() == 0
 
 
+@pytest.mark.parametrize("hubs", [0, 4, 1_000])
+def test_components_with_hubs(spark, monkeypatch, hubs):
+    """Stars whose hub is the largest, a middle or the smallest node, joined by
+    chance: the same components whether no node, some or all count as hubs."""
+    monkeypatch.setattr(N, "HUBS", hubs)
+    rng = random.Random(8)
+    edges = [(999, i) for i in range(300, 420)] + [(250, i) for i in range(200, 300) if i != 250]
+    edges += [(-5, i) for i in range(0, 60)] + [(i, i + 1) for i in range(600, 620)]
+    edges += [(rng.randrange(700, 760), rng.randrange(700, 760)) for _ in range(40)]
+    edges += [(310, 205), (610, 700)] + edges[:10]
+    parent = {n: n for e in edges for n in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    links = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in components(links, N._Stored(spark)).collect()}
+    assert got == {n: find(n) for n in parent if find(n) != n}
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, None, 1), (2, "", 2), (4, long, 3), (3, long, 4), (3, long, 4), (None, long, 5),
