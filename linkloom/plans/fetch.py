@@ -5,9 +5,10 @@ each task downloads its files one by one with retries and writes them to the
 destination folder through ``pyarrow.fs``. The destination is resolved by
 Spark's own rules, so a path without a scheme is on the cluster's default file
 system, and a folder on a machine's own disk is refused unless the session
-runs on that one machine. A file is written under a temporary name and moved
-into place, so a retried task rewrites it whole. It has arrived when the
-server said 200 and as many bytes came as it announced.
+runs on that one machine; a folder below ``spark.checkpoint.dir`` is one that
+all machines mount, also where its scheme is ``file``. A file is written under
+a temporary name and moved into place, so a retried task rewrites it whole. It
+has arrived when the server said 200 and as many bytes came as it announced.
 
 The outcome of every file is written as a report table in the same job that
 does the downloads (so they run once), and only the files that arrived are
@@ -17,11 +18,13 @@ then marked in the ledger: a failed download stays pending for the next run.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ledger import download_plan, mark_processed, read_ledger
+from ..session import shared_folders
 from ..sinks.tables import append_table
 from ..sources.files import qualified, read_lines, read_table
 from ..tables import LinkTable, as_table
@@ -96,18 +99,23 @@ def fetch_files(plan: DataFrame, dest: str, n: int, retries: int = 10, wait_s: f
     """Lazy: one report row per planned file (at most ``n``). Materialise it
     once (it has side effects), e.g. with ``fetch_and_mark``."""
     tasks = tasks or max(1, -(-n // FILES_PER_TASK))
+    spark = plan.sparkSession
+    uri = shared_uri(spark, dest, shared_folders(spark))
     return plan.select("file_name", "url").repartition(tasks).mapInPandas(
-        _fetcher(shared_uri(plan.sparkSession, dest), retries, wait_s, timeout_s), FETCH_SCHEMA)
+        _fetcher(uri, retries, wait_s, timeout_s), FETCH_SCHEMA)
 
 
-def shared_uri(spark: SparkSession, dest: str) -> str:
+def shared_uri(spark: SparkSession, dest: str, shared: Sequence[str] = ()) -> str:
     """The destination as a URI for ``pyarrow.fs`` that means the same folder
-    to every executor and to Spark's readers."""
+    to every executor and to Spark's readers. Folders at and below ``shared``
+    do so on a cluster too, whatever their scheme."""
     uri = qualified(spark, dest)
     scheme, rest = uri.split(":", 1)
     if scheme == "file":
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{uri} is on each machine's own disk; give a folder that all executors share")
+        mounted = any(f"{uri}/".startswith(qualified(spark, folder).rstrip("/") + "/") for folder in shared)
+        if not mounted and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{uri} is on each machine's own disk; give a folder that all executors share, "
+                             "in a store or below spark.checkpoint.dir")
         return "file:///" + rest.lstrip("/")
     return f"s3:{rest}" if scheme in ("s3a", "s3n") else uri
 

@@ -107,3 +107,31 @@ def test_destination_is_one_folder_for_all(spark, monkeypatch):
         else:
             with pytest.raises(ValueError, match="own disk"):
                 fetch.shared_uri(Cluster, uri)
+
+
+def test_the_checkpoint_folder_is_shared_on_a_cluster(spark, work, monkeypatch):
+    """A cluster whose ``spark.checkpoint.dir`` is a mounted ``file:`` folder."""
+    from linkloom.plans.fetch import shared_uri
+    from linkloom.session import shared_folders
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    shared = shared_folders(spark)
+    assert shared_uri(spark, os.path.join(work, "dest"), shared) == f"file://{work}/dest"
+    assert shared_uri(spark, shared[0], shared).startswith("file:///")
+    for dest in ("/tmp/x", shared[-1].rstrip("/") + "2/x", os.path.join(work, "../../../x")):
+        with pytest.raises(ValueError, match="own disk"):
+            shared_uri(spark, dest, shared)
+
+
+def test_fetch_ingest_on_a_cluster(spark, duck, monkeypatch):
+    """The query's folders lie below the checkpoint folder, so it runs there."""
+    from conftest import SF_SMALL
+
+    from linkloom.plans import oracle, registry
+    from linkloom.session import checkpoint_root
+
+    checkpoint_root(spark)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    got = registry.queries()["fetch_ingest"](spark, SF_SMALL)
+    want = duck().execute(f"SELECT {', '.join(got.columns)} FROM ({oracle.WAT_LINKS})").fetchall()
+    assert want and rows(got) == sorted(want, key=repr)
